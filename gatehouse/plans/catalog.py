@@ -175,3 +175,67 @@ QUERIES: dict[str, Query] = {f.__name__: _guarded(f) for f in [
 
 def queries() -> dict[str, Query]:
     return dict(QUERIES)
+
+
+# ---- sources, sinks and streaming: written and read back through the shared folder
+
+
+def s1_read_artifacts(spark, sf_dir):
+    """Documents written one file per document, then scanned as whole files."""
+    from gatehouse.sources.artifacts import read_artifacts
+    from gatehouse.session import shared_dir
+    out = shared_dir(spark, "s1-artifacts")
+    fx.table(spark, sf_dir, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(out)
+    a = read_artifacts(spark, out)
+    return a.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("n_bytes").cast("bigint"),
+                    "readable", is_blank("content").alias("blank"))
+
+
+def s3_write_requests(spark, sf_dir):
+    """Assembled requests written as JSON Lines, then read back."""
+    from gatehouse.session import shared_dir
+    from gatehouse.sources.sinks import write_requests
+    out = shared_dir(spark, "s3-requests")
+    write_requests(assemble_job(spark, sf_dir), out)
+    return spark.read.text(out).select(F.col("value").alias("request"))
+
+
+def s4_write_verdicts(spark, sf_dir):
+    """Verdicts written as Parquet partitioned by outcome, then read back."""
+    from gatehouse.session import shared_dir
+    from gatehouse.sources.sinks import write_verdicts
+    out = shared_dir(spark, "s4-verdicts")
+    write_verdicts(judge_job(spark, sf_dir).select("sub_id", "message", "exit_code", "outcome"), out)
+    return spark.read.parquet(out).select("sub_id", "outcome", "message", "exit_code")
+
+
+T1_SECONDS = 300
+T1_DELAY_SECONDS = 600
+
+
+def t1_match_within_stream(spark, sf_dir):
+    """J3 as a streaming job over the events file (available-now trigger).
+
+    Emits every request whose answer is final under the watermark; requests
+    of the last ``limit + delay`` of event time are still waiting in state
+    when the input ends, as in a live stream.
+    """
+    from gatehouse.session import shared_dir
+    from gatehouse.streaming.match_stream import MATCH_SCHEMA, match_within_stream
+    schema = fx.table(spark, sf_dir, "events").schema
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+          .parquet(sf_dir).select("event_id", "user_id", "ts", "event_type"))
+    q = ev.where(F.col("event_type") == "click").drop("event_type")
+    r = ev.where(F.col("event_type") == "view").drop("event_type")
+    out = match_within_stream(q, r, "user_id", T1_SECONDS, delay=f"{T1_DELAY_SECONDS} seconds")
+    sink, ckpt = shared_dir(spark, "t1-out"), shared_dir(spark, "t1-ckpt")
+    run = (out.writeStream.format("parquet").option("path", sink)
+           .option("checkpointLocation", ckpt).outputMode("append")
+           .trigger(availableNow=True).start())
+    run.awaitTermination()
+    return spark.read.schema(MATCH_SCHEMA.format(key="user_id")).parquet(sink)
+
+
+QUERIES.update({f.__name__: _guarded(f) for f in [
+    s1_read_artifacts, s3_write_requests, s4_write_verdicts, t1_match_within_stream,
+]})

@@ -212,6 +212,40 @@ m as (
 select req_id, user_id, resp_id, cast(delay_us as bigint) as delay_us from m where rn = 1"""
 
 
+REQUEST_CTES = SCREEN_CTES + [("sent_files", """
+select m.sub_id, m.pos, m.name, regexp_replace(s.content, '\\r\\n?', chr(10), 'g') as c
+from manifest m join submissions_v s on s.sub_id = m.sub_id and s.pos = m.pos"""), ("sendable", """
+select sc.sub_id, sc.task_id, sc.student_id,
+  case when len(sc.expected) > 1
+       then '{' || string_agg(cast(to_json(f.name) as varchar) || ':' || cast(to_json(f.c) as varchar), ','
+                              order by f.pos) || '}'
+       else max(f.c) end as solution
+from screened sc join sent_files f on f.sub_id = sc.sub_id
+where sc.reason is null
+group by sc.sub_id, sc.task_id, sc.student_id, sc.expected"""), ("requests", """
+select p.sub_id, p.task_id,
+  cast(json_object('student_id', """ + strip_sql("p.student_id") + """,
+                   'student_solution', p.solution) as varchar) as request
+from sendable p""")]
+
+
+def stream_match_sql(seconds: int, delay_seconds: int) -> str:
+    """J3 minus the requests still waiting in state when the input ends.
+
+    A request's state group (key, bucket b) is final once the watermark
+    (max event time in ms minus the delay) passes the end of bucket b + 1.
+    """
+    w_us = seconds * 1_000_000
+    return f"""
+with j3 as ({match_sql(seconds)}),
+wm as (select (epoch_us(max(ts)) // 1000) - {delay_seconds * 1000} as wm_ms
+       from events where event_type in ('click', 'view')),
+q as (select event_id, epoch_us(ts) // {w_us} as b from events where event_type = 'click')
+select j3.req_id, j3.user_id, j3.resp_id, j3.delay_us
+from j3 join q on q.event_id = j3.req_id cross join wm
+where (q.b + 2) * {w_us // 1000} < wm.wm_ms"""
+
+
 def oracle_sql() -> dict[str, str]:
     s = {}
     s["p1_strip"] = with_views(["endpoints_v"], f"select req_id, {strip_sql('raw_url')} as url_stripped from endpoints_v")
@@ -264,28 +298,22 @@ def oracle_sql() -> dict[str, str]:
         ["submissions_v"], "select sub_id, bundle_bytes, 'ok' as status, solution from bundles", [BUNDLE_SQL])
     s["x4_screen"] = with_views(
         SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
-    s["p6_request_json"] = with_views(
-        SUB_VIEWS, """
-select p.sub_id, p.task_id,
-  cast(json_object('student_id', """ + strip_sql("p.student_id") + """,
-              'student_solution', p.solution) as varchar) as request
-from sendable p""", SCREEN_CTES + [("sent_files", """
-select m.sub_id, m.pos, m.name, regexp_replace(s.content, '\\r\\n?', chr(10), 'g') as c
-from manifest m join submissions_v s on s.sub_id = m.sub_id and s.pos = m.pos"""), ("sendable", """
-select sc.sub_id, sc.task_id, sc.student_id,
-  case when len(sc.expected) > 1
-       then '{' || string_agg(cast(to_json(f.name) as varchar) || ':' || cast(to_json(f.c) as varchar), ','
-                              order by f.pos) || '}'
-       else max(f.c) end as solution
-from screened sc join sent_files f on f.sub_id = sc.sub_id
-where sc.reason is null
-group by sc.sub_id, sc.task_id, sc.student_id, sc.expected""")])
+    s["p6_request_json"] = with_views(SUB_VIEWS, "select sub_id, task_id, request from requests", REQUEST_CTES)
+    s["s3_write_requests"] = with_views(SUB_VIEWS, "select request from requests", REQUEST_CTES)
     s["x1_parse_verdict"] = with_views(["responses_v"], "select sub_id, shape, status, message from verdicts", VERDICT_CTES)
     s["x2_classify"] = with_views(["responses_v"], "select sub_id, outcome from verdicts", VERDICT_CTES)
     s["x3_exit_code"] = with_views(
         ["responses_v"],
         "select sub_id, outcome, cast(case when outcome = 'success' then 0 else 1 end as bigint) as exit_code "
         "from verdicts", VERDICT_CTES)
+    s["s1_read_artifacts"] = (
+        "select doc_id, cast(strlen(text) + 1 as bigint) as n_bytes, true as readable, "
+        f"{blank_sql('text')} as blank from documents")
+    s["s4_write_verdicts"] = with_views(
+        ["responses_v"],
+        "select sub_id, outcome, message, cast(case when outcome = 'success' then 0 else 1 end as bigint) "
+        "as exit_code from verdicts", VERDICT_CTES)
+    s["t1_match_within_stream"] = stream_match_sql(300, 600)
     s["j3_match_within_300s"] = match_sql(300)
     s["j3_match_within_4h"] = match_sql(4 * 3600)
     return s
