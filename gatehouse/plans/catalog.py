@@ -181,14 +181,16 @@ def queries() -> dict[str, Query]:
 
 
 def s1_read_artifacts(spark, sf_dir):
-    """Documents written one file per document, then scanned as whole files."""
-    from gatehouse.sources.artifacts import read_artifacts
+    """Submission files written one file per (sub_id, pos), then scanned whole."""
     from gatehouse.session import shared_dir
+    from gatehouse.sources.artifacts import read_artifacts
+    from gatehouse.sources.sinks import write_artifacts
     out = shared_dir(spark, "s1-artifacts")
-    fx.table(spark, sf_dir, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(out)
+    write_artifacts(fx.submissions(spark, sf_dir), out, ["sub_id", "pos"])
     a = read_artifacts(spark, out)
-    return a.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("n_bytes").cast("bigint"),
-                    "readable", is_blank("content").alias("blank"))
+    return a.select(F.col("sub_id").cast("bigint").alias("sub_id"), F.col("pos").cast("bigint").alias("pos"),
+                    F.col("n_bytes").cast("bigint").alias("n_bytes"), "readable",
+                    is_blank("content").alias("blank"))
 
 
 def s3_write_requests(spark, sf_dir):

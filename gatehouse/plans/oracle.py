@@ -232,18 +232,18 @@ from sendable p""")]
 def stream_match_sql(seconds: int, delay_seconds: int) -> str:
     """J3 minus the requests still waiting in state when the input ends.
 
-    A request's state group (key, bucket b) is final once the watermark
-    (max event time in ms minus the delay) passes the end of bucket b + 1.
+    A request is emitted once its deadline (ts + limit) is before the final
+    watermark: the latest click/view time, in ms, minus the delay.
     """
     w_us = seconds * 1_000_000
     return f"""
 with j3 as ({match_sql(seconds)}),
-wm as (select (epoch_us(max(ts)) // 1000) - {delay_seconds * 1000} as wm_ms
+wm as (select ((epoch_us(max(ts)) // 1000) - {delay_seconds * 1000}) * 1000 as wm_us
        from events where event_type in ('click', 'view')),
-q as (select event_id, epoch_us(ts) // {w_us} as b from events where event_type = 'click')
+q as (select event_id, epoch_us(ts) as us from events where event_type = 'click')
 select j3.req_id, j3.user_id, j3.resp_id, j3.delay_us
 from j3 join q on q.event_id = j3.req_id cross join wm
-where (q.b + 2) * {w_us // 1000} < wm.wm_ms"""
+where q.us + {w_us} < wm.wm_us"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -306,9 +306,10 @@ def oracle_sql() -> dict[str, str]:
         ["responses_v"],
         "select sub_id, outcome, cast(case when outcome = 'success' then 0 else 1 end as bigint) as exit_code "
         "from verdicts", VERDICT_CTES)
-    s["s1_read_artifacts"] = (
-        "select doc_id, cast(strlen(text) + 1 as bigint) as n_bytes, true as readable, "
-        f"{blank_sql('text')} as blank from documents")
+    s["s1_read_artifacts"] = with_views(
+        ["submissions_v"],
+        "select sub_id, pos, cast(strlen(content) + 1 as bigint) as n_bytes, true as readable, "
+        f"{blank_sql('content')} as blank from submissions_v")
     s["s4_write_verdicts"] = with_views(
         ["responses_v"],
         "select sub_id, outcome, message, cast(case when outcome = 'success' then 0 else 1 end as bigint) "

@@ -46,6 +46,10 @@ def build_session(master: str | None = None, app_name: str = "gatehouse",
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    # listing many small artifact folders: a few listing tasks per core rather
+    # than one task per folder (the default allows up to 10000 tasks)
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   str(max(8, spark.sparkContext.defaultParallelism * 4)))
     ensure_semantics(spark)
     return spark
 

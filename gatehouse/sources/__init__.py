@@ -2,6 +2,6 @@
 (S3, S4)."""
 
 from gatehouse.sources.artifacts import read_artifacts
-from gatehouse.sources.sinks import write_requests, write_verdicts
+from gatehouse.sources.sinks import write_artifacts, write_requests, write_verdicts
 
-__all__ = ["read_artifacts", "write_requests", "write_verdicts"]
+__all__ = ["read_artifacts", "write_artifacts", "write_requests", "write_verdicts"]

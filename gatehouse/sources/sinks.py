@@ -18,3 +18,17 @@ def write_requests(df: DataFrame, path: str, column: str = "request") -> None:
 def write_verdicts(df: DataFrame, path: str, partition_by: str = "outcome") -> None:
     """Verdicts as Parquet, one folder per outcome for pruned reads."""
     df.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
+
+
+def write_artifacts(df: DataFrame, path: str, keys: list[str], column: str = "content") -> None:
+    """Write one text file per row under ``key=value`` folders (the reverse of S1).
+
+    Each file holds the row's text followed by one newline (text sink line
+    end). Rows are clustered by their keys first, so each task opens one file
+    at a time.
+    """
+    # an explicit count: file creation, not bytes, is the cost here, so keep
+    # every core busy (AQE would coalesce small data into a few tasks)
+    n = df.sparkSession.sparkContext.defaultParallelism * 2
+    (df.select(*keys, column).repartition(n, *keys).sortWithinPartitions(*keys)
+     .write.mode("errorifexists").partitionBy(*keys).text(path))

@@ -1,17 +1,20 @@
 """J3 on live request and response streams.
 
 Same answer as :func:`gatehouse.operators.match.match_within` -- each request
-with its earliest response in ``[ts, ts + limit)`` -- computed incrementally.
-
-State is keyed by (key, bucket) with buckets as wide as the limit, so a hot key
-is spread over its buckets and no state group holds more than two buckets of
-one key's events. A request of bucket ``b`` can only be answered by responses
-of buckets ``b`` and ``b + 1``; each response is therefore routed to its own
-bucket's group and to the previous one. A group is final once the watermark
-passes the end of bucket ``b + 1``: its requests are matched (a sorted search
-per group, no pairs are formed) and emitted once, in append mode, and the
-state is dropped. Rows later than the watermark delay are dropped by Spark.
-Requests whose group is not yet final stay in state until a later batch.
+with its earliest response in ``[ts, ts + limit)`` -- computed incrementally
+with ``applyInPandasWithState``.
+
+State is kept per *shard* of keys (``pmod(hash(key), shards)``), not per key:
+one Python call per shard and batch instead of one per key, and a hot key is
+confined to its shard. A shard holds its pending requests and the responses
+that can still answer a request. A request is final once its deadline
+``ts + limit`` is behind the watermark (later rows are dropped by Spark, so no
+earlier response can still arrive); final requests are matched per key with a
+forward as-of search (no pairs are formed), emitted once in append mode, and
+dropped from state. Responses older than both the watermark and the oldest
+pending request can answer nothing and are pruned, so state is bounded by the
+``limit + delay`` stretch of event time, not by the stream's length.
+Requests whose deadline is not yet behind the watermark stay in state.
 """
 
 from __future__ import annotations
@@ -24,83 +27,107 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from gatehouse.operators.match import MICROS, _bucket, event_micros
+from gatehouse.operators.match import MICROS, event_micros
 
 # The per-group function runs in Python workers; ship this module's code with
 # it (by value) so workers need only pandas and numpy, not this package.
 try:
-    from pyspark import cloudpickle as _cloudpickle
     import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
     _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
 except Exception:  # pragma: no cover - older cloudpickle: ship the package instead
     pass
 
 MATCH_SCHEMA = "req_id bigint, {key} bigint, resp_id bigint, delay_us bigint"
-STATE_SCHEMA = ("req_ids array<bigint>, req_ts array<bigint>, "
-                "resp_ids array<bigint>, resp_ts array<bigint>")
-
-
-def _match(req_ids, req_ts, resp_ids, resp_ts, limit_us):
-    """Earliest response at or after each request, ties to the lowest id."""
-    n = len(req_ids)
-    resp = pd.Series(pd.NA, index=range(n), dtype="Int64")
-    delay = pd.Series(pd.NA, index=range(n), dtype="Int64")
-    if len(resp_ts):
-        order = np.lexsort((resp_ids, resp_ts))
-        rt, ri = resp_ts[order], resp_ids[order]
-        at = np.searchsorted(rt, req_ts, side="left")
-        idx = np.minimum(at, len(rt) - 1)
-        d = rt[idx] - req_ts
-        hit = (at < len(rt)) & (d < limit_us)
-        resp[hit] = ri[idx][hit]
-        delay[hit] = d[hit]
-    return resp, delay
+STATE_SCHEMA = ("q_id array<bigint>, q_key array<bigint>, q_us array<bigint>, "
+                "r_id array<bigint>, r_key array<bigint>, r_us array<bigint>")
+DEFAULT_SHARDS = 64
+
+
+def match_final(q: pd.DataFrame, r: pd.DataFrame, limit_us: int) -> pd.DataFrame:
+    """Earliest response per request within the limit; ties to the lowest id.
+
+    ``q`` and ``r`` have columns id, key, us. Returns (req_id, key, resp_id,
+    delay_us) with nulls for unanswered requests.
+    """
+    q = q.sort_values(["us", "id"], kind="stable").reset_index(drop=True)
+    r = (r.sort_values(["us", "id"], kind="stable")
+         .rename(columns={"id": "resp_id", "us": "resp_us"}).reset_index(drop=True))
+    r["us"] = r["resp_us"]
+    m = pd.merge_asof(q, r[["us", "key", "resp_id", "resp_us"]], on="us", by="key",
+                      direction="forward", allow_exact_matches=True,
+                      tolerance=limit_us - 1)
+    hit = m["resp_id"].notna()
+    out = pd.DataFrame({
+        "req_id": m["id"].astype("int64"),
+        "key": m["key"].astype("int64"),
+        "resp_id": m["resp_id"].astype("Int64").where(hit),
+        "delay_us": (m["resp_us"] - m["us"]).astype("Int64").where(hit),
+    })
+    return out
+
+
+def _frame(ids, keys, us) -> pd.DataFrame:
+    return pd.DataFrame({"id": np.asarray(ids, dtype="int64"),
+                         "key": np.asarray(keys, dtype="int64"),
+                         "us": np.asarray(us, dtype="int64")})
 
 
 def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
-                        delay: str = "10 minutes", ts: str = "ts",
-                        id_col: str = "event_id") -> DataFrame:
+                        delay: str = "10 minutes", ts: str = "ts", id_col: str = "event_id",
+                        shards: int = DEFAULT_SHARDS) -> DataFrame:
     """Streaming (req_id, <key>, resp_id, delay_us); one row per request.
 
     ``requests`` and ``responses`` are streaming frames with ``id_col``, ``key``
-    and ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC). ``delay`` is
-    the watermark delay: how late a row may arrive and still count.
+    (bigint) and ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
+    ``delay`` is the watermark delay: how late a row may arrive and count.
     """
     limit_us = int(round(seconds * MICROS))
 
     def side(df: DataFrame, kind: int) -> DataFrame:
-        return df.select(F.col(key).alias("k"), F.col(id_col).alias("id"),
+        return df.select(F.col(key).cast("bigint").alias("key"), F.col(id_col).alias("id"),
                          F.col(ts).cast("timestamp").alias("ts"), F.lit(kind).alias("kind"))
 
     events = side(requests, 1).unionByName(side(responses, 0)).withWatermark("ts", delay)
-    us = event_micros("ts")
-    b = _bucket(us, limit_us)
-    groups = F.when(F.col("kind") == 1, F.array(b)).otherwise(F.array(b, b - 1))
-    routed = events.select("k", "id", "ts", "kind", us.alias("us"), F.explode(groups).alias("g"))
+    routed = events.select("key", "id", "ts", "kind", event_micros("ts").alias("us"),
+                           F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        k, g = group
         if state.exists:
-            r_ids, r_ts, s_ids, s_ts = (np.asarray(x, dtype="int64") for x in state.get)
+            qi, qk, qu, ri, rk, ru = state.get
+            q, r = _frame(qi, qk, qu), _frame(ri, rk, ru)
         else:
-            r_ids = r_ts = s_ids = s_ts = np.empty(0, dtype="int64")
-        if not state.hasTimedOut:
-            for pdf in batches:
-                req = pdf["kind"].to_numpy() == 1
-                ids, tss = pdf["id"].to_numpy("int64"), pdf["us"].to_numpy("int64")
-                r_ids, r_ts = np.concatenate([r_ids, ids[req]]), np.concatenate([r_ts, tss[req]])
-                s_ids, s_ts = np.concatenate([s_ids, ids[~req]]), np.concatenate([s_ts, tss[~req]])
-            final_ms = (int(g) + 2) * limit_us // 1000
-            if final_ms > state.getCurrentWatermarkMs():
-                state.update((r_ids.tolist(), r_ts.tolist(), s_ids.tolist(), s_ts.tolist()))
-                state.setTimeoutTimestamp(final_ms)
-                return
-        state.remove()
-        if len(r_ids):
-            resp_id, delay_us = _match(r_ids, r_ts, s_ids, s_ts, limit_us)
-            yield pd.DataFrame({"req_id": r_ids, key: np.full(len(r_ids), k, dtype="int64"),
-                                "resp_id": resp_id, "delay_us": delay_us})
-
-    return (routed.groupBy("k", "g")
+            q = r = _frame([], [], [])
+        new = [pdf for pdf in batches] if not state.hasTimedOut else []
+        if new:
+            pdf = pd.concat(new, ignore_index=True)
+            is_q = pdf["kind"].to_numpy() == 1
+            q = pd.concat([q, _frame(pdf["id"][is_q], pdf["key"][is_q], pdf["us"][is_q])], ignore_index=True)
+            r = pd.concat([r, _frame(pdf["id"][~is_q], pdf["key"][~is_q], pdf["us"][~is_q])], ignore_index=True)
+
+        wm_ms = state.getCurrentWatermarkMs()
+        wm_us = wm_ms * 1000
+        final = (q["us"] + limit_us) < wm_us
+        done = q[final]
+        q = q[~final].reset_index(drop=True)
+        floor_us = min(wm_us, int(q["us"].min())) if len(q) else wm_us
+        if len(done):
+            out = match_final(done, r, limit_us)
+        r = r[r["us"] >= floor_us].reset_index(drop=True)
+
+        if len(q) or len(r):
+            state.update((q["id"].tolist(), q["key"].tolist(), q["us"].tolist(),
+                          r["id"].tolist(), r["key"].tolist(), r["us"].tolist()))
+            # wake up when the next request becomes final, or when the last
+            # kept response is behind the watermark (then nothing is left)
+            due_us = int((q["us"] + limit_us).min()) if len(q) else int(r["us"].max())
+            state.setTimeoutTimestamp(max(due_us // 1000, wm_ms + 1))
+        else:
+            state.remove()
+        if len(done):
+            yield out.rename(columns={"key": key})
+
+    return (routed.groupBy("shard")
             .applyInPandasWithState(step, MATCH_SCHEMA.format(key=key), STATE_SCHEMA,
                                     "append", GroupStateTimeout.EventTimeTimeout))
