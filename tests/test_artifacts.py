@@ -1,0 +1,59 @@
+"""S1, S2 with files written by the test; S3, S4 round trips."""
+
+import os
+
+from gatehouse.operators import reconcile
+from gatehouse.sources import read_artifacts, write_requests, write_verdicts
+
+
+def _write(d, name, data: bytes):
+    p = os.path.join(d, name)
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    with open(p, "wb") as f:
+        f.write(data)
+
+
+def test_strict_utf8_whole_files(spark, tmp_dir):
+    _write(tmp_dir, "f=ok/a.txt", "héllo\nwörld\n".encode())
+    _write(tmp_dir, "f=bom/a.txt", b"\xef\xbb\xbfx")
+    _write(tmp_dir, "f=crlf/a.txt", b"a\r\nb\r\n")
+    _write(tmp_dir, "f=bad/a.txt", b"ok\xff\xfe")
+    _write(tmp_dir, "f=surrogate/a.txt", b"\xed\xa0\x80")
+    _write(tmp_dir, "f=overlong/a.txt", b"\xc0\xaf")
+    _write(tmp_dir, "f=empty/a.txt", b"")
+    got = {r.f: (r.n_bytes, r.readable, r.content) for r in read_artifacts(spark, tmp_dir).collect()}
+    expected = {}
+    for name in ["ok", "bom", "crlf", "bad", "surrogate", "overlong"]:
+        data = open(os.path.join(tmp_dir, f"f={name}", "a.txt"), "rb").read()
+        try:
+            text = data.decode("utf-8")
+            expected[name] = (len(data), True, text)
+        except UnicodeDecodeError:
+            expected[name] = (len(data), False, None)
+    assert got == expected           # zero-byte file: no row at all
+    assert got["bom"][2] == "﻿x" and got["crlf"][2] == "a\r\nb\r\n"
+
+
+def test_reconcile_catches_zero_byte_files(spark, tmp_dir):
+    _write(tmp_dir, "one.py", b"print(1)")
+    _write(tmp_dir, "blank.py", b" \n")
+    _write(tmp_dir, "zero.py", b"")
+    files = read_artifacts(spark, tmp_dir)
+    manifest = spark.createDataFrame([(f"file:{tmp_dir}/{n}", n) for n in
+                                      ["one.py", "blank.py", "zero.py", "gone.py"]], "path string, name string")
+    got = {r.name: r.state for r in reconcile(manifest, files, ["path"]).collect()}
+    assert got == {"one.py": "ok", "blank.py": "blank", "zero.py": "missing_or_empty",
+                   "gone.py": "missing_or_empty"}
+
+
+def test_request_and_verdict_sinks(spark, tmp_dir):
+    reqs = spark.createDataFrame([('{"student_id":"u","student_solution":"a\\nb"}',)], "request string")
+    write_requests(reqs, os.path.join(tmp_dir, "req"))
+    assert [r.value for r in spark.read.text(os.path.join(tmp_dir, "req")).collect()] == [
+        '{"student_id":"u","student_solution":"a\\nb"}']
+    v = spark.createDataFrame([(1, "success", "m", 0), (2, "error", "x", 1)],
+                              "sub_id bigint, outcome string, message string, exit_code int")
+    write_verdicts(v, os.path.join(tmp_dir, "ver"))
+    back = spark.read.parquet(os.path.join(tmp_dir, "ver")).where("outcome = 'error'")
+    assert [(r.sub_id, r.exit_code) for r in back.collect()] == [(2, 1)]
+    assert "PartitionFilters: [isnotnull(outcome" in back._jdf.queryExecution().executedPlan().toString()

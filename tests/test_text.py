@@ -1,0 +1,63 @@
+"""P1, P2, P5, F2/F3, F5 against Python's own string rules."""
+
+import string
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from gatehouse.functions.text import (is_blank, normalise_newlines, placeholder_flags,
+                                      rstrip_slash, strip)
+
+PY_SPACE = [chr(c) for c in range(0x3100) if chr(c).isspace()]
+
+
+def _one(spark, expr, values, schema="v string"):
+    df = spark.createDataFrame([(v,) for v in values], schema)
+    return [r[0] for r in df.select(expr).collect()]
+
+
+def test_white_space_set_is_pythons(spark):
+    assert len(PY_SPACE) == 29
+    got = _one(spark, strip("v"), [f"{c}a{c}" for c in PY_SPACE])
+    assert got == ["a"] * len(PY_SPACE)
+
+
+def test_non_space_kept(spark):
+    kept = ["​", "᠎", "﻿", "\x00", "x"]
+    got = _one(spark, strip("v"), [f"{c}a{c}" for c in kept])
+    assert got == [f"{c}a{c}" for c in kept]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(PY_SPACE + list("ab/\r\n")), max_size=12),
+                min_size=1, max_size=20))
+def test_strip_matches_python(spark, values):
+    assert _one(spark, strip("v"), values) == [v.strip() for v in values]
+    assert _one(spark, rstrip_slash("v"), values) == [v.rstrip("/") for v in values]
+
+
+def test_newlines_like_text_mode(spark):
+    vals = ["a\r\nb", "a\rb", "a\nb", "\r\r\n", "x"]
+    got = _one(spark, normalise_newlines("v"), vals)
+    assert got == ["a\nb", "a\nb", "a\nb", "\n\n", "x"]
+    # idempotent
+    assert _one(spark, normalise_newlines(normalise_newlines("v")), vals) == got
+
+
+def test_blank(spark):
+    vals = ["", " \t\n", "　", " a ", None]
+    assert _one(spark, is_blank("v"), vals) == [True, True, True, False, None]
+
+
+def test_placeholder_flags(spark):
+    vals = ["x = 1  # TODO fix", "raise NotImplementedError()", "TODOS", "ok", "MyNotImplementedErrorX"]
+    got = _one(spark, placeholder_flags("v"), vals)
+    assert [(r.has_todo, r.has_not_implemented) for r in got] == [
+        (True, False), (False, True), (False, False), (False, False), (False, False)]
+
+
+def test_stays_in_codegen(spark):
+    df = spark.createDataFrame([(string.ascii_letters,)], "v string")
+    plan = df.select(strip("v"), is_blank("v"))._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
