@@ -18,6 +18,8 @@ from gatehouse.functions.text import is_blank, normalise_newlines, strip
 # status ``too_large`` instead (no row is dropped).
 MAX_BUNDLE_BYTES = 64 * 1024 * 1024
 
+ENTRY_ARRAY = "array<struct<pos:bigint,name:string,path:string,source:string>>"
+
 
 def submission_headers(files: DataFrame) -> DataFrame:
     """(sub_id, student_id, task_id): one row per submission from per-file rows.
@@ -34,7 +36,7 @@ def _is_bundle(expected: Column) -> Column:
 
 
 def check_arity(headers: DataFrame, explicit: DataFrame, tasks: DataFrame) -> DataFrame:
-    """A1: (sub_id, task_id, expected, n_explicit, arity_ok, has_files).
+    """A1: header columns + (endpoint, expected, n_explicit, arity_ok, has_files).
 
     A bundle takes no explicit paths or exactly one per expected file; any other
     task takes at most one. ``has_files`` is false when nothing was named and
@@ -47,31 +49,54 @@ def check_arity(headers: DataFrame, explicit: DataFrame, tasks: DataFrame) -> Da
     expected = F.col("expected")
     arity_ok = (F.when(_is_bundle(expected), (n == 0) | (n == F.size(expected)))
                 .otherwise(n <= 1))
+    keep = [c for c in headers.columns]
     return (headers.join(t, "task_id", "left").join(counts, "sub_id", "left")
-            .select("sub_id", "task_id", "endpoint", "expected",
+            .select(*keep, "endpoint", "expected",
                     n.alias("n_explicit"), arity_ok.alias("arity_ok"),
                     ((n > 0) | expected.isNotNull()).alias("has_files")))
 
 
-def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "tasks") -> DataFrame:
-    """(sub_id, task_id, pos, name, path, source), the files a submission sends.
+def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "tasks",
+                  build: Column | None = None, carry: list[str] | None = None) -> DataFrame:
+    """(sub_id, task_id, [carry], pos, name, path, source): the files sent.
 
     If a submission names any paths, they replace *all* default files and pair
     with the expected names by position (their own names are ignored);
     otherwise the expected files are taken from the task folder. ``arity`` is
     the output of :func:`check_arity`.
+
+    One left join with the named paths and one ``explode``: a submission
+    without named paths comes out of the join once and expands to its default
+    files. With ``build`` (a boolean column), submissions where it is false get
+    no files but one placeholder row with null ``pos`` (so later aggregates
+    still see them without a second pass over ``arity``).
     """
-    named = (explicit.where(F.col("path").isNotNull())
-             .join(arity.select("sub_id", "task_id", "expected"), "sub_id")
-             .select("sub_id", "task_id", F.col("pos").cast("bigint").alias("pos"),
-                     F.try_element_at("expected", (F.col("pos") + 1).cast("int")).alias("name"),
-                     "path", F.lit("explicit").alias("source")))
-    defaults = (arity.where(F.col("n_explicit") == 0)
-                .select("sub_id", "task_id", F.posexplode("expected").alias("pos", "name"))
-                .select("sub_id", "task_id", F.col("pos").cast("bigint").alias("pos"), "name",
-                        F.concat_ws("/", F.lit(task_root), "task_id", "name").alias("path"),
-                        F.lit("default").alias("source")))
-    return named.unionByName(defaults)
+    carry = carry or []
+    named = explicit.where(F.col("path").isNotNull()).select(
+        F.col("sub_id").alias("_nsub"), F.col("pos").alias("_npos"), F.col("path").alias("_npath"))
+    cond = F.col("sub_id") == F.col("_nsub")
+    if build is not None:
+        cond = cond & build
+    j = arity.join(named, cond, "left").drop("_nsub")
+
+    def entry(pos, name, path, source):
+        return F.struct(pos.cast("bigint").alias("pos"), name.alias("name"),
+                        path.alias("path"), F.lit(source).alias("source"))
+
+    expected = F.col("expected")
+    from_named = F.array(entry(F.col("_npos"),
+                               F.try_element_at(expected, (F.col("_npos") + 1).cast("int")),
+                               F.col("_npath"), "explicit"))
+    from_defaults = F.transform(F.coalesce(expected, F.array().cast("array<string>")),
+                                lambda x, i: entry(i, x, F.concat_ws("/", F.lit(task_root), "task_id", x),
+                                                   "default"))
+    entries = F.when(F.col("_npath").isNotNull(), from_named).otherwise(from_defaults)
+    if build is None:
+        out = j.select("sub_id", "task_id", *carry, F.explode(entries).alias("_e"))
+    else:
+        entries = F.when(build, entries).otherwise(F.array().cast(ENTRY_ARRAY))
+        out = j.select("sub_id", "task_id", *carry, F.explode_outer(entries).alias("_e"))
+    return out.select("sub_id", "task_id", *carry, "_e.pos", "_e.name", "_e.path", "_e.source")
 
 
 def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
@@ -124,19 +149,28 @@ def assemble_bundle(files: DataFrame, max_bytes: int = MAX_BUNDLE_BYTES,
     entry = F.when(F.col("_total") <= max_bytes, F.struct("pos", "name", "content"))
     agg = sized.groupBy("sub_id").agg(F.max("_total").alias("bundle_bytes"),
                                       F.collect_list(entry).alias("_entries"))
-    solution = F.to_json(F.map_from_entries(F.transform(
-        F.sort_array("_entries"), lambda e: F.struct(e["name"], e["content"]))))
-    # a file without a name (single-file task, no default name) has no map key
-    named = F.forall("_entries", lambda e: e["name"].isNotNull())
-    solution = F.when(named, solution)
+    solution, single = bundle_solution(F.col("_entries"))
     ok = F.col("bundle_bytes") <= max_bytes
-    single = F.when(F.size("_entries") == 1, F.col("_entries")[0]["content"])
     return agg.select("sub_id", F.col("bundle_bytes").cast("bigint").alias("bundle_bytes"),
                       F.when(ok, F.lit("ok")).otherwise(F.lit("too_large")).alias("status"),
                       F.when(ok, solution).alias("solution"),
                       F.when(ok, single).alias("single_text"))
 
 
+def bundle_solution(entries: Column) -> tuple[Column, Column]:
+    """(bundle JSON, single text) from a collected array of (pos, name, content).
+
+    The JSON map keeps position order; a file without a name (single-file task
+    with no default name) has no map key, so such a list gives no bundle.
+    """
+    ordered = F.sort_array(entries)
+    solution = F.to_json(F.map_from_entries(F.transform(
+        ordered, lambda e: F.struct(e["name"], e["content"]))))
+    named = F.forall(entries, lambda e: e["name"].isNotNull())
+    single = F.when(F.size(entries) == 1, ordered[0]["content"])
+    return F.when(named, solution), single
+
+
 def request_json(student_id: Column | str, solution: Column | str) -> Column:
     """The request object; a bundle is JSON text inside a JSON string.
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehouse.functions.text import normalise_newlines
 from gatehouse.functions.verdict import classify, exit_code, parse_verdict
-from gatehouse.operators.bundle import (assemble_bundle, check_arity, request_json,
-                                        resolve_paths, submission_headers)
+from gatehouse.operators.bundle import (MAX_BUNDLE_BYTES, check_arity, request_json,
+                                        submission_headers)
 from gatehouse.operators.screen import screen
 from gatehouse.plans import fixtures as fx
 
@@ -24,22 +23,23 @@ def screen_job(spark: SparkSession, sf_dir: str) -> DataFrame:
                   fx.tasks(spark), fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL)
 
 
-def assemble_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def assemble_job(spark: SparkSession, sf_dir: str,
+                 max_bundle_bytes: int = MAX_BUNDLE_BYTES) -> DataFrame:
     """(sub_id, task_id, request) for every submission that passes the screen.
 
     A bundle task sends its files as a JSON map name -> text; any other task
     sends the one file's text. Newlines are normalised as in text-mode reads.
+    Runs on the screen's own pass (one aggregate per submission). A bundle
+    over ``max_bundle_bytes`` keeps its row with a null request.
     """
-    subs = fx.submissions(spark, sf_dir)
-    passing = screen_job(spark, sf_dir).where(F.col("reason").isNull())
-    manifest = resolve_paths(passing, fx.explicit_files(spark, sf_dir))
-    files = (manifest.join(subs.select("sub_id", "pos", "content"), ["sub_id", "pos"])
-             .select("sub_id", "pos", "name", normalise_newlines("content").alias("content")))
-    bundles = assemble_bundle(files, normalise=False)
+    s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir),
+               fx.tasks(spark), fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL,
+               collect_bundles=True, max_bundle_bytes=max_bundle_bytes)
     is_bundle = F.coalesce(F.size("expected") > 1, F.lit(False))
     solution = F.when(is_bundle, F.col("solution")).otherwise(F.col("single_text"))
-    return (passing.join(bundles, "sub_id")
-            .select("sub_id", "task_id", request_json("student_id", solution).alias("request")))
+    return (s.where(F.col("reason").isNull())
+            .select("sub_id", "task_id",
+                    F.when(solution.isNotNull(), request_json("student_id", solution)).alias("request")))
 
 
 def judge_job(spark: SparkSession, sf_dir: str) -> DataFrame:
