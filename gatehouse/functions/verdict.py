@@ -37,16 +37,18 @@ def _closes(body: Column) -> Column:
             .otherwise(F.lit(True)))
 
 
-def parse_verdict(body: Column | str) -> Column:
+def parse_verdict(body: Column | str, parsed: Column | str | None = None) -> Column:
     """struct(shape, status, message).
 
     shape is ``malformed`` (not JSON), ``unexpected`` (JSON, but not an object
     with a ``status`` of success/error and a *string* ``message``) or ``ok``.
     Extra keys are ignored and an empty message is fine; status and message
-    are null unless the shape is ok.
+    are null unless the shape is ok. ``parsed`` is ``try_parse_json(body)``
+    when the caller has already projected it (then each body is parsed once;
+    the parse is referenced several times below).
     """
     body = _col(body)
-    v = F.try_parse_json(body)
+    v = F.try_parse_json(body) if parsed is None else _col(parsed)
     status = F.try_variant_get(v, "$.status", "string")
     message_type = F.schema_of_variant(F.try_variant_get(v, "$.message", "variant"))
     ok = status.isin(*STATUSES) & (message_type == F.lit("STRING"))

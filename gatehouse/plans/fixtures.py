@@ -79,17 +79,39 @@ EXCEPTIONS = [
 DEFAULT_BASE_URL = "https://checks.invalid"
 
 
+def _value(v, dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.ArrayType):
+        if v is None:
+            return F.lit(None).cast(dtype)
+        return F.array(*[_value(x, dtype.elementType) for x in v]).cast(dtype)
+    return F.lit(v).cast(dtype)
+
+
+def literal_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small fixed table as a JVM-side literal relation.
+
+    ``createDataFrame`` on a Python list goes through Python workers at run
+    time; an inline array of literal structs is planned and run in the JVM.
+    """
+    structs = [F.struct(*[_value(v, f.dataType).alias(f.name) for v, f in zip(row, schema.fields)])
+               for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def tasks(spark: SparkSession) -> DataFrame:
     """Task dimension: a handful of rows, bounded by the course, not the data."""
-    return spark.createDataFrame(TASKS, TASK_SCHEMA)
+    return literal_table(spark, TASKS, TASK_SCHEMA)
 
 
 def kinds(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KINDS, "name string, kind string")
+    return literal_table(spark, KINDS, T.StructType([T.StructField("name", T.StringType()),
+                                                     T.StructField("kind", T.StringType())]))
 
 
 def exceptions(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXCEPTIONS, "task_id string, name string, kind string")
+    return literal_table(spark, EXCEPTIONS, T.StructType([T.StructField("task_id", T.StringType()),
+                                                          T.StructField("name", T.StringType()),
+                                                          T.StructField("kind", T.StringType())]))
 
 
 def task_of(sub_id: Column) -> Column:

@@ -88,3 +88,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = checkpoint_base(spark)
     return f"{base.rstrip('/')}/gatehouse/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system of ``path`` (any scheme)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def file_signature(spark: SparkSession, path: str) -> str:
+    """Size and modification time of a file or folder, for naming derived data."""
+    fs, p = _fs(spark, path)
+    st = fs.getContentSummary(p)
+    return f"{st.getLength()}-{fs.getFileStatus(p).getModificationTime()}"

@@ -20,7 +20,8 @@ def write_verdicts(df: DataFrame, path: str, partition_by: str = "outcome") -> N
     df.write.mode("errorifexists").partitionBy(partition_by).parquet(path)
 
 
-def write_artifacts(df: DataFrame, path: str, keys: list[str], column: str = "content") -> None:
+def write_artifacts(df: DataFrame, path: str, keys: list[str], column: str = "content",
+                    mode: str = "errorifexists") -> None:
     """Write one text file per row under ``key=value`` folders (the reverse of S1).
 
     Each file holds the row's text followed by one newline (text sink line
@@ -31,4 +32,4 @@ def write_artifacts(df: DataFrame, path: str, keys: list[str], column: str = "co
     # every core busy (AQE would coalesce small data into a few tasks)
     n = df.sparkSession.sparkContext.defaultParallelism * 2
     (df.select(*keys, column).repartition(n, *keys).sortWithinPartitions(*keys)
-     .write.mode("errorifexists").partitionBy(*keys).text(path))
+     .write.mode(mode).partitionBy(*keys).text(path))
