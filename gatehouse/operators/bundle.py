@@ -9,7 +9,7 @@ count (A1) and by a byte cap checked before anything is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatehouse.functions.text import is_blank, normalise_newlines, strip
@@ -137,24 +137,30 @@ def assemble_bundle(files: DataFrame, max_bytes: int = MAX_BUNDLE_BYTES,
     itself when the submission has exactly one file (not a bundle).
 
     Keys keep position order; a repeated name keeps its first position and
-    its last text (needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``). The total
-    size of each submission is computed first (window on the same
-    partitioning as the aggregate, so no extra shuffle) and bundles over
-    ``max_bytes`` are not collected: status ``too_large``, solution null.
+    its last text (needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).
+
+    Two steps, so no group is ever collected unchecked: per-submission byte
+    totals first (a partial aggregate, safe for a submission holding a large
+    share of all rows), then only the files of submissions under
+    ``max_bytes`` are joined back and collected (the join on ``sub_id`` is a
+    plain equi-join, split by AQE if one submission is hot). Submissions over
+    the cap keep their row: status ``too_large``, solution null.
     """
     content = normalise_newlines("content") if normalise else F.col("content")
-    sized = (files.select("sub_id", "pos", "name", content.alias("content"))
-             .withColumn("_total", F.sum(F.octet_length("content"))
-                         .over(Window.partitionBy("sub_id"))))
-    entry = F.when(F.col("_total") <= max_bytes, F.struct("pos", "name", "content"))
-    agg = sized.groupBy("sub_id").agg(F.max("_total").alias("bundle_bytes"),
-                                      F.collect_list(entry).alias("_entries"))
+    texts = files.select("sub_id", "pos", "name", content.alias("content"))
+    totals = texts.groupBy("sub_id").agg(F.sum(F.octet_length("content")).cast("bigint")
+                                         .alias("bundle_bytes"))
+    small = totals.where(F.col("bundle_bytes") <= max_bytes).select(F.col("sub_id").alias("_sid"))
+    entries = (texts.join(small, texts["sub_id"] == small["_sid"], "left_semi")
+               .groupBy("sub_id").agg(F.collect_list(F.struct("pos", "name", "content"))
+                                      .alias("_entries")))
     solution, single = bundle_solution(F.col("_entries"))
     ok = F.col("bundle_bytes") <= max_bytes
-    return agg.select("sub_id", F.col("bundle_bytes").cast("bigint").alias("bundle_bytes"),
-                      F.when(ok, F.lit("ok")).otherwise(F.lit("too_large")).alias("status"),
-                      F.when(ok, solution).alias("solution"),
-                      F.when(ok, single).alias("single_text"))
+    return (totals.join(entries, "sub_id", "left")
+            .select("sub_id", "bundle_bytes",
+                    F.when(ok, F.lit("ok")).otherwise(F.lit("too_large")).alias("status"),
+                    F.when(ok, solution).alias("solution"),
+                    F.when(ok, single).alias("single_text")))
 
 
 def bundle_solution(entries: Column) -> tuple[Column, Column]:
