@@ -194,12 +194,16 @@ def prepare_artifacts(spark, sf_dir):
     """
     import hashlib
 
-    from gatehouse.session import checkpoint_base, file_signature, path_exists
+    from gatehouse.session import checkpoint_base, file_signature, path_exists, shared_dir
     from gatehouse.sources.sinks import write_artifacts
     src = f"{sf_dir.rstrip('/')}/conversations.parquet"
-    key = hashlib.sha1(f"{src}:{file_signature(spark, src)}".encode()).hexdigest()[:16]
-    out = f"{checkpoint_base(spark).rstrip('/')}/gatehouse/artifacts-{key}"
-    if not path_exists(spark, f"{out}/_SUCCESS"):
+    try:
+        key = hashlib.sha1(f"{src}:{file_signature(spark, src)}".encode()).hexdigest()[:16]
+        out = f"{checkpoint_base(spark).rstrip('/')}/gatehouse/artifacts-{key}"
+        ready = path_exists(spark, f"{out}/_SUCCESS")
+    except Exception:  # no JVM file-system access (e.g. a remote session): no reuse
+        out, ready = shared_dir(spark, "artifacts"), False
+    if not ready:
         write_artifacts(fx.submissions(spark, sf_dir), out, ["sub_id", "pos"], mode="overwrite")
     return out
 

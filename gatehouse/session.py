@@ -68,6 +68,9 @@ def checkpoint_base(spark: SparkSession) -> str:
     Only when the session names none (local tests) do we make one under the
     system temp folder and register it with ``setCheckpointDir``.
     """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base:
+        return base
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None)
     if base:
