@@ -42,17 +42,24 @@ def assemble_job(spark: SparkSession, sf_dir: str,
                     F.when(solution.isNotNull(), request_json("student_id", solution)).alias("request")))
 
 
-def judge_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(sub_id, shape, status, message, outcome, exit_code) per service response."""
-    r = fx.responses(spark, sf_dir)
-    # one projection per step: the parsed body and the verdict are each used
-    # several times, and Catalyst does not merge a projection that would
-    # repeat a non-trivial expression, so each body is parsed once
-    parsed = r.select("sub_id", "http_status", "transport_error", "body",
-                      F.try_parse_json("body").alias("_v"))
+def judge(responses: DataFrame) -> DataFrame:
+    """X1-X3 over (sub_id, http_status, transport_error, body) rows.
+
+    Stateless, so the same plan runs on a batch frame or a ``readStream``
+    frame. One projection per step: the parsed body and the verdict are each
+    used several times, and Catalyst does not merge a projection that would
+    repeat a non-trivial expression, so each body is parsed once.
+    """
+    parsed = responses.select("sub_id", "http_status", "transport_error", "body",
+                              F.try_parse_json("body").alias("_v"))
     verdicts = parsed.select("sub_id", "http_status", "transport_error",
                              parse_verdict("body", parsed="_v").alias("v"))
     return (verdicts.select("sub_id", "v", classify("http_status", "transport_error", F.col("v"))
                             .alias("outcome"))
             .select("sub_id", "v.shape", "v.status", "v.message", "outcome",
                     exit_code("outcome").cast("bigint").alias("exit_code")))
+
+
+def judge_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(sub_id, shape, status, message, outcome, exit_code) per service response."""
+    return judge(fx.responses(spark, sf_dir))

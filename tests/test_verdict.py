@@ -76,3 +76,26 @@ def test_status_and_message_only_when_ok(spark):
     got = df.select(parse_verdict("b").alias("v")).select("v.*").collect()
     assert tuple(got[0]) == ("ok", "error", "why")
     assert tuple(got[1]) == ("unexpected", None, None)
+
+
+def test_judge_runs_unchanged_on_a_stream(spark, tmp_dir):
+    import os
+
+    from gatehouse.plans import fixtures as fx
+    from gatehouse.plans.jobs import judge, judge_job
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver test data not present")
+    src = os.path.join(tmp_dir, "responses")
+    fx.responses(spark, sf).write.parquet(src)
+    stream = spark.readStream.schema(spark.read.parquet(src).schema).parquet(src)
+    sink, ck = os.path.join(tmp_dir, "verdicts"), os.path.join(tmp_dir, "ck")
+    q = (judge(stream).writeStream.format("parquet").option("path", sink)
+         .option("checkpointLocation", ck).partitionBy("outcome")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.parquet(sink).select("sub_id", "outcome", "message", "exit_code")
+    want = judge_job(spark, sf).select("sub_id", "outcome", "message", "exit_code")
+    assert got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
