@@ -42,7 +42,7 @@ except Exception:  # pragma: no cover - older cloudpickle: ship the package inst
 MATCH_SCHEMA = "req_id bigint, {key} bigint, resp_id bigint, delay_us bigint"
 STATE_SCHEMA = ("q_id array<bigint>, q_key array<bigint>, q_us array<bigint>, "
                 "r_id array<bigint>, r_key array<bigint>, r_us array<bigint>")
-DEFAULT_SHARDS = 64
+SHARDS_PER_PARTITION = 4
 
 
 def match_final(q: pd.DataFrame, r: pd.DataFrame, limit_us: int) -> pd.DataFrame:
@@ -76,14 +76,22 @@ def _frame(ids, keys, us) -> pd.DataFrame:
 
 def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
                         delay: str = "10 minutes", ts: str = "ts", id_col: str = "event_id",
-                        shards: int = DEFAULT_SHARDS) -> DataFrame:
+                        shards: int | None = None) -> DataFrame:
     """Streaming (req_id, <key>, resp_id, delay_us); one row per request.
 
     ``requests`` and ``responses`` are streaming frames with ``id_col``, ``key``
     (bigint) and ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
     ``delay`` is the watermark delay: how late a row may arrive and count.
+
+    ``shards``: number of state groups. Each holds the events of its keys in
+    the last ``limit + delay`` of event time, so it should grow with the
+    stream's rate; by default four per shuffle partition (a setting sized to
+    the cluster and data), so a larger cluster gets smaller state rows.
     """
     limit_us = int(round(seconds * MICROS))
+    if shards is None:
+        parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        shards = max(1, parts * SHARDS_PER_PARTITION)
 
     def side(df: DataFrame, kind: int) -> DataFrame:
         return df.select(F.col(key).cast("bigint").alias("key"), F.col(id_col).alias("id"),
