@@ -163,6 +163,24 @@ def assemble_bundle(files: DataFrame, max_bytes: int = MAX_BUNDLE_BYTES,
                     F.when(ok, single).alias("single_text")))
 
 
+def json_string(c: Column) -> Column:
+    """A string as a JSON string literal (quotes and escapes, UTF-8 kept)."""
+    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]\z", "")
+
+
+def python_json_object(m: Column) -> Column:
+    """A string -> string map as JSON text with Python's default separators.
+
+    ``json.dumps(d, ensure_ascii=False)`` writes ``{"a": "x", "b": "y"}``: a
+    blank after each comma and colon, keys in insertion order, non-ASCII as
+    is. The request carries this text inside a string, so it is built with the
+    same separators rather than Spark's compact form.
+    """
+    pairs = F.transform(F.map_entries(m),
+                        lambda e: F.concat(json_string(e["key"]), F.lit(": "), json_string(e["value"])))
+    return F.concat(F.lit("{"), F.array_join(pairs, ", "), F.lit("}"))
+
+
 def bundle_solution(entries: Column) -> tuple[Column, Column]:
     """(bundle JSON, single text) from a collected array of (pos, name, content).
 
@@ -170,8 +188,8 @@ def bundle_solution(entries: Column) -> tuple[Column, Column]:
     with no default name) has no map key, so such a list gives no bundle.
     """
     ordered = F.sort_array(entries)
-    solution = F.to_json(F.map_from_entries(F.transform(
-        ordered, lambda e: F.struct(e["name"], e["content"]))))
+    as_map = F.map_from_entries(F.transform(ordered, lambda e: F.struct(e["name"], e["content"])))
+    solution = python_json_object(as_map)
     named = F.forall(entries, lambda e: e["name"].isNotNull())
     single = F.when(F.size(entries) == 1, ordered[0]["content"])
     return F.when(named, solution), single

@@ -170,7 +170,7 @@ SUB_VIEWS = ["endpoints_v", "tasks_v", "submissions_v", "explicit_v"]
 
 BUNDLE_SQL = ("bundles", """
 select sub_id, cast(sum(strlen(c)) as bigint) as bundle_bytes,
-  '{' || string_agg(cast(to_json(name) as varchar) || ':' || cast(to_json(c) as varchar), ','
+  '{' || string_agg(cast(to_json(name) as varchar) || ': ' || cast(to_json(c) as varchar), ', '
                     order by pos) || '}' as solution
 from (select sub_id, pos, name, regexp_replace(content, '\\r\\n?', chr(10), 'g') as c
       from submissions_v) group by sub_id""")
@@ -217,7 +217,7 @@ select m.sub_id, m.pos, m.name, regexp_replace(s.content, '\\r\\n?', chr(10), 'g
 from manifest m join submissions_v s on s.sub_id = m.sub_id and s.pos = m.pos"""), ("sendable", """
 select sc.sub_id, sc.task_id, sc.student_id,
   case when len(sc.expected) > 1
-       then '{' || string_agg(cast(to_json(f.name) as varchar) || ':' || cast(to_json(f.c) as varchar), ','
+       then '{' || string_agg(cast(to_json(f.name) as varchar) || ': ' || cast(to_json(f.c) as varchar), ', '
                               order by f.pos) || '}'
        else max(f.c) end as solution
 from screened sc join sent_files f on f.sub_id = sc.sub_id

@@ -70,7 +70,8 @@ def test_bundle_order_and_repeated_name(spark):
         "sub_id bigint, pos bigint, name string, content string")
     got = {r.sub_id: r for r in assemble_bundle(files).collect()}
     # like dict(zip(names, texts)): first position of a name, last text
-    assert got[1].solution == json.dumps({"a": "A2", "b": "B"}, separators=(",", ":"))
+    # byte-equal to the client's json.dumps(dict(zip(names, texts)), ensure_ascii=False)
+    assert got[1].solution == json.dumps({"a": "A2", "b": "B"}, ensure_ascii=False)
     assert list(json.loads(got[1].solution)) == ["a", "b"]
     assert got[1].status == "ok" and got[1].single_text is None
     assert got[2].single_text == "text"
@@ -80,7 +81,7 @@ def test_bundle_too_large_is_kept_not_dropped(spark):
     files = spark.createDataFrame([(1, 0, "a", "x" * 100), (2, 0, "a", "y")],
                                   "sub_id bigint, pos bigint, name string, content string")
     got = {r.sub_id: (r.status, r.solution, r.bundle_bytes) for r in assemble_bundle(files, max_bytes=10).collect()}
-    assert got == {1: ("too_large", None, 100), 2: ("ok", '{"a":"y"}', 1)}
+    assert got == {1: ("too_large", None, 100), 2: ("ok", '{"a": "y"}', 1)}
 
 
 def test_request_json(spark):
@@ -126,3 +127,11 @@ def test_headers_one_row_per_submission(spark):
     files = spark.createDataFrame([(1, "u", "t", 0), (1, "u", "t", 1), (2, "v", "t", 0)],
                                   "sub_id bigint, student_id string, task_id string, pos bigint")
     assert submission_headers(files).count() == 2
+
+
+def test_bundle_text_matches_python_json(spark):
+    texts = ['é "q" \\ back', "tab\tnl\nx", "emoji 😀 ok", "", "/slash"]
+    files = spark.createDataFrame([(1, i, f"n{i}.py", t) for i, t in enumerate(texts)],
+                                  "sub_id bigint, pos bigint, name string, content string")
+    got = assemble_bundle(files, normalise=False).first().solution
+    assert got == json.dumps({f"n{i}.py": t for i, t in enumerate(texts)}, ensure_ascii=False)
