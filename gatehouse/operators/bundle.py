@@ -163,9 +163,24 @@ def assemble_bundle(files: DataFrame, max_bytes: int = MAX_BUNDLE_BYTES,
                     F.when(ok, single).alias("single_text")))
 
 
+# Control characters Spark escapes as \uXXXX with upper-case hex digits,
+# where Python writes lower case (all others get the same escape in both).
+_UPPER_HEX_CONTROLS = ["000B", "000E", "000F", "001A", "001B", "001C", "001D", "001E", "001F"]
+
+
 def json_string(c: Column) -> Column:
-    """A string as a JSON string literal (quotes and escapes, UTF-8 kept)."""
-    return F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]\z", "")
+    """A string as a JSON string literal, escaped as Python's ``json.dumps``.
+
+    Quotes, backslashes and control characters are escaped, non-ASCII is kept.
+    The few escapes whose hex case differs are rewritten, only in texts that
+    contain such a character; the look-behind skips an escaped backslash
+    followed by the letters of an escape.
+    """
+    text = F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]\z", "")
+    fixed = text
+    for code in _UPPER_HEX_CONTROLS:
+        fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*)\\u" + code, r"$1\\u" + code.lower())
+    return F.when(c.rlike("[\x0b\x0e\x0f\x1a-\x1f]"), fixed).otherwise(text)
 
 
 def python_json_object(m: Column) -> Column:

@@ -2,6 +2,8 @@
 
 import json
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from gatehouse.operators import (artifact_kind, assemble_bundle, check_arity, first_failure,
@@ -135,3 +137,14 @@ def test_bundle_text_matches_python_json(spark):
                                   "sub_id bigint, pos bigint, name string, content string")
     got = assemble_bundle(files, normalise=False).first().solution
     assert got == json.dumps({f"n{i}.py": t for i, t in enumerate(texts)}, ensure_ascii=False)
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(
+    ["a", "é", "😀", "\\", '"', "/", "u", "0", "1", "F", "\n", "\t", "\r", "\b", "\f"]
+    + [chr(c) for c in range(0, 32)] + ["\x7f", "\u2028"]), max_size=15), min_size=1, max_size=6))
+def test_json_string_matches_python(spark, texts):
+    from gatehouse.operators.bundle import json_string
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [r[0] for r in df.select(json_string(F.col("v"))).collect()]
+    assert got == [json.dumps(t, ensure_ascii=False) for t in texts]
