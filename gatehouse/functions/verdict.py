@@ -22,19 +22,36 @@ _JSON_WS_END = r"[ \t\n\r]+\z"
 _JSON_WS_START = r"^[ \t\n\r]+"
 
 
-def _closes(body: Column) -> Column:
-    """False when text follows a complete JSON object or array.
+# JSON string literal, escapes included
+_JSON_STRING = r'"(?:[^"\\]|\\.)*"'
+
+
+def _single_value(body: Column) -> Column:
+    """False when text follows the first complete JSON value.
 
     Spark's JSON parser stops after the first value and ignores the rest; a
-    strict parser rejects it. The check compares the first and last non-blank
-    characters, which catches trailing text after an object or array (the only
-    containers a verdict can be). Two values back to back ("{} {}") still pass.
+    strict parser rejects it. With string literals removed, a body that starts
+    with an object or array must end with the matching bracket (this catches
+    ``{} x``), and its brackets may return to depth zero only once (this
+    catches a second value, ``{} {}``): a fold over the bracket characters,
+    run only for bodies with more than one opening bracket.
     """
     text = F.regexp_replace(F.regexp_replace(body, _JSON_WS_END, ""), _JSON_WS_START, "")
     first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
-    return (F.when(first == "{", last == "}")
-            .when(first == "[", last == "]")
-            .otherwise(F.lit(True)))
+    brackets = F.regexp_replace(F.regexp_replace(text, _JSON_STRING, ""), r"[^\[\]{}]", "")
+    closes = F.aggregate(
+        F.split(brackets, ""), F.struct(F.lit(0).alias("d"), F.lit(0).alias("z")),
+        lambda acc, ch: F.struct(
+            (acc["d"] + F.when(ch.isin("{", "["), 1).otherwise(-1)).alias("d"),
+            (acc["z"] + F.when(acc["d"] + F.when(ch.isin("{", "["), 1).otherwise(-1) == 0, 1)
+             .otherwise(0)).alias("z")))["z"]
+    container = first.isin("{", "[")
+    matching = F.when(first == "{", last == "}").otherwise(last == "]")
+    # one opening bracket (a flat object, the usual verdict) cannot hold a
+    # second value once the last character matches: skip the fold
+    openers = F.length(F.regexp_replace(brackets, r"[\]}]", ""))
+    single = F.when(openers <= 1, F.lit(True)).otherwise(closes == 1)
+    return F.when(container, matching & single).otherwise(F.lit(True))
 
 
 def parse_verdict(body: Column | str, parsed: Column | str | None = None) -> Column:
@@ -52,7 +69,7 @@ def parse_verdict(body: Column | str, parsed: Column | str | None = None) -> Col
     status = F.try_variant_get(v, "$.status", "string")
     message_type = F.schema_of_variant(F.try_variant_get(v, "$.message", "variant"))
     ok = status.isin(*STATUSES) & (message_type == F.lit("STRING"))
-    shape = (F.when(v.isNull() | ~_closes(body), F.lit("malformed"))
+    shape = (F.when(v.isNull() | ~_single_value(body), F.lit("malformed"))
              .when(F.coalesce(ok, F.lit(False)), F.lit("ok"))
              .otherwise(F.lit("unexpected")))
     is_ok = shape == F.lit("ok")

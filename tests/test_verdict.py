@@ -29,11 +29,19 @@ BODIES = [
     ' \n{"status":"success","message":"m"}\n ',
     "{'status':'success','message':'m'}",
 ]
-# Documented differences: Python reads NaN/Infinity (not JSON) and rejects a
-# second value after the first; we call NaN malformed, and only catch text
-# after a value that does not end the way the value began.
-KNOWN = {'{"status":"success","message":"m","n":NaN}': "malformed",
-         '{"status":"success","message":"m"} x': "malformed"}
+# Text after the first value: malformed, as in Python.
+TRAILING = ['{"status":"success","message":"m"} x', '{"status":"success","message":"m"} {}',
+            '{"status":"success","message":"m"}[1]', '[1] [2]', '{} {"a": 1}',
+            '{"status":"success","message":"}{"}', '{"status":"success","message":"\\"}{"}',
+            '{"status":"success","message":"a\\\\"} ', '{"status":"success","message":"[{"}']
+# Documented difference: Python reads NaN/Infinity, which are not JSON.
+KNOWN = {'{"status":"success","message":"m","n":NaN}': "malformed"}
+
+
+@pytest.mark.parametrize("body", TRAILING)
+def test_text_after_value_like_json_module(spark, body):
+    df = spark.createDataFrame([(body,)], "b string")
+    assert df.select(parse_verdict("b")["shape"]).first()[0] == stdlib_shape(body)
 
 
 def test_count():
