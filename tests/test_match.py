@@ -4,7 +4,6 @@ import datetime as dt
 import os
 import random
 
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 

@@ -4,7 +4,6 @@ import string
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from gatehouse.functions.text import (is_blank, normalise_newlines, placeholder_flags,
                                       rstrip_slash, strip)

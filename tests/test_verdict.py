@@ -3,7 +3,6 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from gatehouse.functions.verdict import classify, exit_code, parse_verdict
 
