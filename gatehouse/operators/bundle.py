@@ -99,21 +99,28 @@ def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "tasks
     return out.select("sub_id", "task_id", *carry, "_e.pos", "_e.name", "_e.path", "_e.source")
 
 
-def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str]) -> DataFrame:
+def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str],
+              with_content: bool = False) -> DataFrame:
     """Every expected file with its read state, in manifest order.
 
     ``files`` carries ``content`` and ``readable``; a manifest row without a
     file row is ``missing_or_empty`` (a zero-byte file yields no row in a
     file scan, so missing and empty cannot be told apart). Then
     ``unreadable`` (not UTF-8), ``blank`` (white space only) and ``ok``.
+
+    The blank check runs on the file side before the join, so only two flags
+    per file cross the shuffle; the text itself is carried only with
+    ``with_content`` (for assembling bundles).
     """
-    f = files.select(*keys, "content", F.col("readable").alias("_readable"))
-    j = manifest.join(f, keys, "left")
+    cols = [*keys, F.col("readable").alias("_readable"), is_blank("content").alias("_blank")]
+    if with_content:
+        cols.append("content")
+    j = manifest.join(files.select(*cols), keys, "left")
     state = (F.when(F.col("_readable").isNull(), F.lit("missing_or_empty"))
              .when(~F.col("_readable"), F.lit("unreadable"))
-             .when(is_blank("content"), F.lit("blank"))
+             .when(F.col("_blank"), F.lit("blank"))
              .otherwise(F.lit("ok")))
-    return j.withColumn("state", state).drop("_readable")
+    return j.withColumn("state", state).drop("_readable", "_blank")
 
 
 def first_failure(reconciled: DataFrame) -> DataFrame:

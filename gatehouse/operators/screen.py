@@ -62,7 +62,7 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
 
     if contents is None:
         contents = files.select("sub_id", "pos", "content", F.lit(True).alias("readable"))
-    rows = reconcile(manifest, contents, ["sub_id", "pos"])
+    rows = reconcile(manifest, contents, ["sub_id", "pos"], with_content=collect_bundles)
     state = F.when(F.col("pos").isNotNull(), F.col("state"))   # placeholder rows: no file
     bad = F.when(state != "ok", F.struct("pos", "name", state.alias("state")))
     aggs = [F.max("task_id").alias("task_id"), F.max("student_id").alias("student_id"),
