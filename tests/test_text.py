@@ -60,3 +60,12 @@ def test_stays_in_codegen(spark):
     df = spark.createDataFrame([(string.ascii_letters,)], "v string")
     plan = df.select(strip("v"), is_blank("v"))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(PY_SPACE + list("ab/\r\n")), max_size=12),
+                min_size=1, max_size=20))
+def test_rules_are_idempotent(spark, values):
+    for rule in (strip, rstrip_slash, normalise_newlines):
+        once = _one(spark, rule("v"), values)
+        assert _one(spark, rule(rule("v")), values) == once
