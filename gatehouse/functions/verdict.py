@@ -17,9 +17,6 @@ from gatehouse.functions.text import _col
 STATUSES = ("success", "error")
 OUTCOMES = ("http_error", "unreachable", "malformed", "unexpected", "error", "success")
 
-# JSON white space (RFC 8259): blank, tab, LF, CR.
-_JSON_WS_END = r"[ \t\n\r]+\z"
-_JSON_WS_START = r"^[ \t\n\r]+"
 
 
 # JSON string literal, escapes included
@@ -30,14 +27,18 @@ def _single_value(body: Column) -> Column:
     """False when text follows the first complete JSON value.
 
     Spark's JSON parser stops after the first value and ignores the rest; a
-    strict parser rejects it. With string literals removed, a body that starts
-    with an object or array must end with the matching bracket (this catches
-    ``{} x``), and its brackets may return to depth zero only once (this
-    catches a second value, ``{} {}``): a fold over the bracket characters,
-    run only for bodies with more than one opening bracket.
+    strict parser rejects it. A body that starts with an object or array must
+    end with the matching bracket (this catches ``{} x``). A second value
+    (``{} {}``) needs a second opening bracket somewhere in the text, so only
+    bodies with more than one are checked further: with string literals
+    removed, the brackets may return to depth zero only once (a fold over the
+    bracket characters). Flat objects, the usual verdict, take the cheap path.
     """
-    text = F.regexp_replace(F.regexp_replace(body, _JSON_WS_END, ""), _JSON_WS_START, "")
+    text = F.btrim(body, F.lit(" \t\n\r"))
     first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    container = first.isin("{", "[")
+    matching = F.when(first == "{", last == "}").otherwise(last == "]")
+    openers = F.length(text) - F.length(F.translate(text, "{[", ""))
     brackets = F.regexp_replace(F.regexp_replace(text, _JSON_STRING, ""), r"[^\[\]{}]", "")
     closes = F.aggregate(
         F.split(brackets, ""), F.struct(F.lit(0).alias("d"), F.lit(0).alias("z")),
@@ -45,11 +46,6 @@ def _single_value(body: Column) -> Column:
             (acc["d"] + F.when(ch.isin("{", "["), 1).otherwise(-1)).alias("d"),
             (acc["z"] + F.when(acc["d"] + F.when(ch.isin("{", "["), 1).otherwise(-1) == 0, 1)
              .otherwise(0)).alias("z")))["z"]
-    container = first.isin("{", "[")
-    matching = F.when(first == "{", last == "}").otherwise(last == "]")
-    # one opening bracket (a flat object, the usual verdict) cannot hold a
-    # second value once the last character matches: skip the fold
-    openers = F.length(F.regexp_replace(brackets, r"[\]}]", ""))
     single = F.when(openers <= 1, F.lit(True)).otherwise(closes == 1)
     return F.when(container, matching & single).otherwise(F.lit(True))
 
