@@ -9,13 +9,14 @@ from gatehouse.functions.text import _col, rstrip_slash, strip
 
 # Fixed value: the accepted shape of a base address. Scheme http or https in
 # any case; optional *empty* user info ("@" or ":@" -- an empty user name or
-# password is allowed, a non-empty one is not); a bracketed IP literal or a
-# host without blanks or delimiters; an optional port of up to five digits
-# (may be empty); an optional path; no query and no fragment, though a bare
-# trailing "?" or "#" (empty query / fragment) is allowed.
+# password is allowed, a non-empty one is not); a bracketed IPv6 literal (it
+# must contain a colon: a bracketed IPv4 address is refused) or a host
+# without blanks or delimiters; an optional port of ASCII digits (may be
+# empty, leading zeros allowed); an optional path; no query and no fragment,
+# though a bare trailing "?" or "#" (empty query / fragment) is allowed.
 BASE_URL_PATTERN = (
-    r"^(?i:https?)://(:?@)?(\[[0-9a-fA-F:.]+\]|[^\s/?#@:\[\]]+)"
-    r"(:[0-9]{0,5})?(/[^?#]*)?[?]?#?$"
+    r"^(?i:https?)://(:?@)?(\[[0-9a-fA-F.]*:[0-9a-fA-F:.]*\]|[^\s/?#@:\[\]]+)"
+    r"(:[0-9]*)?(/[^?#]*)?[?]?#?$"
 )
 MAX_PORT = 65535
 
@@ -27,8 +28,8 @@ def valid_base_url(c: Column | str, normalised: bool = False) -> Column:
     slashes dropped (P2), as the client does before checking it.
     """
     url = _col(c) if normalised else rstrip_slash(strip(c))
-    port = F.regexp_extract(url, BASE_URL_PATTERN, 3)
-    port_ok = (F.length(port) <= 1) | (F.substring(port, 2, 5).cast("int") <= MAX_PORT)
+    port = F.regexp_replace(F.regexp_extract(url, BASE_URL_PATTERN, 3), "^:0*", "")
+    port_ok = (F.length(port) == 0) | ((F.length(port) <= 5) & (port.try_cast("int") <= MAX_PORT))
     return F.coalesce(url.rlike(BASE_URL_PATTERN) & port_ok, F.lit(False))
 
 

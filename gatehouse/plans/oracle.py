@@ -30,9 +30,9 @@ def base_sql(x: str) -> str:
 
 
 def valid_sql(b: str) -> str:
-    port = f"regexp_extract({b}, {_q(BASE_URL_PATTERN)}, 3)"
+    port = f"regexp_replace(regexp_extract({b}, {_q(BASE_URL_PATTERN)}, 3), '^:0*', '')"
     return (f"coalesce(regexp_matches({b}, {_q(BASE_URL_PATTERN)}) and "
-            f"(length({port}) <= 1 or try_cast(substr({port}, 2, 5) as integer) <= {MAX_PORT}), false)")
+            f"(length({port}) = 0 or (length({port}) <= 5 and try_cast({port} as integer) <= {MAX_PORT})), false)")
 
 
 def blank_sql(x: str) -> str:

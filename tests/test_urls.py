@@ -36,10 +36,20 @@ CASES = [
 STRICTER = {"http://a b.example", "ht\ntp://a.example"}
 
 
+MORE = ["http://a.example:000080", "http://a.example:00000", "http://a.example:0065536",
+        "http://[1.2.3.4]", "http://[::ffff:1.2.3.4]:8080", "http://a.example:٣"]
+
+
 def test_count():
     assert len(CASES) == 38
 
 
+@pytest.mark.parametrize("raw", MORE)
+def test_ports_and_literals_match_stdlib(spark, raw):
+    df = spark.createDataFrame([(raw,)], "v string")
+    assert df.select(valid_base_url("v")).first()[0] == stdlib_valid(raw)
+
+
 @pytest.mark.parametrize("raw", CASES)
 def test_matches_stdlib(spark, raw):
     df = spark.createDataFrame([(raw,)], "v string")
