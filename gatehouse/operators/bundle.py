@@ -115,7 +115,12 @@ def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str],
     cols = [*keys, F.col("readable").alias("_readable"), is_blank("content").alias("_blank")]
     if with_content:
         cols.append("content")
-    j = manifest.join(files.select(*cols), keys, "left")
+    # match the key types of the files side (partition columns read from
+    # key=value folders are inferred as int or bigint), leaving them uncast
+    types = dict(files.dtypes)
+    m = manifest.select(*[F.col(c).cast(types[c]).alias(c) if c in keys and types.get(c) else F.col(c)
+                          for c in manifest.columns])
+    j = m.join(files.select(*cols), keys, "left")
     state = (F.when(F.col("_readable").isNull(), F.lit("missing_or_empty"))
              .when(~F.col("_readable"), F.lit("unreadable"))
              .when(F.col("_blank"), F.lit("blank"))

@@ -217,6 +217,22 @@ def s1_read_artifacts(spark, sf_dir):
                     is_blank("content").alias("blank"))
 
 
+def x4_screen_files(spark, sf_dir):
+    """X4 reading the submission files from storage (S1) instead of a table.
+
+    The client's own flow: files on storage, read whole and strictly decoded,
+    then screened. Per file only (keys, readable, blank) reach the join with
+    the manifest; the text stays on the scan side.
+    """
+    from gatehouse.operators.screen import screen
+    from gatehouse.sources.artifacts import read_artifacts
+    files = read_artifacts(spark, prepare_artifacts(spark, sf_dir)).select(
+        "sub_id", "pos", "content", "readable")
+    s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir), fx.tasks(spark),
+               fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL, contents=files)
+    return s.select("sub_id", "task_id", "base_url", "reason", "fail_pos")
+
+
 def s3_write_requests(spark, sf_dir):
     """Assembled requests written as JSON Lines, then read back."""
     from gatehouse.session import shared_dir
@@ -263,5 +279,6 @@ def t1_match_within_stream(spark, sf_dir):
 
 
 QUERIES.update({f.__name__: _guarded(f) for f in [
-    s1_read_artifacts, s3_write_requests, s4_write_verdicts, t1_match_within_stream,
+    s1_read_artifacts, x4_screen_files, s3_write_requests, s4_write_verdicts, t1_match_within_stream,
 ]})
+PREPARE["x4_screen_files"] = PREPARE["s1_read_artifacts"]

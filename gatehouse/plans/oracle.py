@@ -296,6 +296,8 @@ def oracle_sql() -> dict[str, str]:
         ARITY_CTES + [manifest_cte("arity")] + RECONCILE_CTES)
     s["a2_assemble_bundle"] = with_views(
         ["submissions_v"], "select sub_id, bundle_bytes, 'ok' as status, solution from bundles", [BUNDLE_SQL])
+    s["x4_screen_files"] = with_views(
+        SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
     s["x4_screen"] = with_views(
         SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
     s["p6_request_json"] = with_views(SUB_VIEWS, "select sub_id, task_id, request from requests", REQUEST_CTES)
