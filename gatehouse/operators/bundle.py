@@ -153,26 +153,28 @@ def assemble_bundle(files: DataFrame, max_bytes: int = MAX_BUNDLE_BYTES,
 
     Two steps, so no group is ever collected unchecked: per-submission byte
     totals first (a partial aggregate, safe for a submission holding a large
-    share of all rows), then only the files of submissions under
-    ``max_bytes`` are joined back and collected (the join on ``sub_id`` is a
-    plain equi-join, split by AQE if one submission is hot). Submissions over
-    the cap keep their row: status ``too_large``, solution null.
+    share of all rows), joined back to the files (one row per submission on
+    that side: broadcast when small, else a sort-merge join that AQE may
+    split if skewed); then one aggregate collects only entries of
+    submissions under ``max_bytes`` -- already in its map-side partial step,
+    so an oversized submission's text never crosses the shuffle.
+    Submissions over the cap keep their row: status ``too_large``, solution
+    null.
     """
     content = normalise_newlines("content") if normalise else F.col("content")
     texts = files.select("sub_id", "pos", "name", content.alias("content"))
     totals = texts.groupBy("sub_id").agg(F.sum(F.octet_length("content")).cast("bigint")
                                          .alias("bundle_bytes"))
-    small = totals.where(F.col("bundle_bytes") <= max_bytes).select(F.col("sub_id").alias("_sid"))
-    entries = (texts.join(small, texts["sub_id"] == small["_sid"], "left_semi")
-               .groupBy("sub_id").agg(F.collect_list(F.struct("pos", "name", "content"))
-                                      .alias("_entries")))
+    sized = texts.join(totals, "sub_id")
+    entry = F.when(F.col("bundle_bytes") <= max_bytes, F.struct("pos", "name", "content"))
+    agg = sized.groupBy("sub_id").agg(F.max("bundle_bytes").alias("bundle_bytes"),
+                                      F.collect_list(entry).alias("_entries"))
     solution, single = bundle_solution(F.col("_entries"))
     ok = F.col("bundle_bytes") <= max_bytes
-    return (totals.join(entries, "sub_id", "left")
-            .select("sub_id", "bundle_bytes",
-                    F.when(ok, F.lit("ok")).otherwise(F.lit("too_large")).alias("status"),
-                    F.when(ok, solution).alias("solution"),
-                    F.when(ok, single).alias("single_text")))
+    return agg.select("sub_id", "bundle_bytes",
+                      F.when(ok, F.lit("ok")).otherwise(F.lit("too_large")).alias("status"),
+                      F.when(ok, solution).alias("solution"),
+                      F.when(ok, single).alias("single_text"))
 
 
 # Control characters Spark escapes as \uXXXX with upper-case hex digits,
