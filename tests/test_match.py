@@ -101,3 +101,32 @@ def test_stream_batches_and_late_rows(spark, tmp_dir):
     # 1 -> 2 (2 min); 3 unanswered (view 5 is 29 min later); 4 -> 6 (1 min);
     # 7 final once the watermark passed 40 + 5 min; 9 still waiting in state
     assert got == {1: (2, 120_000_000), 3: (None, None), 4: (6, 60_000_000), 7: (None, None)}
+
+
+def test_stream_request_after_its_response(spark, tmp_dir):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from gatehouse.streaming import match_within_stream
+
+    src, sink, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    os.makedirs(src)
+    m = dt.timedelta(minutes=1)
+    schema = "event_id bigint, user_id bigint, ts timestamp, event_type string"
+    ev = spark.readStream.schema(schema).parquet(src)
+    out = match_within_stream(ev.where(F.col("event_type") == "click").drop("event_type"),
+                              ev.where(F.col("event_type") == "view").drop("event_type"),
+                              "user_id", 300, delay="10 minutes", shards=3)
+    run_ = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+            .outputMode("append").trigger(availableNow=True))
+    batches = [
+        [(1, 5, T0 + 2 * m, "view"), (2, 9, T0 + 5 * m, "click")],
+        [(3, 5, T0 + 1 * m, "click")],               # arrives after its answer, within the delay
+        [(4, 7, T0 + 60 * m, "click")],              # moves the watermark past both deadlines
+    ]
+    for i, rows in enumerate(batches):
+        pd.DataFrame(rows, columns=["event_id", "user_id", "ts", "event_type"]).to_parquet(
+            os.path.join(src, f"b{i}.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
+        run_.start().awaitTermination()
+    got = {x.req_id: (x.resp_id, x.delay_us) for x in spark.read.parquet(sink).collect()}
+    assert got == {3: (1, 60_000_000), 2: (None, None)}
