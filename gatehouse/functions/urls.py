@@ -7,15 +7,38 @@ from pyspark.sql import functions as F
 
 from gatehouse.functions.text import _col, rstrip_slash, strip
 
+# The IPv6 address grammar of RFC 3986 (section 3.2.2), which is
+# also what Python's ipaddress accepts: 16-bit groups of 1-4 hex digits, "::"
+# standing for at least one zero group, and an optional dotted IPv4 tail whose
+# octets have no leading zeros. Non-capturing groups only.
+_H16 = r"[0-9a-fA-F]{1,4}"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_IPV4 = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+_LS32 = rf"(?:{_H16}:{_H16}|{_IPV4})"
+IPV6_PATTERN = "(?:" + "|".join([
+    rf"(?:{_H16}:){{6}}{_LS32}",
+    rf"::(?:{_H16}:){{5}}{_LS32}",
+    rf"(?:{_H16})?::(?:{_H16}:){{4}}{_LS32}",
+    rf"(?:(?:{_H16}:){{0,1}}{_H16})?::(?:{_H16}:){{3}}{_LS32}",
+    rf"(?:(?:{_H16}:){{0,2}}{_H16})?::(?:{_H16}:){{2}}{_LS32}",
+    rf"(?:(?:{_H16}:){{0,3}}{_H16})?::{_H16}:{_LS32}",
+    rf"(?:(?:{_H16}:){{0,4}}{_H16})?::{_LS32}",
+    rf"(?:(?:{_H16}:){{0,5}}{_H16})?::{_H16}",
+    rf"(?:(?:{_H16}:){{0,6}}{_H16})?::",
+]) + ")"
+# A bracketed host: an IPv6 address with an optional zone ("%eth0"), or the
+# "future" form v<hex>.<text> (lower-case v, checked before any case folding).
+BRACKETED_HOST = rf"\[(?:{IPV6_PATTERN}(?:%[^%/\]]+)?|v[0-9a-fA-F]+\.[^\]]+)\]"
+
 # Fixed value: the accepted shape of a base address. Scheme http or https in
 # any case; optional *empty* user info ("@" or ":@" -- an empty user name or
-# password is allowed, a non-empty one is not); a bracketed IPv6 literal (it
-# must contain a colon: a bracketed IPv4 address is refused) or a host
-# without blanks or delimiters; an optional port of ASCII digits (may be
-# empty, leading zeros allowed); an optional path; no query and no fragment,
-# though a bare trailing "?" or "#" (empty query / fragment) is allowed.
+# password is allowed, a non-empty one is not); a bracketed IP literal (above)
+# or a host without blanks or delimiters; an optional port of ASCII digits
+# (may be empty, leading zeros allowed); an optional path; no query and no
+# fragment, though a bare trailing "?" or "#" (empty query / fragment) is
+# allowed. Group 3 is the port.
 BASE_URL_PATTERN = (
-    r"^(?i:https?)://(:?@)?(\[[0-9a-fA-F.]*:[0-9a-fA-F:.]*\]|[^\s/?#@:\[\]]+)"
+    rf"^(?i:https?)://(:?@)?({BRACKETED_HOST}|[^\s/?#@:\[\]]+)"
     r"(:[0-9]*)?(/[^?#]*)?[?]?#?$"
 )
 MAX_PORT = 65535

@@ -65,3 +65,16 @@ def test_target_url_null_endpoint(spark):
     df = spark.createDataFrame([("http://h", "/e"), ("http://h", None), ("http://h", "")],
                                "b string, e string")
     assert [r[0] for r in df.select(target_url("b", "e")).collect()] == ["http://h/e", None, "http://h"]
+
+
+IPV6 = ["::", "::1", "1::", "fe80::1%eth0", "1:2:3:4:5:6:7:8", "::ffff:1.2.3.4", "1:2:3:4:5:6:1.2.3.4",
+        "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "v1.abc", "V7f.x:y", "1:2:3:4:5:6:7:8:9", "1::2::3",
+        "::ffff:01.2.3.4", "::ffff:256.1.1.1", ":::", "12345::", "1.2.3.4", "g::1", "fe80::1%",
+        "::1%a%b", "1:2:3:4:5:6:7", "v.x", "vg.x", "1:2:3:4:5:6:7:1.2.3.4", "::1.2.3.4"]
+
+
+@pytest.mark.parametrize("literal", IPV6)
+def test_ip_literals_match_stdlib(spark, literal):
+    raw = f"http://[{literal}]:8080/p"
+    df = spark.createDataFrame([(raw,)], "v string")
+    assert df.select(valid_base_url("v")).first()[0] == stdlib_valid(raw), literal
