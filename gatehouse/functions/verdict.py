@@ -50,18 +50,37 @@ def _single_value(body: Column) -> Column:
     return F.when(container, matching & single).otherwise(F.lit(True))
 
 
+def python_literals(body: Column | str) -> Column:
+    """The body with bare ``NaN`` / ``Infinity`` / ``-Infinity`` as ``null``.
+
+    Python's json module reads these three (as floats); JSON and Spark do
+    not. A verdict only looks at ``status`` and ``message``, where a float and
+    a null are equally wrong, so reading them as null gives Python's answer.
+    Text inside string literals is left alone: the body is split around the
+    literals and only the parts between them are rewritten. Bodies without
+    these words are returned as they are.
+    """
+    body = _col(body)
+    strings = F.regexp_extract_all(body, F.lit(_JSON_STRING), 0)
+    between = F.split(body, _JSON_STRING)
+    rebuilt = F.array_join(F.zip_with(
+        between, F.concat(strings, F.array(F.lit(""))),
+        lambda part, lit: F.concat(F.regexp_replace(part, r"-?Infinity|NaN", "null"), lit)), "")
+    return F.when(body.contains("NaN") | body.contains("Infinity"), rebuilt).otherwise(body)
+
+
 def parse_verdict(body: Column | str, parsed: Column | str | None = None) -> Column:
     """struct(shape, status, message).
 
     shape is ``malformed`` (not JSON), ``unexpected`` (JSON, but not an object
     with a ``status`` of success/error and a *string* ``message``) or ``ok``.
     Extra keys are ignored and an empty message is fine; status and message
-    are null unless the shape is ok. ``parsed`` is ``try_parse_json(body)``
-    when the caller has already projected it (then each body is parsed once;
+    are null unless the shape is ok. ``parsed`` is
+    ``try_parse_json(python_literals(body))`` when the caller has already projected it (then each body is parsed once;
     the parse is referenced several times below).
     """
     body = _col(body)
-    v = F.try_parse_json(body) if parsed is None else _col(parsed)
+    v = F.try_parse_json(python_literals(body)) if parsed is None else _col(parsed)
     status = F.try_variant_get(v, "$.status", "string")
     message_type = F.schema_of_variant(F.try_variant_get(v, "$.message", "variant"))
     ok = status.isin(*STATUSES) & (message_type == F.lit("STRING"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehouse.functions.verdict import classify, exit_code, parse_verdict
+from gatehouse.functions.verdict import classify, exit_code, parse_verdict, python_literals
 from gatehouse.operators.bundle import (MAX_BUNDLE_BYTES, check_arity, request_json,
                                         submission_headers)
 from gatehouse.operators.screen import screen
@@ -51,7 +51,7 @@ def judge(responses: DataFrame) -> DataFrame:
     repeat a non-trivial expression, so each body is parsed once.
     """
     parsed = responses.select("sub_id", "http_status", "transport_error", "body",
-                              F.try_parse_json("body").alias("_v"))
+                              F.try_parse_json(python_literals("body")).alias("_v"))
     verdicts = parsed.select("sub_id", "http_status", "transport_error",
                              parse_verdict("body", parsed="_v").alias("v"))
     return (verdicts.select("sub_id", "v", classify("http_status", "transport_error", F.col("v"))

@@ -33,8 +33,21 @@ TRAILING = ['{"status":"success","message":"m"} x', '{"status":"success","messag
             '{"status":"success","message":"m"}[1]', '[1] [2]', '{} {"a": 1}',
             '{"status":"success","message":"}{"}', '{"status":"success","message":"\\"}{"}',
             '{"status":"success","message":"a\\\\"} ', '{"status":"success","message":"[{"}']
-# Documented difference: Python reads NaN/Infinity, which are not JSON.
-KNOWN = {'{"status":"success","message":"m","n":NaN}': "malformed"}
+# Python reads NaN / Infinity / -Infinity (not JSON): same shapes as Python.
+PY_LITERALS = ['{"status":"success","message":"m","n":NaN}', '{"status":"success","message":"m","n":-Infinity}',
+               '{"status":NaN,"message":"m"}', '{"status":"success","message":Infinity}', "NaN",
+               '{"status":"success","message":"NaN"}', '{"status":"error","message":"say \\"NaN\\" Infinity"}',
+               '{"status":"success","message":"m","n":NaNx}', '{"status":"success","message":"m","n":-NaN}',
+               '{"status":"success","message":"m","n":[NaN, Infinity]}']
+
+
+@pytest.mark.parametrize("body", PY_LITERALS)
+def test_python_literals_like_json_module(spark, body):
+    df = spark.createDataFrame([(body,)], "b string")
+    got = df.select(parse_verdict("b").alias("v")).select("v.*").first()
+    assert got.shape == stdlib_shape(body)
+    if got.shape == "ok":
+        assert got.message == json.loads(body)["message"]
 
 
 @pytest.mark.parametrize("body", TRAILING)
@@ -53,12 +66,6 @@ def test_shape_matches_json_module(spark, body):
     assert df.select(parse_verdict("b")["shape"]).first()[0] == stdlib_shape(body)
 
 
-@pytest.mark.parametrize("body,shape", sorted(KNOWN.items()))
-def test_known_differences(spark, body, shape):
-    df = spark.createDataFrame([(body,)], "b string")
-    assert df.select(parse_verdict("b")["shape"]).first()[0] == shape
-
-
 def test_outcome_order_and_exit_code(spark):
     rows = [
         (500, None, '{"status":"success","message":"m"}', "http_error"),
