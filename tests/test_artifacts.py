@@ -57,3 +57,24 @@ def test_request_and_verdict_sinks(spark, tmp_dir):
     back = spark.read.parquet(os.path.join(tmp_dir, "ver")).where("outcome = 'error'")
     assert [(r.sub_id, r.exit_code) for r in back.collect()] == [(2, 1)]
     assert "PartitionFilters: [isnotnull(outcome" in back._jdf.queryExecution().executedPlan().toString()
+
+
+def test_screen_from_files_on_storage(spark, tmp_dir):
+    from gatehouse.operators import screen
+    from gatehouse.plans import fixtures as fx
+
+    # submission 1: bad bytes in its first file; 2: second file blank; 3: fine
+    _write(tmp_dir, "sub_id=1/pos=0/f.txt", b"print(1)\xff")
+    _write(tmp_dir, "sub_id=2/pos=0/f.txt", b"a = 1\n")
+    _write(tmp_dir, "sub_id=2/pos=1/f.txt", b" \r\n")
+    _write(tmp_dir, "sub_id=2/pos=2/f.txt", b"x")
+    _write(tmp_dir, "sub_id=3/pos=0/f.txt", "ok ✓\n".encode())
+    files = spark.createDataFrame(
+        [(1, "u1", "4.11.1", 0), (2, "u2", "5.4.2", 0), (2, "u2", "5.4.2", 1), (2, "u2", "5.4.2", 2),
+         (3, "u3", "4.12.1", 0)], "sub_id bigint, student_id string, task_id string, pos bigint")
+    explicit = spark.createDataFrame([], "sub_id bigint, pos bigint, path string")
+    overrides = spark.createDataFrame([], "key bigint, value string")
+    contents = read_artifacts(spark, tmp_dir).select("sub_id", "pos", "content", "readable")
+    got = {r.sub_id: (r.reason, r.fail_pos) for r in
+           screen(files, explicit, fx.tasks(spark), overrides, "https://ok.example", contents=contents).collect()}
+    assert got == {1: ("unreadable", 0), 2: ("blank", 1), 3: (None, None)}
