@@ -29,7 +29,7 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
            max_bundle_bytes: int = MAX_BUNDLE_BYTES) -> DataFrame:
     """One row per submission.
 
-    Columns: sub_id, task_id, student_id, expected, n_explicit, base_url,
+    Columns: sub_id, task_id, student_id, endpoint, expected, n_explicit, base_url,
     reason (null = may be sent), fail_pos; with ``collect_bundles`` also
     bundle_bytes, solution (JSON map, bundles) and single_text.
 
@@ -57,7 +57,7 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
                      .when(is_blank("student_id") | F.col("student_id").isNull(), F.lit(REASONS[4])))
     checked = addressed.withColumn("_header_reason", header_reason)
 
-    carry = ["student_id", "expected", "n_explicit", "base_url", "_header_reason"]
+    carry = ["student_id", "endpoint", "expected", "n_explicit", "base_url", "_header_reason"]
     manifest = resolve_paths(checked, explicit, build=F.col("_header_reason").isNull(), carry=carry)
 
     if contents is None:
@@ -66,6 +66,7 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
     state = F.when(F.col("pos").isNotNull(), F.col("state"))   # placeholder rows: no file
     bad = F.when(state != "ok", F.struct("pos", "name", state.alias("state")))
     aggs = [F.max("task_id").alias("task_id"), F.max("student_id").alias("student_id"),
+            F.max("endpoint").alias("endpoint"),
             F.max("expected").alias("expected"), F.max("n_explicit").alias("n_explicit"),
             F.max("base_url").alias("base_url"), F.max("_header_reason").alias("_header_reason"),
             F.min(bad).alias("_bad")]
@@ -82,7 +83,7 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
                  .alias("_entries")]
     agg = rows.groupBy("sub_id").agg(*aggs)
 
-    out = [F.col("sub_id"), "task_id", "student_id", "expected", "n_explicit", "base_url",
+    out = [F.col("sub_id"), "task_id", "student_id", "endpoint", "expected", "n_explicit", "base_url",
            F.coalesce("_header_reason", "_bad.state").alias("reason"),
            F.when(F.col("_header_reason").isNull(), F.col("_bad.pos")).cast("bigint").alias("fail_pos")]
     if collect_bundles:

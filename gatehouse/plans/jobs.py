@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gatehouse.functions.text import rstrip_slash, strip
+from gatehouse.functions.urls import target_url
+
 from gatehouse.functions.verdict import classify, exit_code, parse_verdict, python_literals
 from gatehouse.operators.bundle import (MAX_BUNDLE_BYTES, check_arity, request_json,
                                         submission_headers)
@@ -25,7 +28,10 @@ def screen_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assemble_job(spark: SparkSession, sf_dir: str,
                  max_bundle_bytes: int = MAX_BUNDLE_BYTES) -> DataFrame:
-    """(sub_id, task_id, request) for every submission that passes the screen.
+    """(sub_id, task_id, target_url, request) per submission that passes the screen.
+
+    ``target_url`` is where the request goes: the stripped base address (P1,
+    P2) followed by the task's endpoint (P3).
 
     A bundle task sends its files as a JSON map name -> text; any other task
     sends the one file's text. Newlines are normalised as in text-mode reads.
@@ -37,8 +43,9 @@ def assemble_job(spark: SparkSession, sf_dir: str,
                collect_bundles=True, max_bundle_bytes=max_bundle_bytes)
     is_bundle = F.coalesce(F.size("expected") > 1, F.lit(False))
     solution = F.when(is_bundle, F.col("solution")).otherwise(F.col("single_text"))
+    target = target_url(rstrip_slash(strip("base_url")), "endpoint")
     return (s.where(F.col("reason").isNull())
-            .select("sub_id", "task_id",
+            .select("sub_id", "task_id", target.alias("target_url"),
                     F.when(solution.isNotNull(), request_json("student_id", solution)).alias("request")))
 
 

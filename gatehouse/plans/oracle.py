@@ -163,7 +163,7 @@ SCREEN_CTES = ARITY_CTES + [CHECKED_CTE, ("passing", "select * from checked wher
                             manifest_cte("passing")] + RECONCILE_CTES + [("screened", """
 select c.sub_id, c.task_id, c.base_url, coalesce(c.header_reason, f.fail_state) as reason,
   case when c.header_reason is null then f.fail_pos end as fail_pos,
-  c.student_id, c.expected
+  c.student_id, c.expected, c.endpoint
 from checked c left join failures f on f.sub_id = c.sub_id""")]
 
 SUB_VIEWS = ["endpoints_v", "tasks_v", "submissions_v", "explicit_v"]
@@ -215,15 +215,15 @@ select req_id, user_id, resp_id, cast(delay_us as bigint) as delay_us from m whe
 REQUEST_CTES = SCREEN_CTES + [("sent_files", """
 select m.sub_id, m.pos, m.name, regexp_replace(s.content, '\\r\\n?', chr(10), 'g') as c
 from manifest m join submissions_v s on s.sub_id = m.sub_id and s.pos = m.pos"""), ("sendable", """
-select sc.sub_id, sc.task_id, sc.student_id,
+select sc.sub_id, sc.task_id, sc.student_id, sc.base_url, sc.endpoint,
   case when len(sc.expected) > 1
        then '{' || string_agg(cast(to_json(f.name) as varchar) || ': ' || cast(to_json(f.c) as varchar), ', '
                               order by f.pos) || '}'
        else max(f.c) end as solution
 from screened sc join sent_files f on f.sub_id = sc.sub_id
 where sc.reason is null
-group by sc.sub_id, sc.task_id, sc.student_id, sc.expected"""), ("requests", """
-select p.sub_id, p.task_id,
+group by sc.sub_id, sc.task_id, sc.student_id, sc.expected, sc.base_url, sc.endpoint"""), ("requests", """
+select p.sub_id, p.task_id, """ + base_sql("p.base_url") + """ || p.endpoint as target_url,
   cast(json_object('student_id', """ + strip_sql("p.student_id") + """,
                    'student_solution', p.solution) as varchar) as request
 from sendable p""")]
@@ -300,7 +300,8 @@ def oracle_sql() -> dict[str, str]:
         SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
     s["x4_screen"] = with_views(
         SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
-    s["p6_request_json"] = with_views(SUB_VIEWS, "select sub_id, task_id, request from requests", REQUEST_CTES)
+    s["p6_request_json"] = with_views(SUB_VIEWS, "select sub_id, task_id, target_url, request from requests",
+                                      REQUEST_CTES)
     s["s3_write_requests"] = with_views(SUB_VIEWS, "select request from requests", REQUEST_CTES)
     s["x1_parse_verdict"] = with_views(["responses_v"], "select sub_id, shape, status, message from verdicts", VERDICT_CTES)
     s["x2_classify"] = with_views(["responses_v"], "select sub_id, outcome from verdicts", VERDICT_CTES)
