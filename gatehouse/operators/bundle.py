@@ -3,8 +3,9 @@ of expected files with read files (S2), first failing file (A3), bundle
 assembly (A2) and the request object (P6).
 
 All grouping is by ``sub_id``; aggregates are partial (map-side) before the
-shuffle, and the only collect is A2's, bounded per submission by the task's file
-count (A1) and by a byte cap checked before anything is collected.
+shuffle. Text is collected only into bundles (A2 here, and the screen's
+assemble pass), and only for submissions whose byte total, computed first,
+is under a cap.
 """
 
 from __future__ import annotations
@@ -49,9 +50,8 @@ def check_arity(headers: DataFrame, explicit: DataFrame, tasks: DataFrame) -> Da
     expected = F.col("expected")
     arity_ok = (F.when(_is_bundle(expected), (n == 0) | (n == F.size(expected)))
                 .otherwise(n <= 1))
-    keep = [c for c in headers.columns]
     return (headers.join(t, "task_id", "left").join(counts, "sub_id", "left")
-            .select(*keep, "endpoint", "expected",
+            .select(*headers.columns, "endpoint", "expected",
                     n.alias("n_explicit"), arity_ok.alias("arity_ok"),
                     ((n > 0) | expected.isNotNull()).alias("has_files")))
 
