@@ -1,0 +1,162 @@
+"""J3, balanced for any skew: the as-of match on a range-partitioned total order.
+
+:func:`gatehouse.operators.match.match_within` partitions by (key, time
+bucket); a single bucket holding a large share of all events would still be
+one task. This variant makes no assumption about the data:
+
+1. Requests and responses are range-partitioned on the total order
+   (key, time, kind, id): Spark samples the sort keys, so partitions are
+   balanced however the rows concentrate on a key or in time.
+2. Each partition is scanned once, in order, in Arrow batches
+   (``mapInPandas``): a request's answer is the next response of its key
+   (requests sort before responses at equal time, so "next" means the
+   earliest at or after it, ties to the lowest id). Unanswered requests of
+   the last key of a batch are carried into the next batch.
+3. Requests still open at a partition's end can only be answered by a later
+   partition that starts with the same key. Every partition reports one
+   summary row (first key, that key's first response, whether it holds only
+   that key); a window over these few rows finds, for each partition, the
+   next partition that can decide, and open requests take their answer from
+   it (a broadcast join on the partition id). No pairs are formed.
+
+The scanned rows are used twice (answers and summaries), so they are
+materialised once with ``checkpoint()`` in the shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from gatehouse.operators.match import MICROS, event_micros
+
+try:  # ship this module's code with the Python function (workers need only pandas)
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover
+    pass
+
+SCAN_SCHEMA = ("row_type string, pid int, k bigint, req_id bigint, req_t bigint, "
+               "resp_id bigint, resp_t bigint, single_key boolean")
+
+
+def _rows(kind, pid, k, req_id, req_t, resp_id, resp_t, single=None):
+    n = len(k)
+    return pd.DataFrame({
+        "row_type": [kind] * n, "pid": np.full(n, pid, dtype="int32"),
+        "k": np.asarray(k, dtype="int64"),
+        "req_id": pd.array(req_id, dtype="Int64"), "req_t": pd.array(req_t, dtype="Int64"),
+        "resp_id": pd.array(resp_id, dtype="Int64"), "resp_t": pd.array(resp_t, dtype="Int64"),
+        "single_key": pd.array([single] * n if single is not None else [None] * n, dtype="boolean"),
+    })
+
+
+def scan_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Answers inside one sorted partition, its open requests and its summary."""
+    pid = first_key = last_key = None
+    first_resp = None            # (t, id) of first_key's first response here
+    only_first_key = True
+    pending = None               # open requests of the current last key
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        k, t, r, ids = (pdf["k"].to_numpy("int64"), pdf["t"].to_numpy("int64"),
+                        pdf["r"].to_numpy("int64"), pdf["id"].to_numpy("int64"))
+        if pid is None:
+            pid, first_key = int(pdf["pid"].iloc[0]), int(k[0])
+        if only_first_key and first_resp is None:
+            m = np.flatnonzero((k == first_key) & (r == 1))
+            if len(m):
+                first_resp = (int(t[m[0]]), int(ids[m[0]]))
+        only_first_key = only_first_key and bool((k == first_key).all())
+
+        # requests carried from the previous batch (all of key ``last_key``)
+        if pending is not None and len(pending):
+            pk = int(pending["k"].iloc[0])
+            m = np.flatnonzero((k == pk) & (r == 1))
+            if len(m):
+                yield _rows("m", pid, pending["k"], pending["req_id"], pending["req_t"],
+                            np.full(len(pending), ids[m[0]]), np.full(len(pending), t[m[0]]))
+                pending = None
+            elif int(k[-1]) != pk or int(k[0]) != pk:
+                yield _rows("m", pid, pending["k"], pending["req_id"], pending["req_t"],
+                            [None] * len(pending), [None] * len(pending))
+                pending = None
+
+        # next response of the same key for every row: backward fill per key
+        resp_t = pd.Series(np.where(r == 1, t, 0)).where(r == 1)
+        resp_id = pd.Series(np.where(r == 1, ids, 0)).where(r == 1)
+        key = pd.Series(k)
+        nt = resp_t.groupby(key).bfill()
+        nid = resp_id.groupby(key).bfill()
+        is_req = r == 0
+        found = is_req & nt.notna().to_numpy()
+        if found.any():
+            yield _rows("m", pid, k[found], ids[found], t[found],
+                        nid[found].astype("int64").to_numpy(), nt[found].astype("int64").to_numpy())
+        last_key = int(k[-1])
+        open_now = is_req & ~found
+        carry = open_now & (k == last_key)
+        closed = open_now & ~carry
+        if closed.any():
+            yield _rows("m", pid, k[closed], ids[closed], t[closed], [None] * int(closed.sum()),
+                        [None] * int(closed.sum()))
+        if carry.any():
+            new = pd.DataFrame({"k": k[carry], "req_id": ids[carry], "req_t": t[carry]})
+            pending = new if pending is None else pd.concat([pending, new], ignore_index=True)
+    if pid is None:
+        return
+    if pending is not None and len(pending):
+        yield _rows("o", pid, pending["k"], pending["req_id"], pending["req_t"],
+                    [None] * len(pending), [None] * len(pending))
+    yield _rows("s", pid, [first_key], [None], [None],
+                [first_resp[1] if first_resp else None], [first_resp[0] if first_resp else None],
+                single=only_first_key)
+
+
+def match_within_ranged(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
+                        ts: str = "ts", id_col: str = "event_id",
+                        partitions: int | None = None) -> DataFrame:
+    """(req_id, <key>, resp_id, delay_us) for every request; same answer as
+    :func:`gatehouse.operators.match.match_within`, balanced for any skew."""
+    from gatehouse.session import checkpoint_base
+    spark = requests.sparkSession
+    limit_us = int(round(seconds * MICROS))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def side(df: DataFrame, r: int) -> DataFrame:
+        return df.select(F.col(key).cast("bigint").alias("k"), event_micros(ts).alias("t"),
+                         F.lit(r).cast("bigint").alias("r"), F.col(id_col).cast("bigint").alias("id"))
+
+    order = ["k", "t", "r", "id"]
+    ev = (side(requests, 0).unionByName(side(responses, 1))
+          .repartitionByRange(n, *order).sortWithinPartitions(*order)
+          .withColumn("pid", F.spark_partition_id()))
+    checkpoint_base(spark)   # make sure a reliable checkpoint folder is set
+    scanned = ev.mapInPandas(scan_partition, SCAN_SCHEMA).checkpoint(eager=True)
+
+    summaries = scanned.where(F.col("row_type") == "s")
+    # a partition decides for the key carried into it unless it holds only
+    # that key and no response of it (then the key passes through)
+    decides = ~(F.col("single_key") & F.col("resp_t").isNull())
+    w = Window.orderBy("pid").rowsBetween(1, Window.unboundedFollowing)  # one row per partition
+    nxt = F.first(F.when(decides, F.struct("k", "resp_id", "resp_t")), ignorenulls=True).over(w)
+    ahead = summaries.select("pid", nxt.alias("nx"))
+    open_rows = (scanned.where(F.col("row_type") == "o")
+                 .join(F.broadcast(ahead), "pid", "left")   # bounded: one row per partition
+                 .select("k", "req_id", "req_t",
+                         F.when(F.col("nx.k") == F.col("k"), F.col("nx.resp_id")).alias("resp_id"),
+                         F.when(F.col("nx.k") == F.col("k"), F.col("nx.resp_t")).alias("resp_t")))
+    answered = scanned.where(F.col("row_type") == "m").select("k", "req_id", "req_t", "resp_id", "resp_t")
+    allrows = answered.unionByName(open_rows)
+    d = F.col("resp_t") - F.col("req_t")
+    hit = d < F.lit(limit_us)
+    return allrows.select(F.col("req_id"), F.col("k").alias(key),
+                          F.when(hit, F.col("resp_id")).alias("resp_id"),
+                          F.when(hit, d).cast("bigint").alias("delay_us"))

@@ -155,6 +155,13 @@ def j3_match_within_4h(spark, sf_dir):
     return match_within(q, r, "user_id", 4 * 3600)
 
 
+def j3_match_within_300s_balanced(spark, sf_dir):
+    """J3 on a range-partitioned total order: balanced however events concentrate."""
+    from gatehouse.operators.match_ranged import match_within_ranged
+    q, r = _clicks_views(spark, sf_dir)
+    return match_within_ranged(q, r, "user_id", 300)
+
+
 def _guarded(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ensure_semantics(spark)
@@ -170,6 +177,7 @@ QUERIES: dict[str, Query] = {f.__name__: _guarded(f) for f in [
     f5_placeholder_flags, a1_check_arity, j2_resolve_paths, j1_artifact_kind,
     s2_reconcile, a3_first_failure, a2_assemble_bundle, x4_screen, p6_request_json,
     x1_parse_verdict, x2_classify, x3_exit_code, j3_match_within_300s, j3_match_within_4h,
+    j3_match_within_300s_balanced,
 ]}
 
 

@@ -320,4 +320,5 @@ def oracle_sql() -> dict[str, str]:
     s["t1_match_within_stream"] = stream_match_sql(300, 600)
     s["j3_match_within_300s"] = match_sql(300)
     s["j3_match_within_4h"] = match_sql(4 * 3600)
+    s["j3_match_within_300s_balanced"] = match_sql(300)
     return s

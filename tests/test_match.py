@@ -130,3 +130,44 @@ def test_stream_request_after_its_response(spark, tmp_dir):
         run_.start().awaitTermination()
     got = {x.req_id: (x.resp_id, x.delay_us) for x in spark.read.parquet(sink).collect()}
     assert got == {3: (1, 60_000_000), 2: (None, None)}
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.integers(0, 10_000), st.sampled_from([60, 300, 3600]))
+def test_ranged_vs_brute_force_with_a_hot_key(spark, seed, seconds):
+    from gatehouse.operators.match_ranged import match_within_ranged
+    rnd = random.Random(seed)
+    span = 6 * seconds * 10**6
+    rows = []
+    for i in range(120):
+        key = 1 if i < 60 else rnd.randint(2, 5)           # key 1 holds half of all rows
+        t = rnd.randint(0, span)
+        if key == 1 and rnd.random() < 0.5:
+            t = rnd.randint(0, span // 20)                 # and is dense in one stretch
+        rows.append((i, key, T0 + dt.timedelta(microseconds=t)))
+    reqs = [r for r in rows if rnd.random() < 0.7]
+    ids = {r[0] for r in reqs}
+    resps = [r for r in rows if r[0] not in ids]
+    schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")   # carries across batches
+    try:
+        res = match_within_ranged(spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema),
+                                  "user_id", seconds, partitions=7)
+        got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == brute(reqs, resps, seconds * 10**6)
+
+
+def test_ranged_key_passing_through_partitions(spark):
+    from gatehouse.operators.match_ranged import match_within_ranged
+    s = dt.timedelta(seconds=1)
+    # key 1: 200 requests, its only response comes last; key 2 follows
+    reqs = [(i, 1, T0 + i * s) for i in range(200)] + [(500, 2, T0)]
+    resps = [(900, 1, T0 + 250 * s), (901, 2, T0 + 5 * s)]
+    schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
+    res = match_within_ranged(spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema),
+                              "user_id", 300, partitions=9)
+    got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()}
+    assert got == brute(reqs, resps, 300 * 10**6)
