@@ -55,6 +55,7 @@ def main(argv):
               f"{s['windows']} | {', '.join(s['python']) or '-'} | {scans} |")
     print("\n`t1_match_within_stream` is a streaming query: one `FlatMapGroupsInPandasWithState` "
           "keyed by shard after a hash exchange on the shard; see `gatehouse/streaming/match_stream.py`.")
+    print("\n`j3_match_within_300s_balanced` cuts its lineage with `checkpoint()`: the range exchange (`Exchange rangepartitioning`) and the ordered `MapInPandas` scan run in the checkpoint job, so the plan above starts from the checkpointed rows.")
 
 
 if __name__ == "__main__":
