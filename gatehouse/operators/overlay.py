@@ -10,14 +10,17 @@ def overlay(df: DataFrame, overrides: DataFrame, key: str, default: str,
             out: str = "value") -> DataFrame:
     """Add ``out`` = the override for ``df[key]`` if one exists, else ``default``.
 
-    ``overrides`` is (key, value) with unique keys, like an environment. An
-    empty override is kept: only an *absent* one falls back to the default, so
-    this is a left join + coalesce, never ``nullif(value, '')``. Also adds
-    ``<out>_source`` = ``override`` / ``default``. The join strategy is left to
-    the planner: AQE broadcasts the overrides only when their measured size is
-    under the threshold and keeps a sort-merge join otherwise.
+    ``overrides`` is (key, value), one value per key like an environment; a
+    repeated key (a data error) is collapsed to its largest value first, so
+    ``df`` keeps exactly its rows. An empty override is kept: only an *absent*
+    one falls back to the default, so this is a left join + coalesce, never
+    ``nullif(value, '')``. Also adds ``<out>_source`` = ``override`` /
+    ``default``. The join strategy is left to the planner: AQE broadcasts the
+    overrides only when their measured size is under the threshold and keeps
+    a sort-merge join otherwise.
     """
-    o = overrides.select(F.col("key").alias("_ov_key"), F.col("value").alias("_ov_value"))
+    o = (overrides.groupBy(F.col("key").alias("_ov_key"))
+         .agg(F.max("value").alias("_ov_value")))
     joined = df.join(o, df[key] == o["_ov_key"], "left")
     return (joined
             .withColumn(out, F.coalesce(F.col("_ov_value"), F.lit(default)))

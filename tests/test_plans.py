@@ -47,3 +47,11 @@ def test_fixed_tables_are_jvm_literals(spark):
     assert "ExistingRDD" not in plan
     assert [tuple(r) for r in fx.tasks(spark).orderBy("slot").collect()] == [
         (s, t, e, x) for s, t, e, x in fx.TASKS]
+
+
+def test_overlay_keeps_rows_with_repeated_keys(spark):
+    from gatehouse.operators import overlay
+    df = spark.createDataFrame([(1,), (2,)], "k bigint")
+    ov = spark.createDataFrame([(1, "a"), (1, "b"), (1, None)], "key bigint, value string")
+    got = sorted((r.k, r.v) for r in overlay(df, ov, "k", "d", out="v").collect())
+    assert got == [(1, "b"), (2, "d")]
