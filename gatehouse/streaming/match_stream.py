@@ -74,6 +74,14 @@ def _frame(ids, keys, us) -> pd.DataFrame:
                          "us": np.asarray(us, dtype="int64")})
 
 
+def _append(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    if not len(a):
+        return b.reset_index(drop=True)
+    if not len(b):
+        return a
+    return pd.concat([a, b], ignore_index=True)
+
+
 def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
                         delay: str = "10 minutes", ts: str = "ts", id_col: str = "event_id",
                         shards: int | None = None) -> DataFrame:
@@ -107,12 +115,12 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
             q, r = _frame(qi, qk, qu), _frame(ri, rk, ru)
         else:
             q = r = _frame([], [], [])
-        new = [pdf for pdf in batches] if not state.hasTimedOut else []
+        new = [pdf for pdf in batches if len(pdf)] if not state.hasTimedOut else []
         if new:
-            pdf = pd.concat(new, ignore_index=True)
+            pdf = pd.concat(new, ignore_index=True) if len(new) > 1 else new[0]
             is_q = pdf["kind"].to_numpy() == 1
-            q = pd.concat([q, _frame(pdf["id"][is_q], pdf["key"][is_q], pdf["us"][is_q])], ignore_index=True)
-            r = pd.concat([r, _frame(pdf["id"][~is_q], pdf["key"][~is_q], pdf["us"][~is_q])], ignore_index=True)
+            q = _append(q, _frame(pdf["id"][is_q], pdf["key"][is_q], pdf["us"][is_q]))
+            r = _append(r, _frame(pdf["id"][~is_q], pdf["key"][~is_q], pdf["us"][~is_q]))
 
         wm_ms = state.getCurrentWatermarkMs()
         wm_us = wm_ms * 1000
