@@ -41,16 +41,56 @@ def _bucket(us: Column, width_us: int) -> Column:
     return ((us - F.pmod(us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
 
 
+# ``strategy="auto"``: a (key, bucket) group larger than this many times an
+# even share of the rows per shuffle partition is treated as hot.
+HOT_GROUP_FACTOR = 2.0
+
+
+def hot_group_ratio(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
+                    ts: str = "ts") -> float:
+    """Largest (key, time bucket) group over an even share per partition.
+
+    One partial aggregate over both inputs; a single row reaches the driver.
+    """
+    width_us = int(round(seconds * MICROS))
+    spark = requests.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def keyed(df: DataFrame) -> DataFrame:
+        return df.select(F.col(key).alias("_k"), _bucket(event_micros(ts), width_us).alias("_b"))
+
+    sizes = keyed(requests).unionByName(keyed(responses)).groupBy("_k", "_b").count()
+    row = sizes.agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
+    if not row or not row["n"]:
+        return 0.0
+    return float(row["m"]) / max(1.0, float(row["n"]) / parts)
+
+
 def match_within(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
                  ts: str = "ts", id_col: str = "event_id",
-                 bucket_seconds: float | None = None) -> DataFrame:
+                 bucket_seconds: float | None = None, strategy: str = "bucketed") -> DataFrame:
     """(req_id, <key>, resp_id, delay_us) for every request.
 
     ``requests`` and ``responses`` carry ``id_col``, ``key`` and ``ts``.
     ``bucket_seconds`` below ``seconds`` spreads a key that is hot within one
     limit-wide stretch of time over more tasks, at the cost of carrying each
     bucket's first response into more buckets.
+
+    ``strategy``: ``bucketed`` (this plan), ``ranged``
+    (:func:`gatehouse.operators.match_ranged.match_within_ranged`, balanced
+    for any skew) or ``auto``: measure the largest (key, bucket) group first
+    and take ``ranged`` when it exceeds ``HOT_GROUP_FACTOR`` times an even
+    share per partition. All give the same answer.
     """
+    if strategy not in ("bucketed", "ranged", "auto"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    if strategy == "auto":
+        width = bucket_seconds or seconds
+        hot = hot_group_ratio(requests, responses, key, width, ts) > HOT_GROUP_FACTOR
+        strategy = "ranged" if hot else "bucketed"
+    if strategy == "ranged":
+        from gatehouse.operators.match_ranged import match_within_ranged
+        return match_within_ranged(requests, responses, key, seconds, ts=ts, id_col=id_col)
     limit_us = int(round(seconds * MICROS))
     width_us = int(round((bucket_seconds or seconds) * MICROS))
     reach = max(1, math.ceil(limit_us / width_us))

@@ -171,3 +171,19 @@ def test_ranged_key_passing_through_partitions(spark):
                               "user_id", 300, partitions=9)
     got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()}
     assert got == brute(reqs, resps, 300 * 10**6)
+
+
+def test_auto_strategy_picks_by_skew(spark):
+    from gatehouse.operators.match import hot_group_ratio
+    schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
+    s = dt.timedelta(seconds=1)
+    even = [(i, i % 50, T0 + (i * 37 % 5000) * s) for i in range(400)]
+    hot = [(i, 1 if i % 2 else i % 50, T0 + (i % 100) * s if i % 2 else T0 + (i * 37 % 5000) * s)
+           for i in range(400)]
+    for rows, is_hot in [(even, False), (hot, True)]:
+        q = spark.createDataFrame([r for r in rows if r[0] % 3], schema)
+        r = spark.createDataFrame([r for r in rows if not r[0] % 3], schema)
+        assert (hot_group_ratio(q, r, "user_id", 300) > 2.0) == is_hot
+        auto = {x.req_id: tuple(x) for x in match_within(q, r, "user_id", 300, strategy="auto").collect()}
+        plain = {x.req_id: tuple(x) for x in match_within(q, r, "user_id", 300).collect()}
+        assert auto == plain
