@@ -1,4 +1,4 @@
-"""The registered queries: one per operator, each (spark, sf_dir) -> DataFrame.
+"""The registered queries: at least one per operator, each (spark, sf_dir) -> DataFrame.
 
 Each reads the driver's tables (or views Spark derives from them) in full.
 Column names match :func:`gatehouse.plans.oracle.oracle_sql`.
