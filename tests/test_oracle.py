@@ -65,3 +65,30 @@ def test_survey_probe_counts(spark):
     assert valid == {True: 138, False: 112}
     j3 = q["j3_match_within_300s"](spark, SF01)
     assert j3.count() == 2006 and j3.where("resp_id is not null").count() == 3
+
+
+def test_screen_one_reason_per_submission(spark):
+    import __spark_entry__ as e
+    from gatehouse.operators.screen import REASONS
+    df = e.queries()["x4_screen"](spark, SF)
+    subs = e.queries()["f2_blank_student"](spark, SF)
+    assert df.count() == df.select("sub_id").distinct().count() == subs.count()
+    allowed = set(REASONS) | {"missing_or_empty", "unreadable", "blank", None}
+    assert {r.reason for r in df.select("reason").distinct().collect()} <= allowed
+
+
+def test_requests_round_trip_as_json(spark):
+    import json
+
+    import __spark_entry__ as e
+    from gatehouse.plans import fixtures as fx
+    expected = {tid: exp for _, tid, _, exp in fx.TASKS}
+    rows = e.queries()["p6_request_json"](spark, SF).collect()
+    assert rows
+    for r in rows:
+        req = json.loads(r.request)
+        assert set(req) == {"student_id", "student_solution"} and req["student_id"] == req["student_id"].strip()
+        names = expected[r.task_id]
+        if names and len(names) > 1:
+            assert list(json.loads(req["student_solution"])) == names
+        assert r.target_url.endswith(next(ep for _, t, ep, _ in fx.TASKS if t == r.task_id) or "")
