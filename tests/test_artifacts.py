@@ -78,3 +78,11 @@ def test_screen_from_files_on_storage(spark, tmp_dir):
     got = {r.sub_id: (r.reason, r.fail_pos) for r in
            screen(files, explicit, fx.tasks(spark), overrides, "https://ok.example", contents=contents).collect()}
     assert got == {1: ("unreadable", 0), 2: ("blank", 1), 3: (None, None)}
+
+
+def test_oversized_files_keep_their_row(spark, tmp_dir):
+    _write(tmp_dir, "f=small/a.txt", b"ok")
+    _write(tmp_dir, "f=big/a.txt", b"x" * 100)
+    got = {r.f: (r.n_bytes, r.readable, r.too_large, r.content)
+           for r in read_artifacts(spark, tmp_dir, max_bytes=10).collect()}
+    assert got == {"small": (2, True, False, "ok"), "big": (100, False, True, None)}
