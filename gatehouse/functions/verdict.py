@@ -19,8 +19,10 @@ OUTCOMES = ("http_error", "unreachable", "malformed", "unexpected", "error", "su
 
 
 
-# JSON string literal, escapes included
-_JSON_STRING = r'"(?:[^"\\]|\\.)*"'
+# JSON string literal, escapes included. Possessive quantifiers: Java's regex
+# engine recurses per repetition of an alternation group and would overflow
+# its stack on a long string; runs of plain characters are taken whole.
+_JSON_STRING = r'"(?:[^"\\]++|\\.)*+"'
 
 
 def _single_value(body: Column) -> Column:

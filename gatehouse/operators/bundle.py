@@ -193,7 +193,7 @@ def json_string(c: Column) -> Column:
     text = F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]\z", "")
     fixed = text
     for code in _UPPER_HEX_CONTROLS:
-        fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*)\\u" + code, r"$1\\u" + code.lower())
+        fixed = F.regexp_replace(fixed, r"(?<!\\)((?:\\\\)*+)\\u" + code, r"$1\\u" + code.lower())
     return F.when(c.rlike("[\x0b\x0e\x0f\x1a-\x1f]"), fixed).otherwise(text)
 
 

@@ -113,3 +113,13 @@ def test_judge_runs_unchanged_on_a_stream(spark, tmp_dir):
     want = judge_job(spark, sf).select("sub_id", "outcome", "message", "exit_code")
     assert got.count() == want.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_long_bodies_do_not_overflow(spark):
+    # Java's regex engine recurses per repetition of an alternation group;
+    # the string-literal pattern must stay iterative on long strings
+    big = '{"status":"success","message":"' + "a" * 1_000_000 + '","x":[1,[2]]}'
+    esc = '{"status":"error","message":"' + "\\\\n" * 200_000 + '","x":[NaN]}'
+    df = spark.createDataFrame([(big,), (esc,)], "b string")
+    got = [r[0] for r in df.select(parse_verdict("b")["shape"]).collect()]
+    assert got == [stdlib_shape(big), stdlib_shape(esc)] == ["ok", "ok"]
