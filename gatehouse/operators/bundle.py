@@ -85,7 +85,7 @@ def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "tasks
 
     expected = F.col("expected")
     from_named = F.array(entry(F.col("_npos"),
-                               F.try_element_at(expected, (F.col("_npos") + 1).cast("int")),
+                               F.try_element_at(expected, (F.col("_npos") + 1).try_cast("int")),
                                F.col("_npath"), "explicit"))
     from_defaults = F.transform(F.coalesce(expected, F.array().cast("array<string>")),
                                 lambda x, i: entry(i, x, F.concat_ws("/", F.lit(task_root), "task_id", x),
@@ -116,9 +116,10 @@ def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str],
     if with_content:
         cols.append("content")
     # match the key types of the files side (partition columns read from
-    # key=value folders are inferred as int or bigint), leaving them uncast
+    # key=value folders are inferred as int or bigint), leaving them uncast;
+    # a key out of that type's range matches no file (try_cast, no error)
     types = dict(files.dtypes)
-    m = manifest.select(*[F.col(c).cast(types[c]).alias(c) if c in keys and types.get(c) else F.col(c)
+    m = manifest.select(*[F.col(c).try_cast(types[c]).alias(c) if c in keys and types.get(c) else F.col(c)
                           for c in manifest.columns])
     j = m.join(files.select(*cols), keys, "left")
     state = (F.when(F.col("_readable").isNull(), F.lit("missing_or_empty"))

@@ -148,3 +148,15 @@ def test_json_string_matches_python(spark, texts):
     df = spark.createDataFrame([(t,) for t in texts], "v string")
     got = [r[0] for r in df.select(json_string(F.col("v"))).collect()]
     assert got == [json.dumps(t, ensure_ascii=False) for t in texts]
+
+
+def test_out_of_range_keys_do_not_fail(spark):
+    # ANSI mode: a position or id outside int range must not fail the job
+    h = headers(spark, [(1, "u", "bundle")])
+    e = explicit(spark, [(1, 0, "/a"), (1, 1, "/b"), (1, 5_000_000_000, "/c")])
+    m = resolve_paths(check_arity(h, e, tasks(spark)), e)
+    got = sorted((r.pos, r.name) for r in m.collect())
+    assert got == [(0, "a.py"), (1, "b.sh"), (5_000_000_000, None)]
+    files = spark.createDataFrame([(1, 0, "x", True)], "sub_id int, pos int, content string, readable boolean")
+    man = spark.createDataFrame([(1, 0, "a"), (1, 5_000_000_000, "b")], "sub_id bigint, pos bigint, name string")
+    assert sorted(r.state for r in reconcile(man, files, ["sub_id", "pos"]).collect()) == ["missing_or_empty", "ok"]
