@@ -42,7 +42,7 @@ try:  # ship this module's code with the Python function (workers need only pand
 except Exception:  # pragma: no cover
     pass
 
-SCAN_SCHEMA = ("row_type string, pid int, k bigint, req_id bigint, req_t bigint, "
+SCAN_SCHEMA = ("row_type string, pid int, k {ktype}, req_id bigint, req_t bigint, "
                "resp_id bigint, resp_t bigint, single_key boolean")
 
 
@@ -50,7 +50,7 @@ def _rows(kind, pid, k, req_id, req_t, resp_id, resp_t, single=None):
     n = len(k)
     return pd.DataFrame({
         "row_type": [kind] * n, "pid": np.full(n, pid, dtype="int32"),
-        "k": np.asarray(k, dtype="int64"),
+        "k": pd.Series(list(k) if not isinstance(k, pd.Series) else k.to_list(), dtype=object),
         "req_id": pd.array(req_id, dtype="Int64"), "req_t": pd.array(req_t, dtype="Int64"),
         "resp_id": pd.array(resp_id, dtype="Int64"), "resp_t": pd.array(resp_t, dtype="Int64"),
         "single_key": pd.array([single] * n if single is not None else [None] * n, dtype="boolean"),
@@ -66,10 +66,10 @@ def scan_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         if pdf.empty:
             continue
-        k, t, r, ids = (pdf["k"].to_numpy("int64"), pdf["t"].to_numpy("int64"),
+        k, t, r, ids = (pdf["k"].to_numpy(), pdf["t"].to_numpy("int64"),
                         pdf["r"].to_numpy("int64"), pdf["id"].to_numpy("int64"))
         if pid is None:
-            pid, first_key = int(pdf["pid"].iloc[0]), int(k[0])
+            pid, first_key = int(pdf["pid"].iloc[0]), k[0]
         if only_first_key and first_resp is None:
             m = np.flatnonzero((k == first_key) & (r == 1))
             if len(m):
@@ -78,13 +78,13 @@ def scan_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
         # requests carried from the previous batch (all of key ``last_key``)
         if pending is not None and len(pending):
-            pk = int(pending["k"].iloc[0])
+            pk = pending["k"].iloc[0]
             m = np.flatnonzero((k == pk) & (r == 1))
             if len(m):
                 yield _rows("m", pid, pending["k"], pending["req_id"], pending["req_t"],
                             np.full(len(pending), ids[m[0]]), np.full(len(pending), t[m[0]]))
                 pending = None
-            elif int(k[-1]) != pk or int(k[0]) != pk:
+            elif k[-1] != pk or k[0] != pk:
                 yield _rows("m", pid, pending["k"], pending["req_id"], pending["req_t"],
                             [None] * len(pending), [None] * len(pending))
                 pending = None
@@ -100,7 +100,7 @@ def scan_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if found.any():
             yield _rows("m", pid, k[found], ids[found], t[found],
                         nid[found].astype("int64").to_numpy(), nt[found].astype("int64").to_numpy())
-        last_key = int(k[-1])
+        last_key = k[-1]
         open_now = is_req & ~found
         carry = open_now & (k == last_key)
         closed = open_now & ~carry
@@ -131,7 +131,7 @@ def match_within_ranged(requests: DataFrame, responses: DataFrame, key: str, sec
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
     def side(df: DataFrame, r: int) -> DataFrame:
-        return df.select(F.col(key).cast("bigint").alias("k"), event_micros(ts).alias("t"),
+        return df.select(F.col(key).alias("k"), event_micros(ts).alias("t"),
                          F.lit(r).cast("bigint").alias("r"), F.col(id_col).cast("bigint").alias("id"))
 
     order = ["k", "t", "r", "id"]
@@ -139,7 +139,8 @@ def match_within_ranged(requests: DataFrame, responses: DataFrame, key: str, sec
           .repartitionByRange(n, *order).sortWithinPartitions(*order)
           .withColumn("pid", F.spark_partition_id()))
     checkpoint_base(spark)   # make sure a reliable checkpoint folder is set
-    scanned = ev.mapInPandas(scan_partition, SCAN_SCHEMA).checkpoint(eager=True)
+    ktype = requests.schema[key].dataType.simpleString()
+    scanned = ev.mapInPandas(scan_partition, SCAN_SCHEMA.format(ktype=ktype)).checkpoint(eager=True)
 
     summaries = scanned.where(F.col("row_type") == "s")
     # a partition decides for the key carried into it unless it holds only

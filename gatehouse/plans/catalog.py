@@ -283,7 +283,7 @@ def t1_match_within_stream(spark, sf_dir):
            .option("checkpointLocation", ckpt).outputMode("append")
            .trigger(availableNow=True).start())
     run.awaitTermination()
-    return spark.read.schema(MATCH_SCHEMA.format(key="user_id")).parquet(sink)
+    return spark.read.schema(MATCH_SCHEMA.format(key="user_id", ktype="bigint")).parquet(sink)
 
 
 QUERIES.update({f.__name__: _guarded(f) for f in [

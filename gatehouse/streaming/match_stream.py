@@ -39,9 +39,9 @@ try:
 except Exception:  # pragma: no cover - older cloudpickle: ship the package instead
     pass
 
-MATCH_SCHEMA = "req_id bigint, {key} bigint, resp_id bigint, delay_us bigint"
-STATE_SCHEMA = ("q_id array<bigint>, q_key array<bigint>, q_us array<bigint>, "
-                "r_id array<bigint>, r_key array<bigint>, r_us array<bigint>")
+MATCH_SCHEMA = "req_id bigint, {key} {ktype}, resp_id bigint, delay_us bigint"
+STATE_SCHEMA = ("q_id array<bigint>, q_key array<{ktype}>, q_us array<bigint>, "
+                "r_id array<bigint>, r_key array<{ktype}>, r_us array<bigint>")
 SHARDS_PER_PARTITION = 4
 
 
@@ -61,7 +61,7 @@ def match_final(q: pd.DataFrame, r: pd.DataFrame, limit_us: int) -> pd.DataFrame
     hit = m["resp_id"].notna()
     out = pd.DataFrame({
         "req_id": m["id"].astype("int64"),
-        "key": m["key"].astype("int64"),
+        "key": m["key"],
         "resp_id": m["resp_id"].astype("Int64").where(hit),
         "delay_us": (m["resp_us"] - m["us"]).astype("Int64").where(hit),
     })
@@ -70,7 +70,7 @@ def match_final(q: pd.DataFrame, r: pd.DataFrame, limit_us: int) -> pd.DataFrame
 
 def _frame(ids, keys, us) -> pd.DataFrame:
     return pd.DataFrame({"id": np.asarray(ids, dtype="int64"),
-                         "key": np.asarray(keys, dtype="int64"),
+                         "key": pd.Series(list(keys), dtype=object),
                          "us": np.asarray(us, dtype="int64")})
 
 
@@ -88,7 +88,7 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
     """Streaming (req_id, <key>, resp_id, delay_us); one row per request.
 
     ``requests`` and ``responses`` are streaming frames with ``id_col``, ``key``
-    (bigint) and ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
+    (any type Arrow carries) and ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
     ``delay`` is the watermark delay: how late a row may arrive and count.
 
     ``shards``: number of state groups. Each holds the events of its keys in
@@ -102,7 +102,7 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
         shards = max(1, parts * SHARDS_PER_PARTITION)
 
     def side(df: DataFrame, kind: int) -> DataFrame:
-        return df.select(F.col(key).cast("bigint").alias("key"), F.col(id_col).alias("id"),
+        return df.select(F.col(key).alias("key"), F.col(id_col).alias("id"),
                          F.col(ts).cast("timestamp").alias("ts"), F.lit(kind).alias("kind"))
 
     events = side(requests, 1).unionByName(side(responses, 0)).withWatermark("ts", delay)
@@ -144,6 +144,8 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
         if len(done):
             yield out.rename(columns={"key": key})
 
+    ktype = requests.schema[key].dataType.simpleString()
     return (routed.groupBy("shard")
-            .applyInPandasWithState(step, MATCH_SCHEMA.format(key=key), STATE_SCHEMA,
+            .applyInPandasWithState(step, MATCH_SCHEMA.format(key=key, ktype=ktype),
+                                    STATE_SCHEMA.format(ktype=ktype),
                                     "append", GroupStateTimeout.EventTimeTimeout))

@@ -187,3 +187,38 @@ def test_auto_strategy_picks_by_skew(spark):
         auto = {x.req_id: tuple(x) for x in match_within(q, r, "user_id", 300, strategy="auto").collect()}
         plain = {x.req_id: tuple(x) for x in match_within(q, r, "user_id", 300).collect()}
         assert auto == plain
+
+
+def test_string_keys(spark, tmp_dir):
+    from gatehouse.operators.match_ranged import match_within_ranged
+    rnd = random.Random(11)
+    rows = [(i, f"user-{rnd.randint(0, 4)}", T0 + dt.timedelta(seconds=rnd.randint(0, 3000))) for i in range(80)]
+    reqs, resps = rows[::2], rows[1::2]
+    schema = "event_id bigint, user_id string, ts timestamp_ntz"
+    q, r = spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema)
+    want = brute(reqs, resps, 300 * 10**6)
+    for res in (match_within(q, r, "user_id", 300), match_within_ranged(q, r, "user_id", 300, partitions=5)):
+        assert {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()} == want
+
+
+def test_stream_string_keys(spark, tmp_dir):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from gatehouse.streaming import match_within_stream
+
+    src, sink, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    os.makedirs(src)
+    m = dt.timedelta(minutes=1)
+    rows = [(1, "ann", T0, "click"), (2, "ann", T0 + 2 * m, "view"), (3, "bob", T0 + m, "click"),
+            (4, "cyd", T0 + 90 * m, "click")]
+    pd.DataFrame(rows, columns=["event_id", "user_id", "ts", "event_type"]).to_parquet(
+        os.path.join(src, "b0.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
+    ev = spark.readStream.schema("event_id bigint, user_id string, ts timestamp, event_type string").parquet(src)
+    out = match_within_stream(ev.where(F.col("event_type") == "click").drop("event_type"),
+                              ev.where(F.col("event_type") == "view").drop("event_type"),
+                              "user_id", 300, delay="2 minutes", shards=2)
+    (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in spark.read.parquet(sink).collect()}
+    assert got == {1: ("ann", 2, 120_000_000), 3: ("bob", None, None)}
