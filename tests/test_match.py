@@ -222,3 +222,28 @@ def test_stream_string_keys(spark, tmp_dir):
      .outputMode("append").trigger(availableNow=True).start().awaitTermination())
     got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in spark.read.parquet(sink).collect()}
     assert got == {1: ("ann", 2, 120_000_000), 3: ("bob", None, None)}
+
+
+def test_stream_drops_rows_behind_the_watermark(spark, tmp_dir):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from gatehouse.streaming import match_within_stream
+
+    src, sink, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    os.makedirs(src)
+    m = dt.timedelta(minutes=1)
+    ev = spark.readStream.schema("event_id bigint, user_id bigint, ts timestamp, event_type string").parquet(src)
+    out = match_within_stream(ev.where(F.col("event_type") == "click").drop("event_type"),
+                              ev.where(F.col("event_type") == "view").drop("event_type"),
+                              "user_id", 300, delay="2 minutes", shards=2)
+    run_ = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+            .outputMode("append").trigger(availableNow=True))
+    batches = [[(1, 1, T0 + 60 * m, "click")],
+               [(2, 2, T0, "click"), (3, 2, T0 + m, "view")],     # both far behind the watermark
+               [(4, 3, T0 + 120 * m, "click")]]
+    for i, rows in enumerate(batches):
+        pd.DataFrame(rows, columns=["event_id", "user_id", "ts", "event_type"]).to_parquet(
+            os.path.join(src, f"b{i}.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
+        run_.start().awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(sink).collect()) == [(1, 1, None, None)]
