@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehouse.llm import (entropy_mix, exact_topk, extendible, prefix_bpe, rp_forest,
-                           rule_quality, secrets_battery, simhash_bk, toxicity_cnn)
+from gatehouse.llm import (entropy_mix, exact_topk, extendible, html_crf, prefix_bpe,
+                           rp_forest, rule_quality, secrets_battery, simhash_bk, toxicity_cnn)
 from gatehouse.llm.common import table
 
 SHARD_BYTES = 1 << 20
@@ -43,6 +43,11 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "language")
 
 
+def op6_html_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    main = html_crf.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+    return main.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op7_simhash_bk_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_bk.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash_bk.hex16("fp").alias("fingerprint"), "component_id")
@@ -81,6 +86,7 @@ QUERIES = {
     "op3_entropy_mix": op3_entropy_mix,
     "op4_rp_forest": op4_rp_forest,
     "op5_toxicity_cnn": op5_toxicity_cnn,
+    "op6_html_crf": op6_html_crf,
     "op7_simhash_bk_tree": op7_simhash_bk_tree,
     "op8_rule_quality": op8_rule_quality,
     "op9_secret_battery": op9_secret_battery,
@@ -113,6 +119,4 @@ m AS (SELECT * FROM s WHERE shard_bytes <= {SHARD_BYTES}
       QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1)
 SELECT doc_id, n_bytes, substr(lpad(bin(h), 60, '0'), 1, depth) AS shard, depth, shard_bytes FROM m
 """,
-    "op3_entropy_mix": None,
 }
-ORACLE_SQL = {k: v for k, v in ORACLE_SQL.items() if v}
