@@ -5,7 +5,8 @@ the kind ``random``: every run of 20 or more key characters outside the base
 spans gets an inferred encoding, and three tests of the hypothesis that its
 characters are drawn uniformly and independently from that alphabet:
 
-* chi-squared: are the alphabet's symbols equally frequent;
+* chi-squared: are the alphabet's symbols, and its digits, capitals and small
+  letters, as frequent as they should be;
 * runs: does the sequence of "above / below the alphabet's middle" have the
   expected number of runs;
 * serial correlation: are neighbouring symbol values uncorrelated.
@@ -16,8 +17,8 @@ encoding, the strings above p = 1/2 tell how many random ones there are, and
 at a cut ``t`` the share of ordinary ones among those kept is
 ``1 - (1 - t) * 2 * #(p > 1/2) / #(p >= t)``. The smallest cut whose share is
 at most ``fdr`` is used (length-aware false-discovery control). A class whose
-evidence is too thin for that (fewer than ``MIN_CLASS`` distinct strings)
-keeps the strings with p above 1/2. The counts run over the distinct strings of
+evidence is too thin for that (fewer than ``MIN_CLASS`` distinct strings above
+1/2) uses the fixed cut ``THIN_CUT``. The counts run over the distinct strings of
 all documents, as a Spark aggregate; only the cuts, of which there are at most
 ``len(ENCODINGS) * len(LENGTHS)``, are broadcast.
 """
@@ -55,6 +56,7 @@ ENCODINGS = {
 LENGTHS = (20, 24, 32, 40, 64, 128)      # lower ends of the length classes
 BINS = 200                               # resolution of the cuts
 MIN_CLASS = 20
+THIN_CUT = 0.2
 FDR = 0.05
 
 SPANS = "array<struct<kind:int,start:bigint,end:bigint>>"
@@ -77,6 +79,14 @@ def _chi2_tail(x: float, df: int) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def _binomial_tail(x: int, n: int, p: float) -> float:
+    """Two-sided p-value of ``x`` successes in ``n`` trials (twice the smaller tail)."""
+    if n > 400:
+        return _normal_tail((x - n * p) / math.sqrt(n * p * (1 - p)))
+    weight = [math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(n + 1)]
+    return min(1.0, 2 * min(sum(weight[:x + 1]), sum(weight[x:])))
+
+
 def encoding_of(s: str) -> str | None:
     """The narrowest alphabet that holds all of ``s`` (padding ``=`` aside)."""
     seen = set(s.rstrip("="))
@@ -111,7 +121,14 @@ def battery(s: str, encoding: str) -> float:
     pairs = sum(c * (c - 1) // 2 for c in full)
     mean = n * (n - 1) / 2 / k
     p_pairs = 0.5 * math.erfc((pairs - mean) / math.sqrt(mean * (1 - 1 / k)) / math.sqrt(2))
-    p_chi = min(1.0, 2 * min(p_chi, p_pairs))
+    # digits, capitals and small letters: each as frequent as in the alphabet
+    text = s.rstrip("=")
+    p_class = 1.0
+    for part in ("0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"):
+        share_of = sum(c in alphabet for c in part) / k
+        if 0 < share_of < 1:
+            p_class = min(p_class, _binomial_tail(sum(c in part for c in text), n, share_of))
+    p_chi = min(1.0, 3 * min(p_chi, p_pairs, p_class))
     # runs about the middle of the alphabet
     up = [2 * v >= k for v in x]
     a = sum(up)
@@ -211,9 +228,9 @@ def cuts(found: DataFrame, fdr: float = FDR) -> DataFrame:
     upper = F.sum(F.when(F.col("bin") >= BINS // 2, F.col("count")).otherwise(0)).over(cls)
     t = F.col("bin") / BINS
     share = 1 - F.least(F.lit(1.0), (1 - t) * 2 * upper / F.sum("count").over(above))
-    ok = (share <= fdr) & (F.sum("count").over(cls) >= MIN_CLASS)
+    ok = (share <= fdr) & (upper >= MIN_CLASS)
     return (binned.withColumn("t", F.when(ok, t)).groupBy("enc", "len_class")
-            .agg(F.coalesce(F.min("t"), F.lit(0.5)).alias("cut")))
+            .agg(F.coalesce(F.min("t"), F.lit(THIN_CUT)).alias("cut")))
 
 
 def find_secrets(docs: DataFrame, text: str = "text", fdr: float = FDR,
