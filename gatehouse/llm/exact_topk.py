@@ -49,11 +49,10 @@ def top_lists(ids, x, qid, q, k: int, scale: int = SCALE):
     for at in range(0, len(qid), STRIP):
         neg = products(q[at:at + STRIP], x)
         for row, own in zip(neg, qid[at:at + STRIP]):
-            take = np.arange(len(row))
-            if len(row) > k + 1:                # k-th best with one row to spare for the query's own
-                edge = np.partition(row, k)[k]
-                take = np.flatnonzero(row <= edge)
-            take = take[ids[take] != own]
+            take = np.flatnonzero(ids != own)
+            if len(take) > k:                   # ties at the edge may be many: all of them stay for now
+                part = row[take]
+                take = take[part <= np.partition(part, k - 1)[k - 1]]
             take = take[np.lexsort((ids[take], row[take]))][:k]
             out.append([(int(row[i]), int(ids[i])) for i in take])
     return out
@@ -71,7 +70,6 @@ def exact_topk(df: DataFrame, queries: Column, k: int = 10, vec_id: str = "vec_i
     """
 
     def kernel(ids, x, qid, q, shard):
-        # ties at the edge may outnumber k by far: the smallest ids among them win
         return top_lists(ids, x, qid, q, k, scale)
 
     lists, shards = tile_lists(usable(df, vec_id, vector), queries, kernel, "bigint", SHARD_ROWS, BLOCK_ROWS)
