@@ -36,10 +36,13 @@ BRACKETED_HOST = rf"\[(?:{IPV6_PATTERN}(?:%[^%/\]]+)?|v[0-9a-fA-F]+\.[^\]]+)\]"
 # or a host without blanks or delimiters; an optional port of ASCII digits
 # (may be empty, leading zeros allowed); an optional path; no query and no
 # fragment, though a bare trailing "?" or "#" (empty query / fragment) is
-# allowed. Group 3 is the port.
+# allowed. Anchored at the very ends of the text: a line end is no end. Group 3
+# is the port.
+HOST_SPACE = (r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+              r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}")
 BASE_URL_PATTERN = (
-    rf"^(?i:https?)://(:?@)?({BRACKETED_HOST}|[^\s/?#@:\[\]]+)"
-    r"(:[0-9]*)?(/[^?#]*)?[?]?#?$"
+    rf"\A(?i:https?)://(:?@)?({BRACKETED_HOST}|[^{HOST_SPACE}/?#@:\[\]]+)"
+    r"(:[0-9]*)?(/[^?#]*)?[?]?#?\z"
 )
 MAX_PORT = 65535
 

@@ -23,11 +23,12 @@ def _s(c: Column) -> Column:
 
 
 def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(req_id, raw_url): one service address per page, 12 address cases."""
+    """(req_id, raw_url): one service address per page, 16 address cases."""
     p = table(spark, sf_dir, "pages").select("page_id", "url")
     pid = F.col("page_id")
     url = F.col("url")
-    k = pid % 12
+    k = pid % 16
+    host = F.concat(F.lit("http://h"), _s(pid))
     raw = (F.when(k == 0, F.concat(F.lit("\t "), url, F.lit("\n")))
            .when(k == 1, F.concat(url, F.lit("///")))
            .when(k == 2, F.replace(url, F.lit("://"), F.lit("://u:p@")))
@@ -39,6 +40,10 @@ def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(k == 8, F.concat(F.lit("http://h"), _s(pid), F.lit("?")))
            .when(k == 9, F.concat(F.lit("http://[::1]:"), _s(pid)))
            .when(k == 10, F.concat(F.lit("\u00a0http://h_"), _s(pid)))
+           .when(k == 11, F.concat(host, F.lit("\n/")))           # line ends before the last slash
+           .when(k == 12, F.concat(host, F.lit("\r/")))
+           .when(k == 13, F.concat(host, F.lit("\u2028/")))
+           .when(k == 14, F.concat(host, F.lit(":80\n/")))
            .otherwise(url))
     return p.select(pid.alias("req_id"), raw.alias("raw_url"))
 

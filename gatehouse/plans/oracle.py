@@ -1,15 +1,13 @@
 """DuckDB SQL for every query with a SQL equivalent (the correctness oracle).
 
 Written independently of the Spark plans, as plain SQL over the driver's
-tables: the fixture views are CTEs, the fixed values (tasks, kinds, patterns)
-are shared with the Spark side because they are inputs, not logic.
+tables: the fixture views are CTEs; only the course's tables (tasks, kinds) and
+the default address are shared with the Spark side, because they are inputs.
+Character lists and patterns are written anew here.
 """
 
 from __future__ import annotations
 
-from gatehouse.functions.text import (NOT_IMPLEMENTED_PATTERN, STRIP_PATTERN,
-                                      TODO_PATTERN)
-from gatehouse.functions.urls import BASE_URL_PATTERN, MAX_PORT
 from gatehouse.plans.fixtures import DEFAULT_BASE_URL, EXCEPTIONS, KINDS, TASKS
 
 
@@ -21,18 +19,28 @@ def _list(xs: list[str] | None) -> str:
     return "NULL::VARCHAR[]" if xs is None else "[" + ", ".join(_q(x) for x in xs) + "]"
 
 
+# Fixed values, as code points: what Python's str.isspace accepts below U+3100.
+SPACES = " || ".join(f"chr({c})" for c in (
+    9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760, 8192, 8193, 8194, 8195, 8196, 8197, 8198, 8199, 8200,
+    8201, 8202, 8232, 8233, 8239, 8287, 12288))
+
+# The accepted address in RE2 terms: scheme, empty user info, a bracketed or
+# plain host, port (group 1), path, and at most an empty query and fragment.
+ADDRESS = r"\A(?i:http|https)://(?::?@)?(?:\[[0-9a-fA-F:.]+\]|[^\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}/?#@:\[\]]+)(?::([0-9]*))?(?:/[^?#]*)?\??#?\z"
+
+
 def strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, {_q(STRIP_PATTERN)}, '', 'g')"
+    return f"trim({x}, {SPACES})"
 
 
 def base_sql(x: str) -> str:
-    return f"regexp_replace({strip_sql(x)}, '/+\\z', '', 'g')"
+    return f"rtrim({strip_sql(x)}, '/')"
 
 
 def valid_sql(b: str) -> str:
-    port = f"regexp_replace(regexp_extract({b}, {_q(BASE_URL_PATTERN)}, 3), '^:0*', '')"
-    return (f"coalesce(regexp_matches({b}, {_q(BASE_URL_PATTERN)}) and "
-            f"(length({port}) = 0 or (length({port}) <= 5 and try_cast({port} as integer) <= {MAX_PORT})), false)")
+    port = f"ltrim(regexp_extract({b}, {_q(ADDRESS)}, 1), '0')"
+    return (f"coalesce(regexp_matches({b}, {_q(ADDRESS)}) and "
+            f"({port} = '' or (length({port}) <= 5 and try_cast({port} as integer) <= 65535)), false)")
 
 
 def blank_sql(x: str) -> str:
@@ -44,7 +52,7 @@ TASK_CASE = "case sub_id % 5 " + " ".join(
 
 VIEWS = {
     "endpoints_v": r"""
-select page_id as req_id, case page_id % 12
+select page_id as req_id, case page_id % 16
   when 0 then chr(9) || ' ' || url || chr(10)
   when 1 then url || '///'
   when 2 then replace(url, '://', '://u:p@')
@@ -56,6 +64,10 @@ select page_id as req_id, case page_id % 12
   when 8 then 'http://h' || cast(page_id as varchar) || '?'
   when 9 then 'http://[::1]:' || cast(page_id as varchar)
   when 10 then chr(160) || 'http://h_' || cast(page_id as varchar)
+  when 11 then 'http://h' || cast(page_id as varchar) || chr(10) || '/'
+  when 12 then 'http://h' || cast(page_id as varchar) || chr(13) || '/'
+  when 13 then 'http://h' || cast(page_id as varchar) || chr(8232) || '/'
+  when 14 then 'http://h' || cast(page_id as varchar) || ':80' || chr(10) || '/'
   else url end as raw_url
 from pages""",
     "tasks_v": "select * from (values " + ", ".join(
@@ -275,8 +287,9 @@ def oracle_sql() -> dict[str, str]:
         "(select distinct sub_id, task_id from submissions_v) h left join tasks_v t on t.task_id = h.task_id")
     s["f5_placeholder_flags"] = with_views(
         ["submissions_v"],
-        f"select sub_id, pos, regexp_matches(content, {_q(TODO_PATTERN)}) as has_todo, "
-        f"regexp_matches(content, {_q(NOT_IMPLEMENTED_PATTERN)}) as has_not_implemented from submissions_v")
+        r"select sub_id, pos, regexp_matches(content, '(^|[^0-9A-Za-z_])TODO($|[^0-9A-Za-z_])') as has_todo, "
+        r"regexp_matches(content, '(^|[^0-9A-Za-z_])NotImplementedError($|[^0-9A-Za-z_])') as has_not_implemented "
+        "from submissions_v")
     s["a1_check_arity"] = with_views(
         SUB_VIEWS, "select sub_id, task_id, n_explicit, arity_ok, has_files from arity", ARITY_CTES)
     s["j2_resolve_paths"] = with_views(
