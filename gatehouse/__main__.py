@@ -3,7 +3,7 @@
     python -m gatehouse screen   --input DIR --out PATH   # reasons per submission (Parquet)
     python -m gatehouse assemble --input DIR --out PATH   # request objects (JSON Lines, S3)
     python -m gatehouse judge    --input DIR --out PATH   # verdicts by outcome (Parquet, S4)
-    python -m gatehouse match    --input DIR --out PATH [--seconds 300] [--strategy auto]
+    python -m gatehouse match    --input DIR --out PATH [--seconds 300]
 
 ``DIR`` holds the input tables as ``<name>.parquet``. The session is taken as
 configured by spark-submit; ``--master`` is for local runs. Outputs must not
@@ -25,8 +25,6 @@ def run(argv: list[str]) -> int:
     p.add_argument("--input", required=True, help="folder with the input tables")
     p.add_argument("--out", required=True, help="output folder (must not exist)")
     p.add_argument("--seconds", type=float, default=300, help="match: time limit")
-    p.add_argument("--strategy", choices=["bucketed", "ranged", "auto"], default="auto",
-                   help="match: plan (auto measures skew first)")
     p.add_argument("--master", default=None, help="local runs only, e.g. local[8]")
     a = p.parse_args(argv)
 
@@ -48,7 +46,7 @@ def run(argv: list[str]) -> int:
         e = fx.table(spark, a.input, "events").select("event_id", "user_id", "ts", "event_type")
         q = e.where(F.col("event_type") == "click").drop("event_type")
         r = e.where(F.col("event_type") == "view").drop("event_type")
-        (match_within(q, r, "user_id", a.seconds, strategy=a.strategy)
+        (match_within(q, r, "user_id", a.seconds)
          .write.mode("errorifexists").parquet(a.out))
     return 0
 

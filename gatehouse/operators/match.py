@@ -1,31 +1,32 @@
 """Match each request with its earliest response within a time limit.
 
-An as-of (forward) join per key, written without emitting pairs: a join on the
-key with a range condition would pair every request with every response of
-the key inside the window, which is quadratic for a hot key. Instead:
-
-1. Time is cut into buckets of ``bucket_seconds`` (default: the limit itself)
-   and every row is partitioned by (key, bucket), so a hot key is spread over
-   as many tasks as it has buckets.
-2. Inside a bucket, one running window (ordered by time, descending) gives each
-   request the nearest response at or after it -- a linear pass, no pairs.
-3. A response in a later bucket can only be the answer if it is the *first*
-   response of that bucket; those firsts (one row per key and bucket, a
-   partial aggregate) are carried into the ``ceil(limit / bucket)`` buckets
-   before them. Beyond that distance a response is out of the window, so the
-   result is exact with a bounded number of carried rows.
+An as-of (forward) join per key that emits no pairs and needs no assumption
+about how the rows concentrate on a key or in time:
+
+1. Requests and responses are range-partitioned on the total order (key, time,
+   kind, id). Spark samples these keys, so a hot key is cut into as many
+   partitions as its rows need. The dealt rows are written once to the shared
+   folder: both steps below must see the same cuts.
+2. Inside a (partition, key) group, one running window in descending order
+   carries the last response seen: each request's next response.
+3. A request that has none there takes the first response of the same key in
+   the next partition that has one. Only a key at the edge of a partition can
+   go on in another, so that table has at most two keys for each partition
+   and is broadcast.
 
 The window is half-open: ``req.ts <= resp.ts < req.ts + limit``. Ties on time go
 to the lowest response id. Every request is kept; unmatched ones get nulls.
+A null key or time matches nothing. Ids are carried, never computed with, so
+they may be of any type that can be ordered.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gatehouse.session import shared_table
+
 MICROS = 1_000_000
 
 
@@ -35,88 +36,50 @@ def event_micros(ts: Column | str) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def _bucket(us: Column, width_us: int) -> Column:
-    # floor division, exact on 64-bit integers (pmod is non-negative, so
-    # times before the epoch fall in the right bucket too)
-    return ((us - F.pmod(us, F.lit(width_us))) / F.lit(width_us)).cast("bigint")
-
-
-# ``strategy="auto"``: a (key, bucket) group larger than this many times an
-# even share of the rows per shuffle partition is treated as hot.
-HOT_GROUP_FACTOR = 2.0
-
-
-def hot_group_ratio(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
-                    ts: str = "ts") -> float:
-    """Largest (key, time bucket) group over an even share per partition.
-
-    One partial aggregate over both inputs; a single row reaches the driver.
-    """
-    width_us = int(round(seconds * MICROS))
-    spark = requests.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-
-    def keyed(df: DataFrame) -> DataFrame:
-        return df.select(F.col(key).alias("_k"), _bucket(event_micros(ts), width_us).alias("_b"))
-
-    sizes = keyed(requests).unionByName(keyed(responses)).groupBy("_k", "_b").count()
-    row = sizes.agg(F.max("count").alias("m"), F.sum("count").alias("n")).first()
-    if not row or not row["n"]:
-        return 0.0
-    return float(row["m"]) / max(1.0, float(row["n"]) / parts)
-
-
 def match_within(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
-                 ts: str = "ts", id_col: str = "event_id",
-                 bucket_seconds: float | None = None, strategy: str = "bucketed") -> DataFrame:
+                 ts: str = "ts", id_col: str = "event_id", partitions: int | None = None) -> DataFrame:
     """(req_id, <key>, resp_id, delay_us) for every request.
 
-    ``requests`` and ``responses`` carry ``id_col``, ``key`` and ``ts``.
-    ``bucket_seconds`` below ``seconds`` spreads a key that is hot within one
-    limit-wide stretch of time over more tasks, at the cost of carrying each
-    bucket's first response into more buckets.
-
-    ``strategy``: ``bucketed`` (this plan), ``ranged``
-    (:func:`gatehouse.operators.match_ranged.match_within_ranged`, balanced
-    for any skew) or ``auto``: measure the largest (key, bucket) group first
-    and take ``ranged`` when it exceeds ``HOT_GROUP_FACTOR`` times an even
-    share per partition. All give the same answer.
+    ``requests`` and ``responses`` carry ``id_col``, ``key`` and ``ts``;
+    ``partitions`` (default: the session's shuffle partitions) only sets how
+    finely the order is cut.
     """
-    if strategy not in ("bucketed", "ranged", "auto"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    if strategy == "auto":
-        width = bucket_seconds or seconds
-        hot = hot_group_ratio(requests, responses, key, width, ts) > HOT_GROUP_FACTOR
-        strategy = "ranged" if hot else "bucketed"
-    if strategy == "ranged":
-        from gatehouse.operators.match_ranged import match_within_ranged
-        return match_within_ranged(requests, responses, key, seconds, ts=ts, id_col=id_col)
+    spark = requests.sparkSession
     limit_us = int(round(seconds * MICROS))
-    width_us = int(round((bucket_seconds or seconds) * MICROS))
-    reach = max(1, math.ceil(limit_us / width_us))
-
-    def rows(df: DataFrame) -> DataFrame:
-        us = event_micros(ts)
-        return df.select(F.col(key).alias("_k"), F.col(id_col).alias("_id"), us.alias("_t"))
-
-    req = rows(requests).withColumn("_b", _bucket(F.col("_t"), width_us))
-    resp = rows(responses).withColumn("_b", _bucket(F.col("_t"), width_us))
-
-    firsts = (resp.groupBy("_k", "_b").agg(F.min(F.struct("_t", "_id")).alias("_f"))
-              .select("_k", F.explode(F.sequence(F.col("_b") - reach, F.col("_b") - 1)).alias("_b"),
-                      F.col("_f._t").alias("_t"), F.col("_f._id").alias("_id")))
-
-    stream = (req.withColumn("_kind", F.lit(1))
-              .unionByName(resp.withColumn("_kind", F.lit(0)))
-              .unionByName(firsts.withColumn("_kind", F.lit(0))))
-    w = (Window.partitionBy("_k", "_b")
-         .orderBy(F.col("_t").desc(), F.col("_kind").asc(), F.col("_id").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nearest = F.last(F.when(F.col("_kind") == 0, F.struct("_t", "_id")), ignorenulls=True).over(w)
-
-    matched = (stream.withColumn("_n", nearest).where(F.col("_kind") == 1)
-               .withColumn("_d", F.col("_n._t") - F.col("_t")))
-    hit = F.col("_d") < F.lit(limit_us)
-    return matched.select(F.col("_id").alias("req_id"), F.col("_k").alias(key),
-                          F.when(hit, F.col("_n._id")).alias("resp_id"),
-                          F.when(hit, F.col("_d")).cast("bigint").alias("delay_us"))
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+    def side(df: DataFrame, kind: int) -> DataFrame:
+        return df.select(F.col(key).alias("k"), event_micros(ts).alias("t"), F.lit(kind).alias("kind"),
+                         F.col(id_col).alias("id"))
+
+    usable = F.col("k").isNotNull() & F.col("t").isNotNull()
+    req = side(requests, 0)
+    dealt = shared_table(
+        req.where(usable).unionByName(side(responses, 1).where(usable))
+        .repartitionByRange(n, "k", "t", "kind", "id").withColumn("pid", F.spark_partition_id()), "j3-dealt")
+
+    response = F.when(F.col("kind") == 1, F.struct("t", "id"))
+    # descending: a response of the same time comes before the request, and of
+    # several the one with the lowest id comes last
+    seen = (Window.partitionBy("pid", "k").orderBy(F.col("t").desc(), F.col("kind").desc(), F.col("id").desc())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inside = dealt.withColumn("next", F.last(response, ignorenulls=True).over(seen)).where("kind = 0")
+
+    edges = dealt.groupBy("pid").agg(F.min("k").alias("low"), F.max("k").alias("high"))
+    edge_keys = edges.select(F.explode(F.array("low", "high")).alias("k")).distinct()
+    firsts = dealt.join(F.broadcast(edge_keys), "k").groupBy("k", "pid").agg(F.min(response).alias("first"))
+    later = Window.partitionBy("k").orderBy(F.col("pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = firsts.select("k", "pid", F.last("first", ignorenulls=True).over(later).alias("ahead"))
+    answered = (inside.join(F.broadcast(ahead), ["k", "pid"], "left")     # at most two keys a partition
+                .select("id", "k", "t", F.coalesce("next", "ahead").alias("hit")))
+
+    delay = F.col("hit.t") - F.col("t")
+    within = delay < F.lit(limit_us)
+    out = answered.select(F.col("id").alias("req_id"), F.col("k").alias(key),
+                          F.when(within, F.col("hit.id")).alias("resp_id"),
+                          F.when(within, delay).cast("bigint").alias("delay_us"))
+    resp_type = responses.schema[id_col].dataType
+    lost = req.where(~usable).select(F.col("id").alias("req_id"), F.col("k").alias(key),
+                                     F.lit(None).cast(resp_type).alias("resp_id"),
+                                     F.lit(None).cast("bigint").alias("delay_us"))
+    return out.unionByName(lost)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on for correct results (not tuning):
 #  - UTC session time zone: event-time casts from timestamp_ntz (T1, J3);
@@ -69,19 +69,17 @@ def ensure_semantics(spark: SparkSession) -> SparkSession:
 def checkpoint_base(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) do we make one under the
-    system temp folder and register it with ``setCheckpointDir``.
+    Only when the session names none and runs in one process (``local`` master:
+    tests) do we make one under the system temp folder. On a cluster that
+    would be a folder of one machine, so a missing setting is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
+    base = (spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())
     if base:
         return base
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    if not sc.master.startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     base = tempfile.mkdtemp(prefix="gatehouse-ckpt-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
@@ -91,12 +89,19 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory.
 
     Used for written tables (sink round trips, streaming checkpoints); never a
-    machine-local folder when the cluster names a shared one.
+    machine-local folder on a cluster.
     """
     base = checkpoint_base(spark)
     return f"{base.rstrip('/')}/gatehouse/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def shared_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: the lineage is cut there."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -4,17 +4,22 @@ Same answer as :func:`gatehouse.operators.match.match_within` -- each request
 with its earliest response in ``[ts, ts + limit)`` -- computed incrementally
 with ``applyInPandasWithState``.
 
-State is kept per *shard* of keys (``pmod(hash(key), shards)``), not per key:
-one Python call per shard and batch instead of one per key, and a hot key is
-confined to its shard. A shard holds its pending requests and the responses
-that can still answer a request. A request is final once its deadline
-``ts + limit`` is behind the watermark (later rows are dropped by Spark, so no
-earlier response can still arrive); final requests are matched per key with a
-forward as-of search (no pairs are formed), emitted once in append mode, and
-dropped from state. Responses older than both the watermark and the oldest
-pending request can answer nothing and are pruned, so state is bounded by the
-``limit + delay`` stretch of event time, not by the stream's length.
-Requests whose deadline is not yet behind the watermark stay in state.
+Time is cut into buckets as long as the limit. A request's answer lies in its
+own bucket or the next, so a request belongs to the group (key, bucket) and a
+response to two groups: its own bucket's and the one before. State is split by
+that group, not by key: groups are hashed to ``shards`` state rows (one Python
+call per shard and batch), and a hot key is spread over as many shards as it
+has buckets.
+
+A request is final once its deadline ``ts + limit`` is behind the watermark
+(later rows are dropped by Spark, so no earlier response can still arrive).
+Final requests find their response by one sorted search (no pairs are formed),
+are emitted once in append mode, and leave the state. Responses older than both
+the watermark and the oldest pending request can answer nothing and are pruned,
+so state is bounded by the ``limit + delay`` stretch of event time, not by the
+stream's length. Requests whose deadline is not yet behind the watermark stay
+in state. A null key matches nothing. Ids are carried by position, never
+computed with.
 """
 
 from __future__ import annotations
@@ -39,39 +44,63 @@ try:
 except Exception:  # pragma: no cover - older cloudpickle: ship the package instead
     pass
 
-MATCH_SCHEMA = "req_id bigint, {key} {ktype}, resp_id bigint, delay_us bigint"
-STATE_SCHEMA = ("q_id array<bigint>, q_key array<{ktype}>, q_us array<bigint>, "
-                "r_id array<bigint>, r_key array<{ktype}>, r_us array<bigint>")
+MATCH_SCHEMA = "req_id {qtype}, {key} {ktype}, resp_id {rtype}, delay_us bigint"
+# ids and keys travel as text: pandas would turn integers with nulls into floats
+STEP_SCHEMA = "req_id string, key string, resp_id string, delay_us bigint"
+STATE_SCHEMA = ("q_id array<string>, q_key array<string>, q_b array<bigint>, q_us array<bigint>, "
+                "r_id array<string>, r_key array<string>, r_b array<bigint>, r_us array<bigint>")
+INTEGERS = ("tinyint", "smallint", "int", "bigint")
 SHARDS_PER_PARTITION = 4
+COLUMNS = ("id", "key", "b", "us")
 
 
-def match_final(q: pd.DataFrame, r: pd.DataFrame, limit_us: int) -> pd.DataFrame:
+def _ranks(*parts: pd.Series) -> list[np.ndarray]:
+    """The parts' values as ranks in their common order; null is -1."""
+    both = pd.concat([p.astype(object) for p in parts], ignore_index=True)
+    codes, _ = pd.factorize(both, sort=True)
+    return np.split(codes.astype(np.int64), np.cumsum([len(p) for p in parts])[:-1])
+
+
+def match_final(q: pd.DataFrame, r: pd.DataFrame, limit_us: int, integer_ids: bool = True) -> pd.DataFrame:
     """Earliest response per request within the limit; ties to the lowest id.
 
-    ``q`` and ``r`` have columns id, key, us. Returns (req_id, key, resp_id,
-    delay_us) with nulls for unanswered requests.
+    ``q`` and ``r`` have the columns id and key (as text), b (time bucket), us;
+    ``integer_ids``: response ids are ordered as numbers. Returns (req_id, key,
+    resp_id, delay_us) with nulls for unanswered requests.
     """
-    q = q.sort_values(["us", "id"], kind="stable").reset_index(drop=True)
-    r = (r.sort_values(["us", "id"], kind="stable")
-         .rename(columns={"id": "resp_id", "us": "resp_us"}).reset_index(drop=True))
-    r["us"] = r["resp_us"]
-    m = pd.merge_asof(q, r[["us", "key", "resp_id", "resp_us"]], on="us", by="key",
-                      direction="forward", allow_exact_matches=True,
-                      tolerance=limit_us - 1)
-    hit = m["resp_id"].notna()
-    out = pd.DataFrame({
-        "req_id": m["id"].astype("int64"),
-        "key": m["key"],
-        "resp_id": m["resp_id"].astype("Int64").where(hit),
-        "delay_us": (m["resp_us"] - m["us"]).astype("Int64").where(hit),
-    })
-    return out
-
-
-def _frame(ids, keys, us) -> pd.DataFrame:
-    return pd.DataFrame({"id": np.asarray(ids, dtype="int64"),
-                         "key": pd.Series(list(keys), dtype=object),
-                         "us": np.asarray(us, dtype="int64")})
+    q_key, r_key = _ranks(q["key"], r["key"])
+    q_us, r_us = q["us"].to_numpy(np.int64), r["us"].to_numpy(np.int64)
+    q_b, r_b = q["b"].to_numpy(np.int64), r["b"].to_numpy(np.int64)
+    (r_id,) = _ranks(pd.Series([None if x is None else int(x) for x in r["id"]], dtype=object) if integer_ids else r["id"])
+    order = np.lexsort((r_id, r_us, r_b, r_key))
+    order = order[r_key[order] >= 0]
+    # (key, bucket, time) as one number each, equal for equal triples
+    times = np.unique(np.concatenate([q_us, r_us]))
+    buckets = np.unique(np.concatenate([q_b, r_b]))
+
+    def place(key, b, us):
+        return (key * len(buckets) + np.searchsorted(buckets, b)) * len(times) + np.searchsorted(times, us)
+
+    sorted_r = place(r_key, r_b, r_us)[order]
+    pos = np.searchsorted(sorted_r, place(q_key, q_b, q_us), "left")
+    at = np.minimum(pos, max(0, len(order) - 1))
+    resp: list = [None] * len(q)
+    delay: list = [None] * len(q)
+    if len(order):
+        row = order[at]
+        hit = ((pos < len(order)) & (q_key >= 0) & (r_key[row] == q_key) & (r_b[row] == q_b)
+               & (r_us[row] - q_us < limit_us))
+        ids = r["id"].tolist()
+        for i in np.flatnonzero(hit):
+            resp[i], delay[i] = ids[row[i]], int(r_us[row[i]] - q_us[i])
+    return pd.DataFrame({"req_id": pd.Series(q["id"].tolist(), dtype=object), "key": q["key"].to_numpy(),
+                         "resp_id": pd.Series(resp, dtype=object), "delay_us": pd.array(delay, dtype="Int64")})
+
+
+def _frame(ids, keys, b, us) -> pd.DataFrame:
+    """Ids and keys as plain objects: an integer id never passes through a float."""
+    return pd.DataFrame({"id": pd.Series(list(ids), dtype=object), "key": pd.Series(list(keys), dtype=object),
+                         "b": np.asarray(b, dtype="int64"), "us": np.asarray(us, dtype="int64")})
 
 
 def _append(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -87,8 +116,9 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
                         shards: int | None = None) -> DataFrame:
     """Streaming (req_id, <key>, resp_id, delay_us); one row per request.
 
-    ``requests`` and ``responses`` are streaming frames with ``id_col``, ``key``
-    (any type Arrow carries) and ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
+    ``requests`` and ``responses`` are streaming frames with ``id_col`` and ``key``
+    (of types that text keeps unchanged); rows without a time match nothing and
+    are left out. ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
     ``delay`` is the watermark delay: how late a row may arrive and count.
 
     ``shards``: number of state groups. Each holds the events of its keys in
@@ -102,25 +132,30 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
         shards = max(1, parts * SHARDS_PER_PARTITION)
 
     def side(df: DataFrame, kind: int) -> DataFrame:
-        return df.select(F.col(key).alias("key"), F.col(id_col).alias("id"),
-                         F.col(ts).cast("timestamp").alias("ts"), F.lit(kind).alias("kind"))
+        return df.select(F.col(key).cast("string").alias("key"), F.col(id_col).cast("string").alias("id"),
+                         F.col(ts).cast("timestamp").alias("ts"), F.lit(kind).alias("kind")).where("ts is not null")
 
     events = side(requests, 1).unionByName(side(responses, 0)).withWatermark("ts", delay)
-    routed = events.select("key", "id", "ts", "kind", event_micros("ts").alias("us"),
-                           F.pmod(F.xxhash64("key"), F.lit(shards)).alias("shard"))
+    us = event_micros("ts")
+    own = F.floor((us - F.pmod(us, F.lit(limit_us))) / limit_us).cast("bigint")
+    buckets = F.when(F.col("kind") == 1, F.array(own)).otherwise(F.array(own, own - 1))
+    routed = (events.select("key", "id", "ts", "kind", us.alias("us"), F.explode(buckets).alias("b"))
+              .withColumn("shard", F.pmod(F.xxhash64("key", "b"), F.lit(shards))))
+    types = {"ktype": requests.schema[key].dataType.simpleString(),
+             "qtype": requests.schema[id_col].dataType.simpleString(),
+             "rtype": responses.schema[id_col].dataType.simpleString()}
+    integer_ids = types["rtype"] in INTEGERS
 
     def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.exists:
-            qi, qk, qu, ri, rk, ru = state.get
-            q, r = _frame(qi, qk, qu), _frame(ri, rk, ru)
+            held = state.get
+            q, r = _frame(*held[:4]), _frame(*held[4:])
         else:
-            q = r = _frame([], [], [])
-        new = [pdf for pdf in batches if len(pdf)] if not state.hasTimedOut else []
-        if new:
-            pdf = pd.concat(new, ignore_index=True) if len(new) > 1 else new[0]
-            is_q = pdf["kind"].to_numpy() == 1
-            q = _append(q, _frame(pdf["id"][is_q], pdf["key"][is_q], pdf["us"][is_q]))
-            r = _append(r, _frame(pdf["id"][~is_q], pdf["key"][~is_q], pdf["us"][~is_q]))
+            q = r = _frame([], [], [], [])
+        if not state.hasTimedOut:
+            for pdf in batches:
+                is_q = pdf["kind"].to_numpy() == 1
+                q, r = (_append(f, _frame(*(pdf.loc[m, c] for c in COLUMNS))) for f, m in ((q, is_q), (r, ~is_q)))
 
         wm_ms = state.getCurrentWatermarkMs()
         wm_us = wm_ms * 1000
@@ -129,12 +164,11 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
         q = q[~final].reset_index(drop=True)
         floor_us = min(wm_us, int(q["us"].min())) if len(q) else wm_us
         if len(done):
-            out = match_final(done, r, limit_us)
+            out = match_final(done, r, limit_us, integer_ids)
         r = r[r["us"] >= floor_us].reset_index(drop=True)
 
         if len(q) or len(r):
-            state.update((q["id"].tolist(), q["key"].tolist(), q["us"].tolist(),
-                          r["id"].tolist(), r["key"].tolist(), r["us"].tolist()))
+            state.update(tuple(f[c].tolist() for f in (q, r) for c in COLUMNS))
             # wake up when the next request becomes final, or when the last
             # kept response is behind the watermark (then nothing is left)
             due_us = int((q["us"] + limit_us).min()) if len(q) else int(r["us"].max())
@@ -142,10 +176,9 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
         else:
             state.remove()
         if len(done):
-            yield out.rename(columns={"key": key})
+            yield out
 
-    ktype = requests.schema[key].dataType.simpleString()
-    return (routed.groupBy("shard")
-            .applyInPandasWithState(step, MATCH_SCHEMA.format(key=key, ktype=ktype),
-                                    STATE_SCHEMA.format(ktype=ktype),
-                                    "append", GroupStateTimeout.EventTimeTimeout))
+    found = routed.groupBy("shard").applyInPandasWithState(
+        step, STEP_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    return found.select(F.col("req_id").cast(types["qtype"]).alias("req_id"), F.col("key").cast(types["ktype"]).alias(key),
+                        F.col("resp_id").cast(types["rtype"]).alias("resp_id"), "delay_us")

@@ -24,11 +24,11 @@ def brute(reqs, resps, limit_us):
     return out
 
 
-def run(spark, reqs, resps, seconds, bucket_seconds=None):
+def run(spark, reqs, resps, seconds, partitions=None):
     schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
     q = spark.createDataFrame(reqs, schema)
     r = spark.createDataFrame(resps, schema)
-    res = match_within(q, r, "user_id", seconds, bucket_seconds=bucket_seconds)
+    res = match_within(q, r, "user_id", seconds, partitions=partitions)
     return {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()}
 
 
@@ -44,27 +44,52 @@ def test_edges(spark):
 
 
 @settings(max_examples=12, deadline=None)
-@given(st.integers(0, 10_000), st.sampled_from([60, 300, 3600]), st.sampled_from([None, 0.25, 0.5]))
-def test_random_vs_brute_force(spark, seed, seconds, frac):
+@given(st.integers(0, 10_000), st.sampled_from([60, 300, 3600]), st.sampled_from([None, 1, 23]))
+def test_random_vs_brute_force(spark, seed, seconds, parts):
     rnd = random.Random(seed)
     rows = [(i, rnd.randint(0, 3), T0 + dt.timedelta(microseconds=rnd.randint(0, 4 * seconds * 10**6)))
             for i in range(60)]
     reqs = [r for r in rows if r[0] % 2 == 0]
     resps = [r for r in rows if r[0] % 2 == 1] + [(1000 + i, r[1], r[2]) for i, r in enumerate(reqs[:5])]
-    bucket = seconds * frac if frac else None
-    assert run(spark, reqs, resps, seconds, bucket) == brute(reqs, resps, seconds * 10**6)
+    assert run(spark, reqs, resps, seconds, parts) == brute(reqs, resps, seconds * 10**6)
 
 
-def test_hot_key_spread_over_buckets(spark):
-    # one key holds every row; the plan partitions by (key, bucket), not key
+def test_hot_key_is_cut_into_many_partitions(spark):
     rnd = random.Random(3)
     rows = [(i, 1, T0 + dt.timedelta(seconds=rnd.randint(0, 20_000))) for i in range(400)]
     reqs, resps = rows[::2], rows[1::2]
-    assert run(spark, reqs, resps, 300) == brute(reqs, resps, 300 * 10**6)
+    assert run(spark, reqs, resps, 300, 16) == brute(reqs, resps, 300 * 10**6)
     schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
-    plan = match_within(spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema),
-                        "user_id", 300)._jdf.queryExecution().executedPlan().toString()
-    assert "_b" in plan and "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    out = match_within(spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema), "user_id", 300, partitions=16)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "pid" in plan                     # groups are (partition, key), never the key alone
+
+
+BIG = 2**53 + 1
+
+
+def test_ids_beyond_doubles_null_keys_and_keys_without_responses(spark):
+    s = dt.timedelta(seconds=1)
+    reqs = [(BIG, 1, T0), (BIG + 2, None, T0), (3, 5, T0), (4, 1, None), (None, 1, T0 + 400 * s)]
+    resps = [(BIG + 4, 1, T0 + s), (BIG + 6, None, T0 + s), (9, 6, T0), (10, 1, None)]
+    got = run(spark, reqs, resps, 300, 5)
+    assert got == {BIG: (1, BIG + 4, 1_000_000), BIG + 2: (None, None, None), 3: (5, None, None), 4: (1, None, None),
+                   None: (1, None, None)}
+
+
+def test_string_ids(spark):
+    schema = "event_id string, user_id bigint, ts timestamp_ntz"
+    s = dt.timedelta(seconds=1)
+    q = spark.createDataFrame([("q1", 1, T0), ("q2", 2, T0)], schema)
+    r = spark.createDataFrame([("r9", 1, T0 + s), ("r10", 1, T0 + s)], schema)
+    got = {tuple(x) for x in match_within(q, r, "user_id", 300).collect()}
+    assert got == {("q1", 1, "r10", 1_000_000), ("q2", 2, None, None)}
+
+
+def test_empty_sides(spark):
+    one = [(1, 1, T0)]
+    assert run(spark, [], one, 300) == {} and run(spark, one, [], 300) == {1: (1, None, None)}
 
 
 def test_stream_batches_and_late_rows(spark, tmp_dir):
@@ -132,10 +157,9 @@ def test_stream_request_after_its_response(spark, tmp_dir):
     assert got == {3: (1, 60_000_000), 2: (None, None)}
 
 
-@settings(max_examples=10, deadline=None)
+@settings(max_examples=8, deadline=None)
 @given(st.integers(0, 10_000), st.sampled_from([60, 300, 3600]))
-def test_ranged_vs_brute_force_with_a_hot_key(spark, seed, seconds):
-    from gatehouse.operators.match_ranged import match_within_ranged
+def test_a_hot_key_dense_in_one_stretch(spark, seed, seconds):
     rnd = random.Random(seed)
     span = 6 * seconds * 10**6
     rows = []
@@ -143,61 +167,31 @@ def test_ranged_vs_brute_force_with_a_hot_key(spark, seed, seconds):
         key = 1 if i < 60 else rnd.randint(2, 5)           # key 1 holds half of all rows
         t = rnd.randint(0, span)
         if key == 1 and rnd.random() < 0.5:
-            t = rnd.randint(0, span // 20)                 # and is dense in one stretch
+            t = rnd.randint(0, span // 20)
         rows.append((i, key, T0 + dt.timedelta(microseconds=t)))
     reqs = [r for r in rows if rnd.random() < 0.7]
     ids = {r[0] for r in reqs}
     resps = [r for r in rows if r[0] not in ids]
-    schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5")   # carries across batches
-    try:
-        res = match_within_ranged(spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema),
-                                  "user_id", seconds, partitions=7)
-        got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()}
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-    assert got == brute(reqs, resps, seconds * 10**6)
-
-
-def test_ranged_key_passing_through_partitions(spark):
-    from gatehouse.operators.match_ranged import match_within_ranged
+    assert run(spark, reqs, resps, seconds, 7) == brute(reqs, resps, seconds * 10**6)
+
+
+def test_key_passing_through_partitions(spark):
     s = dt.timedelta(seconds=1)
     # key 1: 200 requests, its only response comes last; key 2 follows
     reqs = [(i, 1, T0 + i * s) for i in range(200)] + [(500, 2, T0)]
     resps = [(900, 1, T0 + 250 * s), (901, 2, T0 + 5 * s)]
-    schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
-    res = match_within_ranged(spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema),
-                              "user_id", 300, partitions=9)
-    got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()}
+    got = run(spark, reqs, resps, 300, 9)
     assert got == brute(reqs, resps, 300 * 10**6)
 
 
-def test_auto_strategy_picks_by_skew(spark):
-    from gatehouse.operators.match import hot_group_ratio
-    schema = "event_id bigint, user_id bigint, ts timestamp_ntz"
-    s = dt.timedelta(seconds=1)
-    even = [(i, i % 50, T0 + (i * 37 % 5000) * s) for i in range(400)]
-    hot = [(i, 1 if i % 2 else i % 50, T0 + (i % 100) * s if i % 2 else T0 + (i * 37 % 5000) * s)
-           for i in range(400)]
-    for rows, is_hot in [(even, False), (hot, True)]:
-        q = spark.createDataFrame([r for r in rows if r[0] % 3], schema)
-        r = spark.createDataFrame([r for r in rows if not r[0] % 3], schema)
-        assert (hot_group_ratio(q, r, "user_id", 300) > 2.0) == is_hot
-        auto = {x.req_id: tuple(x) for x in match_within(q, r, "user_id", 300, strategy="auto").collect()}
-        plain = {x.req_id: tuple(x) for x in match_within(q, r, "user_id", 300).collect()}
-        assert auto == plain
-
-
 def test_string_keys(spark, tmp_dir):
-    from gatehouse.operators.match_ranged import match_within_ranged
     rnd = random.Random(11)
     rows = [(i, f"user-{rnd.randint(0, 4)}", T0 + dt.timedelta(seconds=rnd.randint(0, 3000))) for i in range(80)]
     reqs, resps = rows[::2], rows[1::2]
     schema = "event_id bigint, user_id string, ts timestamp_ntz"
     q, r = spark.createDataFrame(reqs, schema), spark.createDataFrame(resps, schema)
     want = brute(reqs, resps, 300 * 10**6)
-    for res in (match_within(q, r, "user_id", 300), match_within_ranged(q, r, "user_id", 300, partitions=5)):
+    for res in (match_within(q, r, "user_id", 300), match_within(q, r, "user_id", 300, partitions=5)):
         assert {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in res.collect()} == want
 
 
@@ -247,3 +241,53 @@ def test_stream_drops_rows_behind_the_watermark(spark, tmp_dir):
             os.path.join(src, f"b{i}.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
         run_.start().awaitTermination()
     assert sorted(tuple(r) for r in spark.read.parquet(sink).collect()) == [(1, 1, None, None)]
+
+
+def test_final_matches_are_exact():
+    import pandas as pd
+
+    from gatehouse.streaming.match_stream import match_final
+    rnd = random.Random(5)
+    limit = 300
+    rows = [(BIG + i, rnd.choice(["a", "b", None]), rnd.randint(0, 3000)) for i in range(400)]
+    q, r = rows[::2], rows[1::2]
+    qf = pd.DataFrame([(str(i), k, t // limit, t) for i, k, t in q], columns=["id", "key", "b", "us"])
+    rf = pd.DataFrame([(str(i), k, b, t) for i, k, t in r for b in (t // limit, t // limit - 1)],
+                      columns=["id", "key", "b", "us"])
+    out = match_final(qf, rf, limit)
+    for (i, k, t), row in zip(q, out.itertuples()):
+        best = min(((t2 - t, j) for j, k2, t2 in r if k2 == k and k is not None and 0 <= t2 - t < limit), default=None)
+        assert row.req_id == str(i)
+        assert (row.resp_id, None if pd.isna(row.delay_us) else row.delay_us) == ((str(best[1]), best[0]) if best else (None, None))
+
+
+def test_stream_big_ids_null_keys_hot_key_and_restart(spark, tmp_dir):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from gatehouse.streaming import match_within_stream
+
+    src, sink, ck = (os.path.join(tmp_dir, n) for n in ("in", "out", "ck"))
+    os.makedirs(src)
+    rnd = random.Random(8)
+    s = dt.timedelta(seconds=1)
+    rows = [(BIG + 2 * i, 1, T0 + rnd.randint(0, 6000) * s, rnd.choice(["click", "view"])) for i in range(300)]
+    lost = [(7, None, T0 + 5 * s, "click"), (8, None, T0 + 6 * s, "view")]
+    schema = "event_id bigint, user_id bigint, ts timestamp, event_type string"
+
+    def start():
+        ev = spark.readStream.schema(schema).parquet(src)
+        out = match_within_stream(ev.where(F.col("event_type") == "click").drop("event_type"),
+                                  ev.where(F.col("event_type") == "view").drop("event_type"),
+                                  "user_id", 300, delay="3 hours", shards=5)
+        (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+
+    for i, batch in enumerate([rows[:150] + lost, rows[150:], [(1, 9, T0 + dt.timedelta(hours=9), "click")]]):
+        pd.DataFrame(batch, columns=["event_id", "user_id", "ts", "event_type"]).astype(
+            {"event_id": "Int64", "user_id": "Int64"}).to_parquet(
+            os.path.join(src, f"b{i}.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
+        start()                                        # a new query each time, from the checkpoint
+    got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in spark.read.parquet(sink).collect()}
+    want = brute([r[:3] for r in rows if r[3] == "click"], [r[:3] for r in rows if r[3] == "view"], 300 * 10**6)
+    assert got == {**want, 7: (None, None, None)}
