@@ -38,7 +38,7 @@ def run(argv: list[str]) -> int:
         (screen_job(spark, a.input).select("sub_id", "task_id", "base_url", "reason", "fail_pos")
          .write.mode("errorifexists").parquet(a.out))
     elif a.job == "assemble":
-        write_requests(assemble_job(spark, a.input).where(F.col("request").isNotNull()), a.out)
+        write_requests(assemble_job(spark, a.input), a.out)
     elif a.job == "judge":
         write_verdicts(judge_job(spark, a.input).select("sub_id", "message", "exit_code", "outcome"), a.out)
     else:

@@ -7,7 +7,7 @@ struct of nulls, which would hide the malformed/unexpected distinction.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatehouse.functions.text import _col
@@ -23,22 +23,28 @@ OUTCOMES = ("http_error", "unreachable", "malformed", "unexpected", "error", "su
 # engine recurses per repetition of an alternation group and would overflow
 # its stack on a long string; runs of plain characters are taken whole.
 _JSON_STRING = r'"(?:[^"\\]++|\\.)*+"'
+# A JSON value that is neither an object nor an array.
+_JSON_SCALAR = rf'\A(?:{_JSON_STRING}|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)\z'
+# The part of a valid string literal behind its first 64 characters.
+_LONG_TAIL = (r'("(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4}){64})'
+              r'(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})++"')
+_LONG_BODY = 1 << 20
 
 
 def _single_value(body: Column) -> Column:
     """False when text follows the first complete JSON value.
 
     Spark's JSON parser stops after the first value and ignores the rest; a
-    strict parser rejects it. A body that starts with an object or array must
-    end with the matching bracket (this catches ``{} x``). A second value
-    (``{} {}``) needs a second opening bracket somewhere in the text, so only
-    bodies with more than one are checked further: with string literals
-    removed, the brackets may return to depth zero only once (a fold over the
-    bracket characters). Flat objects, the usual verdict, take the cheap path.
+    strict parser rejects it. A scalar must be the whole text. A body that
+    starts with an object or array must end with the matching bracket (this
+    catches ``{} x``). A second value (``{} {}``) needs a second opening
+    bracket somewhere in the text, so only bodies with more than one are
+    checked further: with string literals removed, the brackets may return to
+    depth zero only once (a fold over the bracket characters). Flat objects,
+    the usual verdict, take the cheap path.
     """
     text = F.btrim(body, F.lit(" \t\n\r"))
     first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
-    container = first.isin("{", "[")
     matching = F.when(first == "{", last == "}").otherwise(last == "]")
     openers = F.length(text) - F.length(F.translate(text, "{[", ""))
     brackets = F.regexp_replace(F.regexp_replace(text, _JSON_STRING, ""), r"[^\[\]{}]", "")
@@ -49,7 +55,7 @@ def _single_value(body: Column) -> Column:
             (acc["z"] + F.when(acc["d"] + F.when(ch.isin("{", "["), 1).otherwise(-1) == 0, 1)
              .otherwise(0)).alias("z")))["z"]
     single = F.when(openers <= 1, F.lit(True)).otherwise(closes == 1)
-    return F.when(container, matching & single).otherwise(F.lit(True))
+    return F.when(first.isin("{", "["), matching & single).otherwise(text.rlike(_JSON_SCALAR))
 
 
 def python_literals(body: Column | str) -> Column:
@@ -71,30 +77,66 @@ def python_literals(body: Column | str) -> Column:
     return F.when(body.contains("NaN") | body.contains("Infinity"), rebuilt).otherwise(body)
 
 
-def parse_verdict(body: Column | str, parsed: Column | str | None = None) -> Column:
+def readable_body(body: Column | str) -> Column:
+    """The body as Spark's parser should see it.
+
+    A byte-order mark at the start is dropped, as Python's json module does for
+    bytes; bare NaN and Infinity become null; and in a long body the tails of
+    long string literals are cut, because a parsed value has a size limit and
+    only the *kind* of a long message matters for the shape.
+    """
+    c = _col(body)
+    c = F.when(c.startswith("\ufeff"), F.substring(c, 2, 2147483647)).otherwise(c)
+    c = python_literals(c)
+    return F.when(F.length(c) > _LONG_BODY, F.regexp_replace(c, _LONG_TAIL, '$1"')).otherwise(c)
+
+
+def _shape(text: Column, v: Column, status: Column, message_type: Column) -> Column:
+    ok = status.isin(*STATUSES) & (message_type == F.lit("STRING"))
+    return (F.when(v.isNull() | ~_single_value(text), F.lit("malformed"))
+            .when(F.coalesce(ok, F.lit(False)), F.lit("ok"))
+            .otherwise(F.lit("unexpected")))
+
+
+def _struct(body: Column, v: Column, shape: Column, status: Column) -> Column:
+    # the message of a long body is read from the body itself, uncut; should
+    # Spark's reader refuse it, the job fails rather than return another text
+    plain = F.when(body.startswith("\ufeff"), F.substring(body, 2, 2147483647)).otherwise(body)
+    whole = F.get_json_object(python_literals(plain), "$.message")
+    long = F.coalesce(whole, F.raise_error(F.lit("a verdict's message is too long for Spark's JSON reader")).cast("string"))
+    message = F.when(F.length(body) > _LONG_BODY, long).otherwise(F.try_variant_get(v, "$.message", "string"))
+    is_ok = shape == F.lit("ok")
+    return F.struct(shape.alias("shape"), F.when(is_ok, status).alias("status"), F.when(is_ok, message).alias("message"))
+
+
+def parse_verdict(body: Column | str) -> Column:
     """struct(shape, status, message).
 
     shape is ``malformed`` (not JSON), ``unexpected`` (JSON, but not an object
     with a ``status`` of success/error and a *string* ``message``) or ``ok``.
     Extra keys are ignored and an empty message is fine; status and message
-    are null unless the shape is ok. ``parsed`` is
-    ``try_parse_json(python_literals(body))`` when the caller has already projected it (then each body is parsed once;
-    the parse is referenced several times below).
+    are null unless the shape is ok. For whole tables :func:`with_verdict`
+    does the same in steps, so that nothing is evaluated twice.
     """
     body = _col(body)
-    v = F.try_parse_json(python_literals(body)) if parsed is None else _col(parsed)
+    text = readable_body(body)
+    v = F.try_parse_json(text)
     status = F.try_variant_get(v, "$.status", "string")
-    message_type = F.schema_of_variant(F.try_variant_get(v, "$.message", "variant"))
-    ok = status.isin(*STATUSES) & (message_type == F.lit("STRING"))
-    shape = (F.when(v.isNull() | ~_single_value(body), F.lit("malformed"))
-             .when(F.coalesce(ok, F.lit(False)), F.lit("ok"))
-             .otherwise(F.lit("unexpected")))
-    is_ok = shape == F.lit("ok")
-    return F.struct(
-        shape.alias("shape"),
-        F.when(is_ok, status).alias("status"),
-        F.when(is_ok, F.try_variant_get(v, "$.message", "string")).alias("message"),
-    )
+    kind = F.schema_of_variant(F.try_variant_get(v, "$.message", "variant"))
+    return _struct(body, v, _shape(text, v, status, kind), status)
+
+
+def with_verdict(df: DataFrame, body: str, out: str = "verdict") -> DataFrame:
+    """``df`` with the struct of :func:`parse_verdict`, one projection a step:
+    each body is cleaned, parsed and classified once."""
+    steps = df.withColumn("_text", readable_body(body))
+    steps = steps.withColumn("_v", F.try_parse_json("_text"))
+    steps = steps.withColumns({
+        "_status": F.try_variant_get("_v", "$.status", "string"),
+        "_kind": F.schema_of_variant(F.try_variant_get("_v", "$.message", "variant"))})
+    steps = steps.withColumn("_shape", _shape(F.col("_text"), F.col("_v"), F.col("_status"), F.col("_kind")))
+    return (steps.withColumn(out, _struct(F.col(body), F.col("_v"), F.col("_shape"), F.col("_status")))
+            .drop("_text", "_v", "_status", "_kind", "_shape"))
 
 
 def classify(http_status: Column | str, transport_error: Column | str,

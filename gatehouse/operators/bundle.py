@@ -3,9 +3,9 @@ of expected files with read files (S2), first failing file (A3), bundle
 assembly (A2) and the request object (P6).
 
 All grouping is by ``sub_id``; aggregates are partial (map-side) before the
-shuffle. Text is collected only into bundles (A2 here, and the screen's
-assemble pass), and only for submissions whose byte total, computed first,
-is under a cap.
+shuffle. A submission sends no more files than its task expects (A1 checks
+that before J2 builds the list), so a collected bundle has a few entries; one
+that is too large for a Spark row fails the job, it is never cut or left out.
 """
 
 from __future__ import annotations
@@ -15,10 +15,6 @@ from pyspark.sql import functions as F
 
 from gatehouse.functions.text import is_blank, normalise_newlines, strip
 
-# A request body larger than this is not assembled; the submission is kept with
-# status ``too_large`` instead (no row is dropped).
-MAX_BUNDLE_BYTES = 64 * 1024 * 1024
-
 ENTRY_ARRAY = "array<struct<pos:bigint,name:string,path:string,source:string>>"
 
 
@@ -32,38 +28,35 @@ def submission_headers(files: DataFrame) -> DataFrame:
                                         F.max("task_id").alias("task_id"))
 
 
-def _is_bundle(expected: Column) -> Column:
-    return F.coalesce(F.size(expected) > 1, F.lit(False))
-
-
 def check_arity(headers: DataFrame, explicit: DataFrame, tasks: DataFrame) -> DataFrame:
-    """A1: header columns + (endpoint, expected, n_explicit, arity_ok, has_files).
+    """A1: header columns + (endpoint, expected, bundle, n_explicit, arity_ok, has_files).
 
-    A bundle takes no explicit paths or exactly one per expected file; any other
-    task takes at most one. ``has_files`` is false when nothing was named and
+    ``tasks`` says by ``bundle`` whether a task sends a bundle (also one of a single
+    file). A bundle takes no explicit paths or exactly one per expected file;
+    any other task takes at most one. ``has_files`` is false when nothing was named and
     the task has no default file, which the client rejects next.
     ``explicit`` is (sub_id, pos, path) with ``path`` null when none was named.
     """
     counts = explicit.groupBy("sub_id").agg(F.count("path").alias("n_explicit"))
-    t = F.broadcast(tasks.select("task_id", "endpoint", "expected"))  # fixed size: course tasks
+    t = tasks.select("task_id", "endpoint", "expected", "bundle")
     n = F.coalesce(F.col("n_explicit"), F.lit(0)).cast("bigint")
     expected = F.col("expected")
-    arity_ok = (F.when(_is_bundle(expected), (n == 0) | (n == F.size(expected)))
+    arity_ok = (F.when(F.coalesce("bundle", F.lit(False)), (n == 0) | (n == F.size(expected)))
                 .otherwise(n <= 1))
     return (headers.join(t, "task_id", "left").join(counts, "sub_id", "left")
-            .select(*headers.columns, "endpoint", "expected",
+            .select(*headers.columns, "endpoint", "expected", F.coalesce("bundle", F.lit(False)).alias("bundle"),
                     n.alias("n_explicit"), arity_ok.alias("arity_ok"),
                     ((n > 0) | expected.isNotNull()).alias("has_files")))
 
 
-def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "tasks",
+def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "work",
                   build: Column | None = None, carry: list[str] | None = None) -> DataFrame:
     """(sub_id, task_id, [carry], pos, name, path, source): the files sent.
 
     If a submission names any paths, they replace *all* default files and pair
     with the expected names by position (their own names are ignored);
-    otherwise the expected files are taken from the task folder. ``arity`` is
-    the output of :func:`check_arity`.
+    otherwise the expected files are taken from the submission's own copy of the
+    task folder, ``<task_root>/<sub_id>/<task_id>/<name>``. ``arity`` is the output of :func:`check_arity`.
 
     One left join with the named paths and one ``explode``: a submission
     without named paths comes out of the join once and expands to its default
@@ -88,7 +81,8 @@ def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "tasks
                                F.try_element_at(expected, (F.col("_npos") + 1).try_cast("int")),
                                F.col("_npath"), "explicit"))
     from_defaults = F.transform(F.coalesce(expected, F.array().cast("array<string>")),
-                                lambda x, i: entry(i, x, F.concat_ws("/", F.lit(task_root), "task_id", x),
+                                lambda x, i: entry(i, x, F.concat_ws("/", F.lit(task_root), F.col("sub_id").cast("string"),
+                                                                        F.col("task_id"), x),
                                                    "default"))
     entries = F.when(F.col("_npath").isNotNull(), from_named).otherwise(from_defaults)
     if build is None:
@@ -99,29 +93,25 @@ def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "tasks
     return out.select("sub_id", "task_id", *carry, "_e.pos", "_e.name", "_e.path", "_e.source")
 
 
-def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str],
+def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str] | None = None,
               with_content: bool = False) -> DataFrame:
     """Every expected file with its read state, in manifest order.
 
-    ``files`` carries ``content`` and ``readable``; a manifest row without a
-    file row is ``missing_or_empty`` (a zero-byte file yields no row in a
-    file scan, so missing and empty cannot be told apart). Then
+    The file named by the manifest's ``path`` is the one that counts (``keys``:
+    other join columns). ``files`` carries ``content`` and ``readable``; a manifest
+    row without a file row is ``missing_or_empty`` (a zero-byte file yields no
+    row in a file scan, so missing and empty cannot be told apart). Then
     ``unreadable`` (not UTF-8), ``blank`` (white space only) and ``ok``.
 
     The blank check runs on the file side before the join, so only two flags
     per file cross the shuffle; the text itself is carried only with
     ``with_content`` (for assembling bundles).
     """
+    keys = keys or ["path"]
     cols = [*keys, F.col("readable").alias("_readable"), is_blank("content").alias("_blank")]
     if with_content:
         cols.append("content")
-    # match the key types of the files side (partition columns read from
-    # key=value folders are inferred as int or bigint), leaving them uncast;
-    # a key out of that type's range matches no file (try_cast, no error)
-    types = dict(files.dtypes)
-    m = manifest.select(*[F.col(c).try_cast(types[c]).alias(c) if c in keys and types.get(c) else F.col(c)
-                          for c in manifest.columns])
-    j = m.join(files.select(*cols), keys, "left")
+    j = manifest.join(files.select(*cols), keys, "left")
     state = (F.when(F.col("_readable").isNull(), F.lit("missing_or_empty"))
              .when(~F.col("_readable"), F.lit("unreadable"))
              .when(F.col("_blank"), F.lit("blank"))
@@ -142,40 +132,26 @@ def first_failure(reconciled: DataFrame) -> DataFrame:
                     F.col("f.name").alias("fail_name"), F.col("f.state").alias("fail_state")))
 
 
-def assemble_bundle(files: DataFrame, max_bytes: int = MAX_BUNDLE_BYTES,
-                    normalise: bool = True) -> DataFrame:
-    """A2: (sub_id, bundle_bytes, status, solution, single_text).
+def assemble_bundle(files: DataFrame, normalise: bool = True) -> DataFrame:
+    """A2: (sub_id, bundle_bytes, solution, single_text).
 
+    ``files`` are the files a submission sends (J2 after A1, with their texts).
     ``solution`` is the name -> text map as JSON; ``single_text`` is the text
-    itself when the submission has exactly one file (not a bundle).
+    itself when the submission has exactly one file. Both are null where a
+    text is missing.
 
     Keys keep position order; a repeated name keeps its first position and
     its last text (needs ``spark.sql.mapKeyDedupPolicy=LAST_WIN``).
-
-    Two steps, so no group is ever collected unchecked: per-submission byte
-    totals first (a partial aggregate, safe for a submission holding a large
-    share of all rows), joined back to the files (one row per submission on
-    that side: broadcast when small, else a sort-merge join that AQE may
-    split if skewed); then one aggregate collects only entries of
-    submissions under ``max_bytes`` -- already in its map-side partial step,
-    so an oversized submission's text never crosses the shuffle.
-    Submissions over the cap keep their row: status ``too_large``, solution
-    null.
     """
     content = normalise_newlines("content") if normalise else F.col("content")
     texts = files.select("sub_id", "pos", "name", content.alias("content"))
-    totals = texts.groupBy("sub_id").agg(F.sum(F.octet_length("content")).cast("bigint")
-                                         .alias("bundle_bytes"))
-    sized = texts.join(totals, "sub_id")
-    entry = F.when(F.col("bundle_bytes") <= max_bytes, F.struct("pos", "name", "content"))
-    agg = sized.groupBy("sub_id").agg(F.max("bundle_bytes").alias("bundle_bytes"),
-                                      F.collect_list(entry).alias("_entries"))
+    agg = texts.groupBy("sub_id").agg(
+        F.sum(F.octet_length("content")).cast("bigint").alias("bundle_bytes"),
+        F.bool_and(F.col("content").isNotNull()).alias("_complete"),
+        F.collect_list(F.struct("pos", "name", "content")).alias("_entries"))
     solution, single = bundle_solution(F.col("_entries"))
-    ok = F.col("bundle_bytes") <= max_bytes
-    return agg.select("sub_id", "bundle_bytes",
-                      F.when(ok, F.lit("ok")).otherwise(F.lit("too_large")).alias("status"),
-                      F.when(ok, solution).alias("solution"),
-                      F.when(ok, single).alias("single_text"))
+    return agg.select("sub_id", "bundle_bytes", F.when(F.col("_complete"), solution).alias("solution"),
+                      F.when(F.col("_complete"), single).alias("single_text"))
 
 
 # Control characters Spark escapes as \uXXXX with upper-case hex digits,

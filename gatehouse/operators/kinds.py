@@ -10,11 +10,11 @@ def artifact_kind(files: DataFrame, kinds: DataFrame, exceptions: DataFrame) ->
     """Add ``kind`` to (task_id, name, ...) rows.
 
     ``kinds`` is (name, kind); ``exceptions`` is (task_id, name, kind) and wins
-    over the name rule. Both are course dimension tables of a few rows, so they
-    are broadcast explicitly; an unknown name gives a null kind.
+    over the name rule. An unknown name gives a null kind. The joins are left to
+    the planner, which broadcasts tables it knows to be small.
     """
-    k = F.broadcast(kinds.select("name", F.col("kind").alias("_by_name")))
-    e = F.broadcast(exceptions.select("task_id", "name", F.col("kind").alias("_by_task")))
+    k = kinds.select("name", F.col("kind").alias("_by_name"))
+    e = exceptions.select("task_id", "name", F.col("kind").alias("_by_task"))
     return (files.join(e, ["task_id", "name"], "left").join(k, "name", "left")
             .withColumn("kind", F.coalesce("_by_task", "_by_name"))
             .drop("_by_task", "_by_name"))

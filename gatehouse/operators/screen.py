@@ -3,13 +3,13 @@ and, on the same pass, the bundle of every submission that may be sent."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatehouse.functions.text import _col, is_blank, normalise_newlines
 from gatehouse.functions.urls import valid_base_url
-from gatehouse.operators.bundle import (MAX_BUNDLE_BYTES, bundle_solution, check_arity,
-                                        reconcile, resolve_paths, submission_headers)
+from gatehouse.operators.bundle import (bundle_solution, check_arity, reconcile, resolve_paths,
+                                        submission_headers)
 from gatehouse.operators.overlay import overlay
 
 # The reason codes, in the order the client checks them. File
@@ -24,28 +24,24 @@ def endpoint_available(endpoint: Column | str) -> Column:
 
 
 def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
-           overrides: DataFrame, default_base_url: str,
-           contents: DataFrame | None = None, collect_bundles: bool = False,
-           max_bundle_bytes: int = MAX_BUNDLE_BYTES) -> DataFrame:
+           overrides: DataFrame, default_base_url: str, contents: DataFrame,
+           collect_bundles: bool = False, path: str = "path") -> DataFrame:
     """One row per submission.
 
-    Columns: sub_id, task_id, student_id, endpoint, expected, n_explicit, base_url,
-    reason (null = may be sent), fail_pos; with ``collect_bundles`` also
-    bundle_bytes, solution (JSON map, bundles) and single_text.
+    Columns: sub_id, task_id, student_id, endpoint, expected, bundle, n_explicit,
+    base_url, reason (null = may be sent), fail_pos; with ``collect_bundles``
+    also solution (JSON map) and single_text.
 
-    ``files``: (sub_id, student_id, task_id, pos, ...) per file; ``explicit``:
-    (sub_id, pos, path|null); ``overrides``: per-submission service address
-    (key = sub_id); ``contents``: (sub_id, pos, content, readable) -- the files
-    as read, defaulting to ``files`` itself with every row readable.
+    ``files``: (sub_id, student_id, task_id, ...) per file; ``explicit``: (sub_id,
+    pos, path|null); ``overrides``: per-submission service address (key =
+    sub_id); ``contents``: the files as read, (``path``, content, readable).
 
     Plan: header rules on one row per submission; the file manifest is built
-    only for submissions that pass them (others keep one placeholder row, so
-    the file join carries nothing for them, like the client that stops before
-    opening any file); file states by one join with the contents; then one
-    aggregate by submission gives the first failure and, when asked, the
-    bundle. A window over the submission (same partitioning as that
-    aggregate) first flags bad files and sums bytes, so text is collected
-    only for submissions that pass, under the byte cap.
+    only for submissions that pass them (others keep one placeholder row). The
+    files are cut down to the manifest's paths by a semi-join, so texts that
+    nobody sends go no further than the scan, and then joined by path. One
+    aggregate by
+    submission gives the first failure and, when asked, the bundle.
     """
     headers = submission_headers(files)
     arity = check_arity(headers, explicit, tasks)
@@ -57,38 +53,26 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
                      .when(is_blank("student_id") | F.col("student_id").isNull(), F.lit(REASONS[4])))
     checked = addressed.withColumn("_header_reason", header_reason)
 
-    carry = ["student_id", "endpoint", "expected", "n_explicit", "base_url", "_header_reason"]
+    carry = ["student_id", "endpoint", "expected", "bundle", "n_explicit", "base_url", "_header_reason"]
     manifest = resolve_paths(checked, explicit, build=F.col("_header_reason").isNull(), carry=carry)
 
-    if contents is None:
-        contents = files.select("sub_id", "pos", "content", F.lit(True).alias("readable"))
-    rows = reconcile(manifest, contents, ["sub_id", "pos"], with_content=collect_bundles)
+    named = manifest.where(F.col("path").isNotNull()).select(F.col("path").alias("_wanted"))
+    needed = (contents.join(named, contents[path] == F.col("_wanted"), "left_semi")
+              .select(F.col(path).alias("path"), "content", "readable"))
+    rows = reconcile(manifest, needed, ["path"], with_content=collect_bundles)
     state = F.when(F.col("pos").isNotNull(), F.col("state"))   # placeholder rows: no file
     bad = F.when(state != "ok", F.struct("pos", "name", state.alias("state")))
-    aggs = [F.max("task_id").alias("task_id"), F.max("student_id").alias("student_id"),
-            F.max("endpoint").alias("endpoint"),
-            F.max("expected").alias("expected"), F.max("n_explicit").alias("n_explicit"),
-            F.max("base_url").alias("base_url"), F.max("_header_reason").alias("_header_reason"),
-            F.min(bad).alias("_bad")]
+    aggs = [F.max(c).alias(c) for c in ("task_id", *carry)] + [F.min(bad).alias("_bad")]
     if collect_bundles:
-        by_sub = Window.partitionBy("sub_id")
-        text = normalise_newlines("content")
-        rows = (rows.withColumn("_text", text)
-                .withColumn("_bytes", F.sum(F.octet_length("_text")).over(by_sub))
-                .withColumn("_any_bad", F.max((state != "ok").cast("int")).over(by_sub)))
-        send = (F.col("_header_reason").isNull() & (F.coalesce(F.col("_any_bad"), F.lit(0)) == 0)
-                & (F.coalesce(F.col("_bytes"), F.lit(0)) <= max_bundle_bytes) & F.col("pos").isNotNull())
-        aggs += [F.max("_bytes").cast("bigint").alias("bundle_bytes"),
-                 F.collect_list(F.when(send, F.struct("pos", "name", F.col("_text").alias("content"))))
-                 .alias("_entries")]
+        entry = F.struct("pos", "name", normalise_newlines("content").alias("content"))
+        aggs.append(F.collect_list(F.when(state == "ok", entry)).alias("_entries"))
     agg = rows.groupBy("sub_id").agg(*aggs)
 
-    out = [F.col("sub_id"), "task_id", "student_id", "endpoint", "expected", "n_explicit", "base_url",
-           F.coalesce("_header_reason", "_bad.state").alias("reason"),
+    reason = F.coalesce("_header_reason", "_bad.state")
+    out = [F.col("sub_id"), "task_id", "student_id", "endpoint", "expected", "bundle", "n_explicit", "base_url",
+           reason.alias("reason"),
            F.when(F.col("_header_reason").isNull(), F.col("_bad.pos")).cast("bigint").alias("fail_pos")]
     if collect_bundles:
         solution, single = bundle_solution(F.col("_entries"))
-        has = F.size("_entries") > 0
-        out += ["bundle_bytes", F.when(has, solution).alias("solution"),
-                F.when(has, single).alias("single_text")]
+        out += [F.when(reason.isNull(), solution).alias("solution"), F.when(reason.isNull(), single).alias("single_text")]
     return agg.select(*out)

@@ -43,8 +43,8 @@ def f1_valid_base_url(spark, sf_dir):
 
 
 def p3_target_url(spark, sf_dir):
-    b = p2_rstrip_slash(spark, sf_dir).withColumn("slot", F.col("req_id") % 5)
-    t = F.broadcast(fx.tasks(spark).select("slot", "task_id", "endpoint"))  # fixed size
+    b = p2_rstrip_slash(spark, sf_dir).withColumn("slot", F.col("req_id") % fx.SLOTS)
+    t = fx.tasks(spark).select("slot", "task_id", "endpoint")
     return (b.join(t, "slot", "left")
             .select("req_id", "task_id", target_url("base_url", "endpoint").alias("target_url")))
 
@@ -72,7 +72,7 @@ def f3_blank_file(spark, sf_dir):
 
 def f4_endpoint_available(spark, sf_dir):
     h = submission_headers(fx.submissions(spark, sf_dir))
-    t = F.broadcast(fx.tasks(spark).select("task_id", "endpoint"))  # fixed size
+    t = fx.tasks(spark).select("task_id", "endpoint")
     return (h.join(t, "task_id", "left")
             .select("sub_id", "task_id", endpoint_available("endpoint").alias("available")))
 
@@ -100,14 +100,12 @@ def j1_artifact_kind(spark, sf_dir):
     return k.select("sub_id", "pos", "name", "kind")
 
 
-def _reconciled(spark, sf_dir):
-    files = fx.submissions(spark, sf_dir).select("sub_id", "pos", "content",
-                                                 F.lit(True).alias("readable"))
-    return reconcile(_manifest(spark, sf_dir), files, ["sub_id", "pos"])
+def _reconciled(spark, sf_dir, **kw):
+    return reconcile(_manifest(spark, sf_dir), fx.stored_files(spark, sf_dir), **kw)
 
 
 def s2_reconcile(spark, sf_dir):
-    return _reconciled(spark, sf_dir).select("sub_id", "pos", "name", "state")
+    return _reconciled(spark, sf_dir).select("sub_id", "pos", "name", "path", "state")
 
 
 def a3_first_failure(spark, sf_dir):
@@ -115,8 +113,11 @@ def a3_first_failure(spark, sf_dir):
 
 
 def a2_assemble_bundle(spark, sf_dir):
-    s = fx.submissions(spark, sf_dir)
-    return assemble_bundle(s).select("sub_id", "bundle_bytes", "status", "solution")
+    """Bundles of the files each submission sends, where their number is right."""
+    ok = arity_table(spark, sf_dir).where("arity_ok")
+    manifest = resolve_paths(ok, fx.explicit_files(spark, sf_dir))
+    sent = reconcile(manifest, fx.stored_files(spark, sf_dir), with_content=True)
+    return assemble_bundle(sent).select("sub_id", "bundle_bytes", "solution")
 
 
 def x4_screen(spark, sf_dir):
@@ -194,7 +195,7 @@ PREPARE = {"s1_read_artifacts": lambda spark, sf_dir: prepare_artifacts(spark, s
 
 
 def prepare_artifacts(spark, sf_dir):
-    """The submission files on storage, one file per (sub_id, pos).
+    """The stored files on storage, one folder ``file=<path>`` each.
 
     Data preparation, not part of S1: written once per input (keyed by the
     source table's size and modification time) into the shared folder and
@@ -202,42 +203,38 @@ def prepare_artifacts(spark, sf_dir):
     """
     import hashlib
 
-    from gatehouse.session import checkpoint_base, file_signature, path_exists, shared_dir
+    from gatehouse.session import checkpoint_base, file_signature, path_exists
     from gatehouse.sources.sinks import write_artifacts
     src = f"{sf_dir.rstrip('/')}/conversations.parquet"
-    try:
-        key = hashlib.sha1(f"{src}:{file_signature(spark, src)}".encode()).hexdigest()[:16]
-        out = f"{checkpoint_base(spark).rstrip('/')}/gatehouse/artifacts-{key}"
-        ready = path_exists(spark, f"{out}/_SUCCESS")
-    except Exception:  # no JVM file-system access (e.g. a remote session): no reuse
-        out, ready = shared_dir(spark, "artifacts"), False
-    if not ready:
-        write_artifacts(fx.submissions(spark, sf_dir), out, ["sub_id", "pos"], mode="overwrite")
+    key = hashlib.sha1(f"files-2:{src}:{file_signature(spark, src)}".encode()).hexdigest()[:16]
+    out = f"{checkpoint_base(spark).rstrip('/')}/gatehouse/artifacts-{key}"
+    if not path_exists(spark, f"{out}/_SUCCESS"):
+        files = fx.stored_files(spark, sf_dir, raw=True).withColumnRenamed("path", "file")
+        write_artifacts(files, out, ["file"], mode="overwrite")
     return out
 
 
 def s1_read_artifacts(spark, sf_dir):
-    """Submission files (one file per sub_id, pos) scanned whole, strict UTF-8."""
+    """Stored files scanned whole, strict UTF-8."""
     from gatehouse.sources.artifacts import read_artifacts
     a = read_artifacts(spark, prepare_artifacts(spark, sf_dir))
-    return a.select(F.col("sub_id").cast("bigint").alias("sub_id"), F.col("pos").cast("bigint").alias("pos"),
-                    F.col("n_bytes").cast("bigint").alias("n_bytes"), "readable",
+    return a.select("file", F.col("n_bytes").cast("bigint").alias("n_bytes"), "readable",
                     is_blank("content").alias("blank"))
 
 
 def x4_screen_files(spark, sf_dir):
-    """X4 reading the submission files from storage (S1) instead of a table.
+    """X4 reading the files from storage (S1) instead of a table.
 
     The client's own flow: files on storage, read whole and strictly decoded,
-    then screened. Per file only (keys, readable, blank) reach the join with
-    the manifest; the text stays on the scan side.
+    then screened. Files that no passing submission names leave at a semi-join
+    on the partition column ``file``; per file only (path, readable, blank) reach
+    the join with the manifest, the text stays on the scan side.
     """
     from gatehouse.operators.screen import screen
     from gatehouse.sources.artifacts import read_artifacts
-    files = read_artifacts(spark, prepare_artifacts(spark, sf_dir)).select(
-        "sub_id", "pos", "content", "readable")
+    files = read_artifacts(spark, prepare_artifacts(spark, sf_dir)).select("file", "content", "readable")
     s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir), fx.tasks(spark),
-               fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL, contents=files)
+               fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL, files, path="file")
     return s.select("sub_id", "task_id", "base_url", "reason", "fail_pos")
 
 

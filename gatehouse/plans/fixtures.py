@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gatehouse.functions.text import is_blank
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -48,23 +50,31 @@ def endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(pid.alias("req_id"), raw.alias("raw_url"))
 
 
-# The course tasks of the fixture. Slot = sub_id % 5. Cases: a
-# single-file task whose ``realization.py`` holds a shell command (lesson
-# exception), a DAG task, a task with no endpoint yet, a three-file bundle,
-# and a task with an empty endpoint and no default file.
+# The course tasks of the fixture. Slot = sub_id % 10. Cases: two
+# lessons whose ``realization.py`` holds a shell command (exceptions), DAG tasks,
+# a task with no endpoint yet, a three-file bundle, a task with an empty
+# endpoint and no default file, plain Python and plain text tasks, and a
+# bundle of one file.
 TASKS = [
-    # slot, task_id, endpoint, expected default file names (in order)
-    (0, "4.11.1", "/api/v1/checks/4.11.1", ["realization.py"]),
-    (1, "4.12.1", "/api/v1/checks/4.12.1", ["dag.py"]),
-    (2, "2.3.1", None, ["realization.txt"]),
-    (3, "5.4.2", "/api/v1/checks/5.4.2", ["connection_interests.py", "run_jobs.sh", "dag.py"]),
-    (4, "5.2.5", "", None),
+    # slot, task_id, endpoint, expected default file names (in order), bundle
+    (0, "4.11.1", "/api/v1/checks/4.11.1", ["realization.py"], False),
+    (1, "4.12.1", "/api/v1/checks/4.12.1", ["dag.py"], False),
+    (2, "2.3.1", None, ["realization.txt"], False),
+    (3, "5.4.2", "/api/v1/checks/5.4.2", ["connection_interests.py", "run_jobs.sh", "dag.py"], True),
+    (4, "5.2.5", "", None, False),
+    (5, "4.11.2", "/api/v1/checks/4.11.2", ["realization.py"], False),
+    (6, "5.3.6", "/api/v1/checks/5.3.6", ["dag.py"], False),
+    (7, "3.1.2", "/api/v1/checks/3.1.2", ["realization.py"], False),
+    (8, "4.9.1", "/api/v1/checks/4.9.1", ["realization.py"], True),
+    (9, "2.1.4", "/api/v1/checks/2.1.4", ["realization.txt"], False),
 ]
+SLOTS = len(TASKS)
 TASK_SCHEMA = T.StructType([
     T.StructField("slot", T.LongType(), False),
     T.StructField("task_id", T.StringType(), False),
     T.StructField("endpoint", T.StringType(), True),
     T.StructField("expected", T.ArrayType(T.StringType()), True),
+    T.StructField("bundle", T.BooleanType(), False),
 ])
 
 # What each answer file holds, by name, and the per-lesson
@@ -120,11 +130,11 @@ def exceptions(spark: SparkSession) -> DataFrame:
 
 
 def task_of(sub_id: Column) -> Column:
-    """The task id of a submission: slot = sub_id % 5 (see TASKS)."""
+    """The task id of a submission: slot = sub_id % SLOTS (see TASKS)."""
     expr = None
-    for slot, task_id, _, _ in TASKS:
-        expr = (F.when(sub_id % 5 == slot, F.lit(task_id)) if expr is None
-                else expr.when(sub_id % 5 == slot, F.lit(task_id)))
+    for slot, task_id, *_ in TASKS:
+        expr = (F.when(sub_id % SLOTS == slot, F.lit(task_id)) if expr is None
+                else expr.when(sub_id % SLOTS == slot, F.lit(task_id)))
     return expr
 
 
@@ -155,6 +165,10 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _explicit_path(conv: Column, turn: Column, role: Column) -> Column:
+    return F.concat(F.lit("in/"), _s(conv), F.lit("/"), role, F.lit("_"), _s(turn), F.lit(".py"))
+
+
 def explicit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sub_id, pos, path): paths named on the command line, null = none named.
 
@@ -164,15 +178,41 @@ def explicit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     conv, turn = F.col("conv_id"), F.col("turn")
     named = (conv % 3 == 0) & (turn < conv % 4)
-    path = F.when(named, F.concat(F.lit("/in/"), F.col("role"), F.lit("_"), _s(turn), F.lit(".py")))
-    return c.select(conv.alias("sub_id"), turn.alias("pos"), path.alias("path"))
+    return c.select(conv.alias("sub_id"), turn.alias("pos"),
+                    F.when(named, _explicit_path(conv, turn, F.col("role"))).alias("path"))
+
+
+def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
+    """(path, content, readable): the files that lie on storage.
+
+    Every turn has an explicit copy under ``in/`` and, where its task expects a
+    file at that position, a default copy in the submission's task folder,
+    with another text. Some of either are missing, not UTF-8 (``readable``
+    false, null content) or empty; a zero-byte file yields no row, as in a file scan.
+    With ``raw`` the content of unreadable files is their bytes.
+    """
+    subs = submissions(spark, sf_dir)
+    expected = tasks(spark).select("task_id", "expected")
+    conv = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("sub_id"), F.col("turn").alias("pos"), "role")
+    rows = subs.select("sub_id", "task_id", "pos", "content").join(conv, ["sub_id", "pos"]).join(expected, "task_id")
+    k = (F.col("sub_id") * 7 + F.col("pos")) % 31
+    blank = is_blank("content")
+    default_name = F.try_element_at("expected", (F.col("pos") + 1).cast("int"))
+    explicit = F.struct(_explicit_path(F.col("sub_id"), F.col("pos"), F.col("role")).alias("path"),
+                        F.col("content").alias("content"), (k != 5).alias("readable"), (k != 7).alias("there"))
+    default = F.struct(F.concat_ws("/", F.lit("work"), "sub_id", "task_id", default_name).alias("path"),
+                       F.when(blank, F.col("content")).otherwise(F.concat(F.lit("# start\n"), "content")).alias("content"),
+                       (k != 6).alias("readable"), (default_name.isNotNull() & (k != 8)).alias("there"))
+    f = rows.select(F.explode(F.array(explicit, default)).alias("f")).select("f.*").where("there and content <> ''")
+    bad = F.concat(F.col("content").cast("binary"), F.unhex(F.lit("FF"))).cast("string") if raw else F.lit(None).cast("string")
+    return f.select("path", F.when(F.col("readable"), F.col("content")).otherwise(bad).alias("content"), "readable")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sub_id, ts, http_status, transport_error, body): one service reply per event."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
     eid, et = F.col("event_id"), F.col("event_type")
-    k = eid % 14
+    k = eid % 20
     status = F.when(k == 0, F.lit(500)).when(k == 1, F.lit(None).cast("int")).otherwise(F.lit(200))
     err = F.when(k == 1, F.lit("timeout"))
     verdict = F.when(et == "error", F.lit("error")).otherwise(F.lit("success"))
@@ -188,6 +228,11 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k == 9, F.lit('{"status":["success"],"message":"m"}'))
             .when(k == 10, F.lit('{"status":"success","message":null}'))
             .when(k == 11, F.lit("null"))
+            .when(k == 12, F.lit("null x"))                     # text after a scalar
+            .when(k == 13, F.lit('"a" b'))
+            .when(k == 14, F.lit('\ufeff{"status":"success","message":"bom"}'))
+            .when(k == 15, F.lit("-1.5e3"))
+            .when(k == 16, F.lit("1 2"))
             .otherwise(F.concat(F.lit('{"status":"'), verdict, F.lit('","message":"'),
                                 et, F.lit('"}'))))
     return e.select(eid.alias("sub_id"), "ts", status.cast("int").alias("http_status"),

@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 from gatehouse.functions.text import rstrip_slash, strip
 from gatehouse.functions.urls import target_url
 
-from gatehouse.functions.verdict import classify, exit_code, parse_verdict, python_literals
-from gatehouse.operators.bundle import (MAX_BUNDLE_BYTES, check_arity, request_json,
-                                        submission_headers)
+from gatehouse.functions.verdict import classify, exit_code, with_verdict
+from gatehouse.operators.bundle import check_arity, request_json, submission_headers
 from gatehouse.operators.screen import screen
 from gatehouse.plans import fixtures as fx
 
@@ -23,11 +22,11 @@ def arity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 def screen_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every submission with its first failing rule (null = may be sent)."""
     return screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir),
-                  fx.tasks(spark), fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL)
+                  fx.tasks(spark), fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL,
+                  fx.stored_files(spark, sf_dir))
 
 
-def assemble_job(spark: SparkSession, sf_dir: str,
-                 max_bundle_bytes: int = MAX_BUNDLE_BYTES) -> DataFrame:
+def assemble_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sub_id, task_id, target_url, request) per submission that passes the screen.
 
     ``target_url`` is where the request goes: the stripped base address (P1,
@@ -35,35 +34,27 @@ def assemble_job(spark: SparkSession, sf_dir: str,
 
     A bundle task sends its files as a JSON map name -> text; any other task
     sends the one file's text. Newlines are normalised as in text-mode reads.
-    Runs on the screen's own pass (one aggregate per submission). A bundle
-    over ``max_bundle_bytes`` keeps its row with a null request.
+    Runs on the screen's own pass (one aggregate per submission); every
+    submission that may be sent has a request.
     """
     s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir),
                fx.tasks(spark), fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL,
-               collect_bundles=True, max_bundle_bytes=max_bundle_bytes)
-    is_bundle = F.coalesce(F.size("expected") > 1, F.lit(False))
-    solution = F.when(is_bundle, F.col("solution")).otherwise(F.col("single_text"))
+               fx.stored_files(spark, sf_dir), collect_bundles=True)
+    solution = F.when(F.col("bundle"), F.col("solution")).otherwise(F.col("single_text"))
     target = target_url(rstrip_slash(strip("base_url")), "endpoint")
     return (s.where(F.col("reason").isNull())
             .select("sub_id", "task_id", target.alias("target_url"),
-                    F.when(solution.isNotNull(), request_json("student_id", solution)).alias("request")))
+                    request_json("student_id", solution).alias("request")))
 
 
 def judge(responses: DataFrame) -> DataFrame:
     """X1-X3 over (sub_id, http_status, transport_error, body) rows.
 
-    Stateless, so the same plan runs on a batch frame or a ``readStream``
-    frame. One projection per step: the parsed body and the verdict are each
-    used several times, and Catalyst does not merge a projection that would
-    repeat a non-trivial expression, so each body is parsed once.
+    Stateless, so the same plan runs on a batch frame or a ``readStream`` frame.
     """
-    parsed = responses.select("sub_id", "http_status", "transport_error", "body",
-                              F.try_parse_json(python_literals("body")).alias("_v"))
-    verdicts = parsed.select("sub_id", "http_status", "transport_error",
-                             parse_verdict("body", parsed="_v").alias("v"))
-    return (verdicts.select("sub_id", "v", classify("http_status", "transport_error", F.col("v"))
-                            .alias("outcome"))
-            .select("sub_id", "v.shape", "v.status", "v.message", "outcome",
+    verdicts = with_verdict(responses.select("sub_id", "http_status", "transport_error", "body"), "body")
+    return (verdicts.withColumn("outcome", classify("http_status", "transport_error", F.col("verdict")))
+            .select("sub_id", "verdict.shape", "verdict.status", "verdict.message", "outcome",
                     exit_code("outcome").cast("bigint").alias("exit_code")))
 
 

@@ -47,8 +47,8 @@ def blank_sql(x: str) -> str:
     return f"({strip_sql(x)} = '')"
 
 
-TASK_CASE = "case sub_id % 5 " + " ".join(
-    f"when {slot} then {_q(tid)}" for slot, tid, _, _ in TASKS) + " end"
+TASK_CASE = f"case sub_id % {len(TASKS)} " + " ".join(
+    f"when {slot} then {_q(tid)}" for slot, tid, *_ in TASKS) + " end"
 
 VIEWS = {
     "endpoints_v": r"""
@@ -71,8 +71,8 @@ select page_id as req_id, case page_id % 16
   else url end as raw_url
 from pages""",
     "tasks_v": "select * from (values " + ", ".join(
-        f"({slot}::BIGINT, {_q(tid)}, {_q(ep)}::VARCHAR, {_list(exp)})"
-        for slot, tid, ep, exp in TASKS) + ") t(slot, task_id, endpoint, expected)",
+        f"({slot}::BIGINT, {_q(tid)}, {_q(ep)}::VARCHAR, {_list(exp)}, {str(bundle).lower()})"
+        for slot, tid, ep, exp, bundle in TASKS) + ") t(slot, task_id, endpoint, expected, bundle)",
     "kinds_v": "select * from (values " + ", ".join(
         f"({_q(n)}, {_q(k)})" for n, k in KINDS) + ") t(name, kind)",
     "exceptions_v": "select * from (values " + ", ".join(
@@ -93,13 +93,26 @@ from conversations""",
     "explicit_v": """
 select conv_id as sub_id, turn as pos,
   case when conv_id % 3 = 0 and turn < conv_id % 4
-       then '/in/' || role || '_' || cast(turn as varchar) || '.py' end as path
+       then 'in/' || conv_id || '/' || role || '_' || turn || '.py' end as path
 from conversations""",
+    "stored_v": f"""
+select path, case when readable then content end as content, content as bytes, readable from (
+  select 'in/' || s.sub_id || '/' || c.role || '_' || s.pos || '.py' as path, s.content,
+    (s.sub_id * 7 + s.pos) % 31 <> 5 as readable
+  from submissions_v s join conversations c on c.conv_id = s.sub_id and c.turn = s.pos
+  where (s.sub_id * 7 + s.pos) % 31 <> 7
+  union all
+  select 'work/' || s.sub_id || '/' || s.task_id || '/' || t.expected[s.pos + 1],
+    case when {blank_sql('s.content')} then s.content else '# start' || chr(10) || s.content end,
+    (s.sub_id * 7 + s.pos) % 31 <> 6
+  from submissions_v s join tasks_v t on t.task_id = s.task_id
+  where t.expected[s.pos + 1] is not null and (s.sub_id * 7 + s.pos) % 31 <> 8)
+where content <> ''""",
     "responses_v": """
 select event_id as sub_id, ts,
-  case event_id % 14 when 0 then 500 when 1 then null else 200 end as http_status,
-  case event_id % 14 when 1 then 'timeout' else null end as transport_error,
-  case event_id % 14
+  case event_id % 20 when 0 then 500 when 1 then null else 200 end as http_status,
+  case event_id % 20 when 1 then 'timeout' else null end as transport_error,
+  case event_id % 20
     when 0 then 'oops' when 1 then null when 2 then 'not json' when 3 then '[1]'
     when 4 then '{"status":"success","message":1}'
     when 5 then '{"status":"ok","message":"m"}'
@@ -107,6 +120,9 @@ select event_id as sub_id, ts,
     when 7 then '{"status":"success"}' when 8 then ''
     when 9 then '{"status":["success"],"message":"m"}'
     when 10 then '{"status":"success","message":null}' when 11 then 'null'
+    when 12 then 'null x' when 13 then '"a" b'
+    when 14 then chr(65279) || '{"status":"success","message":"bom"}'
+    when 15 then '-1.5e3' when 16 then '1 2'
     else '{"status":"' || case when event_type = 'error' then 'error' else 'success' end
          || '","message":"' || event_type || '"}' end as body
 from events""",
@@ -125,9 +141,9 @@ ARITY_CTES = [
                 "from submissions_v group by sub_id"),
     ("counts", "select sub_id, count(path) as n from explicit_v group by sub_id"),
     ("arity", """
-select h.sub_id, h.task_id, h.student_id, t.endpoint, t.expected,
+select h.sub_id, h.task_id, h.student_id, t.endpoint, t.expected, coalesce(t.bundle, false) as bundle,
   cast(coalesce(c.n, 0) as bigint) as n_explicit,
-  case when coalesce(len(t.expected) > 1, false)
+  case when coalesce(t.bundle, false)
        then coalesce(c.n, 0) = 0 or coalesce(c.n, 0) = len(t.expected)
        else coalesce(c.n, 0) <= 1 end as arity_ok,
   coalesce(c.n, 0) > 0 or t.expected is not null as has_files
@@ -143,7 +159,7 @@ from explicit_v e join {src} a on a.sub_id = e.sub_id
 where e.path is not null
 union all
 select sub_id, task_id, pos, expected[pos + 1] as name,
-  'tasks/' || task_id || '/' || expected[pos + 1] as path, 'default' as source
+  'work/' || sub_id || '/' || task_id || '/' || expected[pos + 1] as path, 'default' as source
 from (select sub_id, task_id, expected, unnest(range(len(expected))) as pos
       from {src} where n_explicit = 0 and expected is not null)""")
 
@@ -151,9 +167,9 @@ from (select sub_id, task_id, expected, unnest(range(len(expected))) as pos
 RECONCILE_CTES = [
     ("reconciled", """
 select m.sub_id, m.task_id, m.pos, m.name, m.path,
-  case when s.sub_id is null then 'missing_or_empty'
+  case when s.path is null then 'missing_or_empty' when not s.readable then 'unreadable'
        when """ + blank_sql("s.content") + """ then 'blank' else 'ok' end as state
-from manifest m left join submissions_v s on s.sub_id = m.sub_id and s.pos = m.pos"""),
+from manifest m left join stored_v s on s.path = m.path"""),
     ("failures", """
 select sub_id, min(pos) filter (where state <> 'ok') as fail_pos,
   arg_min(name, pos) filter (where state <> 'ok') as fail_name,
@@ -175,17 +191,18 @@ SCREEN_CTES = ARITY_CTES + [CHECKED_CTE, ("passing", "select * from checked wher
                             manifest_cte("passing")] + RECONCILE_CTES + [("screened", """
 select c.sub_id, c.task_id, c.base_url, coalesce(c.header_reason, f.fail_state) as reason,
   case when c.header_reason is null then f.fail_pos end as fail_pos,
-  c.student_id, c.expected, c.endpoint
+  c.student_id, c.expected, c.endpoint, c.bundle
 from checked c left join failures f on f.sub_id = c.sub_id""")]
 
-SUB_VIEWS = ["endpoints_v", "tasks_v", "submissions_v", "explicit_v"]
+SUB_VIEWS = ["endpoints_v", "tasks_v", "submissions_v", "explicit_v", "stored_v"]
 
 BUNDLE_SQL = ("bundles", """
 select sub_id, cast(sum(strlen(c)) as bigint) as bundle_bytes,
-  '{' || string_agg(cast(to_json(name) as varchar) || ': ' || cast(to_json(c) as varchar), ', '
-                    order by pos) || '}' as solution
-from (select sub_id, pos, name, regexp_replace(content, '\\r\\n?', chr(10), 'g') as c
-      from submissions_v) group by sub_id""")
+  case when bool_and(c is not null) and bool_and(name is not null) then
+    '{' || string_agg(cast(to_json(name) as varchar) || ': ' || cast(to_json(c) as varchar), ', '
+                      order by pos) || '}' end as solution
+from (select m.sub_id, m.pos, m.name, regexp_replace(s.content, '\\r\\n?', chr(10), 'g') as c
+      from manifest m left join stored_v s on s.path = m.path) group by sub_id""")
 
 # one verdict per response
 VERDICT_CTES = [("parsed", """
@@ -198,7 +215,7 @@ select sub_id, http_status, transport_error, j,
        else 'unexpected' end as shape,
   json_extract_string(j, '$.status') as st,
   json_extract_string(j, '$.message') as msg
-from (select *, case when json_valid(body) then body end as j from responses_v)"""), ("verdicts", """
+from (select *, case when json_valid(ltrim(body, chr(65279))) then ltrim(body, chr(65279)) end as j from responses_v)"""), ("verdicts", """
 select sub_id, shape,
   case when shape = 'ok' then st end as status,
   case when shape = 'ok' then msg end as message,
@@ -226,15 +243,15 @@ select req_id, user_id, resp_id, cast(delay_us as bigint) as delay_us from m whe
 
 REQUEST_CTES = SCREEN_CTES + [("sent_files", """
 select m.sub_id, m.pos, m.name, regexp_replace(s.content, '\\r\\n?', chr(10), 'g') as c
-from manifest m join submissions_v s on s.sub_id = m.sub_id and s.pos = m.pos"""), ("sendable", """
+from manifest m join stored_v s on s.path = m.path"""), ("sendable", """
 select sc.sub_id, sc.task_id, sc.student_id, sc.base_url, sc.endpoint,
-  case when len(sc.expected) > 1
+  case when sc.bundle
        then '{' || string_agg(cast(to_json(f.name) as varchar) || ': ' || cast(to_json(f.c) as varchar), ', '
                               order by f.pos) || '}'
        else max(f.c) end as solution
 from screened sc join sent_files f on f.sub_id = sc.sub_id
 where sc.reason is null
-group by sc.sub_id, sc.task_id, sc.student_id, sc.expected, sc.base_url, sc.endpoint"""), ("requests", """
+group by sc.sub_id, sc.task_id, sc.student_id, sc.bundle, sc.base_url, sc.endpoint"""), ("requests", """
 select p.sub_id, p.task_id, """ + base_sql("p.base_url") + """ || p.endpoint as target_url,
   cast(json_object('student_id', """ + strip_sql("p.student_id") + """,
                    'student_solution', p.solution) as varchar) as request
@@ -268,7 +285,7 @@ def oracle_sql() -> dict[str, str]:
     s["p3_target_url"] = with_views(
         ["endpoints_v", "tasks_v"],
         f"select e.req_id, t.task_id, {base_sql('e.raw_url')} || t.endpoint as target_url "
-        f"from endpoints_v e left join tasks_v t on t.slot = e.req_id % 5")
+        f"from endpoints_v e left join tasks_v t on t.slot = e.req_id % {len(TASKS)}")
     s["p4_overlay"] = with_views(
         ["endpoints_v"],
         f"select e.event_id as sub_id, coalesce(o.raw_url, {_q(DEFAULT_BASE_URL)}) as base_url, "
@@ -302,13 +319,14 @@ def oracle_sql() -> dict[str, str]:
         "left join kinds_v k on k.name = m.name",
         ARITY_CTES + [manifest_cte("arity")])
     s["s2_reconcile"] = with_views(
-        SUB_VIEWS, "select sub_id, pos, name, state from reconciled",
+        SUB_VIEWS, "select sub_id, pos, name, path, state from reconciled",
         ARITY_CTES + [manifest_cte("arity")] + RECONCILE_CTES[:1])
     s["a3_first_failure"] = with_views(
         SUB_VIEWS, "select sub_id, fail_pos, fail_name, fail_state from failures",
         ARITY_CTES + [manifest_cte("arity")] + RECONCILE_CTES)
     s["a2_assemble_bundle"] = with_views(
-        ["submissions_v"], "select sub_id, bundle_bytes, 'ok' as status, solution from bundles", [BUNDLE_SQL])
+        SUB_VIEWS, "select sub_id, bundle_bytes, solution from bundles",
+        ARITY_CTES + [("countable", "select * from arity where arity_ok"), manifest_cte("countable"), BUNDLE_SQL])
     s["x4_screen_files"] = with_views(
         SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
     s["x4_screen"] = with_views(
@@ -323,9 +341,9 @@ def oracle_sql() -> dict[str, str]:
         "select sub_id, outcome, cast(case when outcome = 'success' then 0 else 1 end as bigint) as exit_code "
         "from verdicts", VERDICT_CTES)
     s["s1_read_artifacts"] = with_views(
-        ["submissions_v"],
-        "select sub_id, pos, cast(strlen(content) + 1 as bigint) as n_bytes, true as readable, "
-        f"{blank_sql('content')} as blank from submissions_v")
+        ["tasks_v", "submissions_v", "stored_v"],
+        "select path as file, cast(strlen(bytes) + case when readable then 1 else 2 end as bigint) as n_bytes, "
+        f"readable, {blank_sql('content')} as blank from stored_v")
     s["s4_write_verdicts"] = with_views(
         ["responses_v"],
         "select sub_id, outcome, message, cast(case when outcome = 'success' then 0 else 1 end as bigint) "

@@ -16,6 +16,8 @@ SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # keys in folder names stay text: 007 and 7 are two keys
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
 }
 
 # Runtime re-planning: AQE coalesces small shuffle partitions, splits skewed

@@ -6,29 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-# Spark's binary-file reader holds one file in one row, up to this many bytes.
-MAX_FILE_BYTES = 2_147_483_647
-
-
 def read_artifacts(spark: SparkSession, path: str, glob: str | None = None,
-                   recursive: bool = False, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
-    """(path, [partition columns], n_bytes, content, readable, too_large) per file.
+                   recursive: bool = False) -> DataFrame:
+    """(path, [partition columns], n_bytes, content, readable) per file.
 
     Reads bytes with the ``binaryFile`` source (one row per file, files are
     split across tasks by the file listing, never merged) and decodes them as
     strict UTF-8: a file with an invalid byte sequence is *unreadable* -- its
     ``content`` is null -- rather than decoded with replacement characters. A
     leading byte-order mark is kept, as Python's ``utf-8`` codec does.
-    Newlines are left as stored (see ``normalise_newlines``).
-
-    Files over ``max_bytes`` keep their row but are not read: ``too_large``,
-    ``readable`` false, null content. The source applies the length filter
-    from the file listing and reads content only for the files it returns,
-    so one huge file cannot fail the scan.
+    Newlines are left as stored (see ``normalise_newlines``). A file too large
+    for one Spark row fails the scan.
 
     Zero-byte files yield no row in Spark's file sources; reconcile against
     the expected files (:func:`gatehouse.operators.reconcile`) to catch them.
-    Partition folders (``key=value``) become columns unless ``recursive``.
+    Partition folders (``key=value``) become columns unless ``recursive``; their
+    values stay text as written (``007`` is not ``7``).
     """
     reader = spark.read.format("binaryFile")
     if glob:
@@ -39,10 +32,5 @@ def read_artifacts(spark: SparkSession, path: str, glob: str | None = None,
     keep = [c for c in raw.columns if c not in ("path", "modificationTime", "length", "content")]
     text = F.col("content").cast("string")
     readable = F.is_valid_utf8(text)
-    small = raw.where(F.col("length") <= max_bytes).select(
-        "path", *keep, F.col("length").alias("n_bytes"), F.when(readable, text).alias("content"),
-        readable.alias("readable"), F.lit(False).alias("too_large"))
-    large = raw.where(F.col("length") > max_bytes).select(
-        "path", *keep, F.col("length").alias("n_bytes"), F.lit(None).cast("string").alias("content"),
-        F.lit(False).alias("readable"), F.lit(True).alias("too_large"))
-    return small.unionByName(large)
+    return raw.select("path", *keep, F.col("length").alias("n_bytes"), F.when(readable, text).alias("content"),
+                      readable.alias("readable"))

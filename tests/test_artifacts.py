@@ -60,29 +60,55 @@ def test_request_and_verdict_sinks(spark, tmp_dir):
 
 
 def test_screen_from_files_on_storage(spark, tmp_dir):
+    from urllib.parse import quote
+
     from gatehouse.operators import screen
     from gatehouse.plans import fixtures as fx
 
-    # submission 1: bad bytes in its first file; 2: second file blank; 3: fine
-    _write(tmp_dir, "sub_id=1/pos=0/f.txt", b"print(1)\xff")
-    _write(tmp_dir, "sub_id=2/pos=0/f.txt", b"a = 1\n")
-    _write(tmp_dir, "sub_id=2/pos=1/f.txt", b" \r\n")
-    _write(tmp_dir, "sub_id=2/pos=2/f.txt", b"x")
-    _write(tmp_dir, "sub_id=3/pos=0/f.txt", "ok ✓\n".encode())
+    def put(path, data):
+        _write(tmp_dir, f"file={quote(path, safe='')}/f.txt", data)
+
+    # submission 1: bad bytes in its first file; 2: second file blank; 3: fine; 4: no endpoint, never read
+    put("work/1/4.11.1/realization.py", b"print(1)\xff")
+    put("work/2/5.4.2/connection_interests.py", b"a = 1\n")
+    put("work/2/5.4.2/run_jobs.sh", b" \r\n")
+    put("work/2/5.4.2/dag.py", b"x")
+    put("work/3/4.12.1/dag.py", "ok ✓\n".encode())
+    put("work/4/2.3.1/realization.txt", b"unused")
     files = spark.createDataFrame(
-        [(1, "u1", "4.11.1", 0), (2, "u2", "5.4.2", 0), (2, "u2", "5.4.2", 1), (2, "u2", "5.4.2", 2),
-         (3, "u3", "4.12.1", 0)], "sub_id bigint, student_id string, task_id string, pos bigint")
+        [(1, "u1", "4.11.1"), (2, "u2", "5.4.2"), (3, "u3", "4.12.1"), (4, "u4", "2.3.1")],
+        "sub_id bigint, student_id string, task_id string")
     explicit = spark.createDataFrame([], "sub_id bigint, pos bigint, path string")
     overrides = spark.createDataFrame([], "key bigint, value string")
-    contents = read_artifacts(spark, tmp_dir).select("sub_id", "pos", "content", "readable")
-    got = {r.sub_id: (r.reason, r.fail_pos) for r in
-           screen(files, explicit, fx.tasks(spark), overrides, "https://ok.example", contents=contents).collect()}
-    assert got == {1: ("unreadable", 0), 2: ("blank", 1), 3: (None, None)}
-
-
-def test_oversized_files_keep_their_row(spark, tmp_dir):
-    _write(tmp_dir, "f=small/a.txt", b"ok")
-    _write(tmp_dir, "f=big/a.txt", b"x" * 100)
-    got = {r.f: (r.n_bytes, r.readable, r.too_large, r.content)
-           for r in read_artifacts(spark, tmp_dir, max_bytes=10).collect()}
-    assert got == {"small": (2, True, False, "ok"), "big": (100, False, True, None)}
+    contents = read_artifacts(spark, tmp_dir).select("file", "content", "readable")
+    out = screen(files, explicit, fx.tasks(spark), overrides, "https://ok.example", contents, path="file")
+    assert {r.sub_id: (r.reason, r.fail_pos) for r in out.collect()} == {
+        1: ("unreadable", 0), 2: ("blank", 1), 3: (None, None), 4: ("no_endpoint", None)}
+
+
+def test_keys_in_folder_names_stay_text(spark, tmp_dir):
+    _write(tmp_dir, "k=007/a.txt", b"a")
+    _write(tmp_dir, "k=7/a.txt", b"b")
+    assert {r.k: r.content for r in read_artifacts(spark, tmp_dir).collect()} == {"007": "a", "7": "b"}
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from gatehouse.session import checkpoint_base
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": staticmethod(lambda k, d=None: d)})
+
+    with pytest.raises(RuntimeError):
+        checkpoint_base(Session())

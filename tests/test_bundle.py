@@ -11,8 +11,9 @@ from gatehouse.operators import (artifact_kind, assemble_bundle, check_arity, fi
                                  submission_headers)
 from gatehouse.plans import fixtures as fx
 
-TASKS = [(0, "single", "/s", ["realization.py"]), (1, "bundle", "/b", ["a.py", "b.sh", "dag.py"]),
-         (2, "nodefault", "/n", None), (3, "closed", None, ["realization.py"])]
+TASKS = [(0, "single", "/s", ["realization.py"], False), (1, "bundle", "/b", ["a.py", "b.sh", "dag.py"], True),
+         (2, "nodefault", "/n", None, False), (3, "closed", None, ["realization.py"], False),
+         (4, "bundle1", "/1", ["only.py"], True)]
 
 
 def tasks(spark):
@@ -29,13 +30,13 @@ def explicit(spark, rows):
 
 def test_arity_rules(spark):
     h = headers(spark, [(1, "u", "single"), (2, "u", "single"), (3, "u", "bundle"), (4, "u", "bundle"),
-                        (5, "u", "bundle"), (6, "u", "nodefault"), (7, "u", "nodefault"), (8, "u", "unknown")])
+                        (5, "u", "bundle"), (6, "u", "nodefault"), (7, "u", "nodefault"), (8, "u", "unknown"), (9, "u", "bundle1"), (10, "u", "bundle1")])
     e = explicit(spark, [(2, 0, "/x"), (2, 1, "/y"), (4, 0, "/a"), (4, 1, "/b"), (4, 2, "/c"),
-                         (5, 0, "/a"), (7, 0, "/z"), (1, 0, None)])
+                         (5, 0, "/a"), (7, 0, "/z"), (1, 0, None), (10, 0, "/a"), (10, 1, "/b")])
     got = {r.sub_id: (r.n_explicit, r.arity_ok, r.has_files)
            for r in check_arity(h, e, tasks(spark)).collect()}
     assert got == {1: (0, True, True), 2: (2, False, True), 3: (0, True, True), 4: (3, True, True),
-                   5: (1, False, True), 6: (0, True, False), 7: (1, True, True), 8: (0, True, False)}
+                   5: (1, False, True), 6: (0, True, False), 7: (1, True, True), 8: (0, True, False), 9: (0, True, True), 10: (2, False, True)}
 
 
 def test_explicit_replaces_defaults_by_position(spark):
@@ -46,9 +47,9 @@ def test_explicit_replaces_defaults_by_position(spark):
     assert got == [
         (1, 0, "a.py", "/in/x", "explicit"), (1, 1, "b.sh", "/in/y", "explicit"),
         (1, 2, "dag.py", "/in/z", "explicit"),
-        (2, 0, "a.py", "tasks/bundle/a.py", "default"), (2, 1, "b.sh", "tasks/bundle/b.sh", "default"),
-        (2, 2, "dag.py", "tasks/bundle/dag.py", "default"),
-        (3, 0, "realization.py", "tasks/single/realization.py", "default")]
+        (2, 0, "a.py", "work/2/bundle/a.py", "default"), (2, 1, "b.sh", "work/2/bundle/b.sh", "default"),
+        (2, 2, "dag.py", "work/2/bundle/dag.py", "default"),
+        (3, 0, "realization.py", "work/3/single/realization.py", "default")]
 
 
 def test_reconcile_and_first_failure(spark):
@@ -66,24 +67,33 @@ def test_reconcile_and_first_failure(spark):
     assert ff == {1: (1, "b", "unreadable"), 2: (None, None, None), 3: (0, "a", "blank")}
 
 
+def test_path_decides_which_file_counts(spark):
+    manifest = spark.createDataFrame([(1, 0, "a", "in/x"), (2, 0, "a", "work/2/a")], "sub_id bigint, pos bigint, name string, path string")
+    files = spark.createDataFrame([("in/x", "explicit", True), ("work/1/a", "default of 1", True), ("work/2/a", "default of 2", True)],
+                                  "path string, content string, readable boolean")
+    got = {r.sub_id: r.content for r in reconcile(manifest, files, with_content=True).collect()}
+    assert got == {1: "explicit", 2: "default of 2"}
+
+
 def test_bundle_order_and_repeated_name(spark):
     files = spark.createDataFrame(
-        [(1, 2, "b", "B"), (1, 0, "a", "A1\r\n"), (1, 1, "a", "A2"), (2, 0, "only", "text")],
+        [(1, 2, "b", "B"), (1, 0, "a", "A1\r\n"), (1, 1, "a", "A2"), (2, 0, "only", "text"), (3, 0, "a", "x"), (3, 1, "b", None)],
         "sub_id bigint, pos bigint, name string, content string")
     got = {r.sub_id: r for r in assemble_bundle(files).collect()}
     # like dict(zip(names, texts)): first position of a name, last text
     # byte-equal to the client's json.dumps(dict(zip(names, texts)), ensure_ascii=False)
     assert got[1].solution == json.dumps({"a": "A2", "b": "B"}, ensure_ascii=False)
     assert list(json.loads(got[1].solution)) == ["a", "b"]
-    assert got[1].status == "ok" and got[1].single_text is None
-    assert got[2].single_text == "text"
+    assert got[1].single_text is None
+    assert got[2].single_text == "text" and got[2].solution == '{"only": "text"}'
+    assert got[3].solution is None                      # a missing text: no bundle
 
 
-def test_bundle_too_large_is_kept_not_dropped(spark):
-    files = spark.createDataFrame([(1, 0, "a", "x" * 100), (2, 0, "a", "y")],
+def test_large_bundle_is_assembled(spark):
+    files = spark.createDataFrame([(1, 0, "a", "x" * 3_000_000), (1, 1, "b", "y")],
                                   "sub_id bigint, pos bigint, name string, content string")
-    got = {r.sub_id: (r.status, r.solution, r.bundle_bytes) for r in assemble_bundle(files, max_bytes=10).collect()}
-    assert got == {1: ("too_large", None, 100), 2: ("ok", '{"a": "y"}', 1)}
+    r = assemble_bundle(files).first()
+    assert r.bundle_bytes == 3_000_001 and len(json.loads(r.solution)["a"]) == 3_000_000
 
 
 def test_request_json(spark):
@@ -107,22 +117,26 @@ def test_artifact_kind(spark):
 def test_screen_precedence(spark):
     # each submission fails several rules; the first in client order wins
     files = spark.createDataFrame([
-        (1, " ", "closed", 0, "f", ""),          # no endpoint (also blank student, blank file)
-        (2, " ", "single", 0, "f", ""),          # bad arity (two explicit), also blank student
-        (3, "u", "nodefault", 0, "f", "x"),      # nothing named, no default file
-        (4, " ", "single", 0, "f", "x"),         # bad address before blank student
-        (5, " ", "single", 0, "f", "x"),         # blank student
-        (6, "u", "bundle", 0, "f", "x"), (6, "u", "bundle", 1, "f", "  "), (6, "u", "bundle", 2, "f", ""),
-        (7, "u", "bundle", 0, "f", "x"), (7, "u", "bundle", 1, "f", "y"),    # third file missing
-        (8, "u", "single", 0, "f", "fine"),
-    ], "sub_id bigint, student_id string, task_id string, pos bigint, name string, content string")
-    e = explicit(spark, [(2, 0, "/a"), (2, 1, "/b")])
+        (1, " ", "closed"), (2, " ", "single"), (3, "u", "nodefault"), (4, " ", "single"), (5, " ", "single"),
+        (6, "u", "bundle"), (7, "u", "bundle"), (8, "u", "single"), (9, "u", "bundle1"), (10, "u", "single")],
+        "sub_id bigint, student_id string, task_id string")
+    stored = spark.createDataFrame([
+        ("work/6/bundle/a.py", "x", True), ("work/6/bundle/b.sh", "  ", True), ("work/6/bundle/dag.py", "", True),
+        ("work/7/bundle/a.py", "x", True), ("work/7/bundle/b.sh", "y", True),          # third file missing
+        ("work/8/single/realization.py", "fine", True), ("work/9/bundle1/only.py", "one", True),
+        ("work/10/single/realization.py", "the default", True), ("/mine", "the explicit", True)],
+        "path string, content string, readable boolean")
+    e = explicit(spark, [(2, 0, "/a"), (2, 1, "/b"), (10, 0, "/mine")])
     overrides = spark.createDataFrame([(4, "ftp://h")], "key bigint, value string")
-    got = {r.sub_id: (r.reason, r.fail_pos) for r in
-           screen(files, e, tasks(spark), overrides, "https://ok.example").collect()}
-    assert got == {1: ("no_endpoint", None), 2: ("bad_arity", None), 3: ("no_default_file", None),
-                   4: ("bad_address", None), 5: ("blank_student", None), 6: ("blank", 1),
-                   7: ("missing_or_empty", 2), 8: (None, None)}
+    out = screen(files, e, tasks(spark), overrides, "https://ok.example", stored, collect_bundles=True).collect()
+    assert {r.sub_id: (r.reason, r.fail_pos) for r in out} == {
+        1: ("no_endpoint", None), 2: ("bad_arity", None), 3: ("no_default_file", None), 4: ("bad_address", None),
+        5: ("blank_student", None), 6: ("blank", 1), 7: ("missing_or_empty", 2), 8: (None, None), 9: (None, None),
+        10: (None, None)}
+    by = {r.sub_id: r for r in out}
+    assert by[8].single_text == "fine" and not by[8].bundle
+    assert by[9].solution == '{"only.py": "one"}' and by[9].bundle       # a bundle of one file is a map
+    assert by[10].single_text == "the explicit"
 
 
 def test_headers_one_row_per_submission(spark):
@@ -157,6 +171,3 @@ def test_out_of_range_keys_do_not_fail(spark):
     m = resolve_paths(check_arity(h, e, tasks(spark)), e)
     got = sorted((r.pos, r.name) for r in m.collect())
     assert got == [(0, "a.py"), (1, "b.sh"), (5_000_000_000, None)]
-    files = spark.createDataFrame([(1, 0, "x", True)], "sub_id int, pos int, content string, readable boolean")
-    man = spark.createDataFrame([(1, 0, "a"), (1, 5_000_000_000, "b")], "sub_id bigint, pos bigint, name string")
-    assert sorted(r.state for r in reconcile(man, files, ["sub_id", "pos"]).collect()) == ["missing_or_empty", "ok"]

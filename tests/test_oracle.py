@@ -12,8 +12,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data
 
 
 def _names():
-    import __spark_entry__ as e
-    return sorted(e.queries())
+    from gatehouse.plans.catalog import queries
+    return sorted(queries())
 
 
 @pytest.fixture(scope="module")
@@ -39,8 +39,9 @@ def test_query_matches_oracle(spark, duck, name):
 
 
 def test_every_query_has_oracle():
-    import __spark_entry__ as e
-    assert set(e.queries()) == set(e.oracle_sql())
+    from gatehouse.plans.catalog import queries
+    from gatehouse.plans.oracle import oracle_sql
+    assert set(queries()) == set(oracle_sql())
 
 
 def test_entry_smoke(spark):
@@ -82,13 +83,15 @@ def test_requests_round_trip_as_json(spark):
 
     import __spark_entry__ as e
     from gatehouse.plans import fixtures as fx
-    expected = {tid: exp for _, tid, _, exp in fx.TASKS}
+    expected = {tid: (exp, bundle) for _, tid, _, exp, bundle in fx.TASKS}
     rows = e.queries()["p6_request_json"](spark, SF).collect()
-    assert rows
+    sendable = e.queries()["x4_screen"](spark, SF).where("reason is null").select("sub_id").collect()
+    assert rows and sorted(r.sub_id for r in rows) == sorted(r.sub_id for r in sendable)     # none is lost
+    assert all(r.request is not None for r in rows)
     for r in rows:
         req = json.loads(r.request)
         assert set(req) == {"student_id", "student_solution"} and req["student_id"] == req["student_id"].strip()
-        names = expected[r.task_id]
-        if names and len(names) > 1:
+        names, bundle = expected[r.task_id]
+        if bundle:
             assert list(json.loads(req["student_solution"])) == names
-        assert r.target_url.endswith(next(ep for _, t, ep, _ in fx.TASKS if t == r.task_id) or "")
+        assert r.target_url.endswith(next(ep for _, t, ep, *_ in fx.TASKS if t == r.task_id) or "")
