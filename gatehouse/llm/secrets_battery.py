@@ -20,7 +20,7 @@ at most ``fdr`` is used (length-aware false-discovery control). A class whose
 evidence is too thin for that (fewer than ``MIN_CLASS`` distinct strings above
 1/2) uses the fixed cut ``THIN_CUT``. The counts run over the distinct strings of
 all documents, as a Spark aggregate; only the cuts, of which there are at most
-``len(ENCODINGS) * len(LENGTHS)``, are broadcast.
+``len(ENCODINGS) * len(LENGTHS)``, reach the driver.
 """
 
 from __future__ import annotations
@@ -243,15 +243,20 @@ def find_secrets(docs: DataFrame, text: str = "text", fdr: float = FDR,
     """
     rows = written(scan(docs, text, carry), "secrets-scan")
     found = rows.select(F.explode("cand").alias("c")).select("c.enc", "c.len_class", "c.p", "c.h")
-    table = written(cuts(found, fdr), "secrets-cuts").agg(F.map_from_entries(F.collect_list(
-        F.struct(F.concat_ws(":", "enc", "len_class").alias("k"), F.col("cut").alias("v")))).alias("_cuts"))
-    # one row with at most len(ENCODINGS) * len(LENGTHS) cuts: bounded, so broadcast
-    rows = rows.join(F.broadcast(table), F.lit(True), "left")
-    kept = F.filter("cand", lambda c: c["p"] >= F.col("_cuts")[F.concat_ws(":", c["enc"], c["len_class"])])
+    # at most len(ENCODINGS) * len(LENGTHS) rows: they become part of the expression
+    table = sorted(tuple(r) for r in cuts(found, fdr).select("enc", "len_class", "cut").collect())
+
+    def random(c: Column) -> Column:
+        cut = F.lit(THIN_CUT)
+        for enc, length, value in table:
+            cut = F.when((c["enc"] == enc) & (c["len_class"] == length), value).otherwise(cut)
+        return c["p"] >= cut
+
+    kept = F.filter("cand", random)
     added = F.transform(kept, lambda c: F.struct(F.lit(3).alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     order = F.array_sort(F.transform(F.concat("base", added), lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))
-    return rows.select(*(c for c in rows.columns if c not in ("base", "cand", "_cuts")), "base", order.alias("spans"))
+    return rows.select(*(c for c in rows.columns if c not in ("base", "cand")), "base", order.alias("spans"))
 
 
 def count_of(spans: str, kind: int) -> Column:
