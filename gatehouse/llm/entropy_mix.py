@@ -12,9 +12,10 @@ in a fixed pseudo-random order of (u - fractional part), until the source's
 remaining words are used up. Repair rounds then add single documents that
 still fit, so a source ends within its smallest usable document of the target.
 
-Nothing is ordered or summed in a single task per source: the order is cut at
-a threshold found on ``BUCKETS`` partial sums of the source, refined inside the
-bucket that holds the threshold.
+No source is ordered or summed in one task: the place in the order has
+``LEVELS * DIGIT`` bits, and the threshold is found digit by digit, each time on
+at most ``2 ** DIGIT`` partial sums of a source. Only documents that share all
+bits with the threshold are put in exact order.
 """
 
 from __future__ import annotations
@@ -30,7 +31,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5             # words of the mix against words of the table
 MOST = 2.0              # most copies of a document, and of a source
-BUCKETS = 1 << 14
+DIGIT = 7
+LEVELS = 3
 REPAIRS = 3
 TOLERANCE = 1e-9
 MAX_STEPS = 60
@@ -142,31 +144,37 @@ def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     rated = rated.withColumn("rate", rate).withColumn("whole", F.floor("rate"))
     rated = rated.withColumn("place", u - (F.col("rate") - F.col("whole")))
     rated = rated.withColumn("open", (F.col("size") > 0) & (F.col("rate") > F.col("whole")))
-    rated = rated.withColumn("bucket", F.when(F.col("open"), F.floor((F.col("place") + 1) * (BUCKETS / 2))))
+    slots = 1 << (DIGIT * LEVELS)
+    rated = rated.withColumn("slot", F.when(F.col("open"), F.floor((F.col("place") + 1) * (slots / 2))))
     rated = written(rated.select("rid", "doc_id", "source", "size", "source_size", "target", "whole", "place", "open",
-                                 "bucket", *(f"c_{n}" for n in (carry or {}))), "mix-rated")
-    part = written(rated.groupBy("source", "target", "bucket").agg(
-        F.sum(F.col("whole") * F.col("size")).alias("whole"), F.sum(F.when(F.col("open"), F.col("size"))).alias("more")), "mix-buckets")
-    here = Window.partitionBy("source")                                  # at most BUCKETS + 1 rows
-    upto = here.orderBy(F.col("bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    cum = part.select("source", "bucket", "target", F.sum("whole").over(here).alias("whole"),
-                      F.coalesce(F.sum("more").over(upto), F.lit(0)).alias("cum"), F.coalesce("more", F.lit(0)).alias("more"))
-    fits = F.col("cum") <= F.col("target") - F.col("whole")
-    cut = (cum.groupBy("source").agg(
-        F.max(F.when(fits, F.col("bucket"))).alias("last"), F.min(F.when(~fits, F.col("bucket"))).alias("split"),
-        F.max(F.when(fits, F.col("cum"))).alias("used"), F.first(F.col("target") - F.col("whole")).alias("room"))
-        .select(F.col("source").alias("s"), F.coalesce("last", F.lit(-1)).alias("last"), "split",
-                (F.col("room") - F.coalesce("used", F.lit(0))).alias("left")))
-    cut = written(cut, "mix-cut")
-    marked = rated.join(cut, F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    # only the rows of the bucket that holds the threshold are put in order
-    at_split = marked.where(F.col("open") & (F.col("bucket") == F.col("split")))
+                                 "slot", *(f"c_{n}" for n in (carry or {}))), "mix-rated")
+    whole = rated.groupBy("source").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("left"))
+    # `below`: slots under it are taken; `prefix`: the digits of the threshold so far
+    cut = written(whole.select(F.col("source").alias("s"), "left", F.lit(0).cast("bigint").alias("below"),
+                               F.lit(0).cast("bigint").alias("prefix")), "mix-cut")
+    for shift in range(DIGIT * (LEVELS - 1), -1, -DIGIT):
+        inside = rated.where("open").join(cut, F.col("source").eqNullSafe(F.col("s"))
+                                          & (F.shiftright("slot", shift + DIGIT) == F.col("prefix")))
+        part = inside.groupBy("s", "left", F.shiftright("slot", shift).alias("digit")).agg(F.sum("size").alias("more"))
+        upto = Window.partitionBy("s").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)   # at most 2^DIGIT rows
+        part = part.withColumn("cum", F.sum("more").over(upto))
+        fits = F.col("cum") <= F.col("left")
+        found = part.groupBy(F.col("s").alias("s2")).agg(F.min(F.when(~fits, F.col("digit"))).alias("split"),
+                                                         F.max(F.when(fits, F.col("cum"))).alias("used"))
+        joined = cut.join(found, F.col("s").eqNullSafe(F.col("s2")), "left")
+        beyond = F.shiftleft(F.col("prefix") + 1, shift + DIGIT)        # all of this digit's slots fit
+        cut = written(joined.select(
+            "s", (F.col("left") - F.coalesce("used", F.lit(0))).alias("left"),
+            F.when(F.col("prefix") < 0, F.col("below")).when(F.col("split").isNotNull(), F.shiftleft("split", shift))
+            .otherwise(beyond).alias("below"),
+            F.coalesce("split", F.lit(-1).cast("bigint")).alias("prefix")), "mix-cut")
+    at_split = rated.where("open").join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("prefix"))).drop("s")
     run = F.sum("size").over(Window.partitionBy("source").orderBy("place", "doc_id", "size", "rid")
                              .rowsBetween(Window.unboundedPreceding, 0))
     added = written(at_split.withColumn("run", run).where("run <= left").select("rid", "source", "size"), "mix-split")
     spent = added.groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("spent"))
-    copies = F.col("whole") + F.when(F.col("open") & (F.col("bucket") <= F.col("last")), 1).otherwise(0)
-    placed = rated.join(cut.select("s", "last"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    copies = F.col("whole") + F.when(F.col("open") & (F.col("slot") < F.col("below")), 1).otherwise(0)
+    placed = rated.join(cut.select("s", "below"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     placed = (placed.join(added.select("rid", F.lit(1).alias("plus")), "rid", "left")
               .withColumn("copies", copies + F.coalesce("plus", F.lit(0))))
     placed = written(placed.select("rid", "doc_id", "source", "size", "source_size", "target", "copies",
