@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from gatehouse.llm.html_blocks import Block, blocks
 
-PAGES = 400             # labelled pages written for training
-EPOCHS = 6
+PAGES = 500             # labelled pages written for training
+EPOCHS = 7
 SEED = 5
 MARK = "\u2063"         # marks the content blocks of a labelled page
 
@@ -281,10 +281,10 @@ class Writer:
 
     def page(self) -> str:
         body = self.body()
-        for kind, p in (("ad", 0.2), ("share", 0.2), ("aside", 0.08), ("form", 0.08), ("notice", 0.06)):
+        for kind, p in (("ad", 0.4), ("share", 0.25), ("aside", 0.2), ("form", 0.2), ("notice", 0.2), ("nav", 0.1)):
             if self.chance(p):
                 body.insert(int(self.r.integers(0, len(body) + 1)), self.furniture(kind))
-        if self.chance(0.15):
+        if self.chance(0.25):
             body.append(self.furniture("comments"))
         holder = self.pick("article", "article", "article", "main", "div", "div", "section", "td", "")
         if holder == "td":
