@@ -3,7 +3,8 @@
 A page is a chain of blocks, each content or boilerplate. A block's features
 are its ancestors' tags, pairs of nested tags and class, id and role words,
 and properties of its text (length, share of links, punctuation, place). The
-transition weights depend on whether two blocks share their parent. The field
+transition weights depend on how two blocks lie to each other (same element,
+like or unlike children of one parent, or neither). The field
 is trained with numpy on labelled pages and decoded by Viterbi; the main text
 is the content blocks in page order.
 
@@ -25,6 +26,7 @@ from gatehouse.llm.html_blocks import Block, blocks
 
 PAGES = 500             # labelled pages written for training
 EPOCHS = 7
+BONDS = 4
 SEED = 5
 MARK = "\u2063"         # marks the content blocks of a labelled page
 
@@ -78,23 +80,30 @@ def features(found: list[Block]) -> list[list[str]]:
 
 
 def bonds(found: list[Block]) -> np.ndarray:
-    """For each pair of neighbours: 0 other parents, 1 the same parent, 2 the same element."""
+    """For each pair of neighbours: 0 other parents, 1 alike elements of one parent, 2 the same
+    element, 3 unlike elements of one parent (by tag or names)."""
     out = []
     for a, b in zip(found, found[1:]):
         pa, pb = ([e.number for e in x.path] for x in (a, b))
-        out.append(2 if pa == pb else 1 if pa[:-1] == pb[:-1] else 0)
+        if pa == pb:
+            out.append(2)
+        elif pa[:-1] != pb[:-1] or not pa or not pb:
+            out.append(0)
+        else:
+            ea, eb = a.path[-1], b.path[-1]
+            out.append(1 if (ea.tag, ea.words) == (eb.tag, eb.words) else 3)
     return np.array(out, np.int64)
 
 
 # ---------------------------------------------------------------- the field
 
 class ChainCRF:
-    """Two labels; one weight for each feature (towards content) and a 2 x 2 table for each bond."""
+    """Two labels; one weight for each feature (towards content) and a 2 x 2 table for each kind of bond."""
 
     def __init__(self):
         self.index: dict[str, int] = {}
         self.weight = np.zeros(0)
-        self.move = np.zeros((3, 2, 2))
+        self.move = np.zeros((BONDS, 2, 2))
 
     def encode(self, names: list[list[str]], learn: bool = False) -> list[np.ndarray]:
         if learn:
@@ -129,7 +138,7 @@ class ChainCRF:
         """Adagrad on the conditional log-likelihood with an L2 penalty."""
         data = [(self.encode(features(f), learn=True), bonds(f), y) for f, y in pages if f]
         self.weight = np.zeros(len(self.index))
-        gw, gm = np.full(len(self.index), 1e-3), np.full((3, 2, 2), 1e-3)
+        gw, gm = np.full(len(self.index), 1e-3), np.full((BONDS, 2, 2), 1e-3)
         rng = np.random.default_rng(seed)
         for _ in range(epochs):
             for k in rng.permutation(len(data)):
