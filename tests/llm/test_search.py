@@ -51,9 +51,9 @@ def test_integers_too_large_for_doubles(spark):
     big = 3.0e9
     rows = [(0, [big, 1.0]), (1, [big, -1.0]), (2, [big, 0.5]), (3, [-big, 0.5]), (4, [1e30, 0.0])]
     got = sorted(collect(E.exact_topk(frame(spark, rows), F.col("id") == 0, 10)))
-    exact = plain(rows, 100, 10, True, True)
-    most = (1 << 63) - 1
-    assert got == [(q, r, v, max(-most, min(most, s))) for q, r, v, s in exact]
+    most = (1 << 63) - 1                        # scores beyond a long stop at its ends, then ties go by id
+    clipped = sorted((-max(-most, min(most, s)), v) for _, _, v, s in plain(rows, 100, 10, True, True))
+    assert got == [(0, n + 1, v, -s) for n, (s, v) in enumerate(clipped)]
 
 
 def test_nearest_is_exact_on_few_rows(spark):
