@@ -35,7 +35,7 @@ def summarise(plan: str) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
     from gatehouse.session import build_session
-    import __spark_entry__ as entry
+    from gatehouse.plans import catalog as entry
     spark = build_session("local[8]", shuffle_partitions=16)
     print(f"# Physical plans at {os.path.basename(sf_dir)} (local[8], AQE final plans)\n")
     print("Generated by `tools/plan_summary.py`. Broadcasts of data-derived sides are AQE's "
@@ -55,7 +55,8 @@ def main(argv):
               f"{s['windows']} | {', '.join(s['python']) or '-'} | {scans} |")
     print("\n`t1_match_within_stream` is a streaming query: one `FlatMapGroupsInPandasWithState` "
           "keyed by shard after a hash exchange on the shard; see `gatehouse/streaming/match_stream.py`.")
-    print("\n`j3_match_within_300s_balanced` cuts its lineage with `checkpoint()`: the range exchange (`Exchange rangepartitioning`) and the ordered `MapInPandas` scan run in the checkpoint job, so the plan above starts from the checkpointed rows.")
+    print("\nThe J3 queries write their range-partitioned rows to the shared folder first (`Exchange "
+          "rangepartitioning`); the plans above start from those rows.")
 
 
 if __name__ == "__main__":
