@@ -346,7 +346,7 @@ def extract(pages: DataFrame, html: str = "html", carry: list[str] | None = None
     text; repeated rows give equal texts; an empty table gives an empty result.
     """
     import pyarrow as pa
-    carry = carry if carry is not None else [c for c in pages.columns if c != html]
+    carry = carry if carry is not None else [c for c in pages.columns if c not in (html, "text")]
     src = pages.select(*(F.col(f"`{c}`") for c in carry), F.col(html).cast("string").alias("_html"))
     schema = src.drop("_html").withColumn("text", F.lit("")).schema
     crf = crf or train()

@@ -231,12 +231,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> RuleEns
 
 
 def score(docs: DataFrame, model: RuleEnsemble, text: str = "text", carry: list[str] | None = None) -> DataFrame:
-    """``carry`` columns (default: all) and ``score``, the probability of label 1.
+    """``carry`` columns (default: all others) and ``score``, the probability of label 1.
 
     Null and empty texts have the score of a text without words; repeated rows
     give equal scores; an empty table gives an empty result.
     """
-    carry = carry if carry is not None else docs.columns
+    carry = carry if carry is not None else [c for c in docs.columns if c != "score"]
     packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("_row"), F.col(text).alias("_text"))
     stats = statistics(packed, "_text", ["_row"])
     return stats.select("_row.*", (1 / (1 + F.exp(-model.logit()))).alias("score"))

@@ -183,7 +183,7 @@ def candidates(text: str, base: list[tuple[int, int, int]], run) -> Iterator[tup
 def scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
     """``carry`` columns, ``base`` spans and ``cand`` (battery candidates) of every row."""
     import pyarrow as pa
-    carry = carry if carry is not None else [c for c in docs.columns if c != text]
+    carry = carry if carry is not None else [c for c in docs.columns if c not in (text, "base", "cand", "spans")]
     src = docs.select(*(F.col(f"`{c}`") for c in carry), F.col(text).cast("string").alias("_text"))
     schema = (src.select(*(F.col(f"`{c}`") for c in carry))
               .withColumn("base", F.lit(None).cast(SPANS)).withColumn("cand", F.lit(None).cast(FOUND)).schema)
@@ -235,8 +235,10 @@ def cuts(found: DataFrame, fdr: float = FDR) -> DataFrame:
 
 def find_secrets(docs: DataFrame, text: str = "text", fdr: float = FDR,
                  carry: list[str] | None = None) -> DataFrame:
-    """``carry`` columns (default: all but the text) and ``spans``, an array of
-    (kind, start, end) in code points ordered by start, then kind as in ``KINDS``.
+    """``carry`` columns (default: all but the text), ``base`` and ``spans``: arrays of
+    (kind, start, end) in code points ordered by start, then kind as in ``KINDS``;
+    ``spans`` holds the base ones and those of the battery. Columns of these
+    names in ``docs`` are replaced.
 
     Null and empty texts have no spans; repeated rows give repeated results;
     an empty table gives an empty result. Base spans are never withdrawn.
