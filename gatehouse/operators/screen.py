@@ -25,7 +25,7 @@ def endpoint_available(endpoint: Column | str) -> Column:
 
 def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
            overrides: DataFrame, default_base_url: str, contents: DataFrame,
-           collect_bundles: bool = False, path: str = "path") -> DataFrame:
+           collect_bundles: bool = False, path: str = "path", prune: bool = False) -> DataFrame:
     """One row per submission.
 
     Columns: sub_id, task_id, student_id, endpoint, expected, bundle, n_explicit,
@@ -37,9 +37,10 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
     sub_id); ``contents``: the files as read, (``path``, content, readable).
 
     Plan: header rules on one row per submission; the file manifest is built
-    only for submissions that pass them (others keep one placeholder row). The
-    files are cut down to the manifest's paths by a semi-join, so texts that
-    nobody sends go no further than the scan, and then joined by path. One
+    only for submissions that pass them (others keep one placeholder row) and
+    joined with the files by path. With ``prune`` (for a scan of many more files
+    than are sent) the files are first cut down to the manifest's paths by a
+    semi-join, so texts that nobody sends go no further than the scan. One
     aggregate by
     submission gives the first failure and, when asked, the bundle.
     """
@@ -56,9 +57,10 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
     carry = ["student_id", "endpoint", "expected", "bundle", "n_explicit", "base_url", "_header_reason"]
     manifest = resolve_paths(checked, explicit, build=F.col("_header_reason").isNull(), carry=carry)
 
-    named = manifest.where(F.col("path").isNotNull()).select(F.col("path").alias("_wanted"))
-    needed = (contents.join(named, contents[path] == F.col("_wanted"), "left_semi")
-              .select(F.col(path).alias("path"), "content", "readable"))
+    needed = contents.select(F.col(path).alias("path"), "content", "readable")
+    if prune:
+        named = manifest.where(F.col("path").isNotNull()).select(F.col("path").alias("_wanted"))
+        needed = needed.join(named, F.col("path") == F.col("_wanted"), "left_semi")
     rows = reconcile(manifest, needed, ["path"], with_content=collect_bundles)
     state = F.when(F.col("pos").isNotNull(), F.col("state"))   # placeholder rows: no file
     bad = F.when(state != "ok", F.struct("pos", "name", state.alias("state")))

@@ -234,7 +234,7 @@ def x4_screen_files(spark, sf_dir):
     from gatehouse.sources.artifacts import read_artifacts
     files = read_artifacts(spark, prepare_artifacts(spark, sf_dir)).select("file", "content", "readable")
     s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir), fx.tasks(spark),
-               fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL, files, path="file")
+               fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL, files, path="file", prune=True)
     return s.select("sub_id", "task_id", "base_url", "reason", "fail_pos")
 
 

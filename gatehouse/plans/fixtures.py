@@ -165,10 +165,6 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _explicit_path(conv: Column, turn: Column, role: Column) -> Column:
-    return F.concat(F.lit("in/"), _s(conv), F.lit("/"), role, F.lit("_"), _s(turn), F.lit(".py"))
-
-
 def explicit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sub_id, pos, path): paths named on the command line, null = none named.
 
@@ -178,8 +174,8 @@ def explicit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
     conv, turn = F.col("conv_id"), F.col("turn")
     named = (conv % 3 == 0) & (turn < conv % 4)
-    return c.select(conv.alias("sub_id"), turn.alias("pos"),
-                    F.when(named, _explicit_path(conv, turn, F.col("role"))).alias("path"))
+    path = F.concat(F.lit("in/"), _s(conv), F.lit("/"), F.col("role"), F.lit("_"), _s(turn), F.lit(".py"))
+    return c.select(conv.alias("sub_id"), turn.alias("pos"), F.when(named, path).alias("path"))
 
 
 def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
@@ -193,12 +189,11 @@ def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFra
     """
     subs = submissions(spark, sf_dir)
     expected = tasks(spark).select("task_id", "expected")
-    conv = table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("sub_id"), F.col("turn").alias("pos"), "role")
-    rows = subs.select("sub_id", "task_id", "pos", "content").join(conv, ["sub_id", "pos"]).join(expected, "task_id")
+    rows = subs.select("sub_id", "task_id", "pos", "name", "content").join(expected, "task_id")
     k = (F.col("sub_id") * 7 + F.col("pos")) % 31
     blank = is_blank("content")
     default_name = F.try_element_at("expected", (F.col("pos") + 1).cast("int"))
-    explicit = F.struct(_explicit_path(F.col("sub_id"), F.col("pos"), F.col("role")).alias("path"),
+    explicit = F.struct(F.concat(F.lit("in/"), _s(F.col("sub_id")), F.lit("/"), "name").alias("path"),
                         F.col("content").alias("content"), (k != 5).alias("readable"), (k != 7).alias("there"))
     default = F.struct(F.concat_ws("/", F.lit("work"), "sub_id", "task_id", default_name).alias("path"),
                        F.when(blank, F.col("content")).otherwise(F.concat(F.lit("# start\n"), "content")).alias("content"),
