@@ -69,3 +69,14 @@ def test_rules_are_idempotent(spark, values):
     for rule in (strip, rstrip_slash, normalise_newlines):
         once = _one(spark, rule("v"), values)
         assert _one(spark, rule(rule("v")), values) == once
+
+
+def test_a_megabyte_of_blanks_is_linear(spark):
+    import time
+    text = "a" + " " * 1_000_000 + "b" + "/" * 1_000_000 + "c"
+    t = time.time()
+    row = _one(spark, strip("v"), [text, " " * 1_000_000])
+    slash = _one(spark, rstrip_slash("v"), [text + "/" * 500_000])
+    blank = _one(spark, is_blank("v"), [" " * 1_000_000, text, None])
+    assert time.time() - t < 60                         # minutes with a pattern that backtracks
+    assert row == [text, ""] and slash == [text] and blank == [True, False, None]

@@ -123,3 +123,35 @@ def test_long_bodies_do_not_overflow(spark):
     df = spark.createDataFrame([(big,), (esc,)], "b string")
     got = [r[0] for r in df.select(parse_verdict("b")["shape"]).collect()]
     assert got == [stdlib_shape(big), stdlib_shape(esc)] == ["ok", "ok"]
+
+
+SCALARS = ["null x", "1 2", '"a" b', "true false", "null", " 12 ", "-1.5e3", "01", "1.", '"open', "nul", "NaN", "Infinity x", '"a\\" b"']
+
+
+@pytest.mark.parametrize("body", SCALARS)
+def test_text_after_a_scalar(spark, body):
+    df = spark.createDataFrame([(body,)], "b string")
+    assert df.select(parse_verdict("b")["shape"]).first()[0] == stdlib_shape(body)
+
+
+def test_byte_order_mark(spark):
+    import json
+    body = '{"status":"success","message":"m"}'
+    assert json.loads(b"\xef\xbb\xbf" + body.encode())["message"] == "m"
+    df = spark.createDataFrame([("\ufeff" + body,), ("\ufeff\ufeff" + body,)], "b string")
+    assert [r[0] for r in df.select(parse_verdict("b")["shape"]).collect()] == ["ok", "malformed"]
+
+
+def test_steps_agree_with_the_expression(spark):
+    from gatehouse.functions.verdict import with_verdict
+    df = spark.createDataFrame([(b,) for b in [*BODIES, *SCALARS, None]], "b string")
+    both = with_verdict(df, "b").withColumn("w", parse_verdict("b")).collect()
+    assert all(r.verdict == r.w for r in both)
+
+
+def test_body_over_the_variant_limit(spark):
+    message = "m" * 17_500_000                          # above 16 MiB, the most a variant holds
+    body = '{"x":[1],"status":"success","message":"' + message + '"}'
+    df = spark.createDataFrame([(body,)], "b string")
+    r = df.select(parse_verdict("b").alias("v")).selectExpr("v.shape", "v.status", "length(v.message) as n").first()
+    assert (r.shape, r.status, r.n) == ("ok", "success", len(message))
