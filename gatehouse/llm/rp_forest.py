@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 
 from gatehouse.llm.tiles import merge_tree, tile_lists, usable
 
-TREES = 20
-LEAF = 32
-SEARCH = 0.6            # share of a shard's rows that a query looks at
-LEAST = 1024            # rows of a shard that it looks at in any case
+TREES = 10
+LEAF = 64
+SEARCH = 0.65           # share of a shard's rows that a query looks at
+LEAST = 1536            # rows of a shard that it looks at in any case
 SHARD_ROWS = 8192
 BLOCK_ROWS = 4096
 
@@ -106,6 +106,10 @@ def top_lists(ids, x, qid, q, k: int, trees: int, leaf: int, search: float, seed
     square = (x * x).sum(axis=1)
     lift = np.sqrt(np.maximum(square.max() - square, 0))
     forest = Forest(np.column_stack([x, lift]), trees, leaf, seed)
+    # candidates are first compared in single precision, with room for its rounding
+    small = max(np.abs(x).max(), np.abs(q).max(initial=0)) < 1e15
+    rough_x = x.astype(np.float32) if small else x
+    longest = float(np.sqrt(square.max()))
     want = max(k + 1, LEAST, int(np.ceil(search * len(x))))
     out = []
     for at in range(0, len(qid), 256):
@@ -114,10 +118,10 @@ def top_lists(ids, x, qid, q, k: int, trees: int, leaf: int, search: float, seed
         for own, v, m in zip(qid[at:at + 256], q[at:at + 256], margins):
             c = forest.candidates(m.tolist(), want)
             c = c[ids[c] != own]
-            rough = x[c] @ v
-            if len(c) > k:                      # rounding may reorder equal scores: leave a margin
+            if len(c) > k:
+                rough = rough_x[c] @ v.astype(rough_x.dtype)
                 edge = np.partition(rough, len(c) - k)[len(c) - k]
-                c = c[rough >= edge - 1e-9 * (abs(edge) + 1)]
+                c = c[rough >= edge - 1e-4 * longest * float(np.sqrt(v @ v))]
             neg = -(x[c] * v).sum(axis=1)
             best = np.lexsort((ids[c], neg))[:k]
             out.append([(float(neg[i]), int(ids[c[i]])) for i in best])
