@@ -17,6 +17,7 @@ parent's.
 from __future__ import annotations
 
 import base64
+import gc
 from array import array
 from collections.abc import Iterator
 
@@ -24,7 +25,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 200_000         # words kept per task; the cache is emptied when full
+CACHE = 250_000         # words, and pieces, kept per task; a cache is emptied when full
+SHORT = (2, 1)          # lengths tried where no longer token can end
+ROWS = 512              # texts of a batch held as Python strings
+GROUP = 2_000_000       # characters of text whose new words are learned together
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -73,6 +77,12 @@ class Vocabulary:
         # tokens a merge sequence can build, by bytes
         self.built = {t: r for t, r in ranks.items() if tree[r, 0] != -2}
         self.longest = max(map(len, self.built))
+        # lengths of the tokens that end with some three bytes, longest first
+        ends: dict[bytes, set[int]] = {}
+        for t in self.built:
+            if len(t) > 2:
+                ends.setdefault(t[-3:], set()).add(len(t))
+        self.lengths = {e: (*sorted(ks, reverse=True), *SHORT) for e, ks in ends.items()}
         self._edge: dict[tuple[int, int], list[tuple[bytes, int, int]]] = {}
         self._pair: dict[tuple[int, int], bool] = {}
 
@@ -115,11 +125,18 @@ class Vocabulary:
 
     def extend(self, data: bytes, last: list[int], to: int | None = None) -> None:
         """Append the last token of each further prefix of ``data`` to ``last``."""
-        built, longest, adjacent, bytes_of = self.built, self.longest, self.adjacent, self.bytes_of
+        built, lengths, adjacent, known = self.built.get, self.lengths.get, self.adjacent, self._pair.get
         for i in range(len(last) + 1, (len(data) if to is None else to) + 1):
-            for k in range(min(i, longest), 0, -1):
-                t = built.get(data[i - k:i])
-                if t is not None and (k == i or adjacent(last[i - k - 1], t)):
+            for k in lengths(data[i - 3:i], SHORT) if i > 2 else SHORT:
+                if k > i:
+                    continue
+                t = built(data[i - k:i])
+                if t is not None:
+                    if k < i:
+                        u = last[i - k - 1]
+                        ok = known((u, t))
+                        if ok is False or (ok is None and not adjacent(u, t)):
+                            continue
                     last.append(t)
                     break
 
@@ -190,6 +207,7 @@ class Encoder:
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
         self.uneven = regex.compile(r"[\s\x1c-\x1f] | [\s\x1c-\x1f]|^ | $").search
         self.words: dict[str, list[int]] = {}
+        self.known: dict[bytes, list[int]] = {}
 
     def pieces(self, text: str) -> list[int]:
         out: list[int] = []
@@ -210,22 +228,58 @@ class Encoder:
             open_end = not w or w[-1].isspace()
         yield " ".join(held)
 
-    def encode(self, text: str) -> list[int]:
-        words = self.words
-        if len(words) > CACHE:
-            words.clear()
+    def cut(self, text: str) -> tuple[str, list[str]]:
+        """The text's first word and the words after it, without the blank before each."""
         if self.uneven(text):
             first, *rest = self.segments(text)
-            rest = [w[1:] for w in rest]
-        else:
-            first, *rest = text.split(" ")
-        out = self.pieces(first)
-        for w in rest:
-            ids = words.get(w)
-            if ids is None:
-                ids = words[w] = self.pieces(" " + w)
-            out += ids
-        return out
+            return first, [w[1:] for w in rest]
+        first, *rest = text.split(" ")
+        return first, rest
+
+    def learn(self, words: set[str]) -> None:
+        """Encode words not met before. In sorted order, so that a piece takes over
+        the last tokens of the prefix it shares with the piece before it."""
+        cuts = {w: [p.encode() for p in self.find(" " + w)] for w in words}
+        v, done = self.vocabulary, self.known
+        if len(done) > CACHE:
+            done.clear()
+        before, last = b"", []
+        for piece in sorted({p for ps in cuts.values() for p in ps if p not in done}):
+            whole = v.ranks.get(piece)
+            if whole is not None:
+                done[piece] = [whole]
+                continue
+            same, most = 0, min(len(before), len(piece))
+            while same < most and before[same] == piece[same]:
+                same += 1
+            del last[same:]
+            v.extend(piece, last)
+            done[piece], before = v.read_back(last), piece
+        for w, ps in cuts.items():
+            self.words[w] = done[ps[0]] if len(ps) == 1 else [t for p in ps for t in done[p]]
+
+    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
+        """The ids of each text; new words are learned for some megabytes of text at a time."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size + len(texts[end]) <= GROUP):
+                size += len(texts[end])
+                end += 1
+            cuts = [self.cut(t) for t in texts[at:end]]
+            if len(self.words) > CACHE:
+                self.words.clear()
+            words = self.words
+            self.learn({w for _, rest in cuts for w in rest if w not in words})
+            for first, rest in cuts:
+                out = self.pieces(first)
+                for ids in map(words.__getitem__, rest):
+                    out += ids
+                yield out
+            at = end
+
+    def encode(self, text: str) -> list[int]:
+        return next(self.encode_all([text]))
 
 
 def load_vocabulary(path: str) -> tuple[dict[bytes, int], np.ndarray]:
@@ -247,20 +301,22 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text",
     repeated rows give repeated results; an empty table gives an empty result.
     """
     import pyarrow as pa
-    carry = carry if carry is not None else [c for c in docs.columns if c != text]
+    carry = carry if carry is not None else [c for c in docs.columns if c not in (text, "ids")]
     src = docs.select(*(F.col(f"`{c}`") for c in carry), F.col(text).cast("string").alias("_text"))
     schema = src.drop("_text").withColumn("ids", F.array().cast("array<int>")).schema
     held = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))      # one fixed file
     n = len(carry)
 
     def run(batches: Iterator) -> Iterator:
+        gc.disable()            # millions of small lists and no cycles: nothing to collect
         encoder = Encoder(Vocabulary(*held.value), pattern)
         for batch in batches:
             flat, ends = array("i"), [0]
-            for t in batch.column(n).to_pylist():
-                if t:
-                    flat.extend(encoder.encode(t))
-                ends.append(len(flat))
+            for at in range(0, len(batch), ROWS):       # a few texts as Python strings at a time
+                texts = batch.column(n).slice(at, ROWS).to_pylist()
+                for ids in encoder.encode_all([t or "" for t in texts]):
+                    flat.extend(ids)
+                    ends.append(len(flat))
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), ids], names=[*carry, "ids"])
 
@@ -270,6 +326,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text",
 def decode(tokens: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``tokens`` with the column ``out``: the bytes its ids stand for (null ids: none)."""
     import pyarrow as pa
+    tokens = tokens.drop(out)
     names = tokens.columns
     at = names.index(ids)
     schema = tokens.withColumn(out, F.lit(None).cast("binary")).schema
