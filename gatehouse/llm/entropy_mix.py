@@ -8,19 +8,23 @@ Spark aggregates over a (source, size) count table, kept inside a bracket so
 that a step can never leave it. Sources whose target is the bound have w = 2.
 
 Rates become copies: floor(w), and one more for the documents that come first
-in a fixed pseudo-random order of (u - fractional part), until the source's
-remaining words are used up. Repair rounds then add single documents that
-still fit, so a source ends within its smallest usable document of the target.
+in a fixed pseudo-random order of (u - fractional part), as far as they fit in the
+source's remaining words; one that does not fit is skipped. Documents with copies
+to spare then get one more in the same way, until none fits, so a source ends
+within its smallest document that may have another copy of the target.
 
 No source is ordered or summed in one task: the place in the order has
 ``LEVELS * DIGIT`` bits, and the threshold is found digit by digit, each time on
 at most ``2 ** DIGIT`` partial sums of a source. Only documents that share all
-bits with the threshold are put in exact order.
+bits with the threshold are put in exact order. A document that does not fit is
+larger than the words left, so the search is repeated over the documents that still
+fit; a source's last ``FEW`` are gone through one by one.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,7 +37,7 @@ SHARE = 1.5             # words of the mix against words of the table
 MOST = 2.0              # most copies of a document, and of a source
 DIGIT = 7
 LEVELS = 3
-REPAIRS = 3
+FEW = 1 << DIGIT        # documents of a source that one task goes through
 TOLERANCE = 1e-9
 MAX_STEPS = 60
 
@@ -114,6 +118,74 @@ def tilts(counts: DataFrame, targets: DataFrame, most: float = MOST) -> DataFram
     return state.select("source", "source_size", "target", "mean", "lam", "full")
 
 
+def prefix_taken(free: DataFrame, room: DataFrame) -> DataFrame:
+    """``free`` with ``taken``: the documents of each source that come first in order and fit together."""
+    # `below`: slots under it are taken; `prefix`: the digits of the threshold so far
+    cut = room.select("s", "left", F.lit(0).cast("bigint").alias("below"), F.lit(0).cast("bigint").alias("prefix"))
+    for shift in range(DIGIT * (LEVELS - 1), -1, -DIGIT):
+        inside = free.join(cut, F.col("source").eqNullSafe(F.col("s"))
+                           & (F.shiftright("slot", shift + DIGIT) == F.col("prefix")))
+        part = inside.groupBy("s", "left", F.shiftright("slot", shift).alias("digit")).agg(F.sum("size").alias("more"))
+        upto = Window.partitionBy("s").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)   # at most 2^DIGIT rows
+        part = part.withColumn("cum", F.sum("more").over(upto))
+        fits = F.col("cum") <= F.col("left")
+        found = part.groupBy(F.col("s").alias("s2")).agg(F.min(F.when(~fits, F.col("digit"))).alias("split"),
+                                                         F.max(F.when(fits, F.col("cum"))).alias("used"))
+        joined = cut.join(found, F.col("s").eqNullSafe(F.col("s2")), "left")
+        beyond = F.shiftleft(F.col("prefix") + 1, shift + DIGIT)        # all of this digit's slots fit
+        cut = written(joined.select(
+            "s", (F.col("left") - F.coalesce("used", F.lit(0))).alias("left"),
+            F.when(F.col("prefix") < 0, F.col("below")).when(F.col("split").isNotNull(), F.shiftleft("split", shift))
+            .otherwise(beyond).alias("below"),
+            F.coalesce("split", F.lit(-1).cast("bigint")).alias("prefix")), "mix-cut")
+    at_split = free.join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("prefix"))).drop("s")
+    run = F.sum("size").over(Window.partitionBy("source").orderBy("place", "doc_id", "size", "rid")
+                             .rowsBetween(Window.unboundedPreceding, 0))
+    added = written(at_split.withColumn("run", run).where("run <= left").select("rid", F.lit(True).alias("plus")), "mix-split")
+    placed = free.join(cut.select("s", "below"), F.col("source").eqNullSafe(F.col("s"))).drop("s").join(added, "rid", "left")
+    return placed.select(*free.columns, ((F.col("slot") < F.col("below")) | F.coalesce("plus", F.lit(False))).alias("taken"))
+
+
+def few_taken(free: DataFrame, room: DataFrame) -> DataFrame:
+    """(rid, source, size) of the documents that fit when each source's are gone through in order."""
+    each = (free.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("place", "doc_id", "size", "rid"))).alias("all"))
+            .join(room, F.col("source").eqNullSafe(F.col("s"))))
+    none = F.filter("all", lambda d: F.lit(False))
+    got = F.aggregate("all", F.struct(F.col("left").alias("left"), none.alias("got")), lambda acc, d: F.when(
+        d["size"] <= acc["left"], F.struct((acc["left"] - d["size"]).alias("left"),
+                                           F.concat(acc["got"], F.array(d)).alias("got"))).otherwise(acc))
+    return each.select("source", F.explode(got["got"]).alias("d")).select("d.rid", "source", "d.size")
+
+
+def fill(free: DataFrame, room: DataFrame) -> tuple[list[DataFrame], DataFrame]:
+    """Frames of the ``rid`` taken, and ``room`` (s, left) afterwards.
+
+    The documents of ``free`` (rid, doc_id, source, size, place, slot) are gone
+    through in order of their place; each that fits in the words left is taken.
+    One that does not fit now will not fit later, so each round begins with
+    those that fit, and takes the first of them at least.
+    """
+    picks = []
+    while True:
+        fits = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") <= F.col("left"))
+        free = written(free.join(room, fits).drop("s", "left"), "mix-free")
+        most_rows = free.groupBy("source").count().agg(F.max("count")).first()[0]
+        if not most_rows:
+            return picks, room
+        if most_rows <= FEW:
+            got = written(few_taken(free, room), "mix-few")
+        else:
+            marked = written(prefix_taken(free, room), "mix-marked")
+            got = marked.where("taken")
+        picks.append(got.select("rid"))
+        spent = got.groupBy(F.col("source").alias("s2")).agg(F.sum("size").alias("spent"))
+        room = written(room.join(spent, F.col("s").eqNullSafe(F.col("s2")), "left")
+                       .select("s", (F.col("left") - F.coalesce("spent", F.lit(0))).alias("left")), "mix-room")
+        if most_rows <= FEW:
+            return picks, room
+        free = marked.where("not taken").drop("taken")
+
+
 def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
              carry: dict[str, Column] | None = None, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken) and ``carry`` for every row of ``docs``.
@@ -139,66 +211,36 @@ def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     # rates, whole copies and the place in the order of rounding
     rate = F.when(F.col("size") == 0, 0.0).when(F.col("full"), most).otherwise(
         F.least(F.lit(most), F.exp(F.col("lam") * F.col("size") / F.col("mean"))))
-    u = F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id"), 11) / float(1 << 53)
+    def u(name: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(F.lit(name), "doc_id"), 11) / float(1 << 53)
+
     rated = rows.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rated = rated.withColumn("rate", rate).withColumn("whole", F.floor("rate"))
-    rated = rated.withColumn("place", u - (F.col("rate") - F.col("whole")))
+    rated = rated.withColumn("place", u("mix") - (F.col("rate") - F.col("whole")))
     rated = rated.withColumn("open", (F.col("size") > 0) & (F.col("rate") > F.col("whole")))
-    slots = 1 << (DIGIT * LEVELS)
-    rated = rated.withColumn("slot", F.when(F.col("open"), F.floor((F.col("place") + 1) * (slots / 2))))
+    def slot(place: str) -> Column:
+        return F.floor((F.col(place) + 1) * ((1 << (DIGIT * LEVELS)) / 2))
+
     rated = written(rated.select("rid", "doc_id", "source", "size", "source_size", "target", "whole", "place", "open",
-                                 "slot", *(f"c_{n}" for n in (carry or {}))), "mix-rated")
-    whole = rated.groupBy("source").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("left"))
-    # `below`: slots under it are taken; `prefix`: the digits of the threshold so far
-    cut = written(whole.select(F.col("source").alias("s"), "left", F.lit(0).cast("bigint").alias("below"),
-                               F.lit(0).cast("bigint").alias("prefix")), "mix-cut")
-    for shift in range(DIGIT * (LEVELS - 1), -1, -DIGIT):
-        inside = rated.where("open").join(cut, F.col("source").eqNullSafe(F.col("s"))
-                                          & (F.shiftright("slot", shift + DIGIT) == F.col("prefix")))
-        part = inside.groupBy("s", "left", F.shiftright("slot", shift).alias("digit")).agg(F.sum("size").alias("more"))
-        upto = Window.partitionBy("s").orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)   # at most 2^DIGIT rows
-        part = part.withColumn("cum", F.sum("more").over(upto))
-        fits = F.col("cum") <= F.col("left")
-        found = part.groupBy(F.col("s").alias("s2")).agg(F.min(F.when(~fits, F.col("digit"))).alias("split"),
-                                                         F.max(F.when(fits, F.col("cum"))).alias("used"))
-        joined = cut.join(found, F.col("s").eqNullSafe(F.col("s2")), "left")
-        beyond = F.shiftleft(F.col("prefix") + 1, shift + DIGIT)        # all of this digit's slots fit
-        cut = written(joined.select(
-            "s", (F.col("left") - F.coalesce("used", F.lit(0))).alias("left"),
-            F.when(F.col("prefix") < 0, F.col("below")).when(F.col("split").isNotNull(), F.shiftleft("split", shift))
-            .otherwise(beyond).alias("below"),
-            F.coalesce("split", F.lit(-1).cast("bigint")).alias("prefix")), "mix-cut")
-    at_split = rated.where("open").join(cut, F.col("source").eqNullSafe(F.col("s")) & (F.col("slot") == F.col("prefix"))).drop("s")
-    run = F.sum("size").over(Window.partitionBy("source").orderBy("place", "doc_id", "size", "rid")
-                             .rowsBetween(Window.unboundedPreceding, 0))
-    added = written(at_split.withColumn("run", run).where("run <= left").select("rid", "source", "size"), "mix-split")
-    spent = added.groupBy(F.col("source").alias("s")).agg(F.sum("size").alias("spent"))
-    copies = F.col("whole") + F.when(F.col("open") & (F.col("slot") < F.col("below")), 1).otherwise(0)
-    placed = rated.join(cut.select("s", "below"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    placed = (placed.join(added.select("rid", F.lit(1).alias("plus")), "rid", "left")
-              .withColumn("copies", copies + F.coalesce("plus", F.lit(0))))
-    placed = written(placed.select("rid", "doc_id", "source", "size", "source_size", "target", "copies",
-                                   *(f"c_{n}" for n in (carry or {}))), "mix-placed")
-    room = written(cut.join(spent.withColumnRenamed("s", "s2"), F.col("s").eqNullSafe(F.col("s2")), "left")
-                   .select("s", (F.col("left") - F.coalesce("spent", F.lit(0))).alias("left")), "mix-room")
-    picks = None
-    for _ in range(REPAIRS):        # the largest document that still fits, one a source and round
-        free = placed.where((F.col("copies") <= most - 1) & (F.col("size") > 0))
-        if picks is not None:
-            free = free.join(picks, "rid", "left_anti")
-        best = (free.join(room, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") <= F.col("left")))
-                .groupBy(room["s"].alias("s")).agg(F.max(F.struct("size", "doc_id", "rid")).alias("b")))
-        best = written(best.select(F.col("s").alias("s2"), F.col("b.size").alias("size"), F.col("b.rid").alias("rid")), "mix-best")
-        if best.isEmpty():
+                                 *(f"c_{n}" for n in (carry or {}))), "mix-rated")
+    room = written(rated.groupBy("source").agg((F.first("target") - F.sum(F.col("whole") * F.col("size"))).alias("left"))
+                   .withColumnRenamed("source", "s"), "mix-room")
+    narrow = ["rid", "doc_id", "source", "size", "place"]
+    picks, room = fill(rated.where("open").select(*narrow).withColumn("slot", slot("place")), room)
+    level = 0
+    while True:                     # one more copy of the documents that may have it and fit
+        placed = rated.withColumn("copies", F.col("whole"))
+        if picks:
+            times = written(reduce(DataFrame.unionByName, picks).groupBy("rid").agg(F.count("*").alias("plus")), "mix-picks")
+            placed = (rated.join(times, "rid", "left")
+                      .withColumn("copies", F.col("whole") + F.coalesce("plus", F.lit(0))))
+        level += 1
+        spare = placed.where((F.col("copies") <= most - 1) & (F.col("size") > 0)).withColumn("place", u(f"more {level}"))
+        more, room = fill(spare.select(*narrow).withColumn("slot", slot("place")), room)
+        if not more:
             break
-        picks = best.select("rid") if picks is None else picks.unionByName(best.select("rid"))
-        room = written(room.join(best, F.col("s").eqNullSafe(F.col("s2")), "left")
-                       .select("s", (F.col("left") - F.coalesce("size", F.lit(0))).alias("left")), "mix-room")
-    total = F.col("copies")
-    if picks is not None:
-        placed = placed.join(picks.withColumn("plus", F.lit(1)), "rid", "left")
-        total = total + F.coalesce("plus", F.lit(0))
-    return placed.withColumn("copies", total.cast("bigint")).select(
+        picks = picks + more
+    return placed.withColumn("copies", F.col("copies").cast("bigint")).select(
         "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "copies",
         (F.col("copies") * F.col("size")).alias("taken"), *names)
 

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -75,6 +76,45 @@ def test_mix_repeats_rows(spark, rows):
     assert Counter(r[0] for r in collect(out.select("doc_id"))) == +plan
 
 
+@pytest.mark.parametrize("few", [0, M.FEW])     # digit search only; few documents one by one
+def test_a_long_document_does_not_end_the_rounding(spark, monkeypatch, few):
+    monkeypatch.setattr(M, "FEW", few)
+    r = random.Random(4)
+    rows = []
+    for s, long in (("a", 30_000), ("b", 9_000), ("c", 60_000)):
+        sizes = [int(r.lognormvariate(5, 1)) + 1 for _ in range(150)] + [long]
+        rows += [(len(rows) + k, "w " * n, s) for k, n in enumerate(sizes)]
+    of = {i: s for i, _, s in rows}
+    for share in (0.6, 1.0):
+        got = [(of[i], size, copies, t) for i, size, copies, t in collect(
+            M.mix_plan(docs(spark, rows), share=share).select("doc_id", "size", "copies", "target"))]
+        for s in "abc":
+            target = next(t for o, _, _, t in got if o == s)
+            left = target - sum(size * copies for o, size, copies, _ in got if o == s)
+            spare = [size for o, size, copies, _ in got if o == s and copies < 2]
+            assert left > -1e-6 * target and all(size > left for size in spare), (share, s, left)
+            assert left <= 0.03 * target, (share, s, left)
+
+
+def test_first_copies_are_taken_in_order_and_skip_what_does_not_fit(spark, monkeypatch):
+    r = random.Random(5)
+    free = [(i, i, s, r.choice((1, 3, 10, 40, 200)), r.uniform(-1, 1)) for i in range(300) for s in (r.choice(("x", "y", None)),)]
+    slots = 1 << (M.DIGIT * M.LEVELS)
+    df = spark.createDataFrame([(*f, int((f[4] + 1) * slots / 2)) for f in free],
+                               "rid bigint, doc_id bigint, source string, size bigint, place double, slot bigint")
+    room = {"x": 731.5, "y": 250.0, None: 90.25}
+    want, left = [], dict(room)
+    for i, _, s, size, _ in sorted(free, key=lambda f: f[4]):
+        if size <= left[s]:
+            want.append(i)
+            left[s] -= size
+    for few in (0, M.FEW):
+        monkeypatch.setattr(M, "FEW", few)
+        picks, after = M.fill(df, spark.createDataFrame(list(room.items()), "s string, left double"))
+        assert sorted(i for p in picks for i, in collect(p)) == sorted(want)
+        assert dict(collect(after)) == left
+
+
 def test_empty_tables(spark):
     assert collect(M.mix_plan(docs(spark, []))) == [] and collect(M.mix(docs(spark, []))) == []
     only = docs(spark, [(1, None, None), (2, "", None)])
