@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns, plus strings that pass a randomness test battery.
 
 Base kinds (assign, access, hex) are found by their patterns. The battery adds
-the kind ``random``: every run of 20 or more key characters outside the base
-spans gets an inferred encoding, and three tests of the hypothesis that its
-characters are drawn uniformly and independently from that alphabet:
+the kind ``random``: runs of key characters are cut at base spans, ``=`` and ``.``,
+and every piece of 20 or more characters that one alphabet holds, and every such
+stretch of letters and digits in it, gets an inferred encoding, and three tests of
+the hypothesis that its characters are drawn uniformly and independently from that alphabet:
 
 * chi-squared: are the alphabet's symbols, and its digits, capitals and small
   letters, as frequent as they should be;
@@ -60,7 +61,7 @@ THIN_CUT = 0.2
 FDR = 0.05
 
 SPANS = "array<struct<kind:int,start:bigint,end:bigint>>"
-FOUND = "array<struct<start:bigint,end:bigint,enc:string,len_class:int,p:double,h:bigint>>"
+FOUND = "array<struct<start:bigint,end:bigint,enc:string,len_class:int,p:double,h:bigint,outer:array<struct<enc:string,len_class:int,p:double>>>>"
 
 
 # ---------------------------------------------------------------- the battery
@@ -169,15 +170,61 @@ def base_spans(text: str, patterns) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda t: (t[1], t[0]))
 
 
+_PART, _BASE64, _URL, _ALNUM = (re.compile("[%s]{%d,}" % (c, MIN_RUN)) for c in (
+    "A-Za-z0-9+/_-", "A-Za-z0-9+/", "A-Za-z0-9_-", "A-Za-z0-9"))
+
+
+def pieces(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Parts of ``text[start:end]`` of ``MIN_RUN`` or more characters that one alphabet holds.
+
+    ``=`` and ``.`` end a part. One that no alphabet holds, as it has ``+`` or ``/``
+    besides ``-`` or ``_``, is cut at either pair. Stretches of letters and
+    digits alone follow the longer pieces they lie in: a path or a name may
+    stand before a key.
+    """
+    for m in _PART.finditer(text, start, end):
+        s, e = m.span()
+        found = {(s, e)} if encoding_of(text[s:e]) else {r.span() for kind in (_BASE64, _URL) for r in kind.finditer(text, s, e)}
+        found |= {r.span() for r in _ALNUM.finditer(text, s, e)}
+        out = set()
+        for s, e in found:
+            while e > s and text[e - 1] in "-_/":        # closing punctuation is no part of a key
+                e -= 1
+            if e - s >= MIN_RUN:
+                out.add((s, e))
+        yield from sorted(out, key=lambda t: (t[0], -t[1]))
+
+
 def candidates(text: str, base: list[tuple[int, int, int]], run) -> Iterator[tuple[int, int]]:
-    """Runs of key characters that no base span touches."""
+    """Pieces of the runs of key characters, outside the base spans."""
+    at, n = 0, len(base)
     for r in run.finditer(text):
         s, e = r.span()
-        if not any(bs < e and s < be for _, bs, be in base):
-            while e > s and text[e - 1] in ".=-_/":      # closing punctuation is no part of a key
-                e -= 1
-            if e - s >= MIN_RUN:
-                yield s, e
+        while at < n and base[at][2] <= s:
+            at += 1
+        i = at
+        while i < n and base[i][1] < e:
+            if base[i][1] > s:
+                yield from pieces(text, s, base[i][1])
+            s = max(s, base[i][2])
+            i += 1
+        if s < e:
+            yield from pieces(text, s, e)
+
+
+def tested(text: str, base: list[tuple[int, int, int]], run) -> list[dict]:
+    """The candidates with their encoding, length class, p-value and hash; ``outer``: the tests of those around one."""
+    from xxhash import xxh64_intdigest
+    out, around = [], []
+    for s, e in candidates(text, base, run):
+        enc = encoding_of(text[s:e])
+        around = [a for a in around if a["end"] > s]     # at most a few: pieces overlap only within a part
+        one = {"start": s, "end": e, "enc": enc, "len_class": max(x for x in LENGTHS if x <= e - s),
+               "p": battery(text[s:e], enc), "h": xxh64_intdigest(text[s:e].encode()) - (1 << 63),
+               "outer": [{k: a[k] for k in ("enc", "len_class", "p")} for a in around if a["end"] >= e]}
+        around.append(one)
+        out.append(one)
+    return out
 
 
 def scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None) -> DataFrame:
@@ -190,10 +237,10 @@ def scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None) ->
     n = len(carry)
     span_t = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
     cand_t = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("enc", pa.string()),
-                                 ("len_class", pa.int32()), ("p", pa.float64()), ("h", pa.int64())]))
+                                 ("len_class", pa.int32()), ("p", pa.float64()), ("h", pa.int64()),
+                                 ("outer", pa.list_(pa.struct([("enc", pa.string()), ("len_class", pa.int32()), ("p", pa.float64())])))]))
 
     def run(batches: Iterator) -> Iterator:
-        from xxhash import xxh64_intdigest
         pats = (re.compile(ASSIGN, re.I | re.A), re.compile(ACCESS), re.compile(HEX),
                 re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % MIN_RUN))
         for batch in batches:
@@ -201,16 +248,8 @@ def scan(docs: DataFrame, text: str = "text", carry: list[str] | None = None) ->
             for t in batch.column(n).to_pylist():
                 t = t or ""
                 b = base_spans(t, pats)
-                found = []
-                for s, e in candidates(t, b, pats[3]):
-                    enc = encoding_of(t[s:e])
-                    if enc:
-                        cls = max(x for x in LENGTHS if x <= e - s)
-                        h = xxh64_intdigest(t[s:e].encode()) - (1 << 63)
-                        found.append({"start": s, "end": e, "enc": enc, "len_class": cls,
-                                      "p": battery(t[s:e], enc), "h": h})
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in b])
-                cand.append(found)
+                cand.append(tested(t, b, pats[3]))
             cols = [batch.column(i) for i in range(n)]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(base, span_t), pa.array(cand, cand_t)],
                                              names=[*carry, "base", "cand"])
@@ -254,7 +293,7 @@ def find_secrets(docs: DataFrame, text: str = "text", fdr: float = FDR,
             cut = F.when((c["enc"] == enc) & (c["len_class"] == length), value).otherwise(cut)
         return c["p"] >= cut
 
-    kept = F.filter("cand", random)
+    kept = F.filter("cand", lambda c: random(c) & ~F.exists(c["outer"], random))    # the longest that pass
     added = F.transform(kept, lambda c: F.struct(F.lit(3).alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
     order = F.array_sort(F.transform(F.concat("base", added), lambda s: F.struct(
         s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))))

@@ -60,6 +60,37 @@ def test_random_keys_are_added_and_words_are_not(spark):
         assert all(rows[i][1][s.start:s.end] == keys[i] for s in got[i])
 
 
+def key(r, n=40, more=""):
+    return "".join(r.choices(string.ascii_letters + string.digits + more, k=n))
+
+
+def test_keys_in_real_notation_are_candidates():
+    r = random.Random(6)
+    for _ in range(50):
+        k, k2, k3, b64 = key(r), key(r), key(r), "x" + key(r, 46, "+/") + "x"
+        hexa = "".join(r.choices("0123456789abcdef", k=32))
+        for text, wanted in ((f"client_key={k}", [k]), (f"aws_secret_access_key={b64}==", [b64]), (f"https://a.example/get?sig={k}&x=1", [k]),
+                             (f"see host.name/{k} there", [k]), (f"{k}.{k2}.{k3}", [k, k2, k3]), (f"{hexa}.{k}", [k]),
+                             (f"{k}+ab/{k2}-c_{k3}", [k, k2, k3]), (f"{hexa}/{k}", [k])):
+            got = [text[s:e] for s, e in S.candidates(text, S.base_spans(text, PATS), PATS[3])]
+            assert set(wanted) <= set(got), text
+            assert all(S.encoding_of(g) for g in got), text
+
+
+def test_keys_in_real_notation_are_found(spark):
+    r = random.Random(7)
+    forms = ("client_key={}", "https://a.example/get?sig={}&x=1", "see host.name/some/longer/path/of/words/{} there", "aa.{}.bb", "x+y_{}")
+    keys = [key(r) for _ in range(200)]
+    rows = [(i, forms[i % 5].format(k)) for i, k in enumerate(keys)]
+    got = dict(collect(S.find_secrets(docs(spark, rows), carry=["doc_id"]).select("doc_id", "spans")))
+    for form in range(5):
+        hit = sum(any(s.start <= rows[i][1].index(keys[i]) and s.end >= rows[i][1].index(keys[i]) + 40 for s in got[i])
+                  for i in range(form, 200, 5))
+        assert hit >= 28, forms[form]           # of 40; the thin cut misses a fifth
+    for spans in got.values():
+        assert all(not (a.start <= b.start and b.end <= a.end) for a in spans for b in spans if a is not b)
+
+
 def test_frames(spark):
     rows = [(1, "password=hunter22 and " + "ab12" * 8), (1, "password=hunter22 and " + "ab12" * 8), (2, None), (3, ""),
             (None, "token: abcdef99"), (4, LONG + " secret=abcdefgh")]
