@@ -204,15 +204,19 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY) -> RuleEnsemble:
                          for j, c in enumerate(w[len(rules):]) if c])
 
 
-def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE) -> DataFrame:
-    """(y, order, statistics) of at most ``rows`` labelled rows of each class, in hash order.
+def training_labels(labels: DataFrame, label: str) -> DataFrame:
+    """(doc_id, y): every label to learn from, once an id (the larger one).
 
     Rows whose id's CRC-32 is divisible by 5 are held out and never used.
     """
-    one = (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
-           .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
-           .groupBy("doc_id").agg(F.max(label).alias("y"))
-           .withColumn("order", F.xxhash64(F.lit("sample"), "doc_id")))
+    return (labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+            .where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+            .groupBy("doc_id").agg(F.max(label).alias("y")))
+
+
+def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str, rows: int = SAMPLE) -> DataFrame:
+    """(y, order, statistics) of at most ``rows`` labelled rows of each class, in hash order."""
+    one = training_labels(labels, label).withColumn("order", F.xxhash64(F.lit("sample"), "doc_id"))
     picked = None
     for c in (0, 1):
         part = one.where(F.col("y") == c).orderBy("order", "doc_id").limit(rows)
@@ -221,13 +225,22 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame, label: str, rows: in
     return statistics(chosen, "text", ["y", "order"])
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> RuleEnsemble:
-    """Fit on the bounded sample; the classes keep their shares among all training labels."""
-    got = sorted(tuple(r) for r in labelled_statistics(docs, labels, label).collect())     # numbers only
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE) -> RuleEnsemble:
+    """Fit on the bounded sample; the classes keep their shares among all training labels.
+
+    A class that the sample cuts is given its share back in the intercept: the
+    log-odds move by the logarithm of full count / sampled count.
+    """
+    got = sorted(tuple(r) for r in labelled_statistics(docs, labels, label, rows).collect())     # numbers only
     if not got:
         return RuleEnsemble()
     data = np.array(got, np.float64)
-    return fit(data[:, 2:], data[:, 0])
+    y = data[:, 0]
+    model = fit(data[:, 2:], y)
+    if y.any() and not y.all():
+        full = dict(training_labels(labels, label).where("y in (0, 1)").groupBy("y").agg(F.count("*")).collect())
+        model.intercept += float(np.log(full[1] / min(full[1], rows)) - np.log(full[0] / min(full[0], rows)))
+    return model
 
 
 def score(docs: DataFrame, model: RuleEnsemble, text: str = "text", carry: list[str] | None = None) -> DataFrame:

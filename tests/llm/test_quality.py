@@ -63,6 +63,17 @@ def test_frames(spark):
     assert right >= 0.97 * 240
 
 
+def test_classes_keep_their_shares_when_the_sample_cuts_one(spark):
+    r = np.random.default_rng(4)
+    rows = [(i, " ".join(r.choice("aa bb cc dd ee.".split(), 30))) for i in range(800)]
+    labels = spark.createDataFrame([(i, int(r.random() < 0.85), 0) for i in range(800)], "doc_id bigint, quality int, toxic int")
+    df = docs(spark, rows)
+    share = labels.agg({"quality": "avg"}).first()[0]
+    for most in (1000, 100):            # no class is cut; class 1 is cut to the size of the other
+        m = Q.train(df, labels, rows=most)
+        assert abs(Q.score(df, m).agg({"score": "avg"}).first()[0] - share) < 0.08, most
+
+
 def test_empty_and_one_sided(spark):
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
     assert collect(Q.score(docs(spark, []), Q.train(docs(spark, []), none))) == []
