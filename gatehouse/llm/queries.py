@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehouse.llm import (entropy_mix, exact_topk, extendible, html_crf, prefix_bpe,
+from gatehouse.llm import (entropy_mix, exact_topk, extendible, html_crf, pack, prefix_bpe,
                            rp_forest, rule_quality, secrets_battery, simhash_bk, toxicity_cnn)
 from gatehouse.llm.common import table
 
@@ -80,6 +80,14 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op13_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    pieces = pack.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.PATTERN, carry=["doc_id"])
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
+                         "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
     "op2_extendible_shards": op2_extendible_shards,
@@ -91,6 +99,7 @@ QUERIES = {
     "op8_rule_quality": op8_rule_quality,
     "op9_secret_battery": op9_secret_battery,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op13_concat_cut": op13_concat_cut,
 }
 
 ORACLE_SQL: dict[str, str] = {
