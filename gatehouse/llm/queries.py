@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gatehouse.llm import (entropy_mix, exact_topk, extendible, html_crf, pack, prefix_bpe,
-                           rp_forest, rule_quality, secrets_battery, simhash_bk, toxicity_cnn)
+from gatehouse.llm import (damage, entropy_mix, exact_topk, extendible, html_crf, pack, periodic_runs,
+                           prefix_bpe, rp_forest, rule_quality, secrets_battery, simhash_bk, toxicity_cnn)
 from gatehouse.llm.common import table
 
 SHARD_BYTES = 1 << 20
@@ -80,6 +80,17 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    damaged = docs.select("doc_id", damage.periodic_text(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(damaged, carry=["doc_id"]).withColumn("best", periodic_runs.best_run("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 def op13_concat_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     pieces = pack.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
@@ -99,6 +110,7 @@ QUERIES = {
     "op8_rule_quality": op8_rule_quality,
     "op9_secret_battery": op9_secret_battery,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op12_maximal_pair_runs": op12_maximal_pair_runs,
     "op13_concat_cut": op13_concat_cut,
 }
 
