@@ -28,3 +28,19 @@ def periodic_text(doc_id: Column, text: Column) -> Column:
     words = F.array_remove(F.split(text, BLANK), "")
     once = F.element_at(F.transform(F.array(words), repeat), 1)            # the words are cut once
     return F.when(h % 10 == 0, F.array_join(once, " ")).otherwise(text)
+
+
+def damaged_turns(turns: DataFrame) -> DataFrame:
+    """``conversations`` (conv_id, turn, role, text) with one turn in twenty each dropped
+    (kept with ``absent`` true), emptied, without its full stops, said twice, or given to the
+    user. Null roles and texts are one blank."""
+    def shown(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    code = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    role, text = shown("role"), shown("text")
+    return turns.select(
+        "conv_id", "turn", F.when(code == 4, "user").otherwise(role).alias("role"),
+        F.when(code == 1, "").when(code == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (code == 0).alias("absent"), F.explode(F.array_repeat(F.lit(0), F.when(code == 3, 2).otherwise(1))).alias("_copy")
+    ).drop("_copy")

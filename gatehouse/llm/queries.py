@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gatehouse.llm import (damage, entropy_mix, exact_topk, extendible, html_crf, pack, periodic_runs,
-                           prefix_bpe, rp_forest, rule_quality, secrets_battery, simhash_bk, toxicity_cnn)
+                           prefix_bpe, rp_forest, rule_quality, secrets_battery, simhash_bk, toxicity_cnn,
+                           turn_repair)
 from gatehouse.llm.common import table
 
 SHARD_BYTES = 1 << 20
@@ -80,6 +81,11 @@ def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_turn_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = damage.damaged_turns(table(spark, sf_dir, "conversations"))
+    return turn_repair.repair(turns, absent="absent").withColumnRenamed("conv", "conv_id")
+
+
 def op12_maximal_pair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     damaged = docs.select("doc_id", damage.periodic_text(F.col("doc_id"), F.col("text")).alias("text"))
@@ -110,6 +116,7 @@ QUERIES = {
     "op8_rule_quality": op8_rule_quality,
     "op9_secret_battery": op9_secret_battery,
     "op10_prefix_bpe": op10_prefix_bpe,
+    "op11_turn_alignment": op11_turn_alignment,
     "op12_maximal_pair_runs": op12_maximal_pair_runs,
     "op13_concat_cut": op13_concat_cut,
 }
