@@ -7,6 +7,8 @@ struct of nulls, which would hide the malformed/unexpected distinction.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,10 +27,14 @@ OUTCOMES = ("http_error", "unreachable", "malformed", "unexpected", "error", "su
 _JSON_STRING = r'"(?:[^"\\]++|\\.)*+"'
 # A JSON value that is neither an object nor an array.
 _JSON_SCALAR = rf'\A(?:{_JSON_STRING}|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null)\z'
-# The part of a valid string literal behind its first 64 characters.
-_LONG_TAIL = (r'("(?:[^"\\\x00-\x1f]|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4}){64})'
-              r'(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})++"')
-_LONG_BODY = 1 << 20
+# A string literal as JSON allows it, and a text that holds one too long to parse along.
+_VALID_STRING = r'\A"(?:[^"\\\x00-\x1f]++|\\["\\/bfnrt]|\\u[0-9a-fA-F]{4})*+"\z'
+_LONG = 1024
+_HAS_LONG = rf'"[^"]{{{_LONG}}}'
+# Stands for a literal that was put aside, before its number.
+_MARK = "\x01"
+# Bytes up to which Spark holds a parsed body, its long literals put aside.
+_PARSED = 100 << 20
 
 
 def _single_value(body: Column) -> Column:
@@ -78,17 +84,40 @@ def python_literals(body: Column | str) -> Column:
 
 
 def readable_body(body: Column | str) -> Column:
-    """The body as Spark's parser should see it.
+    """The body as Spark's parser should see it: without a byte-order mark at the start (as
+    Python's json module drops it for bytes), bare NaN and Infinity as null."""
+    c = _col(body)
+    return python_literals(F.when(c.startswith("\ufeff"), F.substring(c, 2, 2147483647)).otherwise(c))
+
+
+def _literals(text: Column) -> Column:
+    """The string literals of a text that may have long ones; null for any other text."""
+    return F.when(text.rlike(_HAS_LONG), F.regexp_extract_all(text, F.lit(_JSON_STRING), 0))
+
+
+def _cut(text: Column, literals: Column) -> Column:
+    """The text with a mark and its number in place of each long literal.
 
-    A byte-order mark at the start is dropped, as Python's json module does for
-    bytes; bare NaN and Infinity become null; and in a long body the tails of
-    long string literals are cut, because a parsed value has a size limit and
-    only the *kind* of a long message matters for the shape.
+    A parsed value has a size limit, and a verdict needs one long text at most. Only
+    literals that JSON allows are put aside, so the others still make the
+    body malformed; one that spells the mark itself is put aside too, so
+    that a parsed text that begins with it is always a mark.
     """
-    c = _col(body)
-    c = F.when(c.startswith("\ufeff"), F.substring(c, 2, 2147483647)).otherwise(c)
-    c = python_literals(c)
-    return F.when(F.length(c) > _LONG_BODY, F.regexp_replace(c, _LONG_TAIL, '$1"')).otherwise(c)
+    put = F.transform(literals, lambda x, i: F.when(
+        ((F.length(x) > _LONG) | x.contains("\\u0001")) & x.rlike(_VALID_STRING),
+        F.concat(F.lit('"\\u0001'), i.cast("string"), F.lit('"'))).otherwise(x))
+    cut = F.array_join(F.zip_with(F.split(text, _JSON_STRING), F.concat(put, F.array(F.lit(""))), lambda part, x: F.concat(part, x)), "")
+    whole = F.when(literals.isNull(), text).otherwise(cut)
+    return F.when(F.octet_length(whole) > _PARSED, F.raise_error(F.lit("a response body is too large for Spark's JSON parser")).cast("string")).otherwise(whole)
+
+
+def _message(v: Column, literals: Column) -> Column:
+    """The top-level message, a literal that was put aside read back whole."""
+    found = F.try_variant_get(v, "$.message", "string")
+    marked = literals.isNotNull() & found.startswith(_MARK)
+    literal = F.get(literals, F.substring(found, 2, 2147483647).try_cast("int"))
+    whole = F.from_json(F.concat(F.lit("["), literal, F.lit("]")), "array<string>", {"maxStringLen": "2147483647"})[0]
+    return F.when(marked, whole).otherwise(found)
 
 
 def _shape(text: Column, v: Column, status: Column, message_type: Column) -> Column:
@@ -98,13 +127,7 @@ def _shape(text: Column, v: Column, status: Column, message_type: Column) -> Col
             .otherwise(F.lit("unexpected")))
 
 
-def _struct(body: Column, v: Column, shape: Column, status: Column) -> Column:
-    # the message of a long body is read from the body itself, uncut; should
-    # Spark's reader refuse it, the job fails rather than return another text
-    plain = F.when(body.startswith("\ufeff"), F.substring(body, 2, 2147483647)).otherwise(body)
-    whole = F.get_json_object(python_literals(plain), "$.message")
-    long = F.coalesce(whole, F.raise_error(F.lit("a verdict's message is too long for Spark's JSON reader")).cast("string"))
-    message = F.when(F.length(body) > _LONG_BODY, long).otherwise(F.try_variant_get(v, "$.message", "string"))
+def _struct(shape: Column, status: Column, message: Column) -> Column:
     is_ok = shape == F.lit("ok")
     return F.struct(shape.alias("shape"), F.when(is_ok, status).alias("status"), F.when(is_ok, message).alias("message"))
 
@@ -114,29 +137,37 @@ def parse_verdict(body: Column | str) -> Column:
 
     shape is ``malformed`` (not JSON), ``unexpected`` (JSON, but not an object
     with a ``status`` of success/error and a *string* ``message``) or ``ok``.
-    Extra keys are ignored and an empty message is fine; status and message
-    are null unless the shape is ok. For whole tables :func:`with_verdict`
-    does the same in steps, so that nothing is evaluated twice.
+    Extra keys are ignored and an empty message is fine; of repeated keys the last counts;
+    status and message are null unless the shape is ok. A message may be as long as a
+    Spark text. For whole tables :func:`with_verdict` does the same in steps, so
+    that nothing is evaluated twice.
     """
-    body = _col(body)
-    text = readable_body(body)
-    v = F.try_parse_json(text)
-    status = F.try_variant_get(v, "$.status", "string")
-    kind = F.schema_of_variant(F.try_variant_get(v, "$.message", "variant"))
-    return _struct(body, v, _shape(text, v, status, kind), status)
+    def let(value: Column, then: Callable[[Column], Column]) -> Column:
+        """``then`` of the value, which is evaluated once."""
+        return F.element_at(F.transform(F.array(value), then), 1)
+
+    def parsed(text: Column, literals: Column, v: Column) -> Column:
+        status = F.try_variant_get(v, "$.status", "string")
+        kind = F.schema_of_variant(F.try_variant_get(v, "$.message", "variant"))
+        return _struct(_shape(text, v, status, kind), status, _message(v, literals))
+
+    return let(readable_body(body), lambda whole: let(_literals(whole), lambda literals: let(
+        _cut(whole, literals), lambda text: let(F.try_parse_json(text), lambda v: parsed(text, literals, v)))))
 
 
 def with_verdict(df: DataFrame, body: str, out: str = "verdict") -> DataFrame:
     """``df`` with the struct of :func:`parse_verdict`, one projection a step:
     each body is cleaned, parsed and classified once."""
-    steps = df.withColumn("_text", readable_body(body))
+    steps = df.withColumn("_whole", readable_body(body))
+    steps = steps.withColumn("_literals", _literals(F.col("_whole")))
+    steps = steps.withColumn("_text", _cut(F.col("_whole"), F.col("_literals")))
     steps = steps.withColumn("_v", F.try_parse_json("_text"))
     steps = steps.withColumns({
         "_status": F.try_variant_get("_v", "$.status", "string"),
         "_kind": F.schema_of_variant(F.try_variant_get("_v", "$.message", "variant"))})
     steps = steps.withColumn("_shape", _shape(F.col("_text"), F.col("_v"), F.col("_status"), F.col("_kind")))
-    return (steps.withColumn(out, _struct(F.col(body), F.col("_v"), F.col("_shape"), F.col("_status")))
-            .drop("_text", "_v", "_status", "_kind", "_shape"))
+    return (steps.withColumn(out, _struct(F.col("_shape"), F.col("_status"), _message(F.col("_v"), F.col("_literals"))))
+            .drop("_whole", "_literals", "_text", "_v", "_status", "_kind", "_shape"))
 
 
 def classify(http_status: Column | str, transport_error: Column | str,

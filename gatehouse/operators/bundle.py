@@ -94,29 +94,32 @@ def resolve_paths(arity: DataFrame, explicit: DataFrame, task_root: str = "work"
 
 
 def reconcile(manifest: DataFrame, files: DataFrame, keys: list[str] | None = None,
-              with_content: bool = False) -> DataFrame:
+              with_content: bool = False, listed: bool = False) -> DataFrame:
     """Every expected file with its read state, in manifest order.
 
     The file named by the manifest's ``path`` is the one that counts (``keys``:
-    other join columns). ``files`` carries ``content`` and ``readable``; a manifest
-    row without a file row is ``missing_or_empty`` (a zero-byte file yields no
-    row in a file scan, so missing and empty cannot be told apart). Then
-    ``unreadable`` (not UTF-8), ``blank`` (white space only) and ``ok``.
+    other join columns). ``files`` carries ``content`` and ``readable``. With ``listed``
+    it has a row for every file there is, zero-byte ones included (as
+    ``sources.read_named`` gives): a manifest row without one is ``missing`` and a zero-byte file
+    ``empty``. From a folder scan, which yields no row for zero-byte files, either is
+    ``missing_or_empty``. Then ``unreadable`` (not UTF-8), ``blank`` (white space only) and ``ok``.
 
     The blank check runs on the file side before the join, so only two flags
     per file cross the shuffle; the text itself is carried only with
     ``with_content`` (for assembling bundles).
     """
     keys = keys or ["path"]
-    cols = [*keys, F.col("readable").alias("_readable"), is_blank("content").alias("_blank")]
+    cols = [*keys, F.col("readable").alias("_readable"), is_blank("content").alias("_blank"),
+            (F.col("content") == "").alias("_empty")]
     if with_content:
         cols.append("content")
     j = manifest.join(files.select(*cols), keys, "left")
-    state = (F.when(F.col("_readable").isNull(), F.lit("missing_or_empty"))
+    state = (F.when(F.col("_readable").isNull(), F.lit("missing" if listed else "missing_or_empty"))
              .when(~F.col("_readable"), F.lit("unreadable"))
+             .when(F.lit(listed) & F.col("_empty"), F.lit("empty"))
              .when(F.col("_blank"), F.lit("blank"))
              .otherwise(F.lit("ok")))
-    return j.withColumn("state", state).drop("_readable", "_blank")
+    return j.withColumn("state", state).drop("_readable", "_blank", "_empty")
 
 
 def first_failure(reconciled: DataFrame) -> DataFrame:

@@ -3,6 +3,8 @@ and, on the same pass, the bundle of every submission that may be sent."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +13,10 @@ from gatehouse.functions.urls import valid_base_url
 from gatehouse.operators.bundle import (bundle_solution, check_arity, reconcile, resolve_paths,
                                         submission_headers)
 from gatehouse.operators.overlay import overlay
+from gatehouse.session import shared_table
 
 # The reason codes, in the order the client checks them. File
-# reasons (``missing_or_empty``, ``unreadable``, ``blank``) come last, for the
+# reasons (``missing``, ``empty``, ``missing_or_empty``, ``unreadable``, ``blank``) come last, for the
 # first bad file in position order.
 REASONS = ("no_endpoint", "bad_arity", "no_default_file", "bad_address", "blank_student")
 
@@ -24,8 +27,8 @@ def endpoint_available(endpoint: Column | str) -> Column:
 
 
 def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
-           overrides: DataFrame, default_base_url: str, contents: DataFrame,
-           collect_bundles: bool = False, path: str = "path", prune: bool = False) -> DataFrame:
+           overrides: DataFrame, default_base_url: str, contents: DataFrame | Callable[[DataFrame], DataFrame],
+           collect_bundles: bool = False, path: str = "path", prune: bool = False, listed: bool = False) -> DataFrame:
     """One row per submission.
 
     Columns: sub_id, task_id, student_id, endpoint, expected, bundle, n_explicit,
@@ -34,11 +37,14 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
 
     ``files``: (sub_id, student_id, task_id, ...) per file; ``explicit``: (sub_id,
     pos, path|null); ``overrides``: per-submission service address (key =
-    sub_id); ``contents``: the files as read, (``path``, content, readable).
+    sub_id); ``contents``: the files as read, (``path``, content, readable), or a function
+    that reads them: it is given the paths (``path``) of the files to be sent, once each, and returns
+    that table. ``listed``: zero-byte files have rows too (see :func:`reconcile`).
 
     Plan: header rules on one row per submission; the file manifest is built
     only for submissions that pass them (others keep one placeholder row) and
-    joined with the files by path. With ``prune`` (for a scan of many more files
+    joined with the files by path. With a reading function the manifest is written first, and
+    nothing of a rejected submission is opened. With ``prune`` (for a scan of many more files
     than are sent) the files are first cut down to the manifest's paths by a
     semi-join, so texts that nobody sends go no further than the scan. One
     aggregate by
@@ -57,11 +63,14 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
     carry = ["student_id", "endpoint", "expected", "bundle", "n_explicit", "base_url", "_header_reason"]
     manifest = resolve_paths(checked, explicit, build=F.col("_header_reason").isNull(), carry=carry)
 
-    needed = contents.select(F.col(path).alias("path"), "content", "readable")
+    if callable(contents):
+        manifest = shared_table(manifest, "screen-manifest")
+        contents = contents(manifest.where("path is not null").select(F.col("path").alias(path)).distinct())
+    needed = contents.where("readable is not null").select(F.col(path).alias("path"), "content", "readable")
     if prune:
         named = manifest.where(F.col("path").isNotNull()).select(F.col("path").alias("_wanted"))
         needed = needed.join(named, F.col("path") == F.col("_wanted"), "left_semi")
-    rows = reconcile(manifest, needed, ["path"], with_content=collect_bundles)
+    rows = reconcile(manifest, needed, ["path"], with_content=collect_bundles, listed=listed)
     state = F.when(F.col("pos").isNotNull(), F.col("state"))   # placeholder rows: no file
     bad = F.when(state != "ok", F.struct("pos", "name", state.alias("state")))
     aggs = [F.max(c).alias(c) for c in ("task_id", *carry)] + [F.min(bad).alias("_bad")]

@@ -18,7 +18,7 @@ from gatehouse.operators.bundle import (assemble_bundle, first_failure, reconcil
                                         resolve_paths, submission_headers)
 from gatehouse.operators.kinds import artifact_kind
 from gatehouse.operators.match import match_within
-from gatehouse.operators.overlay import overlay
+from gatehouse.operators.overlay import overlay_settings
 from gatehouse.operators.screen import endpoint_available
 from gatehouse.plans import fixtures as fx
 from gatehouse.plans.jobs import arity_table, assemble_job, judge_job, screen_job
@@ -51,7 +51,7 @@ def p3_target_url(spark, sf_dir):
 
 def p4_overlay(spark, sf_dir):
     ev = fx.table(spark, sf_dir, "events").select(F.col("event_id").alias("sub_id"))
-    return overlay(ev, fx.overrides(spark, sf_dir), "sub_id", fx.DEFAULT_BASE_URL, out="base_url")
+    return overlay_settings(ev, fx.settings(spark, sf_dir), "sub_id", fx.DEFAULT_SETTINGS)
 
 
 def p5_normalise_newlines(spark, sf_dir):
@@ -101,7 +101,7 @@ def j1_artifact_kind(spark, sf_dir):
 
 
 def _reconciled(spark, sf_dir, **kw):
-    return reconcile(_manifest(spark, sf_dir), fx.stored_files(spark, sf_dir), **kw)
+    return reconcile(_manifest(spark, sf_dir), fx.stored_files(spark, sf_dir), listed=True, **kw)
 
 
 def s2_reconcile(spark, sf_dir):
@@ -195,46 +195,45 @@ PREPARE = {"s1_read_artifacts": lambda spark, sf_dir: prepare_artifacts(spark, s
 
 
 def prepare_artifacts(spark, sf_dir):
-    """The stored files on storage, one folder ``file=<path>`` each.
+    """The stored files on storage, each at its path.
 
     Data preparation, not part of S1: written once per input (keyed by the
     source table's size and modification time) into the shared folder and
-    reused while Spark's ``_SUCCESS`` marker is there.
+    reused while its ``_SUCCESS`` marker is there.
     """
     import hashlib
 
-    from gatehouse.session import checkpoint_base, file_signature, path_exists
-    from gatehouse.sources.sinks import write_artifacts
+    from gatehouse.session import checkpoint_base, file_signature, mark_done, path_exists
+    from gatehouse.sources.named import write_named
     src = f"{sf_dir.rstrip('/')}/conversations.parquet"
-    key = hashlib.sha1(f"files-2:{src}:{file_signature(spark, src)}".encode()).hexdigest()[:16]
+    key = hashlib.sha1(f"files-3:{src}:{file_signature(spark, src)}".encode()).hexdigest()[:16]
     out = f"{checkpoint_base(spark).rstrip('/')}/gatehouse/artifacts-{key}"
     if not path_exists(spark, f"{out}/_SUCCESS"):
-        files = fx.stored_files(spark, sf_dir, raw=True).withColumnRenamed("path", "file")
-        write_artifacts(files, out, ["file"], mode="overwrite")
-    return out
+        write_named(fx.stored_files(spark, sf_dir, raw=True), f"{out}/files")
+        mark_done(spark, out)
+    return f"{out}/files"
 
 
 def s1_read_artifacts(spark, sf_dir):
-    """Stored files scanned whole, strict UTF-8."""
-    from gatehouse.sources.artifacts import read_artifacts
-    a = read_artifacts(spark, prepare_artifacts(spark, sf_dir))
-    return a.select("file", F.col("n_bytes").cast("bigint").alias("n_bytes"), "readable",
-                    is_blank("content").alias("blank"))
+    """Every stored file read whole by its path, strict UTF-8."""
+    from gatehouse.sources.named import read_named
+    paths = fx.stored_files(spark, sf_dir).select(F.col("path").alias("file"))
+    a = read_named(paths, prepare_artifacts(spark, sf_dir), "file")
+    return a.select("file", "n_bytes", "readable", is_blank("content").alias("blank"))
 
 
 def x4_screen_files(spark, sf_dir):
     """X4 reading the files from storage (S1) instead of a table.
 
-    The client's own flow: files on storage, read whole and strictly decoded,
-    then screened. Files that no passing submission names leave at a semi-join
-    on the partition column ``file``; per file only (path, readable, blank) reach
-    the join with the manifest, the text stays on the scan side.
+    The client's own flow: header rules first, then the files of the submissions that
+    pass are opened by their paths, read whole and strictly decoded. Per file only
+    (path, readable, blank) reach the join with the manifest, the text stays in the reading task.
     """
     from gatehouse.operators.screen import screen
-    from gatehouse.sources.artifacts import read_artifacts
-    files = read_artifacts(spark, prepare_artifacts(spark, sf_dir)).select("file", "content", "readable")
-    s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir), fx.tasks(spark),
-               fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL, files, path="file", prune=True)
+    from gatehouse.sources.named import read_named
+    root = prepare_artifacts(spark, sf_dir)
+    s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir), fx.tasks(spark), fx.overrides(spark, sf_dir),
+               fx.DEFAULT_BASE_URL, lambda wanted: read_named(wanted, root), listed=True)
     return s.select("sub_id", "task_id", "base_url", "reason", "fail_pos")
 
 

@@ -92,6 +92,7 @@ EXCEPTIONS = [
 # Fixed value: the default service address used when a submission brings no
 # override (P4). A placeholder host: no service is ever contacted.
 DEFAULT_BASE_URL = "https://checks.invalid"
+DEFAULT_SETTINGS = {"base_url": DEFAULT_BASE_URL, "student_key": "nobody"}
 
 
 def _value(v, dtype: T.DataType) -> Column:
@@ -183,9 +184,8 @@ def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFra
 
     Every turn has an explicit copy under ``in/`` and, where its task expects a
     file at that position, a default copy in the submission's task folder,
-    with another text. Some of either are missing, not UTF-8 (``readable``
-    false, null content) or empty; a zero-byte file yields no row, as in a file scan.
-    With ``raw`` the content of unreadable files is their bytes.
+    with another text. Some of either are missing (no row), not UTF-8 (``readable``
+    false, null content) or empty (zero bytes). With ``raw`` the content is the files' bytes.
     """
     subs = submissions(spark, sf_dir)
     expected = tasks(spark).select("task_id", "expected")
@@ -198,9 +198,13 @@ def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFra
     default = F.struct(F.concat_ws("/", F.lit("work"), "sub_id", "task_id", default_name).alias("path"),
                        F.when(blank, F.col("content")).otherwise(F.concat(F.lit("# start\n"), "content")).alias("content"),
                        (k != 6).alias("readable"), (default_name.isNotNull() & (k != 8)).alias("there"))
-    f = rows.select(F.explode(F.array(explicit, default)).alias("f")).select("f.*").where("there and content <> ''")
-    bad = F.concat(F.col("content").cast("binary"), F.unhex(F.lit("FF"))).cast("string") if raw else F.lit(None).cast("string")
-    return f.select("path", F.when(F.col("readable"), F.col("content")).otherwise(bad).alias("content"), "readable")
+    f = rows.select(F.explode(F.array(explicit, default)).alias("f")).select("f.*").where("there")
+    if raw:
+        data = F.col("content").cast("binary")
+        content = F.when(F.col("readable"), data).otherwise(F.concat(data, F.unhex(F.lit("FF"))))
+    else:
+        content = F.when(F.col("readable"), F.col("content"))
+    return f.select("path", content.alias("content"), "readable")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,6 +232,11 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k == 14, F.lit('\ufeff{"status":"success","message":"bom"}'))
             .when(k == 15, F.lit("-1.5e3"))
             .when(k == 16, F.lit("1 2"))
+            # long texts with escapes, and each key twice: the last counts
+            .when(k == 17, F.concat(F.lit('{"message":"first '), F.repeat(F.lit("ab\\n"), 500), F.lit('","status":"error","more":{"message":"'),
+                                    F.repeat(F.lit("inner "), 300), F.lit('"},"message":"'), et, F.repeat(F.lit(' \\"q\\" xyz'), 300),
+                                    F.lit('","status":"'), verdict, F.lit('"}')))
+            .when(k == 18, F.concat(F.lit('{"status":"success","message":"'), F.repeat(F.lit("long "), 300), F.lit('","message":2}')))
             .otherwise(F.concat(F.lit('{"status":"'), verdict, F.lit('","message":"'),
                                 et, F.lit('"}'))))
     return e.select(eid.alias("sub_id"), "ts", status.cast("int").alias("http_status"),
@@ -241,3 +250,10 @@ def overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     return endpoints(spark, sf_dir).select(F.col("req_id").alias("key"),
                                            F.col("raw_url").alias("value"))
+
+
+def settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(key, base_url, student_key): both settings' overrides of each page id; either may be absent (null) or empty."""
+    key = F.col("req_id")
+    student = F.when(key % 5 == 0, F.lit(None).cast("string")).when(key % 5 == 1, F.lit("")).otherwise(F.concat(F.lit("k"), _s(key)))
+    return endpoints(spark, sf_dir).select(key.alias("key"), F.when(key % 7 != 3, F.col("raw_url")).alias("base_url"), student.alias("student_key"))

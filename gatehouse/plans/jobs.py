@@ -23,7 +23,7 @@ def screen_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every submission with its first failing rule (null = may be sent)."""
     return screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir),
                   fx.tasks(spark), fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL,
-                  fx.stored_files(spark, sf_dir))
+                  fx.stored_files(spark, sf_dir), listed=True)
 
 
 def assemble_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,7 @@ def assemble_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     s = screen(fx.submissions(spark, sf_dir), fx.explicit_files(spark, sf_dir),
                fx.tasks(spark), fx.overrides(spark, sf_dir), fx.DEFAULT_BASE_URL,
-               fx.stored_files(spark, sf_dir), collect_bundles=True)
+               fx.stored_files(spark, sf_dir), collect_bundles=True, listed=True)
     solution = F.when(F.col("bundle"), F.col("solution")).otherwise(F.col("single_text"))
     target = target_url(rstrip_slash(strip("base_url")), "endpoint")
     return (s.where(F.col("reason").isNull())

@@ -8,7 +8,7 @@ Character lists and patterns are written anew here.
 
 from __future__ import annotations
 
-from gatehouse.plans.fixtures import DEFAULT_BASE_URL, EXCEPTIONS, KINDS, TASKS
+from gatehouse.plans.fixtures import DEFAULT_BASE_URL, DEFAULT_SETTINGS, EXCEPTIONS, KINDS, TASKS
 
 
 def _q(s: str | None) -> str:
@@ -106,8 +106,11 @@ select path, case when readable then content end as content, content as bytes, r
     case when {blank_sql('s.content')} then s.content else '# start' || chr(10) || s.content end,
     (s.sub_id * 7 + s.pos) % 31 <> 6
   from submissions_v s join tasks_v t on t.task_id = s.task_id
-  where t.expected[s.pos + 1] is not null and (s.sub_id * 7 + s.pos) % 31 <> 8)
-where content <> ''""",
+  where t.expected[s.pos + 1] is not null and (s.sub_id * 7 + s.pos) % 31 <> 8)""",
+    "settings_v": """
+select req_id as key, case when req_id % 7 <> 3 then raw_url end as base_url,
+  case req_id % 5 when 0 then null when 1 then '' else 'k' || req_id end as student_key
+from endpoints_v""",
     "responses_v": """
 select event_id as sub_id, ts,
   case event_id % 20 when 0 then 500 when 1 then null else 200 end as http_status,
@@ -123,6 +126,10 @@ select event_id as sub_id, ts,
     when 12 then 'null x' when 13 then '"a" b'
     when 14 then chr(65279) || '{"status":"success","message":"bom"}'
     when 15 then '-1.5e3' when 16 then '1 2'
+    when 17 then '{"message":"first ' || repeat('ab\\n', 500) || '","status":"error","more":{"message":"' || repeat('inner ', 300)
+         || '"},"message":"' || event_type || repeat(' \\"q\\" xyz', 300) || '","status":"'
+         || case when event_type = 'error' then 'error' else 'success' end || '"}'
+    when 18 then '{"status":"success","message":"' || repeat('long ', 300) || '","message":2}'
     else '{"status":"' || case when event_type = 'error' then 'error' else 'success' end
          || '","message":"' || event_type || '"}' end as body
 from events""",
@@ -167,7 +174,7 @@ from (select sub_id, task_id, expected, unnest(range(len(expected))) as pos
 RECONCILE_CTES = [
     ("reconciled", """
 select m.sub_id, m.task_id, m.pos, m.name, m.path,
-  case when s.path is null then 'missing_or_empty' when not s.readable then 'unreadable'
+  case when s.path is null then 'missing' when not s.readable then 'unreadable' when strlen(s.content) = 0 then 'empty'
        when """ + blank_sql("s.content") + """ then 'blank' else 'ok' end as state
 from manifest m left join stored_v s on s.path = m.path"""),
     ("failures", """
@@ -205,17 +212,21 @@ from (select m.sub_id, m.pos, m.name, regexp_replace(s.content, '\\r\\n?', chr(1
       from manifest m left join stored_v s on s.path = m.path) group by sub_id""")
 
 # one verdict per response
-VERDICT_CTES = [("parsed", """
-select sub_id, http_status, transport_error, j,
+VERDICT_CTES = [("bodies", """
+select *, case when json_valid(ltrim(body, chr(65279))) then ltrim(body, chr(65279)) end as j from responses_v"""),
+# of repeated keys the last counts
+("members", """
+select b.sub_id, arg_max(m.type, m.id) filter (where m.key = 'status') as st_type, arg_max(m.value, m.id) filter (where m.key = 'status') as st_json,
+  arg_max(m.type, m.id) filter (where m.key = 'message') as msg_type, arg_max(m.value, m.id) filter (where m.key = 'message') as msg_json
+from (select sub_id, j from bodies where json_type(j) = 'OBJECT') b, json_each(b.j) m
+where m.key in ('status', 'message') group by b.sub_id"""),
+("parsed", """
+select b.sub_id, http_status, transport_error, j, m.st_json ->> '$' as st, m.msg_json ->> '$' as msg,
   case when j is null then 'malformed'
-       when json_type(j) = 'OBJECT'
-        and json_extract_string(j, '$.status') in ('success', 'error')
-        and json_type(j, '$.status') = 'VARCHAR'
-        and json_type(j, '$.message') = 'VARCHAR' then 'ok'
-       else 'unexpected' end as shape,
-  json_extract_string(j, '$.status') as st,
-  json_extract_string(j, '$.message') as msg
-from (select *, case when json_valid(ltrim(body, chr(65279))) then ltrim(body, chr(65279)) end as j from responses_v)"""), ("verdicts", """
+       when json_type(j) = 'OBJECT' and m.st_type = 'VARCHAR' and m.st_json ->> '$' in ('success', 'error')
+        and m.msg_type = 'VARCHAR' then 'ok'
+       else 'unexpected' end as shape
+from bodies b left join members m on m.sub_id = b.sub_id"""), ("verdicts", """
 select sub_id, shape,
   case when shape = 'ok' then st end as status,
   case when shape = 'ok' then msg end as message,
@@ -287,10 +298,12 @@ def oracle_sql() -> dict[str, str]:
         f"select e.req_id, t.task_id, {base_sql('e.raw_url')} || t.endpoint as target_url "
         f"from endpoints_v e left join tasks_v t on t.slot = e.req_id % {len(TASKS)}")
     s["p4_overlay"] = with_views(
-        ["endpoints_v"],
-        f"select e.event_id as sub_id, coalesce(o.raw_url, {_q(DEFAULT_BASE_URL)}) as base_url, "
-        f"case when o.raw_url is null then 'default' else 'override' end as base_url_source "
-        f"from events e left join endpoints_v o on o.req_id = e.event_id")
+        ["endpoints_v", "settings_v"],
+        f"select e.event_id as sub_id, coalesce(o.base_url, {_q(DEFAULT_BASE_URL)}) as base_url, "
+        f"case when o.base_url is null then 'default' else 'override' end as base_url_source, "
+        f"coalesce(o.student_key, {_q(DEFAULT_SETTINGS['student_key'])}) as student_key, "
+        f"case when o.student_key is null then 'default' else 'override' end as student_key_source "
+        f"from events e left join settings_v o on o.key = e.event_id")
     s["p5_normalise_newlines"] = with_views(
         ["submissions_v"],
         "select sub_id, pos, regexp_replace(content, '\\r\\n?', chr(10), 'g') as content, "
@@ -342,7 +355,7 @@ def oracle_sql() -> dict[str, str]:
         "from verdicts", VERDICT_CTES)
     s["s1_read_artifacts"] = with_views(
         ["tasks_v", "submissions_v", "stored_v"],
-        "select path as file, cast(strlen(bytes) + case when readable then 1 else 2 end as bigint) as n_bytes, "
+        "select path as file, cast(strlen(bytes) + case when readable then 0 else 1 end as bigint) as n_bytes, "
         f"readable, {blank_sql('content')} as blank from stored_v")
     s["s4_write_verdicts"] = with_views(
         ["responses_v"],

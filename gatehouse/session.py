@@ -116,6 +116,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def mark_done(spark: SparkSession, path: str) -> None:
+    """An empty ``_SUCCESS`` file in the folder ``path``."""
+    fs, p = _fs(spark, f"{path}/_SUCCESS")
+    fs.create(p).close()
+
+
 def file_signature(spark: SparkSession, path: str) -> str:
     """Size and modification time of a file or folder, for naming derived data."""
     fs, p = _fs(spark, path)

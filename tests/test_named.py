@@ -1,0 +1,139 @@
+"""Files opened by the paths a table names (S1, S2, X4), several settings at once (P4), balanced verdict files."""
+
+import glob
+import os
+import time
+
+import pytest
+
+from gatehouse.operators import overlay_settings, reconcile, screen
+from gatehouse.plans import fixtures as fx
+from gatehouse.sources import file_status, read_named, write_named, write_verdicts
+
+SF = "/root/testdata/sf0.1"
+
+
+def put(root, name, data: bytes):
+    p = os.path.join(root, name)
+    os.makedirs(os.path.dirname(p), exist_ok=True)
+    with open(p, "wb") as f:
+        f.write(data)
+    return p
+
+
+FILES = {"in/1/a.py": "héllo\nwörld\n".encode(), "in/1/bom.py": b"\xef\xbb\xbfx", "in/2/crlf.py": b"a\r\nb\r\n", "in/2/bad.py": b"ok\xff\xfe",
+         "in/3/surrogate.py": b"\xed\xa0\x80", "in/3/empty.py": b"", "in/4/blank.py": b" \n\t", "in/5/a b %41 ü.py": b"odd name"}
+
+
+def test_read_by_path(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "store")
+    for name, data in FILES.items():
+        put(root, name, data)
+    put(tmp_dir, "outside.py", b"secret")
+    os.makedirs(os.path.join(root, "in/folder.py"))
+    wanted = [*FILES, "in/9/gone.py", "in/folder.py", "../outside.py", "in/../../outside.py", None, "in/1/a.py"]
+    df = spark.createDataFrame([(i, p, "x") for i, p in enumerate(wanted)], "n int, path string, content string")
+    for address in (root, f"file://{root}", f"file:{root}"):
+        got = {r.n: (r.path, r.exists, r.n_bytes, r.content, r.readable) for r in read_named(df, address, per_task=3).collect()}
+        assert len(got) == len(wanted)
+        for i, p in enumerate(wanted):
+            if p in FILES:
+                data = FILES[p]
+                try:
+                    want = (p, True, len(data), data.decode(), True)
+                except UnicodeDecodeError:
+                    want = (p, True, len(data), None, False)
+            else:
+                want = (p, True, None, None, False) if p == "in/folder.py" else (p, False, None, None, None)
+            assert got[i] == want
+    sizes = {r.path: (r.exists, r.n_bytes) for r in file_status(df, root).collect()}
+    assert sizes["in/3/empty.py"] == (True, 0) and sizes["in/9/gone.py"] == (False, None) and sizes["in/2/bad.py"] == (True, 4)
+
+
+def test_written_files_come_back(spark, tmp_dir):
+    rows = [(p, d) for p, d in FILES.items()]
+    df = spark.createDataFrame(rows, "path string, content binary").repartition(3)
+    for _ in range(2):                              # a second run leaves the same
+        assert write_named(df, f"file://{tmp_dir}/store") == len(FILES)
+    on_disk = [p for p in glob.glob(f"{tmp_dir}/store/**", recursive=True) if os.path.isfile(p)]
+    assert len(on_disk) == len(FILES)
+    assert {os.path.relpath(p, f"{tmp_dir}/store"): open(p, "rb").read() for p in on_disk} == FILES
+    with pytest.raises(Exception):
+        write_named(spark.createDataFrame([("../x", b"1")], "path string, content binary"), f"{tmp_dir}/store")
+    assert not os.path.exists(f"{tmp_dir}/x")
+
+
+def test_large_files_and_empty_manifests(spark, tmp_dir):
+    for i in range(3):
+        put(tmp_dir, f"f{i}", b"x" * (18 << 20))
+    df = spark.createDataFrame([(f"f{i}",) for i in range(3)], "path string").coalesce(1)
+    from pyspark.sql import functions as F
+    got = read_named(df, tmp_dir, per_task=100).select("n_bytes", F.length("content").alias("n")).collect()
+    assert [tuple(r) for r in got] == [(18 << 20, 18 << 20)] * 3
+    assert read_named(df.limit(0), tmp_dir).count() == 0
+
+
+def test_missing_empty_and_blank_are_told_apart(spark, tmp_dir):
+    for name, data in FILES.items():
+        put(tmp_dir, name, data)
+    names = ["in/1/a.py", "in/2/bad.py", "in/3/empty.py", "in/4/blank.py", "in/9/gone.py"]
+    manifest = spark.createDataFrame([(p, i) for i, p in enumerate(names)], "path string, pos int")
+    files = read_named(manifest.select("path"), tmp_dir).where("exists")
+    got = {r.path: r.state for r in reconcile(manifest, files, listed=True).collect()}
+    assert got == dict(zip(names, ["ok", "unreadable", "empty", "blank", "missing"]))
+
+
+def test_files_of_rejected_submissions_are_not_opened(spark, tmp_dir):
+    root = os.path.join(tmp_dir, "store")
+    sent = put(root, "work/1/4.11.1/realization.py", b"print(1)")
+    rejected = [put(root, "work/2/2.3.1/realization.txt", b"no endpoint"), put(root, "work/3/4.12.1/dag.py", b"blank student"),
+                put(root, "work/4/3.1.2/realization.py", b"bad address"), put(root, "in/5/other.py", b"named by nobody")]
+    old = time.time() - 10 * 86400
+    for p in [sent, *rejected]:
+        os.utime(p, (old, old + 86400))             # read before it was written: the next read moves it
+    files = spark.createDataFrame([(1, "u1", "4.11.1"), (2, "u2", "2.3.1"), (3, " ", "4.12.1"), (4, "u4", "3.1.2"), (6, "u6", "4.11.1"), (7, "u7", "5.3.6")],
+                                  "sub_id bigint, student_id string, task_id string")
+    put(root, "work/7/5.3.6/dag.py", b"")
+    explicit = spark.createDataFrame([], "sub_id bigint, pos bigint, path string")
+    overrides = spark.createDataFrame([(4, "ftp://x")], "key bigint, value string")
+    asked = []
+
+    def read(wanted):
+        asked.extend(r.path for r in wanted.collect())
+        return read_named(wanted, root)
+
+    out = screen(files, explicit, fx.tasks(spark), overrides, "https://ok.example", read, listed=True)
+    assert {r.sub_id: r.reason for r in out.collect()} == {
+        1: None, 2: "no_endpoint", 3: "blank_student", 4: "bad_address", 6: "missing", 7: "empty"}
+    assert sorted(asked) == ["work/1/4.11.1/realization.py", "work/6/4.11.1/realization.py", "work/7/5.3.6/dag.py"]
+    assert all(abs(os.stat(p).st_atime - old) < 2 for p in rejected)
+    probe = put(root, "probe", b"x")                # does this disk note reads at all?
+    os.utime(probe, (old, old + 86400))
+    open(probe, "rb").read()
+    if abs(os.stat(probe).st_atime - old) > 2:
+        assert abs(os.stat(sent).st_atime - old) > 2
+
+
+def test_both_settings_in_one_join(spark):
+    df = spark.createDataFrame([(i, "old") for i in range(6)] + [(None, "old")], "k bigint, base_url string")
+    ov = spark.createDataFrame([(1, "http://x", None), (2, "", ""), (3, None, "key"), (4, "a", None), (4, "b", "s"), (None, "n", "n")],
+                               "key bigint, base_url string, student_key string")
+    want = {0: ("d", "default", "nobody", "default"), 1: ("http://x", "override", "nobody", "default"), 2: ("", "override", "", "override"),
+            3: ("d", "default", "key", "override"), 4: ("b", "override", "s", "override"), 5: ("d", "default", "nobody", "default"),
+            None: ("d", "default", "nobody", "default")}
+    defaults = {"base_url": "d", "student_key": "nobody"}
+    for given in (defaults, spark.createDataFrame([tuple(defaults.values())], "base_url string, student_key string")):
+        out = overlay_settings(df, ov, "k", given)
+        assert out.columns == ["k", "base_url", "base_url_source", "student_key", "student_key_source"]
+        assert {r.k: tuple(r)[1:] for r in out.collect()} == want
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Join LeftOuter") == 1
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
+def test_verdict_files_are_balanced(spark, tmp_dir):
+    from gatehouse.plans.jobs import judge_job
+    out = judge_job(spark, SF).select("sub_id", "message", "exit_code", "outcome").repartition(16)
+    write_verdicts(out, f"{tmp_dir}/v")
+    files = {d: len(glob.glob(f"{d}/*.parquet")) for d in glob.glob(f"{tmp_dir}/v/outcome=*")}
+    assert len(files) == 6 and sum(files.values()) <= 12, files         # 16 a folder without rebalancing
+    assert spark.read.parquet(f"{tmp_dir}/v").count() == out.count()

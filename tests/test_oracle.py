@@ -74,7 +74,7 @@ def test_screen_one_reason_per_submission(spark):
     df = e.queries()["x4_screen"](spark, SF)
     subs = e.queries()["f2_blank_student"](spark, SF)
     assert df.count() == df.select("sub_id").distinct().count() == subs.count()
-    allowed = set(REASONS) | {"missing_or_empty", "unreadable", "blank", None}
+    allowed = set(REASONS) | {"missing", "empty", "unreadable", "blank", None}
     assert {r.reason for r in df.select("reason").distinct().collect()} <= allowed
 
 

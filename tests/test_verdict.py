@@ -155,3 +155,50 @@ def test_body_over_the_variant_limit(spark):
     df = spark.createDataFrame([(body,)], "b string")
     r = df.select(parse_verdict("b").alias("v")).selectExpr("v.shape", "v.status", "length(v.message) as n").first()
     assert (r.shape, r.status, r.n) == ("ok", "success", len(message))
+
+
+def _long_bodies(n):
+    """Bodies with long texts: repeated, escaped and nested keys, marks, and faults in what is put aside."""
+    x, q = "x" * n, '\\"\\u00e9\\n' * (n // 10)
+    return [f'{{"status":"success","message":"a","message":"b","pad":"{x}"}}',
+            f'{{"status":"success","message":"{x}","message":"b"}}',
+            f'{{"status":"success","message":"a","message":"{q}"}}',
+            f'{{"message":{{"message":"{x}"}},"status":"error","message":"{x}y"}}',
+            f'{{"more":[{{"message":"{x}"}},"{x}"],"status":"error","message":"{q}{x}"}}',
+            f'{{"status":"success","message":"{x}","message":1}}',
+            f'{{"status":"{x}","message":"m","status":"error"}}',
+            f'{{"pad":"{x}","status":"success","message":"\\u00010"}}',
+            f'{{"\\u006dessage":"{x}","status":"success"}}',
+            f'{{"{x}":1,"status":"success","message":"m","n":NaN}}',
+            f'{{"status":"success","message":"{x}\t"}}', f'{{"status":"success","message":"{x}\\x"}}',
+            f'{{"status":"success","message":"{x}"}} {{"a":"{x}"}}', f'"{x}"', f'["{x}","{x}"]', f'﻿{{"status":"error","message":"{x}"}}',
+            f'{{"status":"success","message":"{x}}}']
+
+
+@pytest.mark.parametrize("n", [40, 1000, 1100, 70_000, 1_200_000])
+def test_long_texts_like_json_module(spark, n):
+    from gatehouse.functions.verdict import with_verdict
+    bodies = _long_bodies(n)
+    df = spark.createDataFrame(list(enumerate(bodies)), "i int, b string")
+    got = {r.i: r.verdict for r in with_verdict(df, "b").select("i", "verdict").collect()}
+    for i, b in enumerate(bodies):
+        b = b.removeprefix("﻿")
+        assert got[i].shape == stdlib_shape(b), b[:80]
+        if got[i].shape == "ok":
+            v = json.loads(b)
+            assert (got[i].status, got[i].message) == (v["status"], v["message"]), b[:80]
+    one = {r.i: r.v for r in df.where("i < 6").select("i", parse_verdict("b").alias("v")).collect()}
+    assert all(one[i] == got[i] for i in one)
+
+
+def test_twenty_megabytes(spark):
+    from pyspark.sql import functions as F
+
+    from gatehouse.functions.verdict import with_verdict
+    n = 10 << 20                    # twice
+    df = spark.range(1).select(F.concat(F.lit('{"status":"success","message":"first","message":"'), F.repeat(F.lit("0123456789abcde\\n"), n // 17),
+                                        F.lit('","message":"'), F.repeat(F.lit("0123456789abcde\\n"), n // 17), F.lit('","x":1}')).alias("b"))
+    r = with_verdict(df, "b").select("verdict.shape", F.length("verdict.message"), F.sha2(F.col("verdict.message").cast("binary"), 256)).first()
+    import hashlib
+    want = "0123456789abcde\n" * (n // 17)
+    assert tuple(r) == ("ok", len(want), hashlib.sha256(want.encode()).hexdigest())
