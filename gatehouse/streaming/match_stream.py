@@ -1,119 +1,193 @@
 """J3 on live request and response streams.
 
 Same answer as :func:`gatehouse.operators.match.match_within` -- each request
-with its earliest response in ``[ts, ts + limit)`` -- computed incrementally
-with ``applyInPandasWithState``.
+with its earliest response in ``[ts, ts + limit)`` -- computed incrementally by
+a state processor (``transformWithState``) with its state in RocksDB.
 
 Time is cut into buckets as long as the limit. A request's answer lies in its
 own bucket or the next, so a request belongs to the group (key, bucket) and a
 response to two groups: its own bucket's and the one before. State is split by
-that group, not by key: groups are hashed to ``shards`` state rows (one Python
+that group, not by key: groups are hashed to ``shards`` state keys (one Python
 call per shard and batch), and a hot key is spread over as many shards as it
-has buckets.
-
-A request is final once its deadline ``ts + limit`` is behind the watermark
-(later rows are dropped by Spark, so no earlier response can still arrive).
-Final requests find their response by one sorted search (no pairs are formed),
-are emitted once in append mode, and leave the state. Responses older than both
-the watermark and the oldest pending request can answer nothing and are pruned,
-so state is bounded by the ``limit + delay`` stretch of event time, not by the
-stream's length. Requests whose deadline is not yet behind the watermark stay
-in state. A null key matches nothing. Ids are carried by position, never
-computed with.
+has buckets. A key that is dense within one bucket is split further with
+``split``: buckets are so many times shorter, and a response goes to ``split + 1`` of them.
+
+A shard's events are kept as runs: at most ``RUN`` events of one kind each, in
+order of time, one map entry a run, and the run's first and last time in
+an index. A batch adds runs and touches no older one. A request is final once its
+deadline ``ts + limit`` is behind the watermark (later rows are dropped by Spark, so no
+earlier response can still arrive); a timer is set for the next such deadline. Then the runs in
+reach are merged backwards in time, opened one by one: a step holds the open runs and the next response of each
+group, however many events the shard has. Final requests are emitted once
+in append mode and leave the state, and runs of responses older than both the watermark
+and the oldest pending request go too, so state is bounded by the ``limit +
+delay`` stretch of event time, not by the stream's length. Requests whose deadline
+is not yet behind the watermark stay in state. A null key matches nothing. Ids are carried, never computed with.
 """
 
 from __future__ import annotations
 
+import heapq
+import sys
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from gatehouse.operators.match import MICROS, event_micros
 
-# The per-group function runs in Python workers; ship this module's code with
-# it (by value) so workers need only pandas and numpy, not this package.
-try:
-    import sys as _sys
-
-    from pyspark import cloudpickle as _cloudpickle
-    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
-except Exception:  # pragma: no cover - older cloudpickle: ship the package instead
-    pass
+# The processor runs in Python workers; ship this module's code with it (by
+# value) so workers need only pandas, not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MATCH_SCHEMA = "req_id {qtype}, {key} {ktype}, resp_id {rtype}, delay_us bigint"
 # ids and keys travel as text: pandas would turn integers with nulls into floats
 STEP_SCHEMA = "req_id string, key string, resp_id string, delay_us bigint"
-STATE_SCHEMA = ("q_id array<string>, q_key array<string>, q_b array<bigint>, q_us array<bigint>, "
-                "r_id array<string>, r_key array<string>, r_b array<bigint>, r_us array<bigint>")
+STEP_COLUMNS = ["req_id", "key", "resp_id", "delay_us"]
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
 SHARDS_PER_PARTITION = 4
-COLUMNS = ("id", "key", "b", "us")
-
-
-def _ranks(*parts: pd.Series) -> list[np.ndarray]:
-    """The parts' values as ranks in their common order; null is -1."""
-    both = pd.concat([p.astype(object) for p in parts], ignore_index=True)
-    codes, _ = pd.factorize(both, sort=True)
-    return np.split(codes.astype(np.int64), np.cumsum([len(p) for p in parts])[:-1])
-
-
-def match_final(q: pd.DataFrame, r: pd.DataFrame, limit_us: int, integer_ids: bool = True) -> pd.DataFrame:
-    """Earliest response per request within the limit; ties to the lowest id.
+RUN = 4096              # events of a run
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+REQUEST, RESPONSE = 1, 0
+
+
+def id_order(x: str, integer_ids: bool):
+    return int(x) if integer_ids else x
+
+
+def backwards(runs: list[tuple[int, int]], load) -> Iterator[tuple]:
+    """The events (us, kind, id, key, bucket) of runs, latest first, at one time the responses
+    first. ``runs`` holds (last time, number); ``load`` gives a run's events in order of time.
+    A run is opened when its last event is due."""
+    waiting = sorted(runs)
+    heap: list[tuple] = []
+
+    def step(events: list, at: int) -> None:
+        if at >= 0:
+            e = events[at]
+            heapq.heappush(heap, (-e[0], e[1], len(heap), id(events), at, events))
+
+    while waiting or heap:
+        while waiting and (not heap or waiting[-1][0] >= -heap[0][0]):
+            events = load(waiting.pop()[1])
+            step(events, len(events) - 1)
+        _, _, _, _, at, events = heapq.heappop(heap)
+        yield events[at]
+        step(events, at - 1)
+
+
+def matches(events: Iterator[tuple], limit_us: int, before_us: int, integer_ids: bool) -> Iterator[tuple]:
+    """(req_id, key, resp_id, delay_us) of the requests before ``before_us``, from events latest first;
+    of responses at one time the lowest id counts."""
+    upcoming: dict[tuple, tuple] = {}
+    for us, kind, i, key, b in events:
+        if kind == RESPONSE:
+            if key is not None:
+                held = upcoming.get((key, b))
+                if held is None or held[0] > us or id_order(i, integer_ids) < id_order(held[1], integer_ids):
+                    upcoming[key, b] = (us, i)
+        elif us < before_us:
+            held = upcoming.get((key, b)) if key is not None else None
+            if held is not None and held[0] - us < limit_us:
+                yield i, key, held[1], held[0] - us
+            else:
+                yield i, key, None, None
+
+
+class Matcher(StatefulProcessor):
+    """The state of one shard: runs of events in order of time, and their index."""
+
+    def __init__(self, limit_us: int, integer_ids: bool, run: int):
+        self.limit_us, self.integer_ids, self.run = limit_us, integer_ids, run
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.runs = handle.getMapState("runs", "run bigint", "us array<bigint>, id array<string>, key array<string>, b array<bigint>")
+        self.index = handle.getMapState("index", "run bigint", "kind int, first bigint, last bigint")
+        self.number = handle.getValueState("number", "n bigint")
+
+    def _put(self, run: int, kind: int, events: list[tuple]) -> None:
+        us, ids, keys, bs = (list(x) for x in zip(*events))
+        self.runs.updateValue((run,), (us, ids, keys, bs))
+        self.index.updateValue((run,), (kind, us[0], us[-1]))
+
+    def _load(self, run: int, kind: int) -> list[tuple]:
+        us, ids, keys, bs = self.runs.getValue((run,))
+        return [(u, kind, i, k, b) for u, i, k, b in zip(us, ids, keys, bs)]
+
+    def _drop(self, run: int) -> None:
+        self.runs.removeKey((run,))
+        self.index.removeKey((run,))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        n = self.number.get()[0] if self.number.exists() else 0
+        earliest = None
+        for pdf in rows:
+            part = pdf.sort_values("us", kind="stable")
+            for kind, some in part.groupby("kind"):
+                events = list(zip(some["us"].tolist(), some["id"].tolist(), [k if isinstance(k, str) else None for k in some["key"]], some["b"].tolist()))
+                for at in range(0, len(events), self.run):
+                    self._put(n, int(kind), events[at:at + self.run])
+                    n += 1
+                due = events[0][0] + self.limit_us if kind == REQUEST else events[-1][0]
+                earliest = due if earliest is None else min(earliest, due)
+        self.number.update((n,))
+        held = min(self.handle.listTimers(), default=None)
+        if earliest is not None and (held is None or earliest // 1000 < held):
+            self._wake(earliest, timerValues)
+        return iter(())
+
+    def _wake(self, due_us: int, timers) -> None:
+        """One timer: the next deadline, or the time when the last response can go."""
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(max(due_us // 1000, timers.getCurrentWatermarkInMs() + 1))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        before = wm_us - self.limit_us                      # requests before it are final
+        index = {r[0]: tuple(v) for r, v in self.index.iterator()}
+        asked = [r for r, (kind, first, _) in index.items() if kind == REQUEST and first < before]
+        if asked:
+            since = min(index[r][1] for r in asked)
+            reach = asked + [r for r, (kind, first, last) in index.items() if kind == RESPONSE and last >= since and first < wm_us]
+            out = []
+            events = backwards([(index[r][2], r) for r in reach], lambda r: self._load(r, index[r][0]))
+            for found in matches(events, self.limit_us, before, self.integer_ids):
+                out.append(found)
+                if len(out) == 10_000:
+                    yield pd.DataFrame(out, columns=STEP_COLUMNS).astype({"delay_us": "Int64"})
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=STEP_COLUMNS).astype({"delay_us": "Int64"})
+        for r in asked:                                     # what is not final yet stays
+            rest = [] if index[r][2] < before else [(u, i, k, b) for u, _, i, k, b in self._load(r, REQUEST) if u >= before]
+            if rest:
+                self._put(r, REQUEST, rest)
+                index[r] = (REQUEST, rest[0][0], rest[-1][0])
+            else:
+                self._drop(r)
+                del index[r]
+        pending = min((first for kind, first, _ in index.values() if kind == REQUEST), default=None)
+        floor = wm_us if pending is None else min(wm_us, pending)
+        for r in [r for r, (kind, _, last) in index.items() if kind == RESPONSE and last < floor]:
+            self._drop(r)
+            del index[r]
+        if index:
+            self._wake(pending + self.limit_us if pending is not None else max(last for _, _, last in index.values()), timerValues)
+        else:
+            self.number.clear()
 
-    ``q`` and ``r`` have the columns id and key (as text), b (time bucket), us;
-    ``integer_ids``: response ids are ordered as numbers. Returns (req_id, key,
-    resp_id, delay_us) with nulls for unanswered requests.
-    """
-    q_key, r_key = _ranks(q["key"], r["key"])
-    q_us, r_us = q["us"].to_numpy(np.int64), r["us"].to_numpy(np.int64)
-    q_b, r_b = q["b"].to_numpy(np.int64), r["b"].to_numpy(np.int64)
-    (r_id,) = _ranks(pd.Series([None if x is None else int(x) for x in r["id"]], dtype=object) if integer_ids else r["id"])
-    order = np.lexsort((r_id, r_us, r_b, r_key))
-    order = order[r_key[order] >= 0]
-    # (key, bucket, time) as one number each, equal for equal triples
-    times = np.unique(np.concatenate([q_us, r_us]))
-    buckets = np.unique(np.concatenate([q_b, r_b]))
-
-    def place(key, b, us):
-        return (key * len(buckets) + np.searchsorted(buckets, b)) * len(times) + np.searchsorted(times, us)
-
-    sorted_r = place(r_key, r_b, r_us)[order]
-    pos = np.searchsorted(sorted_r, place(q_key, q_b, q_us), "left")
-    at = np.minimum(pos, max(0, len(order) - 1))
-    resp: list = [None] * len(q)
-    delay: list = [None] * len(q)
-    if len(order):
-        row = order[at]
-        hit = ((pos < len(order)) & (q_key >= 0) & (r_key[row] == q_key) & (r_b[row] == q_b)
-               & (r_us[row] - q_us < limit_us))
-        ids = r["id"].tolist()
-        for i in np.flatnonzero(hit):
-            resp[i], delay[i] = ids[row[i]], int(r_us[row[i]] - q_us[i])
-    return pd.DataFrame({"req_id": pd.Series(q["id"].tolist(), dtype=object), "key": q["key"].to_numpy(),
-                         "resp_id": pd.Series(resp, dtype=object), "delay_us": pd.array(delay, dtype="Int64")})
-
-
-def _frame(ids, keys, b, us) -> pd.DataFrame:
-    """Ids and keys as plain objects: an integer id never passes through a float."""
-    return pd.DataFrame({"id": pd.Series(list(ids), dtype=object), "key": pd.Series(list(keys), dtype=object),
-                         "b": np.asarray(b, dtype="int64"), "us": np.asarray(us, dtype="int64")})
-
-
-def _append(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-    if not len(a):
-        return b.reset_index(drop=True)
-    if not len(b):
-        return a
-    return pd.concat([a, b], ignore_index=True)
+    def close(self) -> None:
+        pass
 
 
 def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
                         delay: str = "10 minutes", ts: str = "ts", id_col: str = "event_id",
-                        shards: int | None = None) -> DataFrame:
+                        shards: int | None = None, split: int = 1) -> DataFrame:
     """Streaming (req_id, <key>, resp_id, delay_us); one row per request.
 
     ``requests`` and ``responses`` are streaming frames with ``id_col`` and ``key``
@@ -121,64 +195,33 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
     are left out. ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
     ``delay`` is the watermark delay: how late a row may arrive and count.
 
-    ``shards``: number of state groups. Each holds the events of its keys in
-    the last ``limit + delay`` of event time, so it should grow with the
-    stream's rate; by default four per shuffle partition (a setting sized to
-    the cluster and data), so a larger cluster gets smaller state rows.
+    ``shards``: number of state keys, by default four per shuffle partition (a setting sized to
+    the cluster and data). ``split``: buckets in a limit, for keys that are dense within one.
+    Neither changes the result, and both must stay the same over a checkpoint.
+
+    State processors need the RocksDB state store, which is set for the session here.
     """
+    spark = requests.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     limit_us = int(round(seconds * MICROS))
+    width = max(1, -(-limit_us // split))
     if shards is None:
-        parts = int(requests.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        shards = max(1, parts * SHARDS_PER_PARTITION)
+        shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) * SHARDS_PER_PARTITION)
 
     def side(df: DataFrame, kind: int) -> DataFrame:
         return df.select(F.col(key).cast("string").alias("key"), F.col(id_col).cast("string").alias("id"),
                          F.col(ts).cast("timestamp").alias("ts"), F.lit(kind).alias("kind")).where("ts is not null")
 
-    events = side(requests, 1).unionByName(side(responses, 0)).withWatermark("ts", delay)
+    events = side(requests, REQUEST).unionByName(side(responses, RESPONSE)).withWatermark("ts", delay)
     us = event_micros("ts")
-    own = F.floor((us - F.pmod(us, F.lit(limit_us))) / limit_us).cast("bigint")
-    buckets = F.when(F.col("kind") == 1, F.array(own)).otherwise(F.array(own, own - 1))
+    own = ((us - F.pmod(us, F.lit(width))) / width).cast("bigint")
+    buckets = F.when(F.col("kind") == REQUEST, F.array(own)).otherwise(F.array(*(own - k for k in range(split + 1))))
     routed = (events.select("key", "id", "ts", "kind", us.alias("us"), F.explode(buckets).alias("b"))
               .withColumn("shard", F.pmod(F.xxhash64("key", "b"), F.lit(shards))))
     types = {"ktype": requests.schema[key].dataType.simpleString(),
              "qtype": requests.schema[id_col].dataType.simpleString(),
              "rtype": responses.schema[id_col].dataType.simpleString()}
-    integer_ids = types["rtype"] in INTEGERS
-
-    def step(group: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            held = state.get
-            q, r = _frame(*held[:4]), _frame(*held[4:])
-        else:
-            q = r = _frame([], [], [], [])
-        if not state.hasTimedOut:
-            for pdf in batches:
-                is_q = pdf["kind"].to_numpy() == 1
-                q, r = (_append(f, _frame(*(pdf.loc[m, c] for c in COLUMNS))) for f, m in ((q, is_q), (r, ~is_q)))
-
-        wm_ms = state.getCurrentWatermarkMs()
-        wm_us = wm_ms * 1000
-        final = (q["us"] + limit_us) < wm_us
-        done = q[final]
-        q = q[~final].reset_index(drop=True)
-        floor_us = min(wm_us, int(q["us"].min())) if len(q) else wm_us
-        if len(done):
-            out = match_final(done, r, limit_us, integer_ids)
-        r = r[r["us"] >= floor_us].reset_index(drop=True)
-
-        if len(q) or len(r):
-            state.update(tuple(f[c].tolist() for f in (q, r) for c in COLUMNS))
-            # wake up when the next request becomes final, or when the last
-            # kept response is behind the watermark (then nothing is left)
-            due_us = int((q["us"] + limit_us).min()) if len(q) else int(r["us"].max())
-            state.setTimeoutTimestamp(max(due_us // 1000, wm_ms + 1))
-        else:
-            state.remove()
-        if len(done):
-            yield out
-
-    found = routed.groupBy("shard").applyInPandasWithState(
-        step, STEP_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
+    found = routed.groupBy("shard").transformWithStateInPandas(
+        Matcher(limit_us, types["rtype"] in INTEGERS, RUN), STEP_SCHEMA, "Append", "EventTime")
     return found.select(F.col("req_id").cast(types["qtype"]).alias("req_id"), F.col("key").cast(types["ktype"]).alias(key),
                         F.col("resp_id").cast(types["rtype"]).alias("resp_id"), "delay_us")

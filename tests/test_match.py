@@ -244,21 +244,71 @@ def test_stream_drops_rows_behind_the_watermark(spark, tmp_dir):
 
 
 def test_final_matches_are_exact():
-    import pandas as pd
-
-    from gatehouse.streaming.match_stream import match_final
+    from gatehouse.streaming.match_stream import REQUEST, RESPONSE, backwards, matches
     rnd = random.Random(5)
     limit = 300
     rows = [(BIG + i, rnd.choice(["a", "b", None]), rnd.randint(0, 3000)) for i in range(400)]
     q, r = rows[::2], rows[1::2]
-    qf = pd.DataFrame([(str(i), k, t // limit, t) for i, k, t in q], columns=["id", "key", "b", "us"])
-    rf = pd.DataFrame([(str(i), k, b, t) for i, k, t in r for b in (t // limit, t // limit - 1)],
-                      columns=["id", "key", "b", "us"])
-    out = match_final(qf, rf, limit)
-    for (i, k, t), row in zip(q, out.itertuples()):
-        best = min(((t2 - t, j) for j, k2, t2 in r if k2 == k and k is not None and 0 <= t2 - t < limit), default=None)
-        assert row.req_id == str(i)
-        assert (row.resp_id, None if pd.isna(row.delay_us) else row.delay_us) == ((str(best[1]), best[0]) if best else (None, None))
+    for split, size in ((1, 7), (1, 1000), (3, 16)):
+        width = -(-limit // split)
+        runs = {}
+        for kind, part in ((REQUEST, [(t, str(i), k, t // width) for i, k, t in q]),
+                           (RESPONSE, [(t, str(i), k, t // width - n) for i, k, t in r for n in range(split + 1)])):
+            rnd.shuffle(part)
+            for half in (part[::2], part[1::2]):                # two batches, each in runs of its own
+                half.sort(key=lambda e: e[0])
+                for at in range(0, len(half), size):
+                    runs[len(runs)] = [(t, kind, i, k, b) for t, i, k, b in half[at:at + size]]
+        before, opened = 2500, []
+
+        def load(n):
+            opened.append(n)
+            return runs[n]
+
+        order = list(backwards([(e[-1][0], n) for n, e in runs.items()], load))
+        assert sorted(opened) == sorted(runs) and [e[0] for e in order] == sorted((e[0] for e in order), reverse=True)
+        got = {i: (resp, delay) for i, _, resp, delay in matches(iter(order), limit, before, True)}
+        want = {}
+        for i, k, t in q:
+            if t < before:
+                best = min(((t2 - t, j) for j, k2, t2 in r if k2 == k and k is not None and 0 <= t2 - t < limit), default=None)
+                want[str(i)] = (str(best[1]), best[0]) if best else (None, None)
+        assert got == want
+
+
+def test_stream_key_dense_in_one_bucket(spark, tmp_dir, monkeypatch):
+    """A third of all events are one key's within one limit; runs far smaller than it; restarts and late rows."""
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from gatehouse.streaming import match_stream
+
+    monkeypatch.setattr(match_stream, "RUN", 16)
+    rnd = random.Random(12)
+    us = dt.timedelta(microseconds=1)
+    hot = [(i, 1, T0 + rnd.randint(0, 299_000_000) * us, rnd.choice(["click", "view"])) for i in range(400)]
+    rest = [(1000 + i, rnd.randint(2, 30), T0 + rnd.randint(0, 4 * 3600 * 10**6) * us, rnd.choice(["click", "view"])) for i in range(800)]
+    rows = hot + rest
+    rnd.shuffle(rows)
+    schema = "event_id bigint, user_id bigint, ts timestamp, event_type string"
+    want = brute([r[:3] for r in rows if r[3] == "click"], [r[:3] for r in rows if r[3] == "view"], 300 * 10**6)
+    end = [(5000, 99, T0 + dt.timedelta(hours=12), "click")]
+    late = [(6000, 1, T0 + dt.timedelta(hours=1), "click"), (6001, 1, T0, "view")]          # far behind the watermark
+    for split in (1, 4):
+        src, sink, ck = (os.path.join(tmp_dir, f"{n}{split}") for n in ("in", "out", "ck"))
+        os.makedirs(src)
+        for i, batch in enumerate([rows[:500], rows[500:900], rows[900:], end, late, [(5001, 99, T0 + dt.timedelta(hours=20), "click")]]):
+            pd.DataFrame(batch, columns=["event_id", "user_id", "ts", "event_type"]).to_parquet(
+                os.path.join(src, f"b{i}.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
+            ev = spark.readStream.schema(schema).parquet(src)
+            out = match_stream.match_within_stream(ev.where(F.col("event_type") == "click").drop("event_type"),
+                                                   ev.where(F.col("event_type") == "view").drop("event_type"),
+                                                   "user_id", 300, delay="5 hours", shards=4, split=split)
+            (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ck)
+             .outputMode("append").trigger(availableNow=True).start().awaitTermination())   # from the checkpoint each time
+        got = {x.req_id: (x.user_id, x.resp_id, x.delay_us) for x in spark.read.parquet(sink).collect()}
+        got.pop(5000, None)
+        assert got == want
 
 
 def test_stream_big_ids_null_keys_hot_key_and_restart(spark, tmp_dir):
