@@ -282,7 +282,25 @@ def t1_match_within_stream(spark, sf_dir):
     return spark.read.schema(MATCH_SCHEMA.format(key="user_id", ktype="bigint", qtype="bigint", rtype="bigint")).parquet(sink)
 
 
+JUDGE_SECONDS = 4 * 3600
+
+
+def judge_stream(spark, sf_dir):
+    """The judge job as one stream: clicks are requests, views the replies to them."""
+    from gatehouse.session import shared_dir
+    from gatehouse.streaming.judge_stream import judge_within_stream, read_verdicts, write_verdict_stream
+    schema = fx.table(spark, sf_dir, "events").schema
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").option("maxFilesPerTrigger", 64)
+          .parquet(sf_dir).select("event_id", "user_id", "ts", "event_type"))
+    q = ev.where(F.col("event_type") == "click").drop("event_type")
+    r = fx.replies(ev.where(F.col("event_type") == "view"), "user_id").withColumnRenamed("sub_id", "event_id")
+    out = judge_within_stream(q, r, "user_id", JUDGE_SECONDS, delay=f"{T1_DELAY_SECONDS} seconds")
+    sink = shared_dir(spark, "judge-out")
+    write_verdict_stream(out, sink, shared_dir(spark, "judge-ckpt"), available_now=True).awaitTermination()
+    return read_verdicts(spark, sink, out.schema)
+
+
 QUERIES.update({f.__name__: _guarded(f) for f in [
-    s1_read_artifacts, x4_screen_files, s3_write_requests, s4_write_verdicts, t1_match_within_stream,
+    judge_stream, s1_read_artifacts, x4_screen_files, s3_write_requests, s4_write_verdicts, t1_match_within_stream,
 ]})
 PREPARE["x4_screen_files"] = PREPARE["s1_read_artifacts"]

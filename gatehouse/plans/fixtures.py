@@ -209,7 +209,11 @@ def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFra
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(sub_id, ts, http_status, transport_error, body): one service reply per event."""
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "event_type")
+    return replies(table(spark, sf_dir, "events").select("event_id", "ts", "event_type"))
+
+
+def replies(e: DataFrame, *keep: str) -> DataFrame:
+    """The service replies of events (event_id, ts, event_type), batch or stream, with the columns ``keep``."""
     eid, et = F.col("event_id"), F.col("event_type")
     k = eid % 20
     status = F.when(k == 0, F.lit(500)).when(k == 1, F.lit(None).cast("int")).otherwise(F.lit(200))
@@ -239,7 +243,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(k == 18, F.concat(F.lit('{"status":"success","message":"'), F.repeat(F.lit("long "), 300), F.lit('","message":2}')))
             .otherwise(F.concat(F.lit('{"status":"'), verdict, F.lit('","message":"'),
                                 et, F.lit('"}'))))
-    return e.select(eid.alias("sub_id"), "ts", status.cast("int").alias("http_status"),
+    return e.select(eid.alias("sub_id"), "ts", *keep, status.cast("int").alias("http_status"),
                     err.alias("transport_error"), body.alias("body"))
 
 

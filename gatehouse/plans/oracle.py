@@ -362,6 +362,12 @@ def oracle_sql() -> dict[str, str]:
         "select sub_id, outcome, message, cast(case when outcome = 'success' then 0 else 1 end as bigint) "
         "as exit_code from verdicts", VERDICT_CTES)
     s["t1_match_within_stream"] = stream_match_sql(300, 600)
+    s["judge_stream"] = with_views(
+        ["responses_v"],
+        "select m.req_id, m.user_id, m.resp_id, v.shape, v.status, v.message, coalesce(v.outcome, 'unreachable') as outcome, "
+        "cast(case when v.outcome = 'success' then 0 else 1 end as bigint) as exit_code "
+        "from answered m left join verdicts v on v.sub_id = m.resp_id",
+        VERDICT_CTES + [("answered", stream_match_sql(4 * 3600, 600))])
     s["j3_match_within_300s"] = match_sql(300)
     s["j3_match_within_4h"] = match_sql(4 * 3600)
     s["j3_match_within_300s_balanced"] = match_sql(300)

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -45,8 +45,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MATCH_SCHEMA = "req_id {qtype}, {key} {ktype}, resp_id {rtype}, delay_us bigint"
 # ids and keys travel as text: pandas would turn integers with nulls into floats
-STEP_SCHEMA = "req_id string, key string, resp_id string, delay_us bigint"
-STEP_COLUMNS = ["req_id", "key", "resp_id", "delay_us"]
+STEP_SCHEMA = "req_id string, key string, resp_id string, delay_us bigint, payload string"
+STEP_COLUMNS = ["req_id", "key", "resp_id", "delay_us", "payload"]
 INTEGERS = ("tinyint", "smallint", "int", "bigint")
 SHARDS_PER_PARTITION = 4
 RUN = 4096              # events of a run
@@ -59,7 +59,7 @@ def id_order(x: str, integer_ids: bool):
 
 
 def backwards(runs: list[tuple[int, int]], load) -> Iterator[tuple]:
-    """The events (us, kind, id, key, bucket) of runs, latest first, at one time the responses
+    """The events (us, kind, id, key, bucket, payload) of runs, latest first, at one time the responses
     first. ``runs`` holds (last time, number); ``load`` gives a run's events in order of time.
     A run is opened when its last event is due."""
     waiting = sorted(runs)
@@ -80,21 +80,21 @@ def backwards(runs: list[tuple[int, int]], load) -> Iterator[tuple]:
 
 
 def matches(events: Iterator[tuple], limit_us: int, before_us: int, integer_ids: bool) -> Iterator[tuple]:
-    """(req_id, key, resp_id, delay_us) of the requests before ``before_us``, from events latest first;
+    """(req_id, key, resp_id, delay_us, payload) of the requests before ``before_us``, from events latest first;
     of responses at one time the lowest id counts."""
     upcoming: dict[tuple, tuple] = {}
-    for us, kind, i, key, b in events:
+    for us, kind, i, key, b, payload in events:
         if kind == RESPONSE:
             if key is not None:
                 held = upcoming.get((key, b))
                 if held is None or held[0] > us or id_order(i, integer_ids) < id_order(held[1], integer_ids):
-                    upcoming[key, b] = (us, i)
+                    upcoming[key, b] = (us, i, payload)
         elif us < before_us:
             held = upcoming.get((key, b)) if key is not None else None
             if held is not None and held[0] - us < limit_us:
-                yield i, key, held[1], held[0] - us
+                yield i, key, held[1], held[0] - us, held[2]
             else:
-                yield i, key, None, None
+                yield i, key, None, None, None
 
 
 class Matcher(StatefulProcessor):
@@ -105,18 +105,17 @@ class Matcher(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.runs = handle.getMapState("runs", "run bigint", "us array<bigint>, id array<string>, key array<string>, b array<bigint>")
+        self.runs = handle.getMapState("runs", "run bigint", "us array<bigint>, id array<string>, key array<string>, b array<bigint>, payload array<string>")
         self.index = handle.getMapState("index", "run bigint", "kind int, first bigint, last bigint")
         self.number = handle.getValueState("number", "n bigint")
 
     def _put(self, run: int, kind: int, events: list[tuple]) -> None:
-        us, ids, keys, bs = (list(x) for x in zip(*events))
-        self.runs.updateValue((run,), (us, ids, keys, bs))
+        us, *rest = (list(x) for x in zip(*events))
+        self.runs.updateValue((run,), (us, *rest))
         self.index.updateValue((run,), (kind, us[0], us[-1]))
 
     def _load(self, run: int, kind: int) -> list[tuple]:
-        us, ids, keys, bs = self.runs.getValue((run,))
-        return [(u, kind, i, k, b) for u, i, k, b in zip(us, ids, keys, bs)]
+        return [(us, kind, *rest) for us, *rest in zip(*self.runs.getValue((run,)))]
 
     def _drop(self, run: int) -> None:
         self.runs.removeKey((run,))
@@ -128,7 +127,9 @@ class Matcher(StatefulProcessor):
         for pdf in rows:
             part = pdf.sort_values("us", kind="stable")
             for kind, some in part.groupby("kind"):
-                events = list(zip(some["us"].tolist(), some["id"].tolist(), [k if isinstance(k, str) else None for k in some["key"]], some["b"].tolist()))
+                texts = ([x if isinstance(x, str) else None for x in some[c]] for c in ("id", "key", "payload"))
+                ids, keys, payloads = texts
+                events = list(zip(some["us"].tolist(), ids, keys, some["b"].tolist(), payloads))
                 for at in range(0, len(events), self.run):
                     self._put(n, int(kind), events[at:at + self.run])
                     n += 1
@@ -164,7 +165,7 @@ class Matcher(StatefulProcessor):
             if out:
                 yield pd.DataFrame(out, columns=STEP_COLUMNS).astype({"delay_us": "Int64"})
         for r in asked:                                     # what is not final yet stays
-            rest = [] if index[r][2] < before else [(u, i, k, b) for u, _, i, k, b in self._load(r, REQUEST) if u >= before]
+            rest = [] if index[r][2] < before else [(us, *e) for us, _, *e in self._load(r, REQUEST) if us >= before]
             if rest:
                 self._put(r, REQUEST, rest)
                 index[r] = (REQUEST, rest[0][0], rest[-1][0])
@@ -187,9 +188,11 @@ class Matcher(StatefulProcessor):
 
 def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, seconds: float,
                         delay: str = "10 minutes", ts: str = "ts", id_col: str = "event_id",
-                        shards: int | None = None, split: int = 1) -> DataFrame:
+                        shards: int | None = None, split: int = 1, payload: Column | None = None) -> DataFrame:
     """Streaming (req_id, <key>, resp_id, delay_us); one row per request.
 
+    With ``payload``, a text column expression over ``responses``, also ``payload``: that of the answer.
+
     ``requests`` and ``responses`` are streaming frames with ``id_col`` and ``key``
     (of types that text keeps unchanged); rows without a time match nothing and
     are left out. ``ts`` (``timestamp`` or ``timestamp_ntz``, read as UTC).
@@ -209,14 +212,15 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
         shards = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")) * SHARDS_PER_PARTITION)
 
     def side(df: DataFrame, kind: int) -> DataFrame:
-        return df.select(F.col(key).cast("string").alias("key"), F.col(id_col).cast("string").alias("id"),
+        held = payload if payload is not None and kind == RESPONSE else F.lit(None)
+        return df.select(held.cast("string").alias("payload"), F.col(key).cast("string").alias("key"), F.col(id_col).cast("string").alias("id"),
                          F.col(ts).cast("timestamp").alias("ts"), F.lit(kind).alias("kind")).where("ts is not null")
 
     events = side(requests, REQUEST).unionByName(side(responses, RESPONSE)).withWatermark("ts", delay)
     us = event_micros("ts")
     own = ((us - F.pmod(us, F.lit(width))) / width).cast("bigint")
     buckets = F.when(F.col("kind") == REQUEST, F.array(own)).otherwise(F.array(*(own - k for k in range(split + 1))))
-    routed = (events.select("key", "id", "ts", "kind", us.alias("us"), F.explode(buckets).alias("b"))
+    routed = (events.select("key", "id", "payload", "ts", "kind", us.alias("us"), F.explode(buckets).alias("b"))
               .withColumn("shard", F.pmod(F.xxhash64("key", "b"), F.lit(shards))))
     types = {"ktype": requests.schema[key].dataType.simpleString(),
              "qtype": requests.schema[id_col].dataType.simpleString(),
@@ -224,4 +228,4 @@ def match_within_stream(requests: DataFrame, responses: DataFrame, key: str, sec
     found = routed.groupBy("shard").transformWithStateInPandas(
         Matcher(limit_us, types["rtype"] in INTEGERS, RUN), STEP_SCHEMA, "Append", "EventTime")
     return found.select(F.col("req_id").cast(types["qtype"]).alias("req_id"), F.col("key").cast(types["ktype"]).alias(key),
-                        F.col("resp_id").cast(types["rtype"]).alias("resp_id"), "delay_us")
+                        F.col("resp_id").cast(types["rtype"]).alias("resp_id"), "delay_us", *(["payload"] if payload is not None else []))

@@ -252,13 +252,13 @@ def test_final_matches_are_exact():
     for split, size in ((1, 7), (1, 1000), (3, 16)):
         width = -(-limit // split)
         runs = {}
-        for kind, part in ((REQUEST, [(t, str(i), k, t // width) for i, k, t in q]),
-                           (RESPONSE, [(t, str(i), k, t // width - n) for i, k, t in r for n in range(split + 1)])):
+        for kind, part in ((REQUEST, [(t, str(i), k, t // width, None) for i, k, t in q]),
+                           (RESPONSE, [(t, str(i), k, t // width - n, f"p{i}") for i, k, t in r for n in range(split + 1)])):
             rnd.shuffle(part)
             for half in (part[::2], part[1::2]):                # two batches, each in runs of its own
                 half.sort(key=lambda e: e[0])
                 for at in range(0, len(half), size):
-                    runs[len(runs)] = [(t, kind, i, k, b) for t, i, k, b in half[at:at + size]]
+                    runs[len(runs)] = [(t, kind, *e) for t, *e in half[at:at + size]]
         before, opened = 2500, []
 
         def load(n):
@@ -267,12 +267,12 @@ def test_final_matches_are_exact():
 
         order = list(backwards([(e[-1][0], n) for n, e in runs.items()], load))
         assert sorted(opened) == sorted(runs) and [e[0] for e in order] == sorted((e[0] for e in order), reverse=True)
-        got = {i: (resp, delay) for i, _, resp, delay in matches(iter(order), limit, before, True)}
+        got = {i: (resp, delay, load) for i, _, resp, delay, load in matches(iter(order), limit, before, True)}
         want = {}
         for i, k, t in q:
             if t < before:
                 best = min(((t2 - t, j) for j, k2, t2 in r if k2 == k and k is not None and 0 <= t2 - t < limit), default=None)
-                want[str(i)] = (str(best[1]), best[0]) if best else (None, None)
+                want[str(i)] = (str(best[1]), best[0], f"p{best[1]}") if best else (None, None, None)
         assert got == want
 
 
