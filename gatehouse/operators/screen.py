@@ -28,7 +28,8 @@ def endpoint_available(endpoint: Column | str) -> Column:
 
 def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
            overrides: DataFrame, default_base_url: str, contents: DataFrame | Callable[[DataFrame], DataFrame],
-           collect_bundles: bool = False, path: str = "path", prune: bool = False, listed: bool = False) -> DataFrame:
+           collect_bundles: bool = False, path: str = "path", prune: bool = False, listed: bool = False,
+           keys: tuple[str, ...] = ("path",)) -> DataFrame:
     """One row per submission.
 
     Columns: sub_id, task_id, student_id, endpoint, expected, bundle, n_explicit,
@@ -39,7 +40,8 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
     pos, path|null); ``overrides``: per-submission service address (key =
     sub_id); ``contents``: the files as read, (``path``, content, readable), or a function
     that reads them: it is given the paths (``path``) of the files to be sent, once each, and returns
-    that table. ``listed``: zero-byte files have rows too (see :func:`reconcile`).
+    that table. ``keys``: how files are found; with ``("sub_id", "path")`` the files' table has the submission
+    too, and tables bucketed by it need no exchange (see ``plans.colocated``). ``listed``: zero-byte files have rows too (see :func:`reconcile`).
 
     Plan: header rules on one row per submission; the file manifest is built
     only for submissions that pass them (others keep one placeholder row) and
@@ -66,11 +68,11 @@ def screen(files: DataFrame, explicit: DataFrame, tasks: DataFrame,
     if callable(contents):
         manifest = shared_table(manifest, "screen-manifest")
         contents = contents(manifest.where("path is not null").select(F.col("path").alias(path)).distinct())
-    needed = contents.where("readable is not null").select(F.col(path).alias("path"), "content", "readable")
+    needed = contents.where("readable is not null").select(*(k for k in keys if k != "path"), F.col(path).alias("path"), "content", "readable")
     if prune:
         named = manifest.where(F.col("path").isNotNull()).select(F.col("path").alias("_wanted"))
         needed = needed.join(named, F.col("path") == F.col("_wanted"), "left_semi")
-    rows = reconcile(manifest, needed, ["path"], with_content=collect_bundles, listed=listed)
+    rows = reconcile(manifest, needed, list(keys), with_content=collect_bundles, listed=listed)
     state = F.when(F.col("pos").isNotNull(), F.col("state"))   # placeholder rows: no file
     bad = F.when(state != "ok", F.struct("pos", "name", state.alias("state")))
     aggs = [F.max(c).alias(c) for c in ("task_id", *carry)] + [F.min(bad).alias("_bad")]

@@ -300,7 +300,32 @@ def judge_stream(spark, sf_dir):
     return read_verdicts(spark, sink, out.schema)
 
 
+def colocated_tables(spark, sf_dir) -> list:
+    """The screen's four tables in buckets by submission, written once a session and input."""
+    import hashlib
+
+    from gatehouse.plans.colocated import store
+    from gatehouse.session import file_signature
+    src = f"{sf_dir.rstrip('/')}/conversations.parquet"
+    tag = hashlib.sha1(f"{src}:{file_signature(spark, src)}".encode()).hexdigest()[:12]
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    out = []
+    for name, make, key in (("submissions", fx.submissions, "sub_id"), ("explicit", fx.explicit_files, "sub_id"),
+                            ("overrides", fx.overrides, "key"), ("stored", fx.stored_files, "sub_id")):
+        table = f"gatehouse_{name}_{tag}_{buckets}"
+        out.append(spark.table(table) if spark.catalog.tableExists(table) else store(make(spark, sf_dir), table, buckets, key))
+    return out
+
+
+def x4_screen_colocated(spark, sf_dir):
+    """X4 on tables bucketed by submission: no exchange by submission."""
+    from gatehouse.plans.colocated import screen_colocated
+    s = screen_colocated(fx.tasks(spark), fx.DEFAULT_BASE_URL, *colocated_tables(spark, sf_dir), listed=True)
+    return s.select("sub_id", "task_id", "base_url", "reason", "fail_pos")
+
+
 QUERIES.update({f.__name__: _guarded(f) for f in [
-    judge_stream, s1_read_artifacts, x4_screen_files, s3_write_requests, s4_write_verdicts, t1_match_within_stream,
+    x4_screen_colocated, judge_stream, s1_read_artifacts, x4_screen_files, s3_write_requests, s4_write_verdicts, t1_match_within_stream,
 ]})
 PREPARE["x4_screen_files"] = PREPARE["s1_read_artifacts"]
+PREPARE["x4_screen_colocated"] = colocated_tables

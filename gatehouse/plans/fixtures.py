@@ -180,7 +180,7 @@ def explicit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFrame:
-    """(path, content, readable): the files that lie on storage.
+    """(sub_id, path, content, readable): the files that lie on storage, and whose they are.
 
     Every turn has an explicit copy under ``in/`` and, where its task expects a
     file at that position, a default copy in the submission's task folder,
@@ -198,13 +198,13 @@ def stored_files(spark: SparkSession, sf_dir: str, raw: bool = False) -> DataFra
     default = F.struct(F.concat_ws("/", F.lit("work"), "sub_id", "task_id", default_name).alias("path"),
                        F.when(blank, F.col("content")).otherwise(F.concat(F.lit("# start\n"), "content")).alias("content"),
                        (k != 6).alias("readable"), (default_name.isNotNull() & (k != 8)).alias("there"))
-    f = rows.select(F.explode(F.array(explicit, default)).alias("f")).select("f.*").where("there")
+    f = rows.select("sub_id", F.explode(F.array(explicit, default)).alias("f")).select("sub_id", "f.*").where("there")
     if raw:
         data = F.col("content").cast("binary")
         content = F.when(F.col("readable"), data).otherwise(F.concat(data, F.unhex(F.lit("FF"))))
     else:
         content = F.when(F.col("readable"), F.col("content"))
-    return f.select("path", content.alias("content"), "readable")
+    return f.select("sub_id", "path", content.alias("content"), "readable")
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:

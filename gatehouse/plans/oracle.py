@@ -342,6 +342,7 @@ def oracle_sql() -> dict[str, str]:
         ARITY_CTES + [("countable", "select * from arity where arity_ok"), manifest_cte("countable"), BUNDLE_SQL])
     s["x4_screen_files"] = with_views(
         SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
+    s["x4_screen_colocated"] = s["x4_screen_files"]
     s["x4_screen"] = with_views(
         SUB_VIEWS, "select sub_id, task_id, base_url, reason, fail_pos from screened", SCREEN_CTES)
     s["p6_request_json"] = with_views(SUB_VIEWS, "select sub_id, task_id, target_url, request from requests",

@@ -49,10 +49,11 @@ def test_random_ids_as_the_library(reference, tokeniser):
 
 
 def test_small_caches_change_nothing(reference, monkeypatch):
-    monkeypatch.setattr(pack, "CACHE", 3)
+    monkeypatch.setattr(pack, "WORDS", 3)
+    monkeypatch.setattr(pack, "PIECES", 2)
     t = pack.Tokeniser(open(PATH, encoding="utf-8").read(), P.PATTERN)
-    text = "one two, three four. five two, six one"
-    assert unpack(t(text)) == reference(text)
+    for text in ("one two, three four. five two, six one", "six one two, ten", "one two one two\ttwo"):
+        assert unpack(t(text)) == reference(text)
 
 
 def whole(pieces, wanted, length=1024):

@@ -55,3 +55,23 @@ def test_overlay_keeps_rows_with_repeated_keys(spark):
     ov = spark.createDataFrame([(1, "a"), (1, "b"), (1, None)], "key bigint, value string")
     got = sorted((r.k, r.v) for r in overlay(df, ov, "k", "d", out="v").collect())
     assert got == [(1, "b"), (2, "d")]
+
+
+def test_colocated_screen_exchanges_nothing_by_submission(spark):
+    import re
+
+    import __spark_entry__ as e
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")        # large tables: only the tasks are broadcast
+        df = e.queries()["x4_screen_colocated"](spark, SF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        tables = [t for t in re.findall(r"FileScan parquet spark_catalog\.default\.(gatehouse_\w+?)_", plan)]
+        assert plan.count("SelectedBucketsCount: 8 out of 8") >= 4, plan
+        assert "Exchange hashpartitioning" not in plan, plan
+        assert "Exchange hashpartitioning(sub_id" in e.queries()["x4_screen"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        rows = sorted(map(tuple, df.collect()))
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert rows == sorted(map(tuple, e.queries()["x4_screen"](spark, SF).collect())) and tables
