@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+import re
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,45 @@ def byte_chunks(data: bytes, size: int) -> Iterator[bytes]:
     yield data[start:]
 
 
+_UNEVEN = re.compile(r" (?<=\s )(?:\s|\Z)")
+_OPENING = re.compile(r"(?= \S)")
+
+
+def cut_words(text: str) -> tuple[str, list[str]]:
+    """The text's first word and those after it, without the blank before each.
+
+    For patterns of byte-level tokenizers: they always open a piece at a blank that
+    a non-space character follows, and at one behind a non-space character. So a
+    text is cut at its blanks, unless one stands between two spaces or behind a space at
+    the end; then only where a non-space character follows. Words may hold further space.
+    """
+    if _UNEVEN.search(text):
+        first, *rest = _OPENING.split(text)
+        return first, [w[1:] for w in rest]
+    first, *rest = text.split(" ")
+    return first, rest
+
+
+class Kept(dict):
+    """``make`` of each key, made when first asked for. The keys met last are kept: two
+    generations of ``size`` at most, none longer than ``longest``."""
+
+    def __init__(self, make: Callable, size: int, longest: int = 64):
+        super().__init__()
+        self.make, self.size, self.longest, self.old = make, size, longest, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.size:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
 def as_bytes(column) -> Iterable[bytes | None]:
     """UTF-8 bytes of an Arrow string column, without a detour over ``str``."""
     import pyarrow as pa

@@ -15,10 +15,10 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gatehouse.llm.common import written
+from gatehouse.llm.common import Kept, cut_words, written
 
-CACHE = 800_000         # words, and pieces, kept per task; emptied when full
-KEPT = 64               # longer words are encoded each time they occur
+WORDS = 450_000         # words, and
+PIECES = 20_000         # other pieces of a generation kept in a Python worker
 MARKS = frozenset(",.;:!?")    # a piece of their own behind letters
 ROWS = 256              # texts of a batch held as Python strings
 MADE = ("doc_tokens", "start", "length", "ids", "sequence_id", "offset")
@@ -32,69 +32,38 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(0x100 + i) for i, b in enumerate(hidden)}
 
 
-class Words(dict):
-    """Ids (little-endian 32 bits each) of a word that follows a blank, made when first asked for."""
+class Tokeniser:
+    """Ids (little-endian 32 bits each) of whole texts by a byte-level tokenizer file, word by word."""
 
-    def __init__(self, tokenizer, pattern: str):
+    def __init__(self, data: str, pattern: str):
         import regex
-        super().__init__()
-        self.model, self.find, self.letters = tokenizer.model.tokenize, regex.compile(pattern).findall, byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        from tokenizers import Tokenizer
+        self.model, self.find, self.letters = Tokenizer.from_str(data).model.tokenize, regex.compile(pattern).findall, byte_letters()
+        self.blank = self.letters[0x20]
+        self.pieces, self.words = Kept(self.piece, PIECES), Kept(self.word, WORDS)
 
     def piece(self, p: str) -> bytes:
-        ids = self.pieces.get(p)
-        if ids is None:
-            shown = p.encode().decode("latin-1").translate(self.letters)
-            ids = array("I", [t.id for t in self.model(shown)]).tobytes()
-            if len(p) <= KEPT:
-                if len(self.pieces) >= CACHE:
-                    self.pieces.clear()
-                self.pieces[p] = ids
-        return ids
+        """One piece of the pattern, by the library's model."""
+        shown = self.blank + p[1:] if p[0] == " " and p[1:].isalnum() and p.isascii() else p.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model(shown)]).tobytes()
 
     def text(self, t: str) -> bytes:
-        return b"".join(map(self.piece, self.find(t)))
-
-    def __missing__(self, word: str) -> bytes:
-        if word.isalpha():
-            ids = self.piece(" " + word)
-        elif word[:-1].isalpha() and word[-1] in MARKS:
-            ids = self.piece(" " + word[:-1]) + self.piece(word[-1])
-        else:
-            ids = self.text(" " + word)
-        if len(word) <= KEPT:
-            if len(self) >= CACHE:
-                self.clear()
-            self[word] = ids
-        return ids
-
-
-class Tokeniser:
-    """Whole texts by a byte-level tokenizer file, word by word.
+        words, pieces = self.words, self.pieces
+        return b"".join([words[p[1:]] if p[0] == " " and p[1:].isalpha() else pieces[p] for p in self.find(t)])
 
-    The pattern always opens a piece at a blank that a non-space character
-    follows, and at one behind a non-space character. So a text is cut at its
-    blanks, unless one stands between two spaces or behind a space at the end;
-    then only where a non-space character follows.
-    """
-
-    def __init__(self, data: str, pattern: str):
-        import re
-
-        from tokenizers import Tokenizer
-        self.words = Words(Tokenizer.from_str(data), pattern)
-        self.uneven = re.compile(r"\s (?:\s|\Z)").search
-        self.openings = re.compile(r"(?= \S)").split
+    def word(self, w: str) -> bytes:
+        """A word behind a blank."""
+        if w.isalpha():
+            return self.piece(" " + w)
+        if w[:-1].isalpha() and w[-1] in MARKS:
+            return self.words[w[:-1]] + self.pieces[w[-1]]
+        return self.text(" " + w)
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.uneven(text):
-            first, *rest = self.openings(text)
-            rest = [w[1:] for w in rest]
-        else:
-            first, *rest = text.split(" ")
-        opening = self.words.text(first) if first else b""
+        first, rest = cut_words(text)
+        opening = self.text(first) if first else b""
         return opening + b"".join(map(self.words.__getitem__, rest))
 
 
@@ -113,11 +82,14 @@ def tokenise(docs: DataFrame, path: str, pattern: str, text: str = "text", end_i
     schema = (src.select("row").withColumn("ids", F.lit(None).cast("binary"))
               .withColumn("doc_tokens", F.lit(None).cast("bigint")).withColumn("before", F.lit(None).cast("bigint")).schema)
     with open(path, encoding="utf-8") as f:
-        held = docs.sparkSession.sparkContext.broadcast(f.read())               # one fixed file
+        held = docs.sparkSession.sparkContext.broadcast({"file": f.read()})     # one fixed file
     last = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator) -> Iterator:
-        ids_of, before = Tokeniser(held.value, pattern), 0
+        mine = held.value               # a worker has one for all its tasks, and with it the words it has met
+        if "tokeniser" not in mine:
+            mine["tokeniser"] = Tokeniser(mine["file"], pattern)
+        ids_of, before = mine["tokeniser"], 0
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 some = batch.slice(at, ROWS)
