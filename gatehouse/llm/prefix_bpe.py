@@ -17,18 +17,21 @@ parent's.
 from __future__ import annotations
 
 import base64
-import gc
 from array import array
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 250_000         # words, and pieces, kept per task; a cache is emptied when full
-SHORT = (2, 1)          # lengths tried where no longer token can end
+from gatehouse.llm.common import Kept, cut_words
+
+WORDS = 300_000         # words, and
+PIECES = 20_000         # other pieces of a generation kept in a Python worker
+PAIRS = 250_000         # pairs of tokens whose border is known; emptied when full
+MARKS = frozenset(",.;:!?")    # a piece of their own behind letters
 ROWS = 512              # texts of a batch held as Python strings
-GROUP = 2_000_000       # characters of text whose new words are learned together
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:
@@ -77,14 +80,13 @@ class Vocabulary:
         # tokens a merge sequence can build, by bytes
         self.built = {t: r for t, r in ranks.items() if tree[r, 0] != -2}
         self.longest = max(map(len, self.built))
-        # lengths of the tokens that end with some three bytes, longest first
-        ends: dict[bytes, set[int]] = {}
-        for t in self.built:
-            if len(t) > 2:
-                ends.setdefault(t[-3:], set()).add(len(t))
-        self.lengths = {e: (*sorted(ks, reverse=True), *SHORT) for e, ks in ends.items()}
+        # finds all tokens that end at each byte, the longest first
+        self.ending = ahocorasick.Automaton()
+        for t, r in self.built.items():
+            self.ending.add_word(t.decode("latin-1"), (len(t), r))
+        self.ending.make_automaton()
         self._edge: dict[tuple[int, int], list[tuple[bytes, int, int]]] = {}
-        self._pair: dict[tuple[int, int], bool] = {}
+        self._pair: dict[int, bool] = {}
 
     def _spine(self, token: int, side: int) -> list[tuple[bytes, int, int]]:
         """(bytes, merged at, consumed at) of the tokens on one edge, outermost first."""
@@ -101,7 +103,8 @@ class Vocabulary:
 
     def adjacent(self, u: int, t: int) -> bool:
         """Whether the encoding of the bytes of ``u`` and ``t`` is just these two."""
-        ok = self._pair.get((u, t))
+        key = u << 32 | t
+        ok = self._pair.get(key)
         if ok is None:
             ok = True
             left, right = self._spine(u, 1), self._spine(t, 0)
@@ -118,27 +121,25 @@ class Vocabulary:
                     i += 1
                 else:
                     j += 1
-            if len(self._pair) > 1_000_000:
+            if len(self._pair) >= PAIRS:
                 self._pair.clear()
-            self._pair[u, t] = ok
+            self._pair[key] = ok
         return ok
 
     def extend(self, data: bytes, last: list[int], to: int | None = None) -> None:
         """Append the last token of each further prefix of ``data`` to ``last``."""
-        built, lengths, adjacent, known = self.built.get, self.lengths.get, self.adjacent, self._pair.get
-        for i in range(len(last) + 1, (len(data) if to is None else to) + 1):
-            for k in lengths(data[i - 3:i], SHORT) if i > 2 else SHORT:
-                if k > i:
-                    continue
-                t = built(data[i - k:i])
-                if t is not None:
-                    if k < i:
-                        u = last[i - k - 1]
-                        ok = known((u, t))
-                        if ok is False or (ok is None and not adjacent(u, t)):
-                            continue
-                    last.append(t)
-                    break
+        done, known, adjacent = len(last), self._pair.get, self.adjacent
+        start = max(0, done - self.longest)
+        for end, (k, t) in self.ending.iter(data[start:to].decode("latin-1")):
+            end += start + 1
+            if end > done:
+                if k < end:
+                    u = last[end - k - 1]
+                    ok = known(u << 32 | t)
+                    if ok is False or (ok is None and not adjacent(u, t)):
+                        continue
+                last.append(t)
+                done = end
 
     def read_back(self, last: list[int]) -> list[int]:
         """The encoding, from the table of last tokens."""
@@ -199,87 +200,37 @@ class Encoder:
     """Whole texts: the pattern's pieces, each encoded on its own.
 
     A blank between two non-space characters always opens a piece, so a text is
-    cut there first. The words this gives are encoded once for each task.
+    cut there first; words and pieces met lately are not encoded again.
     """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         import regex
         self.vocabulary, self.find = vocabulary, regex.compile(pattern).findall
-        self.uneven = regex.compile(r"[\s\x1c-\x1f] | [\s\x1c-\x1f]|^ | $").search
-        self.words: dict[str, list[int]] = {}
-        self.known: dict[bytes, list[int]] = {}
-
-    def pieces(self, text: str) -> list[int]:
-        out: list[int] = []
-        for piece in self.find(text):
-            out += self.vocabulary.encode_piece(piece.encode())
-        return out
-
-    def segments(self, text: str) -> Iterator[str]:
-        """The text, cut before each blank that stands between two non-space characters."""
-        held: list[str] = []
-        open_end = True
-        for w in text.split(" "):
-            if held and not open_end and w and not w[0].isspace():
-                yield " ".join(held)
-                held = ["", w]
-            else:
-                held.append(w)
-            open_end = not w or w[-1].isspace()
-        yield " ".join(held)
-
-    def cut(self, text: str) -> tuple[str, list[str]]:
-        """The text's first word and the words after it, without the blank before each."""
-        if self.uneven(text):
-            first, *rest = self.segments(text)
-            return first, [w[1:] for w in rest]
-        first, *rest = text.split(" ")
-        return first, rest
-
-    def learn(self, words: set[str]) -> None:
-        """Encode words not met before. In sorted order, so that a piece takes over
-        the last tokens of the prefix it shares with the piece before it."""
-        cuts = {w: [p.encode() for p in self.find(" " + w)] for w in words}
-        v, done = self.vocabulary, self.known
-        if len(done) > CACHE:
-            done.clear()
-        before, last = b"", []
-        for piece in sorted({p for ps in cuts.values() for p in ps if p not in done}):
-            whole = v.ranks.get(piece)
-            if whole is not None:
-                done[piece] = [whole]
-                continue
-            same, most = 0, min(len(before), len(piece))
-            while same < most and before[same] == piece[same]:
-                same += 1
-            del last[same:]
-            v.extend(piece, last)
-            done[piece], before = v.read_back(last), piece
-        for w, ps in cuts.items():
-            self.words[w] = done[ps[0]] if len(ps) == 1 else [t for p in ps for t in done[p]]
-
-    def encode_all(self, texts: list[str]) -> Iterator[list[int]]:
-        """The ids of each text; new words are learned for some megabytes of text at a time."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size + len(texts[end]) <= GROUP):
-                size += len(texts[end])
-                end += 1
-            cuts = [self.cut(t) for t in texts[at:end]]
-            if len(self.words) > CACHE:
-                self.words.clear()
-            words = self.words
-            self.learn({w for _, rest in cuts for w in rest if w not in words})
-            for first, rest in cuts:
-                out = self.pieces(first)
-                for ids in map(words.__getitem__, rest):
-                    out += ids
-                yield out
-            at = end
+        self.pieces, self.words = Kept(self.piece, PIECES), Kept(self.word, WORDS)
+
+    def piece(self, p: str) -> bytes:
+        return array("i", self.vocabulary.encode_piece(p.encode())).tobytes()
+
+    def text(self, t: str) -> bytes:
+        words, pieces = self.words, self.pieces
+        return b"".join([words[p[1:]] if p[0] == " " and p[1:].isalpha() else pieces[p] for p in self.find(t)])
+
+    def word(self, w: str) -> bytes:
+        """A word behind a blank."""
+        if w.isalpha():
+            return self.piece(" " + w)
+        if w[:-1].isalpha() and w[-1] in MARKS:
+            return self.words[w[:-1]] + self.pieces[w[-1]]
+        return self.text(" " + w)
+
+    def packed(self, text: str) -> bytes:
+        """The ids of the text, 32 bits each."""
+        first, rest = cut_words(text)
+        opening = self.text(first) if first else b""
+        return opening + b"".join(map(self.words.__getitem__, rest))
 
     def encode(self, text: str) -> list[int]:
-        return next(self.encode_all([text]))
+        return array("i", self.packed(text)).tolist()
 
 
 def load_vocabulary(path: str) -> tuple[dict[bytes, int], np.ndarray]:
@@ -294,31 +245,37 @@ def load_vocabulary(path: str) -> tuple[dict[bytes, int], np.ndarray]:
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text",
-           carry: list[str] | None = None) -> DataFrame:
-    """``carry`` columns (default: all but the text) and ``ids``, array<int>.
+           carry: list[str] | None = None, decoded: str | None = None) -> DataFrame:
+    """``carry`` columns (default: all but the text) and ``ids``, array<int>; with ``decoded`` also a
+    column of that name, the bytes that the ids stand for (as :func:`decode`, in the same pass).
 
     Special tokens are ordinary text. Null and empty texts have no ids;
     repeated rows give repeated results; an empty table gives an empty result.
     """
     import pyarrow as pa
-    carry = carry if carry is not None else [c for c in docs.columns if c not in (text, "ids")]
+    carry = carry if carry is not None else [c for c in docs.columns if c not in (text, "ids", decoded)]
     src = docs.select(*(F.col(f"`{c}`") for c in carry), F.col(text).cast("string").alias("_text"))
     schema = src.drop("_text").withColumn("ids", F.array().cast("array<int>")).schema
-    held = docs.sparkSession.sparkContext.broadcast(load_vocabulary(path))      # one fixed file
+    if decoded:
+        schema = schema.add(decoded, "binary")
+    held = docs.sparkSession.sparkContext.broadcast({"file": load_vocabulary(path)})  # one fixed file
     n = len(carry)
 
     def run(batches: Iterator) -> Iterator:
-        gc.disable()            # millions of small lists and no cycles: nothing to collect
-        encoder = Encoder(Vocabulary(*held.value), pattern)
+        mine = held.value               # a worker has one for all its tasks, and with it the words it has met
+        if "encoder" not in mine:
+            mine["encoder"] = Encoder(Vocabulary(*mine["file"]), pattern)
+        packed, token = mine["encoder"].packed, mine["encoder"].vocabulary.bytes_of.__getitem__
         for batch in batches:
-            flat, ends = array("i"), [0]
             for at in range(0, len(batch), ROWS):       # a few texts as Python strings at a time
-                texts = batch.column(n).slice(at, ROWS).to_pylist()
-                for ids in encoder.encode_all([t or "" for t in texts]):
-                    flat.extend(ids)
-                    ends.append(len(flat))
-            ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), ids], names=[*carry, "ids"])
+                some = batch.slice(at, ROWS)
+                ids = [packed(t or "") for t in some.column(n).to_pylist()]
+                ends = np.cumsum([0, *(len(x) // 4 for x in ids)], dtype=np.int32)
+                flat = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+                cols = [*(some.column(i) for i in range(n)), flat]
+                if decoded:
+                    cols.append(pa.array([b"".join(map(token, np.frombuffer(x, np.int32).tolist())) for x in ids], pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return src.mapInArrow(run, schema)
 

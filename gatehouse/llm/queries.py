@@ -73,9 +73,8 @@ def op9_secret_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
-    path = public_tokenizers.path(RANKS)
-    ids = prefix_bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, carry=["doc_id"])
-    both = prefix_bpe.decode(ids, path)
+    both = prefix_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN,
+                             carry=["doc_id"], decoded="decoded")
     return both.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
                        prefix_bpe.ids_digest("ids").alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
