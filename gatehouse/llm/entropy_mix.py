@@ -10,8 +10,10 @@ that a step can never leave it. Sources whose target is the bound have w = 2.
 Rates become copies: floor(w), and one more for the documents that come first
 in a fixed pseudo-random order of (u - fractional part), as far as they fit in the
 source's remaining words; one that does not fit is skipped. Documents with copies
-to spare then get one more in the same way, until none fits, so a source ends
-within its smallest document that may have another copy of the target.
+to spare then get one more in the same way, until none fits. Last, the copies of
+each source's ``CHANGE`` smallest documents are chosen anew, out of all choices
+the one whose words come nearest to the target from below: a source of so few
+documents ends at the best sum there is, and a larger one closer than its smallest document.
 
 No source is ordered or summed in one task: the place in the order has
 ``LEVELS * DIGIT`` bits, and the threshold is found digit by digit, each time on
@@ -38,6 +40,7 @@ MOST = 2.0              # most copies of a document, and of a source
 DIGIT = 7
 LEVELS = 3
 FEW = 1 << DIGIT        # documents of a source that one task goes through
+CHANGE = 12             # documents of a source whose copies are chosen by their exact sum
 TOLERANCE = 1e-9
 MAX_STEPS = 60
 
@@ -186,6 +189,42 @@ def fill(free: DataFrame, room: DataFrame) -> tuple[list[DataFrame], DataFrame]:
         free = marked.where("not taken").drop("taken")
 
 
+def settled(placed: DataFrame, room: DataFrame, most: int) -> DataFrame:
+    """(rid, copies) of each source's ``CHANGE`` smallest documents: of all choices of 0 to ``most``
+    copies the largest sum within their present words and the words left, of those the least change.
+
+    ``placed`` has (rid, source, size, place, copies), ``room`` (s, left). The sums of two halves
+    of the documents meet in one order: each of the one finds the largest of the other that fits.
+    """
+    half = max(1, int(CHANGE // 2 * math.log(3) / math.log(most + 1)))         # (most + 1) ** half sums at most
+    order = Window.partitionBy("source").orderBy("size", "place", "rid")
+    few = placed.where("size > 0").select("source", "size", "place", "rid", "copies").withColumn("n", F.row_number().over(order)).where(F.col("n") <= 2 * half)
+    each = few.groupBy("source").agg(F.array_sort(F.collect_list(F.struct("n", "size", "rid", "copies"))).alias("all"))
+    each = written(each.join(room, F.col("source").eqNullSafe(F.col("s"))).select(
+        "source", "all", (F.col("left") + F.aggregate("all", F.lit(0).cast("bigint"), lambda a, d: a + d["copies"] * d["size"])
+                          + 1e-7).alias("most")), "mix-change")
+
+    def ways(part: Column) -> Column:
+        start = F.array(F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).cast("bigint").alias("kept"), F.array().cast("array<int>").alias("times")))
+        return F.aggregate(part, start, lambda sums, d: F.flatten(F.transform(sums, lambda w: F.transform(
+            F.sequence(F.lit(0), F.lit(most)), lambda x: F.struct(
+                (w["sum"] + x * d["size"]).alias("sum"), (w["kept"] - F.abs(x - d["copies"])).alias("kept"),
+                F.concat(w["times"], F.array(x)).alias("times"))))))
+
+    one = each.select("source", "most", F.inline(ways(F.slice("all", 1, half)))).withColumn("key", F.col("most") - F.col("sum"))
+    two = each.select("source", F.lit(None).cast("double").alias("most"), F.inline(ways(F.slice("all", half + 1, half)))).withColumn("key", F.col("sum").cast("double"))
+    way = F.struct("sum", "kept", "times")
+    upto = Window.partitionBy("source").orderBy("key", "first").rowsBetween(Window.unboundedPreceding, 0)
+    met = (one.withColumn("first", F.lit(True)).unionByName(two.withColumn("first", F.lit(False)))
+           .withColumn("other", F.max(F.when(~F.col("first"), way)).over(upto)).where(F.col("first") & F.col("other").isNotNull()))
+    best = met.groupBy(F.col("source").alias("s")).agg(F.max(F.struct(
+        (F.col("sum") + F.col("other.sum")).alias("sum"), (F.col("kept") + F.col("other.kept")).alias("kept"),
+        F.concat("times", "other.times").alias("times"))).alias("best"))
+    chosen = each.join(best, F.col("source").eqNullSafe(F.col("s"))).select(
+        F.explode(F.arrays_zip(F.col("all"), F.col("best.times").alias("times"))).alias("d"))
+    return chosen.select(F.col("d.all.rid").alias("rid"), F.col("d.times").cast("bigint").alias("copies"))
+
+
 def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
              carry: dict[str, Column] | None = None, share: float = SHARE, most: float = MOST) -> DataFrame:
     """(doc_id, size, source_size, target, copies, taken) and ``carry`` for every row of ``docs``.
@@ -227,33 +266,39 @@ def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
                    .withColumnRenamed("source", "s"), "mix-room")
     narrow = ["rid", "doc_id", "source", "size", "place"]
     picks, room = fill(rated.where("open").select(*narrow).withColumn("slot", slot("place")), room)
-    level = 0
-    while True:                     # one more copy of the documents that may have it and fit
-        placed = rated.withColumn("copies", F.col("whole"))
-        if picks:
-            times = written(reduce(DataFrame.unionByName, picks).groupBy("rid").agg(F.count("*").alias("plus")), "mix-picks")
-            placed = (rated.join(times, "rid", "left")
-                      .withColumn("copies", F.col("whole") + F.coalesce("plus", F.lit(0))))
-        level += 1
-        spare = placed.where((F.col("copies") <= most - 1) & (F.col("size") > 0)).withColumn("place", u(f"more {level}"))
+    def given() -> DataFrame:
+        if not picks:
+            return rated.withColumn("copies", F.col("whole"))
+        times = written(reduce(DataFrame.unionByName, picks).groupBy("rid").agg(F.count("*").alias("plus")), "mix-picks")
+        return rated.join(times, "rid", "left").withColumn("copies", F.col("whole") + F.coalesce("plus", F.lit(0)))
+
+    for level in range(int(most)):      # one more copy of the documents that may have it and fit
+        spare = given().where((F.col("copies") <= most - 1) & (F.col("size") > 0)).withColumn("place", u(f"more {level + 1}"))
         more, room = fill(spare.select(*narrow).withColumn("slot", slot("place")), room)
         if not more:
             break
         picks = picks + more
-    return placed.withColumn("copies", F.col("copies").cast("bigint")).select(
+    placed = written(given().withColumn("copies", F.col("copies").cast("bigint")), "mix-placed")
+    change = settled(placed, room, int(most)).select(F.col("rid").alias("r"), F.col("copies").alias("better"))
+    placed = placed.join(change, F.col("rid") == F.col("r"), "left").withColumn("copies", F.coalesce("better", "copies"))
+    return placed.select(
         "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), "copies",
         (F.col("copies") * F.col("size")).alias("taken"), *names)
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs``, same columns, every row as often as the mix takes it (0, 1 or 2 times)."""
+    """``docs``, same columns (of any names), every row as often as the mix takes it (0, 1 or 2 times).
+
+    Null and empty texts have no words and are taken 0 times; null sources form one source. Wholly equal rows
+    are counted before they are dealt out, and their copies come out of one of them. An
+    empty table gives an empty result.
+    """
     cols = [F.col(f"`{c}`") for c in sorted(docs.columns)]
-    marked = docs.withColumns({"_d1": F.xxhash64(*cols), "_d2": F.xxhash64(F.lit("second"), *reversed(cols))})
-    plan = mix_plan(marked, doc_id, text, source, carry={"_d1": F.col("_d1"), "_d2": F.col("_d2")})
-    each = plan.groupBy("_d1", "_d2").agg(F.sum("copies").alias("_all"), F.count("*").alias("_n")).where("_all > 0")
-    nth = F.row_number().over(Window.partitionBy("_d1", "_d2").orderBy("_d1"))
-    whole, rest = F.floor(F.col("_all") / F.col("_n")), F.col("_all") % F.col("_n")
-    taken = marked.join(each, ["_d1", "_d2"]).withColumn("_nth", nth).withColumn(
-        "_times", (whole + F.when(F.col("_nth") <= rest, 1).otherwise(0)).cast("int"))
-    return (taken.where("_times > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-            .select(*(F.col(f"`{c}`") for c in docs.columns)))
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                         F.xxhash64(*cols).alias("d1"), F.xxhash64(F.lit("second"), *reversed(cols)).alias("d2"))
+    read = packed.select("d1", "d2", *(F.col("row").getField(c).alias(n) for c, n in ((doc_id, "doc_id"), (text, "text"), (source, "source"))))
+    plan = mix_plan(read, carry={"d1": F.col("d1"), "d2": F.col("d2")})
+    times = plan.groupBy("d1", "d2").agg(F.sum("copies").cast("int").alias("times")).where("times > 0")
+    taken = packed.dropDuplicates(["d1", "d2"]).join(times, ["d1", "d2"])
+    return (taken.select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))))
+            .select(*(F.col("row").getField(c).alias(c) for c in docs.columns)))

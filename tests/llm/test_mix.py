@@ -120,3 +120,37 @@ def test_empty_tables(spark):
     only = docs(spark, [(1, None, None), (2, "", None)])
     assert sorted(collect(M.mix_plan(only).select("doc_id", "target", "taken"))) == [(1, 0.0, 0), (2, 0.0, 0)]
     assert collect(M.mix(only)) == []
+
+
+def best_sum(sizes, target):
+    """Largest sum of 0 to 2 copies of each size within the target."""
+    sums = {0}
+    for n in sizes:
+        sums |= {s + k * n for s in sums for k in (1, 2)}
+    return max(s for s in sums if s <= target + 1e-7)
+
+
+def test_small_sources_end_at_the_best_reachable_sum(spark):
+    r = random.Random(6)
+    rows, of = [], {}
+    for s in ["src%02d" % k for k in range(24)]:
+        sizes = [2, 39, 59, 97, 220, 977] if s == "src01" else [int(r.lognormvariate(4, 1.3)) + 1 for _ in range(r.randint(1, 12))]
+        of[s] = sizes
+        rows += [(len(rows) + k, "w " * n, s) for k, n in enumerate(sizes)]
+    name = {i: s for i, _, s in rows}
+    got = collect(M.mix_plan(docs(spark, rows)).select("doc_id", "size", "copies", "target"))
+    for s, sizes in of.items():
+        mine = [g for g in got if name[g[0]] == s]
+        assert all(0 <= g[2] <= 2 for g in mine)
+        assert sum(g[1] * g[2] for g in mine) == best_sum(sizes, mine[0][3]), s
+
+
+def test_mix_keeps_clashing_columns_and_equal_rows(spark):
+    rows = [(1, "a b c", "s", 5, 6, 7)] * 50 + [(i, "w " * (i % 7 + 1), "s", i, 1, 2) for i in range(2, 40)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, _d1 bigint, d2 bigint, row bigint")
+    out = M.mix(df)
+    assert out.columns == df.columns
+    kept, plan = Counter(collect(out)), Counter()
+    for i, c in collect(M.mix_plan(df).select("doc_id", "copies")):
+        plan[i] += c
+    assert set(kept) <= set(rows) and Counter({r[0]: n for r, n in kept.items()}) == +plan
