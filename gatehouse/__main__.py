@@ -30,24 +30,25 @@ def run(argv: list[str]) -> int:
 
     from gatehouse.plans import fixtures as fx
     from gatehouse.plans.jobs import assemble_job, judge_job, screen_job
-    from gatehouse.session import build_session
+    from gatehouse.session import build_session, scratch
     from gatehouse.sources.sinks import write_requests, write_verdicts
 
     spark = build_session(a.master, app_name=f"gatehouse-{a.job}")
-    if a.job == "screen":
-        (screen_job(spark, a.input).select("sub_id", "task_id", "base_url", "reason", "fail_pos")
-         .write.mode("errorifexists").parquet(a.out))
-    elif a.job == "assemble":
-        write_requests(assemble_job(spark, a.input), a.out)
-    elif a.job == "judge":
-        write_verdicts(judge_job(spark, a.input).select("sub_id", "message", "exit_code", "outcome"), a.out)
-    else:
-        from gatehouse.operators.match import match_within
-        e = fx.table(spark, a.input, "events").select("event_id", "user_id", "ts", "event_type")
-        q = e.where(F.col("event_type") == "click").drop("event_type")
-        r = e.where(F.col("event_type") == "view").drop("event_type")
-        (match_within(q, r, "user_id", a.seconds)
-         .write.mode("errorifexists").parquet(a.out))
+    with scratch(spark):            # intermediate tables go once the result is written
+        if a.job == "screen":
+            (screen_job(spark, a.input).select("sub_id", "task_id", "base_url", "reason", "fail_pos")
+             .write.mode("errorifexists").parquet(a.out))
+        elif a.job == "assemble":
+            write_requests(assemble_job(spark, a.input), a.out)
+        elif a.job == "judge":
+            write_verdicts(judge_job(spark, a.input).select("sub_id", "message", "exit_code", "outcome"), a.out)
+        else:
+            from gatehouse.operators.match import match_within
+            e = fx.table(spark, a.input, "events").select("event_id", "user_id", "ts", "event_type")
+            q = e.where(F.col("event_type") == "click").drop("event_type")
+            r = e.where(F.col("event_type") == "view").drop("event_type")
+            (match_within(q, r, "user_id", a.seconds)
+             .write.mode("errorifexists").parquet(a.out))
     return 0
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -93,8 +95,28 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     Used for written tables (sink round trips, streaming checkpoints); never a
     machine-local folder on a cluster.
     """
-    base = checkpoint_base(spark)
-    return f"{base.rstrip('/')}/gatehouse/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_base(spark).rstrip('/')}/gatehouse/{name}-{uuid.uuid4().hex[:12]}"
+    _made.append(path)
+    return path
+
+
+_made: list[str] = []       # the folders handed out, in order
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Drop the intermediate tables made inside the ``with`` block when it ends without an error.
+
+    Results must have been written to a place of their own by then: a frame that
+    still reads an intermediate table cannot be used any longer. After an
+    error the folders stay, so that a job can be looked into.
+    """
+    since = len(_made)
+    yield
+    for path in _made[since:]:
+        fs, p = _fs(spark, path)
+        fs.delete(p, True)
+    del _made[since:]
 
 
 def shared_table(df: DataFrame, name: str) -> DataFrame:
