@@ -294,10 +294,11 @@ def test_stream_key_dense_in_one_bucket(spark, tmp_dir, monkeypatch):
     want = brute([r[:3] for r in rows if r[3] == "click"], [r[:3] for r in rows if r[3] == "view"], 300 * 10**6)
     end = [(5000, 99, T0 + dt.timedelta(hours=12), "click")]
     late = [(6000, 1, T0 + dt.timedelta(hours=1), "click"), (6001, 1, T0, "view")]          # far behind the watermark
-    for split in (1, 4):
+    last = [(5001, 99, T0 + dt.timedelta(hours=20), "click")]
+    for split, batches in ((1, [rows[:500], rows[500:], end, late, last]), (4, [rows, end, last])):
         src, sink, ck = (os.path.join(tmp_dir, f"{n}{split}") for n in ("in", "out", "ck"))
         os.makedirs(src)
-        for i, batch in enumerate([rows[:500], rows[500:900], rows[900:], end, late, [(5001, 99, T0 + dt.timedelta(hours=20), "click")]]):
+        for i, batch in enumerate(batches):
             pd.DataFrame(batch, columns=["event_id", "user_id", "ts", "event_type"]).to_parquet(
                 os.path.join(src, f"b{i}.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
             ev = spark.readStream.schema(schema).parquet(src)
