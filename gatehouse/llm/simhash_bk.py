@@ -2,10 +2,11 @@
 
 1. Every text becomes a 64-bit SimHash of its word shingles (XXH64, seed 42).
    Copies collapse: later steps see each distinct fingerprint once.
-2. Two fingerprints within ``radius`` bits agree on at least two of
-   ``radius + 2`` bit blocks (pigeonhole). A fingerprint therefore belongs to
-   one shard for each pair of blocks, named by the pair and the bits in it;
-   every link lies inside a shard. Nothing is capped: a shard with more than
+2. Two fingerprints within ``radius`` bits agree on at least one of
+   ``radius + 1`` bit blocks, two of ``radius + 2``, and so on (pigeonhole). A fingerprint
+   belongs to one shard for each choice of blocks, named by some bits of them; as many
+   bits as give shards of about ``SHARD`` members, so a search costs the same at every size.
+   Every link lies inside a shard. Nothing is capped: a shard with more than
    ``TREE_SIZE`` members is dealt into tiles (tree i, queries j), i <= j.
 3. A shard's members form a BK-tree: children hang on their parent under the
    integer Hamming distance to it. A query at distance d from a node follows
@@ -22,10 +23,11 @@ batch at once.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatehouse.llm.common import as_bytes, byte_chunks, written
@@ -33,6 +35,7 @@ from gatehouse.llm.components import connected_components
 
 SEED = 42
 TREE_SIZE = 8192        # most members of one tree; larger shards are tiled, not cut
+SHARD = 2048            # members of a shard on average, up to twice that
 FRONTIER = 1 << 20      # (query, node) pairs examined at a time
 CHUNK = 1 << 20         # bytes of a text split into words at a time
 SIGN = -(1 << 63)
@@ -92,7 +95,7 @@ class Forest:
     """BK-trees over ``fp`` (uint64), one for each value of ``tree`` (sorted)."""
 
     def __init__(self, fp: np.ndarray, tree: np.ndarray):
-        self.fp = fp
+        self.fp, self.examined = fp, 0                              # examined: (query, node) pairs so far
         n = len(fp)
         first = np.r_[True, tree[1:] != tree[:-1]] if n else np.zeros(0, bool)
         self.roots = np.flatnonzero(first)
@@ -122,6 +125,7 @@ class Forest:
                 half = len(q) // 2
                 todo += [(q[:half], node[:half]), (q[half:], node[half:])]
                 continue
+            self.examined += len(q)
             d = np.bitwise_count(fp[q] ^ self.fp[node]).astype(np.int64)
             hit = d <= radius
             if hit.any():
@@ -187,22 +191,34 @@ def spanning_links(gid: np.ndarray, query: np.ndarray, fp: np.ndarray, radius: i
 
 # ---------------------------------------------------------------- Spark plan
 
-def _block_keys(radius: int) -> Column:
-    """One shard key for each pair of bit blocks: pair number, then both blocks' bits."""
-    n = radius + 2
-    cuts = [64 * i // n for i in range(n + 1)]
-    blocks = [F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1))
-              for i in range(n)]
-    widths = [cuts[i + 1] - cuts[i] for i in range(n)]
-    keys = [F.struct(F.lit(t).alias("t"), F.shiftleft(blocks[i], widths[j]).bitwiseOR(blocks[j]).alias("bits"))
-            for t, (i, j) in enumerate(combinations(range(n), 2))]
-    return F.array(*keys)
+def shard_blocks(count: int, radius: int, members: int = SHARD) -> tuple[int, int, int]:
+    """(blocks, agreeing, bits): how to cut fingerprints so that ``count`` of them lie in shards of about ``members``.
+
+    Two fingerprints within ``radius`` bits agree on at least ``blocks - radius`` of so many blocks; a shard is
+    named by ``bits`` bits of each of as many blocks. The fewest blocks that give enough bits are taken.
+    """
+    wanted = max(0, (count // members).bit_length() - 1)
+    blocks = radius + 1
+    while blocks < 64 and wanted > (blocks - radius) * (64 // blocks):
+        blocks += 1
+    agreeing = blocks - radius
+    return blocks, agreeing, min(64 // blocks, -(-wanted // agreeing))
+
+
+def _shard_keys(blocks: int, agreeing: int, bits: int) -> Column:
+    """The shards of ``fp``: one for each choice of blocks; a single one where no bits are needed."""
+    if not bits:
+        return F.array(F.struct(F.lit(0).alias("t"), F.lit(0).cast("bigint").alias("bits")))
+    part = [F.shiftrightunsigned("fp", 64 * i // blocks).bitwiseAND(F.lit((1 << bits) - 1)) for i in range(blocks)]
+    return F.array(*(F.struct(F.lit(t).alias("t"), reduce(lambda a, b: F.shiftleft(a, bits).bitwiseOR(b), [part[i] for i in some]).alias("bits"))
+                     for t, some in enumerate(combinations(range(blocks), agreeing))))
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = 3, tree_size: int = TREE_SIZE) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, radius: int = 3, tree_size: int = TREE_SIZE, members: int = SHARD) -> DataFrame:
     """(a, b): links that connect all ``fp`` within ``radius`` bits of each other."""
     import pyarrow as pa
-    keyed = distinct.select("fp", F.explode(_block_keys(radius)).alias("k")).select("fp", "k.t", "k.bits")
+    shards = _shard_keys(*shard_blocks(distinct.count(), radius, members))
+    keyed = distinct.select("fp", F.explode(shards).alias("k")).select("fp", "k.t", "k.bits")
     large = (keyed.groupBy("t", "bits").count().where(F.col("count") > tree_size)
              .select("t", "bits", F.ceil(F.col("count") / tree_size).cast("int").alias("n")))
     large = written(large, "simhash-large")
@@ -278,22 +294,25 @@ def component_members(distinct: DataFrame, radius: int = 3) -> DataFrame:
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
              radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each near-duplicate component, the one of the smallest doc_id.
+    """``docs``, same columns (of any names), with one row of each near-duplicate component, the one of the
+    smallest doc_id.
 
     Rows without an id stand behind all others; among rows of the same id the
-    one with the smallest row hash stays, and of wholly equal rows one stays.
+    one with the smallest row hash stays, and of wholly equal rows one stays. Null and
+    empty texts have the fingerprint zero and are linked like any other; an empty table gives an empty result.
     """
     cols = [F.col(f"`{c}`") for c in sorted(docs.columns)]
-    marked = docs.withColumns({"_d1": F.xxhash64(*cols), "_d2": F.xxhash64(F.lit("second"), *reversed(cols))})
-    rank = F.struct(F.col(doc_id).isNull().alias("no_id"), F.col(doc_id).alias("id"), "_d1", "_d2")
-    rows = fingerprints(marked, text, {"rank": rank}, shingle)
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                         F.xxhash64(*cols).alias("d1"), F.xxhash64(F.lit("second"), *reversed(cols)).alias("d2"))
+    own_id = F.col("row").getField(doc_id)
+    rank = F.struct(own_id.isNull().alias("no_id"), own_id.alias("id"), "d1", "d2")
+    rows = fingerprints(packed.withColumn("text", F.col("row").getField(text)), "text", {"rank": rank}, shingle)
     best = written(rows.groupBy("fp").agg(F.min("rank").alias("rank")), "simhash-best")
     member = component_members(best.select("fp"), radius)
     keep = written(best.join(member, "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
-                   .agg(F.min("rank").alias("rank")).select("rank._d1", "rank._d2"), "simhash-keep")
-    nth = F.row_number().over(Window.partitionBy("_d1", "_d2").orderBy("_d1"))
-    return (marked.join(keep, ["_d1", "_d2"], "left_semi").withColumn("_nth", nth)
-            .where("_nth = 1").select(*(F.col(f"`{c}`") for c in docs.columns)))
+                   .agg(F.min("rank").alias("rank")).select("rank.d1", "rank.d2"), "simhash-keep")
+    return (packed.join(keep, ["d1", "d2"], "left_semi").dropDuplicates(["d1", "d2"])
+            .select(*(F.col("row").getField(c).alias(c) for c in docs.columns)))
 
 
 def hex16(fp: Column | str) -> Column:

@@ -71,13 +71,30 @@ def test_bk_tree_finds_all_neighbours(monkeypatch, frontier):
     assert got == want
 
 
-@pytest.mark.parametrize("tree_size", [8192, 5])
-def test_links_connect_what_brute_force_connects(spark, tree_size):
+def test_shards_hold_every_link_and_about_as_many_members():
+    for count in (0, 1, 4000, 10**5, 10**7, 10**9, 10**11, 10**13):
+        blocks, agreeing, bits = S.shard_blocks(count, 3)
+        assert agreeing == blocks - 3 >= 1 and bits * blocks <= 64          # three bits spoil at most three blocks
+        size = count / 2 ** (bits * agreeing)
+        assert count < 2 * S.SHARD or S.SHARD / 2 ** agreeing <= size < 2 * S.SHARD
+    assert S.shard_blocks(10**5, 3)[:2] == (4, 1)
+
+
+def test_trees_of_thousands_follow_few_edges():
+    r = np.random.default_rng(0)
+    fps = r.integers(0, 2**64, 3000, dtype=np.uint64)
+    forest = S.Forest(fps, np.zeros(len(fps), np.int64))
+    got = sum(len(q) for q, _ in forest.near(fps, np.zeros(len(fps), np.int64), 3))
+    assert got == len(fps) and forest.examined < 0.12 * len(fps) ** 2       # each finds itself; most edges are not followed
+
+
+@pytest.mark.parametrize("tree_size,members", [(8192, 2048), (5, 2048), (8192, 16), (5, 4), (8192, 1)])
+def test_links_connect_what_brute_force_connects(spark, tree_size, members):
     fps = neighbours(5, 150) + [0]
     hub = 0x0F0F
     fps = sorted(set(fps) | {hub ^ (1 << k) for k in range(40)} | {hub})     # one shard far above the tree size
     df = spark.createDataFrame([(f - 2**64 if f >= 2**63 else f,) for f in fps], "fp bigint")
-    links = S.fingerprint_links(df, 3, tree_size)
+    links = S.fingerprint_links(df, 3, tree_size, members)
     cc = {n % 2**64: r % 2**64 for n, r in collect(connected_components(links))}
     want = plain_components(fps)
     for f in fps:
