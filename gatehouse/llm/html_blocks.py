@@ -31,20 +31,61 @@ CAMEL = re.compile(r"([a-z])([A-Z])")
 SPLIT = re.compile(r"[^a-z]+")
 
 
-@dataclass
+NONE: frozenset[str] = frozenset()
+
+
+def _with(held: frozenset[str], more) -> frozenset[str]:
+    """``held`` and ``more``; the same object where nothing is new."""
+    new = [x for x in more if x not in held]
+    return held.union(new) if new else held
+
+
 class Element:
-    tag: str
-    words: tuple[str, ...]      # of class, id and role
-    hidden: bool
-    number: int
+    """An open element with what its ancestors and it add up to, taken over from its parent once.
+
+    ``own``, ``outer``: innermost and outermost tag but html and body; ``inside``: the tags around the
+    innermost; ``pairs``: nested tags; ``names``: words of class, id and role; ``hidden``.
+    """
+
+    __slots__ = ("tag", "words", "number", "parent", "own", "outer", "depth", "inside", "pairs", "names", "hidden")
+
+    def __init__(self, tag: str, words: tuple[str, ...], hidden: bool, number: int, parent: Element | None, known=None):
+        self.tag, self.words, self.number, self.parent = tag, words, number, parent
+        up = parent or ROOT
+        self.names = _with(up.names, words if known is None else [w for w in words if w in known])
+        self.hidden = hidden or up.hidden
+        if tag in ("html", "body"):
+            self.own, self.outer, self.depth, self.inside, self.pairs = up.own, up.outer, up.depth, up.inside, up.pairs
+        else:
+            self.own, self.outer, self.depth = tag, up.outer or tag, up.depth + 1
+            self.inside = _with(up.inside, (up.own,)) if up.own else up.inside
+            self.pairs = _with(up.pairs, (f"{up.own}>{tag}",)) if up.own else up.pairs
+
+
+class _Root:
+    own = outer = ""
+    depth, hidden = 0, False
+    inside = pairs = names = NONE
+
+
+ROOT = _Root()
 
 
 @dataclass
 class Block:
     text: str
-    path: tuple[Element, ...]
+    leaf: Element | None        # the innermost element
     link_chars: int
 
+    @property
+    def path(self) -> tuple[Element, ...]:
+        """The elements around the block, outermost first."""
+        out, e = [], self.leaf
+        while e is not None:
+            out.append(e)
+            e = e.parent
+        return tuple(reversed(out))
+
 
 def attributes(source: str) -> tuple[tuple[str, ...], bool]:
     words: list[str] = []
@@ -63,10 +104,15 @@ def attributes(source: str) -> tuple[tuple[str, ...], bool]:
     return tuple(dict.fromkeys(words)), hidden
 
 
-def blocks(page: str) -> list[Block]:
-    """The page's blocks in order; text is unescaped, white space made single and trimmed."""
+def blocks(page: str, known=None) -> list[Block]:
+    """The page's blocks in order; text is unescaped, white space made single and trimmed.
+
+    ``known``: the only class, id and role words to keep in ``names`` (default: all). Takes time in
+    proportion to the page, however deep its elements lie.
+    """
     out: list[Block] = []
     stack: list[Element] = []
+    open_tags: dict[str, int] = {}
     held: list[str] = []
     links: list[str] = []
     in_link = False
@@ -75,7 +121,7 @@ def blocks(page: str) -> list[Block]:
     def flush() -> None:
         text = " ".join("".join(held).split())
         if text:
-            out.append(Block(text, tuple(stack), len(" ".join("".join(links).split()))))
+            out.append(Block(text, stack[-1] if stack else None, len(" ".join("".join(links).split()))))
         held.clear()
         links.clear()
 
@@ -84,16 +130,21 @@ def blocks(page: str) -> list[Block]:
         if in_link:
             links.append(text)
 
+    def leave(at: int) -> None:
+        for e in stack[at:]:
+            open_tags[e.tag] -= 1
+        del stack[at:]
+
     def close(tags: tuple[str, ...]) -> None:
         """End the open elements of ``tags`` that no container shields."""
-        for i in range(len(stack) - 1, -1, -1):
+        i = len(stack) - 1
+        while i >= 0 and any(open_tags.get(t) for t in tags):
             if stack[i].tag in tags:
                 flush()
-                del stack[i:]
-                return close(tags)
-            if stack[i].tag in SCOPE:
-                return None
-        return None
+                leave(i)
+            elif stack[i].tag in SCOPE:
+                return
+            i -= 1
 
     while True:
         m = TOKEN.search(page, pos)
@@ -109,9 +160,8 @@ def blocks(page: str) -> list[Block]:
                 in_link = False
             elif tag in BLOCK:
                 flush()
-                at = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-                if at is not None:
-                    del stack[at:]
+                if open_tags.get(tag):
+                    leave(next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag))
             continue
         source = m.group(3) if m.group(3) is not None else m.group(4) or ""
         if tag in RAW:
@@ -135,7 +185,8 @@ def blocks(page: str) -> list[Block]:
         if tag not in VOID:
             number += 1
             words, hidden = attributes(source) if source else ((), False)
-            stack.append(Element(tag, words, hidden, number))
+            stack.append(Element(tag, words, hidden, number, stack[-1] if stack else None, known))
+            open_tags[tag] = open_tags.get(tag, 0) + 1
         if tag in ("p", "td", "h1", "h2", "h3", "article", "main"):
             in_link = False             # a link left open does not reach into the next block
     flush()

@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gatehouse.llm.html_blocks import Block, blocks
+from gatehouse.llm.html_blocks import ROOT, Block, blocks
 
 PAGES = 500             # labelled pages written for training
 EPOCHS = 7
@@ -52,18 +52,20 @@ def features(found: list[Block]) -> list[list[str]]:
     """The feature names of each block of a page."""
     out = []
     n = len(found)
-    title = next((i for i, b in enumerate(found) if b.path and b.path[-1].tag == "h1"), None)
+    title = next((i for i, b in enumerate(found) if b.leaf and b.leaf.tag == "h1"), None)
+    around: dict[int, set[str]] = {}                # by element: what its blocks have in common
     for i, b in enumerate(found):
-        tags = [e.tag for e in b.path if e.tag not in ("html", "body")]
-        own = tags[-1] if tags else "body"
-        f = {"bias", "tag:" + own}
-        f.update("in:" + t for t in tags[:-1])
-        f.update(f"pair:{a}>{c}" for a, c in zip(tags, tags[1:]))
-        f.add("outer:" + (tags[0] if tags else "body"))
-        for e in b.path:
-            f.update("name:" + w for w in e.words)
+        e = b.leaf or ROOT
+        base = around.get(id(e))
+        if base is None:
+            base = {"bias", "tag:" + (e.own or "body"), "outer:" + (e.outer or "body"), "depth:%d" % min(8, e.depth)}
+            base.update("in:" + t for t in e.inside)
+            base.update("pair:" + p for p in e.pairs)
+            base.update("name:" + w for w in e.names)
             if e.hidden:
-                f.add("hidden")
+                base.add("hidden")
+            around = {id(e): base}
+        f = set(base)
         words = b.text.count(" ") + 1
         f.add("words:%d" % min(6, words.bit_length()))
         share = b.link_chars / len(b.text)
@@ -72,7 +74,6 @@ def features(found: list[Block]) -> list[list[str]]:
             f.add("sentence")
         if "©" in b.text:
             f.add("copyright")
-        f.add("depth:%d" % min(8, len(tags)))
         f.add("third:%d" % (3 * i // n))
         f.add("title:" + ("none" if title is None else "before" if i < title else "at" if i == title else "after"))
         out.append(sorted(f))
@@ -84,13 +85,12 @@ def bonds(found: list[Block]) -> np.ndarray:
     element, 3 unlike elements of one parent (by tag or names)."""
     out = []
     for a, b in zip(found, found[1:]):
-        pa, pb = ([e.number for e in x.path] for x in (a, b))
-        if pa == pb:
+        ea, eb = a.leaf, b.leaf
+        if ea is eb:
             out.append(2)
-        elif pa[:-1] != pb[:-1] or not pa or not pb:
+        elif ea is None or eb is None or ea.parent is not eb.parent:
             out.append(0)
         else:
-            ea, eb = a.path[-1], b.path[-1]
             out.append(1 if (ea.tag, ea.words) == (eb.tag, eb.words) else 3)
     return np.array(out, np.int64)
 
@@ -105,6 +105,10 @@ class ChainCRF:
         self.weight = np.zeros(0)
         self.move = np.zeros((BONDS, 2, 2))
 
+    def known_names(self) -> set[str]:
+        """The class, id and role words that have a weight."""
+        return {f[5:] for f in self.index if f.startswith("name:")}
+
     def encode(self, names: list[list[str]], learn: bool = False) -> list[np.ndarray]:
         if learn:
             for f in names:
@@ -239,13 +243,16 @@ class Writer:
             elif kind < 0.87:
                 items = "".join(f"<li>{self.prose(MARK, 1, 25)}</li>" for _ in range(int(self.r.integers(1, 6))))
                 out.append(f"<{(t := self.pick('ul', 'ol'))}>{items}</{t}>")
-            elif kind < 0.91:
+            elif kind < 0.9:
                 out.append(f"<blockquote><p>{self.prose(MARK)}</p></blockquote>")
-            elif kind < 0.94:
+            elif kind < 0.92:
                 out.append(f"<figure><figcaption>{MARK}{self.text(2, 15)}</figcaption></figure>")
             elif kind < 0.96:
-                cells = "".join(f"<td>{MARK}{self.text(1, 6, 0.2)}</td>" for _ in range(3))
-                out.append(f"<table><tr>{cells}</tr></table>")
+                wide = int(self.r.integers(2, 5))
+                rows = ("".join(f"<td>{MARK}{self.text(1, 6, 0.2)}</td>" for _ in range(wide)) for _ in range(int(self.r.integers(1, 5))))
+                out.append("<table>" + "".join(f"<tr>{cells}</tr>" for cells in rows) + "</table>")
+                if self.chance(0.6):            # what stands under a table
+                    out.append(f"<p>{MARK}{self.text(1, 8)}</p>")
             else:
                 out.append(f"<pre>{MARK}{self.text(3, 30)}</pre>")
         return out
@@ -334,8 +341,8 @@ def train(count: int = PAGES, seed: int = SEED) -> ChainCRF:
     return crf
 
 
-def main_text(crf: ChainCRF, page: str) -> str:
-    found = blocks(page)
+def main_text(crf: ChainCRF, page: str, known: set[str] | None = None) -> str:
+    found = blocks(page, crf.known_names() if known is None else known)
     return "\n".join(b.text for b, y in zip(found, crf.viterbi(found)) if y)
 
 
@@ -356,8 +363,9 @@ def extract(pages: DataFrame, html: str = "html", carry: list[str] | None = None
     def run(batches: Iterator) -> Iterator:
         field = ChainCRF()
         field.index, field.weight, field.move = held.value
+        known = field.known_names()
         for batch in batches:
-            texts = [main_text(field, h or "") for h in batch.column(n).to_pylist()]
+            texts = [main_text(field, h or "", known) for h in batch.column(n).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(n)), pa.array(texts, pa.string())],
                                              names=[*carry, "text"])
 

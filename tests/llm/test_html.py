@@ -81,3 +81,45 @@ def test_frames(spark, crf):
     want = H.main_text(crf, PAGE)
     assert got == sorted([(1, want), (1, want), (2, ""), (3, ""), (None, ("long text " * 100_000).strip())], key=str)
     assert collect(H.extract(df.limit(0), carry=["page_id"], crf=crf)) == []
+
+
+SENTENCES = ("The wells were dry by August.", "Nobody knew why.", "Rain fell for nine days on the northern valleys, and the river rose above the old bridge.")
+
+
+@pytest.mark.parametrize("wrap", ["%s", "<html><body>%s</body></html>", "<body>%s"])
+def test_plain_pages_lose_nothing(crf, wrap):
+    """Pages of unnamed elements, text behind a table; written by hand, not by the generator."""
+    for title, a, b in itertools.permutations(("Wells of the valley", *SENTENCES), 3):
+        table = "<table><tr><td>May</td><td>71</td></tr><tr><td>June</td><td>64</td></tr></table><p>Source as given.</p>"
+        for page, want in [
+                (f"<div><h1>{title}</h1><div>{a}</div><div>{b}</div></div>", [title, a, b]),
+                (f"<div><div><h1>{title}</h1></div><div><div>{a}</div><div>{b}</div></div></div>", [title, a, b]),
+                (f"<h1>{title}</h1><p>{a}</p><p>{b}</p>", [title, a, b]),
+                (f"<div id=content><h1>{title}</h1><p>{a}</p>{table}</div>", [title, a, "May", "71", "June", "64", "Source as given."]),
+                (f'<div class="article"><h1>{title}</h1><p>{a}</p>{table}</div>', [title, a, "May", "71", "June", "64", "Source as given."]),
+                (f"<div><a href=/>Home</a> <a href=/n>News</a></div><div><h1>{title}</h1><div>{a}</div><div>{b}</div></div><div>&copy; 2020 X</div>",
+                 [title, a, b])]:
+            assert H.main_text(crf, wrap % page) == "\n".join(want)
+
+
+def test_deep_pages_take_linear_time(crf):
+    import time
+    for page in ("<div>x" * 8000, "".join(f"<div class=n{i} id=m{i}>t{i}" for i in range(8000)), "<blockquote>x" * 8000, "<p><blockquote>y" * 8000,
+                 "<ul><li>" * 8000):
+        t = time.process_time()
+        H.main_text(crf, page)
+        assert time.process_time() - t < 2
+
+
+def test_inherited_features_are_those_of_the_path():
+    page = ('<html class="site"><body id="Top"><div class="post main"><article><p>a</p><div class="post x" hidden><section><p>b</p></section>'
+            '</div></article></div>c</body></html>')
+    for b in blocks(page):
+        tags = [e.tag for e in b.path if e.tag not in ("html", "body")]
+        e = b.leaf
+        assert (e.own or "body") == (tags[-1] if tags else "body") and (e.outer or "body") == (tags[0] if tags else "body")
+        assert e.depth == len(tags) and e.inside == frozenset(tags[:-1])
+        assert e.pairs == frozenset(f"{x}>{y}" for x, y in zip(tags, tags[1:]))
+        assert e.names == frozenset(w for x in b.path for w in x.words)
+    assert [b.leaf.hidden for b in blocks(page)] == [False, True, False]
+    assert all(b.leaf.names <= {"post"} for b in blocks(page, {"post"}))
