@@ -3,9 +3,15 @@ so a lost executor's task is simply re-run)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+WRITERS = 8         # files a task holds open: one an outcome, and room for a null
+
 
 def write_requests(df: DataFrame, path: str, column: str = "request") -> None:
     """S3: one JSON request object per line (JSON Lines text).
@@ -16,14 +22,28 @@ def write_requests(df: DataFrame, path: str, column: str = "request") -> None:
     df.select(column).write.mode("errorifexists").text(path)
 
 
+@contextmanager
+def open_writers(spark: SparkSession) -> Iterator[None]:
+    """Inside, a task that writes by a column keeps up to ``WRITERS`` files open instead of
+    sorting its rows; only rows of further values are sorted."""
+    before = spark.conf.get(_WRITERS, None)
+    spark.conf.set(_WRITERS, str(WRITERS))
+    try:
+        yield
+    finally:
+        spark.conf.unset(_WRITERS) if before is None else spark.conf.set(_WRITERS, before)
+
+
 def write_verdicts(df: DataFrame, path: str, partition_by: str = "outcome") -> None:
     """Verdicts as Parquet, one folder per outcome for pruned reads.
 
     Rows are rebalanced by outcome first: AQE splits a large outcome into files of its
     advisory size and gives a small one a single file, where each task would
-    else leave one file an outcome.
+    else leave one file an outcome. That size is one of compressed rows, which may be many
+    times as large in memory, so they are not sorted by outcome (see ``open_writers``).
     """
-    (df.hint("rebalance", F.col(partition_by)).write.mode("errorifexists").partitionBy(partition_by).parquet(path))
+    with open_writers(df.sparkSession):
+        df.hint("rebalance", F.col(partition_by)).write.mode("errorifexists").partitionBy(partition_by).parquet(path)
 
 
 def write_artifacts(df: DataFrame, path: str, keys: list[str], column: str = "content",

@@ -59,6 +59,25 @@ def test_request_and_verdict_sinks(spark, tmp_dir):
     assert "PartitionFilters: [isnotnull(outcome" in back._jdf.queryExecution().executedPlan().toString()
 
 
+def test_verdicts_are_not_sorted_by_outcome(spark, tmp_dir, monkeypatch):
+    """The sort held all messages of a task; without it a file is open for each outcome, and every row is still written."""
+    from pyspark.sql import DataFrameWriter
+
+    from gatehouse.sources import sinks
+    from gatehouse.streaming.judge_stream import verdict_folder
+    key, seen, plain = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, *a, **b: (seen.append(int(spark.conf.get(key))), plain(self, *a, **b))[1])
+    rows = [(i, f"o{i % (sinks.WRITERS + 5)}" if i % 7 else None, f"m{i}") for i in range(2000)]       # more values than open files
+    v = spark.createDataFrame(rows, "sub_id bigint, outcome string, message string")
+    before = spark.conf.get(key)
+    write_verdicts(v, os.path.join(tmp_dir, "ver"))
+    verdict_folder(os.path.join(tmp_dir, "stream"))(v, 0)
+    for path in ("ver", "stream/batch=0"):
+        back = spark.read.parquet(os.path.join(tmp_dir, path)).select("sub_id", "outcome", "message").collect()
+        assert sorted(map(tuple, back), key=lambda r: r[0]) == rows
+    assert seen == [sinks.WRITERS] * 2 and spark.conf.get(key) == before
+
+
 def test_screen_from_files_on_storage(spark, tmp_dir):
     from urllib.parse import quote
 
