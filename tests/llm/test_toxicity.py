@@ -111,3 +111,49 @@ def test_runs_without_blanks_are_read_to_their_end():
     assert long[-1] == b"b" and set(long[:-1]) <= {b"aaaa", b"aaa"}
     other = run[:-30] + "ひどい言葉" + run[-25:]
     assert T.words_of(other.encode()) != words                       # a change near the end is seen
+
+
+def test_every_labelled_row_counts(spark):
+    """A word met only in rows behind the 2,000 of a class that were once sampled, and a row of many words, are learned from."""
+    from pyspark.sql import functions as F
+    n = 3200
+    ids = spark.range(n).withColumn("order", F.xxhash64(F.lit("sample"), "id")).where(F.crc32(F.col("id").cast("string").cast("binary")) % 5 != 0)
+    late = {r.id for r in ids.where("id % 20 != 0").orderBy("order").offset(2000).collect()}
+    assert len(late) > 50
+    rows = [(i, "plain words here " + ("tardy" if i in late else "vile" if i % 20 == 0 else "fine")) for i in range(n)]
+    rows[20] = (20, "much " * 60_000 + "vile")
+    labels = spark.createDataFrame([(i, 1, int(i % 20 == 0)) for i in range(n)], "doc_id bigint, quality int, toxic int")
+    got = T.training_rows(docs(spark, rows), labels, "toxic")
+    assert got.count() == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(n))
+    m = T.train(docs(spark, rows), labels)
+    for t, at in enumerate(T.rows_of(T.features([b"tardy"]))):
+        assert m.emb[t][at].any(axis=1).all()
+    p = {w: T.Scorer(m)(b"plain words here " + w)[0] for w in (b"vile", b"tardy", b"fine")}
+    assert p[b"vile"] >= 0.5 > max(p[b"tardy"], p[b"fine"])
+
+
+def test_units_learn_together_whatever_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(T, "UNIT", 60)
+    rows = [(i, t) for i, t, _ in corpus(800)]
+    labels = spark.createDataFrame([(i, 1, y) for i, _, y in corpus(800)], "doc_id bigint, quality int, toxic int")
+    one = T.train(docs(spark, rows).repartition(7), labels.repartition(3))
+    two = T.train(docs(spark, rows[::-1]).coalesce(1), labels)
+    assert all((a == b).all() for a, b in zip([*one.emb, *one.layers, one.cut], [*two.emb, *two.layers, two.cut]))
+    scorer = T.Scorer(one)
+    assert sum((scorer(t.encode())[0] >= 0.5) == bool(y) for _, t, y in corpus(200, 9)) >= 190
+    written = T.dealt(T.training_rows(docs(spark, rows), labels, "toxic"), 4)
+    *_, texts = T.counted_scores(written, one)
+    assert texts.sum() == written.count()
+
+
+def test_a_long_text_is_learned_from_in_parts(model, monkeypatch):
+    v = T.Vocabulary()
+    v.add([b""])
+    ids = v.add(T.words_of(" ".join(t for _, t, _ in corpus(20, 4)).encode()))
+    top, words = model.peaks(ids, v.rows)
+    for wide in (1, 5, len(ids) - 1):
+        monkeypatch.setattr(T, "WIDE", wide)
+        again, same = model.peaks(ids, v.rows)
+        assert np.allclose(again, top, atol=1e-5)
+        x = model.responses(model.vectors(v.rows[:, ids])).max(axis=0, initial=0)
+        assert np.allclose(x, top, atol=1e-5) and (same[top == 0] == 0).all()
